@@ -420,3 +420,201 @@ SELECT round(100 * (SELECT SUM(n) FROM (SELECT n FROM m ORDER BY n DESC, metro L
 register("metro_label", f1(_GEO + f""",
 s AS (SELECT DISTINCT metro FROM us)
 SELECT metro, {_title(_SHORT)} AS label FROM s"""))(lambda s, d: geo.metro_labels(G(s, d)))
+
+
+# ============================== modelling features ==========================
+from ..operators import features  # noqa: E402
+
+register("supply_panel", f1("""
+SELECT timestamp, gpu_type, provider, COUNT(*) AS listings FROM prices GROUP BY 1, 2, 3"""))(
+    lambda s, d: features.supply_panel(L(s, d)))
+
+register("spread_ratio", f1("""
+, j AS (SELECT s.gpu_type, s.region, s.provider, s.price_per_hour / NULLIF(s.gpu_count, 0) AS sp,
+               od.price_per_hour / NULLIF(od.gpu_count, 0) AS op
+        FROM prices s JOIN prices od ON s.timestamp = od.timestamp AND s.provider = od.provider
+         AND s.instance_type = od.instance_type AND s.region = od.region
+        WHERE s.is_spot AND NOT od.is_spot AND s.quality = 'ok'),
+a AS (SELECT gpu_type, region, provider, AVG(sp) AS spot, AVG(op) AS od, COUNT(*) AS pairs FROM j GROUP BY 1, 2, 3)
+SELECT gpu_type, region, provider, round(spot, 6) AS spot_price, round(od, 6) AS on_demand_price,
+       round(od - spot, 6) AS spread, round(od / spot, 6) AS ratio, pairs FROM a"""))(
+    lambda s, d: features.spread_ratio(L(s, d)))
+
+register("provider_corr", f2("""
+, d AS (SELECT CAST(timestamp AS DATE) AS day, provider, AVG(price_per_hour / gpu_count) AS p
+        FROM prices WHERE gpu_type = 'H100' AND quality = 'ok' GROUP BY 1, 2)
+SELECT a.provider AS provider_a, b.provider AS provider_b,
+       round(CASE WHEN isnan(corr(a.p, b.p)) THEN NULL ELSE corr(a.p, b.p) END, 6) AS corr, COUNT(*) AS n_days
+FROM d a JOIN d b ON a.day = b.day AND a.provider < b.provider GROUP BY 1, 2 HAVING COUNT(*) >= 3"""))(
+    lambda s, d: features.provider_corr(E(s, d), "H100"))
+
+register("generation_gap", f2("""
+, t AS (SELECT CAST(timestamp AS DATE) AS day, gpu_type, price_per_hour / gpu_count AS p FROM prices
+        WHERE quality = 'ok' AND gpu_type IN ('H100', 'A100')),
+a AS (SELECT day, AVG(CASE WHEN gpu_type = 'H100' THEN p END) AS n, AVG(CASE WHEN gpu_type = 'A100' THEN p END) AS o
+      FROM t GROUP BY day)
+SELECT day, round(n, 6) AS newer_price, round(o, 6) AS older_price, round(n / o, 6) AS gap_ratio
+FROM a WHERE n IS NOT NULL AND o IS NOT NULL"""))(lambda s, d: features.generation_gap(E(s, d), "H100", "A100"))
+
+register("feature_frame", f2("""
+, pp AS (SELECT gpu_type, timestamp, provider, SUM(price_per_hour / gpu_count) AS s, COUNT(*) AS n
+         FROM prices WHERE quality = 'ok' GROUP BY 1, 2, 3),
+snap AS (SELECT gpu_type, timestamp, SUM(s) / SUM(n) AS price, CAST(SUM(n) AS BIGINT) AS listings,
+                stddev_samp(s / n) / NULLIF(AVG(s / n), 0) AS provider_cv FROM pp GROUP BY 1, 2)
+SELECT gpu_type, timestamp, round(price, 6) AS price, listings, round(provider_cv, 6) AS provider_cv,
+       round(lag(price) OVER w, 6) AS lag_price, lag(listings) OVER w AS lag_listings,
+       round(stddev_samp(price) OVER r / NULLIF(AVG(price) OVER r, 0), 6) AS rolling_cv,
+       CAST(dayofweek(timestamp) + 1 AS INT) AS day_of_week, CAST(hour(timestamp) AS INT) AS hour
+FROM snap
+WINDOW w AS (PARTITION BY gpu_type ORDER BY timestamp),
+       r AS (PARTITION BY gpu_type ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""))(
+    lambda s, d: features.feature_frame(E(s, d)))
+
+_GAP = """
+, b AS (SELECT MIN(timestamp) AS lo, MAX(timestamp) AS hi FROM prices),
+slots AS (SELECT unnest(generate_series(lo, hi, INTERVAL 12 HOUR)) AS timestamp FROM b),
+seen AS (SELECT DISTINCT timestamp FROM prices),
+s AS (SELECT sl.timestamp, CAST(sl.timestamp AS DATE) AS day, seen.timestamp IS NOT NULL AS observed
+      FROM slots sl LEFT JOIN seen ON sl.timestamp = seen.timestamp),
+d AS (SELECT day, MAX(CAST(observed AS INT)) AS day_seen FROM s GROUP BY day),
+d2 AS (SELECT day, day_seen,
+              MAX(CASE WHEN day_seen = 1 THEN day END) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev,
+              MIN(CASE WHEN day_seen = 1 THEN day END) OVER (ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt
+       FROM d),
+m AS (SELECT s.timestamp, s.day, s.observed, (d2.day_seen = 0 AND (d2.nxt - d2.prev) - 1 >= 2) AS outage
+      FROM s JOIN d2 ON s.day = d2.day)"""
+register("gap_mask", f2(_GAP + " SELECT * FROM m"))(lambda s, d: features.gap_mask(E(s, d)))
+register("within_day_fill", f2(_GAP + """,
+obs AS (SELECT gpu_type, provider, timestamp, round(AVG(price_per_hour / gpu_count), 6) AS price
+        FROM prices WHERE quality = 'ok' GROUP BY 1, 2, 3),
+sd AS (SELECT DISTINCT gpu_type, provider, CAST(timestamp AS DATE) AS day FROM obs),
+g AS (SELECT sd.gpu_type, sd.provider, m.timestamp, m.day, obs.price FROM sd JOIN m ON sd.day = m.day
+      LEFT JOIN obs ON obs.gpu_type = sd.gpu_type AND obs.provider = sd.provider AND obs.timestamp = m.timestamp)
+SELECT gpu_type, provider, timestamp, price,
+       last_value(price IGNORE NULLS) OVER (PARTITION BY gpu_type, provider, day ORDER BY timestamp
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled_price,
+       price IS NULL AS was_missing FROM g"""))(lambda s, d: features.within_day_fill(E(s, d)))
+
+register("spot_quantiles", f1("""
+, t AS (SELECT gpu_type, price_per_hour / gpu_count AS p FROM prices WHERE is_spot AND quality = 'ok')
+SELECT gpu_type, COUNT(*) AS n, round(quantile_cont(p, 0.1), 6) AS q10, round(quantile_cont(p, 0.25), 6) AS q25,
+       round(quantile_cont(p, 0.5), 6) AS q50, round(quantile_cont(p, 0.75), 6) AS q75,
+       round(quantile_cont(p, 0.9), 6) AS q90 FROM t GROUP BY 1"""))(lambda s, d: features.spot_quantiles(L(s, d)))
+
+register("market_segment", f1("""
+SELECT CASE WHEN provider IN ('aws', 'gcp', 'azure', 'oci') THEN 'hyperscaler' ELSE 'marketplace' END AS segment,
+       is_spot, COUNT(*) AS listings, round(AVG(price_per_hour / gpu_count), 6) AS avg_price_per_gpu_hour
+FROM prices WHERE quality = 'ok' GROUP BY 1, 2"""))(lambda s, d: features.market_segment(L(s, d)))
+
+
+# ============================== regions =====================================
+from ..operators import regions as regops  # noqa: E402
+from ..operators.canonical import enrich_regions  # noqa: E402
+from ..sources import panel as fixtures  # noqa: E402
+
+_NR = """,
+nr AS (SELECT n.n_nationkey AS k, n.n_name, r.r_name, lower(replace(r.r_name, ' ', '')) AS rg,
+              lower(replace(n.n_name, '_', '')) AS nn, lower(concat(r.r_name, '-', n.n_name)) AS canon,
+              CAST(n.n_nationkey AS DOUBLE) * 1.5 + 20 AS lat, CAST(n.n_nationkey AS DOUBLE) * -2.5 - 70 AS lon,
+              chr(CAST(65 + n.n_nationkey // 5 AS INT)) || chr(CAST(65 + n.n_nationkey % 5 AS INT)) AS code
+       FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+keys AS (SELECT *, CASE WHEN k % 2 = 0 THEN rg || '-' || nn || '-1' ELSE rg || '-x-' || nn || '-1' END AS aws_key,
+                rg || '-' || nn AS gcp_key, upper(rg || '-' || nn || '-1') AS oci_key, rg || nn AS az_key FROM nr),
+prules AS (SELECT 'aws' AS provider, aws_key AS key, canon, n_name AS country, lat, lon, r_name AS grp FROM keys
+           UNION ALL SELECT 'gcp', gcp_key, canon, n_name, lat, lon, r_name FROM keys
+           UNION ALL SELECT 'oci', oci_key, canon, n_name, lat, lon, r_name FROM keys
+           UNION ALL SELECT 'azure', az_key, canon, n_name, lat, lon, r_name FROM keys),
+crules AS (SELECT code, n_name AS country, lat, lon, r_name AS grp FROM nr
+           UNION ALL SELECT 'Y' || chr(CAST(65 + k // 5 AS INT)), n_name, lat, lon, r_name FROM nr WHERE k % 5 = 2),
+pairs AS (SELECT DISTINCT provider, region AS raw_region FROM prices),
+pv AS (SELECT DISTINCT p.provider, CASE
+         WHEN p.provider = 'aws' THEN CASE k % 4 WHEN 0 THEN aws_key WHEN 1 THEN upper(aws_key)
+              WHEN 2 THEN aws_key || '-nyc-1' ELSE 'ap-' || code || '-1' END
+         WHEN p.provider = 'gcp' THEN CASE k % 4 WHEN 0 THEN gcp_key WHEN 1 THEN gcp_key || '-b'
+              WHEN 2 THEN gcp_key || '-bb' ELSE upper(gcp_key) END
+         WHEN p.provider = 'oci' THEN CASE k % 4 WHEN 0 THEN lower(oci_key) WHEN 1 THEN oci_key
+              WHEN 2 THEN 'xx-' || lower(code) ELSE 'nowhere' END
+         WHEN p.provider = 'azure' THEN CASE k % 4 WHEN 0 THEN az_key WHEN 1 THEN az_key || '-zz'
+              WHEN 2 THEN '' ELSE 'eur-' || code || '-2' END
+         ELSE CASE k % 4 WHEN 0 THEN 'eu-' || code || '-1' WHEN 1 THEN lower(code) || '-' || nn
+              WHEN 2 THEN 'nowhere-' || CAST(k AS VARCHAR) ELSE n_name END END AS raw_region
+       FROM pairs p JOIN keys ON p.raw_region = keys.n_name),
+valid AS (SELECT * FROM pv WHERE raw_region IS NOT NULL AND raw_region <> ''),
+cand AS (SELECT provider, raw_region, 0 AS rule, raw_region AS key FROM valid
+         UNION ALL SELECT provider, raw_region, 1, upper(raw_region) FROM valid
+         UNION ALL SELECT provider, raw_region, 2, lower(raw_region) FROM valid
+         UNION ALL SELECT provider, raw_region, 3, regexp_extract(raw_region, '^(.+)-[[:alpha:]]$', 1) FROM valid
+                   WHERE provider = 'gcp' AND length(raw_region) > 2 AND regexp_matches(raw_region, '^(.+)-[[:alpha:]]$')
+         UNION ALL SELECT provider, raw_region, 4, array_to_string(string_split(raw_region, '-')[1:4], '-') FROM valid
+                   WHERE provider = 'aws' AND len(string_split(raw_region, '-')) > 4
+         UNION ALL SELECT provider, raw_region, 5, array_to_string(string_split(raw_region, '-')[1:3], '-') FROM valid
+                   WHERE provider = 'aws' AND len(string_split(raw_region, '-')) > 3),
+th AS (SELECT c.provider, c.raw_region, c.rule, 0 AS pos,
+              CASE WHEN c.rule IN (4, 5) THEN r.canon || '-zone' ELSE r.canon END AS canon, r.country, r.lat, r.lon, r.grp
+       FROM cand c JOIN prules r ON c.provider = r.provider AND c.key = r.key),
+segs AS (SELECT provider, raw_region, unnest(string_split(upper(raw_region), '-')) AS seg,
+                unnest(range(1, len(string_split(raw_region, '-')) + 1)) AS pos FROM valid),
+ch AS (SELECT s.provider, s.raw_region, 6 AS rule, s.pos, CAST(NULL AS VARCHAR) AS canon, c.country, c.lat, c.lon, c.grp
+       FROM segs s JOIN crules c ON s.seg = c.code WHERE regexp_matches(s.seg, '^[[:alpha:]]{2}$')),
+hits AS (SELECT * FROM th UNION ALL SELECT * FROM ch),
+best AS (SELECT provider, raw_region, arg_min({'canon': canon, 'country': country, 'lat': lat, 'lon': lon, 'grp': grp,
+                                              'rule': rule}, (rule, pos)) AS m FROM hits GROUP BY 1, 2),
+resolved AS (SELECT pv.provider, pv.raw_region, b.m.canon AS region_canonical, b.m.country AS country, b.m.lat AS lat,
+                    b.m.lon AS lon, b.m.grp AS region_group, b.m.rule AS rule
+             FROM pv LEFT JOIN best b ON pv.provider = b.provider AND pv.raw_region = b.raw_region)"""
+
+
+def _region_inputs(s, d):
+    p = L(s, d)
+    pairs = fixtures.raw_region_variants(s, d, regops.region_pairs(p.prices))
+    prules, crules = fixtures.region_rule_tables(s, d)
+    return pairs, prules, crules
+
+
+def _resolved(s, d):
+    pairs, prules, crules = _region_inputs(s, d)
+    return regops.resolve_regions(pairs, prules, crules)
+
+
+register("region_pairs", f1("SELECT DISTINCT provider, region AS raw_region FROM prices"))(
+    lambda s, d: regops.region_pairs(L(s, d).prices))
+register("resolve_regions", f1(_NR + " SELECT * FROM resolved"))(_resolved)
+register("region_coverage", f1(_NR + """
+SELECT COUNT(*) AS pairs, count_if(region_group IS NOT NULL AND region_group <> '') AS mapped,
+       count_if(region_group IS NULL OR region_group = '') AS unmapped FROM resolved"""))(
+    lambda s, d: regops.region_coverage(_resolved(s, d)))
+register("region_unmapped", f1(_NR + """
+SELECT provider, raw_region FROM resolved WHERE region_group IS NULL OR region_group = ''"""))(
+    lambda s, d: regops.unmapped_pairs(_resolved(s, d)))
+
+_EXISTING = """,
+ex AS (SELECT provider, raw_region,
+              CASE WHEN h = 0 THEN NULL ELSE 'hand-' || raw_region END AS region_canonical,
+              CASE WHEN h = 0 THEN NULL ELSE country END AS country, CASE WHEN h = 0 THEN NULL ELSE lat END AS lat,
+              CASE WHEN h = 0 THEN NULL ELSE lon END AS lon, CASE WHEN h = 0 THEN NULL ELSE region_group END AS region_group
+       FROM (SELECT *, (length(provider) + length(raw_region)) % 5 AS h FROM resolved) WHERE h <= 1
+       UNION ALL
+       SELECT provider, 'gone-' || raw_region, region_canonical, country, lat, lon, region_group
+       FROM (SELECT *, (length(provider) + length(raw_region)) % 5 AS h FROM resolved) WHERE h = 2)"""
+
+
+def _refresh(s, d):
+    pairs, prules, crules = _region_inputs(s, d)
+    existing = fixtures.existing_dimension(regops.resolve_regions(pairs, prules, crules))
+    return regops.regions_refresh(pairs, existing, prules, crules)
+
+
+register("regions_refresh", f1(_NR + _EXISTING + """
+SELECT e.provider, e.raw_region, e.region_canonical, e.country, e.lat, e.lon, e.region_group
+FROM ex e WHERE EXISTS (SELECT 1 FROM pv WHERE pv.provider = e.provider AND pv.raw_region = e.raw_region)
+UNION ALL
+SELECT r.provider, r.raw_region, r.region_canonical, r.country, round(r.lat, 4), round(r.lon, 4), r.region_group
+FROM resolved r WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.provider = r.provider AND ex.raw_region = r.raw_region)"""))(
+    _refresh)
+
+register("enrich_regions", f1(f"""
+SELECT timestamp, provider, instance_type, gpu_type, region, is_spot, region_canonical, country, region_lat,
+       region_lon, region_group FROM prices"""))(
+    lambda s, d: enrich_regions(
+        L(s, d).prices.select("timestamp", "provider", "instance_type", "gpu_type", "region", "is_spot"),
+        L(s, d).regions))

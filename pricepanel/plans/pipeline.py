@@ -65,10 +65,10 @@ def build_lake(spark: SparkSession, sf_dir: str, kind: str = "listings", root: s
 
     listings = dedupe_latest(raw_fn(spark, sf_dir), seq).drop("seq_a", "seq_b", "seq_c")
     tagged = enrich_regions(listings.withColumn("quality", quality_view()), regions)
-    write_lake(tagged, f"{root}/prices", mode="overwrite")
+    write_lake(tagged, f"{root}/prices", mode="overwrite", dynamic=False)
 
     manifest = snapshot_manifest(scan_prices(spark, f"{root}/prices"), emitted_at=None, code_version=_code_hash())
-    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
+    manifest.repartition(1).write.mode("overwrite").parquet(f"{root}/manifest")
     return root
 
 
@@ -85,7 +85,9 @@ def panel(spark: SparkSession, sf_dir: str, kind: str = "listings") -> Panel:
     if key in _PANELS:
         return _PANELS[key]
     root = lake_root(spark, sf_dir, kind)
-    if not (is_committed(spark, f"{root}/prices") and is_committed(spark, f"{root}/manifest")):
+    # The manifest is written last, from the finished lake: its commit marker
+    # stands for the whole build.
+    if not is_committed(spark, f"{root}/manifest"):
         build_lake(spark, sf_dir, kind, root)
     p = open_panel(spark, root)
     _PANELS[key] = p

@@ -33,21 +33,26 @@ def with_dt(df: DataFrame) -> DataFrame:
     return df if "dt" in df.columns else df.withColumn("dt", F.to_date("timestamp"))
 
 
-def write_lake(df: DataFrame, path: str, mode: str = "overwrite", target_rows_per_task: int = 2_000_000,
-               num_partitions: int | None = None) -> None:
+def write_lake(df: DataFrame, path: str, mode: str = "overwrite", num_partitions: int | None = None,
+               dynamic: bool = True) -> None:
     """Write listings partitioned by ``dt``.
 
-    Range partitioning on (dt, cluster columns) splits a big snapshot over
-    several tasks (no single task per dt), and keeps each file narrow in
-    gpu_type/provider for row-group skipping. ``mode='overwrite'`` with the
-    session's dynamic partition overwrite replaces only the dts present.
+    Rows are rebalanced on ``dt`` (AQE splits a big snapshot over several
+    tasks, so no single task holds a hot dt) and sorted by the cluster
+    columns inside each file for row-group skipping. ``mode='overwrite'`` with
+    ``dynamic=True`` replaces only the dts present; ``dynamic=False``
+    replaces the whole table (a fresh build).
     """
     out = with_dt(df).select(*LISTING_COLUMNS, "dt")
-    n = num_partitions or max(1, out.sparkSession.sparkContext.defaultParallelism)
-    (out.repartitionByRange(n, "dt", *CLUSTER_COLUMNS)
-        .sortWithinPartitions("dt", *CLUSTER_COLUMNS)
+    if num_partitions:
+        out = out.repartitionByRange(num_partitions, "dt", *CLUSTER_COLUMNS)
+    else:
+        # REBALANCE lets AQE size the write tasks from the real data and split
+        # a hot dt over several tasks, instead of a fixed partition count.
+        out = out.hint("rebalance", "dt")
+    (out.sortWithinPartitions("dt", *CLUSTER_COLUMNS)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .option("compression", "zstd")
         .partitionBy("dt")
         .parquet(path))

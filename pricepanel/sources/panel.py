@@ -125,3 +125,92 @@ def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * -2.5 - 70).alias("lon"),
         F.col("r_name").alias("region_group"),
     )
+
+
+# ---- region-resolution inputs derived from nation x region -------------------
+
+def _nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    k = F.col("n_nationkey")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        k.alias("k"), "n_name", "r_name",
+        F.lower(F.regexp_replace("r_name", " ", "")).alias("rg"),
+        F.lower(F.regexp_replace("n_name", "_", "")).alias("nn"),
+        F.lower(F.concat("r_name", F.lit("-"), "n_name")).alias("canon"),
+        (k.cast("double") * 1.5 + 20).alias("lat"), (k.cast("double") * -2.5 - 70).alias("lon"),
+        F.concat(F.char(F.lit(65) + F.floor(k / 5)), F.char(F.lit(65) + k % 5)).alias("code"))
+
+
+def region_rule_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Per-provider name tables and the country-code table, one entry per nation.
+
+    aws names have 3 or 4 dash segments (so both parent lengths occur), oci
+    names are upper case, gcp and azure lower case.
+    """
+    nr = _nation_regions(spark, sf_dir)
+    rg, nn, k = F.col("rg"), F.col("nn"), F.col("k")
+    keys = {
+        "aws": F.when(k % 2 == 0, F.concat(rg, F.lit("-"), nn, F.lit("-1")))
+                .otherwise(F.concat(rg, F.lit("-x-"), nn, F.lit("-1"))),
+        "gcp": F.concat(rg, F.lit("-"), nn),
+        "oci": F.upper(F.concat(rg, F.lit("-"), nn, F.lit("-1"))),
+        "azure": F.concat(rg, nn),
+    }
+    per = F.array(*[F.struct(F.lit(p).alias("provider"), key.alias("key")) for p, key in keys.items()])
+    provider_rules = nr.select(F.inline(per), F.col("canon").alias("region_canonical"),
+                               F.col("n_name").alias("country"), "lat", "lon", F.col("r_name").alias("region_group"))
+    alias = nr.filter(k % 5 == 2).select(F.concat(F.lit("Y"), F.char(F.lit(65) + F.floor(k / 5))).alias("code"),
+                                         "n_name", "lat", "lon", "r_name")
+    country_rules = nr.select("code", "n_name", "lat", "lon", "r_name").unionByName(alias).select(
+        "code", F.col("n_name").alias("country"), "lat", "lon", F.col("r_name").alias("region_group"))
+    return provider_rules, country_rules
+
+
+def raw_region_variants(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
+    """Distinct (provider, raw_region) names as collectors emit them: for each pair seen
+    in the listings, a spelling chosen by (provider, nation) that exercises one rule
+    of the cascade (exact, case, zone suffix, local zone, country code, unknown)."""
+    nr = _nation_regions(spark, sf_dir)
+    p = pairs.join(F.broadcast(nr), pairs.raw_region == nr.n_name)
+    rg, nn, k, code, v = F.col("rg"), F.col("nn"), F.col("k"), F.col("code"), F.col("k") % 4
+    aws_key = F.when(k % 2 == 0, F.concat(rg, F.lit("-"), nn, F.lit("-1"))).otherwise(
+        F.concat(rg, F.lit("-x-"), nn, F.lit("-1")))
+    gcp_key = F.concat(rg, F.lit("-"), nn)
+    oci_key = F.upper(F.concat(rg, F.lit("-"), nn, F.lit("-1")))
+    az_key = F.concat(rg, nn)
+    prov = F.col("provider")
+
+    def pick(*opts):
+        e = F.when(v == 0, opts[0])
+        for i, o in enumerate(opts[1:], start=1):
+            e = e.when(v == i, o)
+        return e
+
+    raw = (F.when(prov == "aws", pick(aws_key, F.upper(aws_key), F.concat(aws_key, F.lit("-nyc-1")),
+                                      F.concat(F.lit("ap-"), code, F.lit("-1"))))
+            .when(prov == "gcp", pick(gcp_key, F.concat(gcp_key, F.lit("-b")), F.concat(gcp_key, F.lit("-bb")),
+                                      F.upper(gcp_key)))
+            .when(prov == "oci", pick(F.lower(oci_key), oci_key, F.concat(F.lit("xx-"), F.lower(code)),
+                                      F.lit("nowhere")))
+            .when(prov == "azure", pick(az_key, F.concat(az_key, F.lit("-zz")), F.lit(""),
+                                        F.concat(F.lit("eur-"), code, F.lit("-2"))))
+            .otherwise(pick(F.concat(F.lit("eu-"), code, F.lit("-1")), F.concat(F.lower(code), F.lit("-"), nn),
+                            F.concat(F.lit("nowhere-"), k.cast("string")), F.col("n_name"))))
+    return p.select("provider", raw.alias("raw_region")).distinct()
+
+
+def existing_dimension(resolved: DataFrame) -> DataFrame:
+    """A previously written dimension: some rows hand-edited (blank or renamed) and some
+    rows for pairs that are no longer collected."""
+    h = (F.length("provider") + F.length("raw_region")) % 5
+    edited = resolved.filter(h <= 1).select(
+        "provider", "raw_region",
+        F.when(h == 0, F.lit(None)).otherwise(F.concat(F.lit("hand-"), F.col("raw_region"))).alias("region_canonical"),
+        F.when(h == 0, F.lit(None)).otherwise(F.col("country")).alias("country"),
+        F.when(h == 0, F.lit(None)).otherwise(F.col("lat")).alias("lat"),
+        F.when(h == 0, F.lit(None)).otherwise(F.col("lon")).alias("lon"),
+        F.when(h == 0, F.lit(None)).otherwise(F.col("region_group")).alias("region_group"))
+    gone = resolved.filter(h == 2).select("provider", F.concat(F.lit("gone-"), F.col("raw_region")).alias("raw_region"),
+                                          "region_canonical", "country", "lat", "lon", "region_group")
+    return edited.unionByName(gone)
