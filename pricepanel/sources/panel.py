@@ -214,3 +214,52 @@ def existing_dimension(resolved: DataFrame) -> DataFrame:
     gone = resolved.filter(h == 2).select("provider", F.concat(F.lit("gone-"), F.col("raw_region")).alias("raw_region"),
                                           "region_canonical", "country", "lat", "lon", "region_group")
     return edited.unionByName(gone)
+
+
+# ---- raw catalogue items and host payloads derived from listings ------------
+
+def raw_catalogue_items(prices: DataFrame) -> DataFrame:
+    """Listings re-expressed as loosely typed collector items, with the defects the
+    normaliser must handle: aliased/mixed-case providers, missing names, fractional
+    or zero memory, missing or zero GPU counts, unparseable prices, no provider."""
+    g, sp, v = F.col("gpu_count"), F.col("is_spot"), F.col("vcpus")
+    provider = (F.when((F.col("provider") == "aws") & sp, F.lit("AWS"))
+                 .when((F.col("provider") == "lambdalabs") & (g == 1), F.lit("Lambda"))
+                 .when((F.col("provider") == "azure") & (g == 7), F.lit(None).cast("string"))
+                 .otherwise(F.col("provider")))
+    return prices.select(
+        "timestamp",
+        provider.alias("provider"),
+        F.when(v % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("gpu_type")).alias("gpu_name"),
+        F.col("gpu_type").alias("name"),
+        F.when(v % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("instance_type")).alias("instance_name"),
+        F.when(g == 6, F.lit(None).cast("double")).otherwise(g.cast("double")).alias("gpu_count"),
+        F.when(F.col("gpu_memory_gb").isNull(), F.lit(0.0)).otherwise(F.col("gpu_memory_gb") + 0.9).alias("gpu_memory"),
+        v.cast("double").alias("cpu"),
+        F.col("ram_gb").alias("memory"),
+        F.col("region").alias("location"),
+        F.when((g == 5) & sp, F.lit("n/a")).otherwise(F.col("price_per_hour").cast("string")).alias("price"),
+        sp.alias("spot"))
+
+
+def host_payloads(prices: DataFrame) -> DataFrame:
+    """One JSON payload per listing in the host-catalogue shape; some payloads lack the
+    ``hostnodes`` key and some are not JSON at all."""
+    host = F.concat_ws("/", "provider", "instance_type", "region", F.col("is_spot").cast("string"),
+                       F.date_format("timestamp", "yyyyMMdd"))
+    res = lambda amount, price: F.struct(amount.cast("double").alias("amount"), F.lit(price).alias("price"))
+    spec = F.struct(
+        F.struct(F.col("region").alias("country")).alias("location"),
+        F.struct(res(F.col("vcpus"), 0.003).alias("cpu"), res(F.col("ram_gb"), 0.002).alias("ram"),
+                 res(F.lit(100.0), 0.00005).alias("storage"),
+                 F.create_map(F.col("gpu_type"), F.struct(F.col("gpu_count").alias("amount"),
+                                                          F.col("price_per_hour").alias("price"),
+                                                          F.col("gpu_memory_gb").cast("double").alias("vram")))
+                 .alias("gpu")).alias("specs"))
+    good = F.to_json(F.struct(F.create_map(host, spec).alias("hostnodes")))
+    missing = F.to_json(F.struct(F.create_map(host, spec).alias("oops")))
+    g, sp = F.col("gpu_count"), F.col("is_spot")
+    payload = (F.when(sp & (g == 2), missing)
+                .when(sp & (g == 3), F.concat(F.lit("{bad "), host))
+                .otherwise(good))
+    return prices.select(F.col("provider").alias("source"), payload.alias("payload"))
