@@ -765,3 +765,135 @@ SELECT DISTINCT timestamp, CAST(timestamp AS DATE) AS day, 'dt=' || strftime(tim
     lambda s, d: L(s, d).snapshots.select(
         "timestamp", day().alias("day"), F.concat(F.lit("dt="), F.date_format("timestamp", "yyyy-MM-dd")).alias(
             "partition"), snapshot_filename().alias("file")))
+
+
+# ============================== lake maintenance ============================
+from ..operators import lake as lakeops  # noqa: E402
+from ..operators.canonical import canonical_prices, migrate_defaults  # noqa: E402
+from ..schema import BASE_COLUMNS, LISTING_COLUMNS  # noqa: E402
+from ..sources.lake import is_committed, path_exists, scan_prices  # noqa: E402
+from ..sources.regions_file import load_regions, write_regions  # noqa: E402
+from .pipeline import lake_root  # noqa: E402
+
+OLD_BEFORE = "1998-01-01"
+
+
+def _root(s, d, kind="listings"):
+    L(s, d) if kind == "listings" else E(s, d)
+    return lake_root(s, d, kind)
+
+
+register("scan_prices", f1(f"SELECT {CANON_COLS} FROM prices"))(
+    lambda s, d: scan_prices(s, f"{_root(s, d)}/prices"))
+
+
+def _mixed_tree(s, d) -> str:
+    """A lake whose early snapshots are old-vintage files (13 columns), the rest v1.1."""
+    root = _root(s, d)
+    path = f"{root}/mixed"
+    if not path_exists(s, f"{path}/_v11_done"):
+        p = L(s, d).prices
+        (fixtures.old_vintage_rows(p, OLD_BEFORE).write.mode("overwrite").partitionBy("dt").parquet(path))
+        new = p.filter(F.col("dt") >= F.lit(OLD_BEFORE).cast("date")).select(*LISTING_COLUMNS, "dt")
+        new.write.mode("append").partitionBy("dt").parquet(path)
+        s.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(f"{path}/_v11_done")
+    return path
+
+
+def _mixed(s, d):
+    return scan_prices(s, _mixed_tree(s, d), merge_schema=True)
+
+
+_MIXED = f""",
+mixed AS (SELECT {', '.join(c if c != 'gpu_count' else 'CASE WHEN dt < DATE ' + repr(OLD_BEFORE) + ' AND gpu_count = 6 THEN NULL ELSE gpu_count END AS gpu_count' for c in BASE_COLUMNS)},
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE quality END AS quality,
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE region_canonical END AS region_canonical,
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE country END AS country,
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE region_lat END AS region_lat,
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE region_lon END AS region_lon,
+                 CASE WHEN dt < DATE '{OLD_BEFORE}' THEN NULL ELSE region_group END AS region_group, dt
+          FROM prices),
+lk AS (SELECT m.*, r.region_canonical AS r_canon, r.country AS r_country, r.lat AS r_lat, r.lon AS r_lon,
+              r.region_group AS r_group
+       FROM mixed m LEFT JOIN regions r ON m.provider = r.provider AND m.region = r.raw_region)"""
+_BASE_SEL = ", ".join(BASE_COLUMNS)
+
+register("list_old_vintage", f1(f"SELECT DISTINCT dt FROM prices WHERE dt < DATE '{OLD_BEFORE}'"))(
+    lambda s, d: lakeops.list_old_vintage(_mixed(s, d)))
+register("canonical_prices_mixed", f1(_MIXED + f"""
+SELECT {_BASE_SEL}, dt,
+       COALESCE(quality, CASE WHEN gpu_count <= 0 THEN 'cpu_only' WHEN gpu_type = 'Unknown' THEN 'unknown_gpu'
+                              WHEN gpu_memory_gb IS NULL THEN 'missing_memory' ELSE 'ok' END) AS quality,
+       COALESCE(region_canonical, r_canon) AS region_canonical, COALESCE(country, r_country) AS country,
+       COALESCE(region_lat, r_lat) AS region_lat, COALESCE(region_lon, r_lon) AS region_lon,
+       COALESCE(region_group, r_group) AS region_group FROM lk"""))(
+    lambda s, d: canonical_prices(_mixed(s, d), L(s, d).regions))
+register("upgrade_schema", f1(_MIXED + f"""
+SELECT {_BASE_SEL}, dt,
+       CASE WHEN quality IS NOT NULL THEN quality WHEN gpu_count IS NULL OR gpu_count <= 0 THEN 'cpu_only'
+            WHEN gpu_type = 'Unknown' THEN 'unknown_gpu' WHEN gpu_memory_gb IS NULL THEN 'missing_memory'
+            ELSE 'ok' END AS quality,
+       CASE WHEN quality IS NULL THEN r_canon ELSE region_canonical END AS region_canonical,
+       CASE WHEN quality IS NULL THEN r_country ELSE country END AS country,
+       CASE WHEN quality IS NULL THEN r_lat ELSE region_lat END AS region_lat,
+       CASE WHEN quality IS NULL THEN r_lon ELSE region_lon END AS region_lon,
+       CASE WHEN quality IS NULL THEN r_group ELSE region_group END AS region_group FROM lk"""))(
+    lambda s, d: lakeops.upgrade_schema(_mixed(s, d), L(s, d).regions))
+
+register("migrate_defaults", f1(f"""
+SELECT timestamp, provider, instance_type, region, FALSE AS is_spot, 'ok' AS quality FROM prices"""))(
+    lambda s, d: migrate_defaults(L(s, d).prices.select("timestamp", "provider", "instance_type", "region")))
+
+register("snapshot_manifest", f1("""
+, t AS (SELECT timestamp, dt, quality, COUNT(*) AS n FROM prices GROUP BY 1, 2, 3)
+SELECT timestamp, dt, SUM(n) AS row_count,
+       string_agg(quality || '=' || CAST(n AS VARCHAR), ',' ORDER BY quality || '=' || CAST(n AS VARCHAR))
+         AS quality_summary, '1.1' AS schema_version
+FROM t GROUP BY 1, 2"""))(
+    lambda s, d: lakeops.snapshot_manifest(L(s, d).prices, emitted_at="2026-01-01 00:00:00").select(
+        "timestamp", "dt", "row_count", "quality_summary", "schema_version"))
+
+register("emit_latest", f1(f"SELECT {CANON_COLS} FROM prices WHERE {LATEST}"))(
+    lambda s, d: lakeops.emit_latest(L(s, d).prices))
+register("recent_n_snapshots", f1(f"""
+SELECT {CANON_COLS} FROM prices
+WHERE timestamp IN (SELECT DISTINCT timestamp FROM prices ORDER BY timestamp DESC LIMIT 5)"""))(
+    lambda s, d: lakeops.recent_n_snapshots(L(s, d).prices, 5))
+register("publish_new_snapshots", f1(f"""
+SELECT {CANON_COLS} FROM prices
+WHERE timestamp NOT IN (SELECT DISTINCT timestamp FROM prices WHERE timestamp < TIMESTAMP '2000-01-01 00:00:00')"""))(
+    lambda s, d: lakeops.publish_new_snapshots(
+        L(s, d).prices, L(s, d).snapshots.filter(F.col("timestamp") < F.lit("2000-01-01").cast("timestamp"))))
+
+
+def _incoming(p):
+    latest = p.latest()
+    changed = latest.filter(F.col("gpu_count") % 2 == 0).withColumn("price_per_hour", F.col("price_per_hour") * 1.1)
+    new = latest.filter(F.col("gpu_count") == 1).withColumn("instance_type", F.concat("instance_type", F.lit("-new")))
+    return changed.unionByName(new)
+
+
+_LC = ", ".join(LISTING_COLUMNS)
+register("upsert_latest_wins", f1(f""",
+inc AS (SELECT {_LC.replace('price_per_hour', 'price_per_hour * 1.1 AS price_per_hour')}, dt FROM prices
+        WHERE {LATEST} AND gpu_count % 2 = 0
+        UNION ALL
+        SELECT {_LC.replace('instance_type', "instance_type || '-new' AS instance_type")}, dt FROM prices
+        WHERE {LATEST} AND gpu_count = 1),
+old AS (SELECT {_LC}, dt FROM prices WHERE dt IN (SELECT DISTINCT dt FROM inc))
+SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.timestamp = old.timestamp
+  AND inc.provider = old.provider AND inc.instance_type = old.instance_type AND inc.region = old.region
+  AND inc.is_spot = old.is_spot)
+UNION ALL SELECT * FROM inc"""))(
+    lambda s, d: lakeops.upsert_latest_wins(scan_prices(s, f"{_root(s, d)}/prices"), _incoming(L(s, d))))
+
+
+def _regions_csv(s, d):
+    root = _root(s, d)
+    path = f"{root}/regions_csv"
+    if not is_committed(s, path):
+        write_regions(L(s, d).regions, path)
+    return load_regions(s, path)
+
+
+register("regions_lookup", f1("SELECT * FROM regions"))(_regions_csv)

@@ -263,3 +263,13 @@ def host_payloads(prices: DataFrame) -> DataFrame:
                 .when(sp & (g == 3), F.concat(F.lit("{bad "), host))
                 .otherwise(good))
     return prices.select(F.col("provider").alias("source"), payload.alias("payload"))
+
+
+def old_vintage_rows(prices: DataFrame, before: str = "1998-01-01") -> DataFrame:
+    """Rows of the snapshots before ``before`` as the first published vintage stored them:
+    the 13 base columns only, and the GPU count unknown where it was 6."""
+    from ..schema import BASE_COLUMNS
+    old = prices.filter(F.col("dt") < F.lit(before).cast("date"))
+    cols = [F.when(F.col("gpu_count") == 6, F.lit(None).cast("int")).otherwise(F.col("gpu_count")).alias("gpu_count")
+            if c == "gpu_count" else F.col(c) for c in BASE_COLUMNS]
+    return old.select(*cols, "dt")
