@@ -111,6 +111,18 @@ def top_gpus(summary: DataFrame, top_n: int = 25) -> DataFrame:
                .withColumn("price_rank", F.row_number().over(Window.orderBy("avg_price_per_gpu", "gpu_type"))))
 
 
+def top_gpus_by_count(summary: DataFrame, top_n: int = 25) -> DataFrame:
+    """The ``top_n`` most listed types, ranked by count (ties by name)."""
+    top = summary.orderBy(F.col("count").desc(), F.col("gpu_type")).limit(top_n)
+    return top.withColumn("count_rank", F.row_number().over(Window.orderBy(F.col("count").desc(), "gpu_type")))
+
+
+def top_gpus_by_price(summary: DataFrame, top_n: int = 25) -> DataFrame:
+    """The same ``top_n`` types re-ranked by average $/GPU-h (cheapest first)."""
+    top = summary.orderBy(F.col("count").desc(), F.col("gpu_type")).limit(top_n)
+    return top.withColumn("price_rank", F.row_number().over(Window.orderBy("avg_price_per_gpu", "gpu_type")))
+
+
 def snapshots_window(summary: DataFrame, days: int = 30, as_of=None) -> DataFrame:
     """Snapshot summaries inside the lookback, metadata parsed from JSON."""
     from ..schema import SNAPSHOT_METADATA_SCHEMA

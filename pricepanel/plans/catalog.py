@@ -897,3 +897,58 @@ def _regions_csv(s, d):
 
 
 register("regions_lookup", f1("SELECT * FROM regions"))(_regions_csv)
+
+
+# ============================== streaming ===================================
+from ..streaming import snapshots as streams  # noqa: E402
+
+STREAM_CUT = "2024-01-15 00:00:00"
+
+
+def _stream_root(s, d) -> str:
+    """Run the three streams once per input: land the events panel's snapshot files in
+    two halves and process each half with availableNow triggers."""
+    root = f"{_root(s, d, 'events')}/stream"
+    if not path_exists(s, f"{root}/_done"):
+        from ..sources.panel import events_panel_raw
+        raw = events_panel_raw(s, d)
+        regions = E(s, d).regions
+        land = f"{root}/landing"
+        runs = [
+            lambda: streams.run_ingest_stream(s, land, f"{root}/target", f"{root}/ck_ingest",
+                                              lambda b: streams.prepare_listings(b, regions), ["seq_a", "seq_b"]),
+            lambda: streams.run_summary_stream(s, land, f"{root}/summary", f"{root}/ck_summary"),
+            lambda: streams.run_dedupe_stream(s, land, f"{root}/dedupe", f"{root}/ck_dedupe"),
+        ]
+        streams.land_in_halves(s, raw, land, F.lit(STREAM_CUT).cast("timestamp"), runs)
+        s.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(f"{root}/_done")
+    return root
+
+
+register("stream_ingest_result", f2(f"SELECT {CANON_COLS} FROM prices"))(
+    lambda s, d: canonical_prices(streams.read_stream_target(s, f"{_stream_root(s, d)}/target"), E(s, d).regions))
+
+register("stream_snapshot_summary", f2("""
+, k AS (SELECT timestamp AS window_start, timestamp + INTERVAL 12 HOUR AS window_end, COUNT(*) AS total_instances,
+               COUNT(DISTINCT provider) AS providers_count, COUNT(DISTINCT gpu_type) AS gpu_types_count,
+               MIN(price_per_hour) AS min_price, MAX(price_per_hour) AS max_price,
+               round(AVG(price_per_hour), 6) AS avg_price FROM raw GROUP BY timestamp)
+SELECT * FROM k WHERE window_end <= (SELECT MAX(timestamp) FROM raw) - INTERVAL 1 DAY"""))(
+    lambda s, d: streams.read_summary_sink(s, f"{_stream_root(s, d)}/summary"))
+
+register("stream_dedupe", f2("""
+SELECT DISTINCT timestamp, provider, instance_type, region, is_spot FROM raw"""))(
+    lambda s, d: s.read.parquet(f"{_stream_root(s, d)}/dedupe").select(
+        "timestamp", "provider", "instance_type", "region", "is_spot"))
+
+
+# ============================== chart inputs (T2, P12) =======================
+register("top_gpus_by_count", f1(f""", g AS ({_GS_SQL}), t AS (SELECT * FROM g ORDER BY count DESC, gpu_type LIMIT 25)
+SELECT *, row_number() OVER (ORDER BY count DESC, gpu_type) AS count_rank FROM t"""))(
+    lambda s, d: reports.top_gpus_by_count(reports.gpu_summary(L(s, d)), 25))
+register("top_gpus_by_price", f1(f""", g AS ({_GS_SQL}), t AS (SELECT * FROM g ORDER BY count DESC, gpu_type LIMIT 25)
+SELECT *, row_number() OVER (ORDER BY avg_price_per_gpu, gpu_type) AS price_rank FROM t"""))(
+    lambda s, d: reports.top_gpus_by_price(reports.gpu_summary(L(s, d)), 25))
+register("relative_scale", f1(f""", g AS ({_GS_SQL})
+SELECT *, round(avg_price_per_gpu / (SELECT MAX(avg_price_per_gpu) FROM g), 6) AS avg_price_per_gpu_rel FROM g"""))(
+    lambda s, d: reports.relative_scale(reports.gpu_summary(L(s, d)), "avg_price_per_gpu"))
