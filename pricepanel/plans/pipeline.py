@@ -33,6 +33,14 @@ _KINDS = {
     "events": (["events"], events_panel_raw, F2_SEQUENCE),
 }
 _PANELS: dict = {}
+# Folder (under the checkpoint dir) holding the derived tables; bench uses a fresh one.
+_NAMESPACE = ["pricepanel-lake"]
+
+
+def set_namespace(name: str) -> None:
+    """Put derived tables under another folder (e.g. a fresh one to time a full build)."""
+    _NAMESPACE[0] = name
+    _PANELS.clear()
 
 
 def _code_hash() -> str:
@@ -46,7 +54,7 @@ def _code_hash() -> str:
 def lake_root(spark: SparkSession, sf_dir: str, kind: str) -> str:
     tables = _KINDS[kind][0]
     key = hashlib.sha1((source_fingerprint(sf_dir, tables) + _code_hash()).encode()).hexdigest()[:16]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricepanel-lake/{kind}-{key}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{_NAMESPACE[0]}/{kind}-{key}"
 
 
 def regions_for(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

@@ -39,15 +39,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder: ``spark.checkpoint.dir`` as the cluster set it.
 
-    The cluster's setting always wins. Only when it is unset (tests, a
-    laptop) do we point it at ``fallback``.
+    ``spark.checkpoint.dir`` is a static setting, so it is only read here.
+    When it is unset (tests, a laptop) the context's checkpoint folder is
+    used, and only if that is unset too do we point it at ``fallback``.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "pricepanel-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "pricepanel-checkpoints"))
+    return sc.getCheckpointDir()

@@ -38,9 +38,11 @@ def _case_map(col, mapping: dict, default) -> F.Column:
 def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw offers before key dedupe, plus sequence columns ``seq_a..seq_c``.
 
-    lineitem and part are large and joined by shuffle; supplier is joined
-    the same way (AQE turns it into a broadcast when its measured size is
-    small). nation has 25 rows by construction and is broadcast.
+    Each dimension is joined straight to lineitem so the planner sees its own
+    size: supplier and part are broadcast only while their statistics are
+    under the broadcast threshold (else the join shuffles, and AQE can still
+    switch it at run time); nation has 25 rows by construction and is
+    broadcast explicitly.
     """
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
@@ -48,9 +50,9 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
 
-    supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-           .join(supp_nation, li.l_suppkey == supp_nation.s_suppkey))
+    j = (li.join(supp, li.l_suppkey == supp.s_suppkey)
+           .join(F.broadcast(nation), F.col("s_nationkey") == nation.n_nationkey)
+           .join(part, li.l_partkey == part.p_partkey))
 
     prov_idx = F.col("l_suppkey").cast("int") % 8
     provider = _case_map(prov_idx, dict(enumerate(FIXTURE_PROVIDERS[:-1])), FIXTURE_PROVIDERS[-1])

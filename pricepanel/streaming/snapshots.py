@@ -43,7 +43,7 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, target: str, staging: st
 
 
 def run_ingest_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, prepare,
-                      seq_cols: list[str], max_files_per_trigger: int = 4) -> None:
+                      seq_cols: list[str], max_files_per_trigger: int = 1000) -> None:
     """ST1: landing files -> ``prepare`` (normalise/tag/enrich) -> keyed upsert, until caught up."""
     stream = (spark.readStream.schema(landing_schema(spark, landing))
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing))
