@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import REGIONS_COLUMNS
-from .canonical import broadcast_if_small
 
 # Rule order of the cascade (lower wins).
 EXACT, UPPER, LOWER, GCP_ZONE, AWS_PARENT4, AWS_PARENT3, COUNTRY = range(7)
@@ -62,8 +61,11 @@ def resolve_regions(pairs: DataFrame, provider_rules: DataFrame, country_rules:
     ``country_rules``: code, country, lat, lon, region_group (aliases are extra rows).
     """
     valid = pairs.filter(F.col("raw_region").isNotNull() & (F.col("raw_region") != ""))
-    prules = broadcast_if_small(provider_rules.select("provider", "key", *_VALUES))
-    crules = broadcast_if_small(country_rules.select("code", "country", "lat", "lon", "region_group"))
+    # Rule tables are joined without a hint: the planner broadcasts them while
+    # their size estimate is under the broadcast threshold, AQE re-checks the
+    # real size, and a large table falls back to a shuffle join.
+    prules = provider_rules.select("provider", "key", *_VALUES)
+    crules = country_rules.select("code", "country", "lat", "lon", "region_group")
 
     t_hits = _table_candidates(valid).join(prules, ["provider", "key"]).select(
         "provider", "raw_region", "rule", F.lit(0).alias("pos"),
@@ -111,8 +113,3 @@ def unmapped_pairs(dimension: DataFrame) -> DataFrame:
 def duplicate_keys(dimension: DataFrame) -> DataFrame:
     """Keys that occur more than once (they would fan out the enrichment join)."""
     return dimension.groupBy("provider", "raw_region").count().filter("count > 1")
-
-
-def first_per_key(dimension: DataFrame) -> DataFrame:
-    w = Window.partitionBy("provider", "raw_region").orderBy(*REGIONS_COLUMNS[2:])
-    return dimension.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -916,9 +916,10 @@ def _stream_root(s, d) -> str:
         land = f"{root}/landing"
         runs = [
             lambda: streams.run_ingest_stream(s, land, f"{root}/target", f"{root}/ck_ingest",
-                                              lambda b: streams.prepare_listings(b, regions), ["seq_a", "seq_b"]),
-            lambda: streams.run_summary_stream(s, land, f"{root}/summary", f"{root}/ck_summary"),
-            lambda: streams.run_dedupe_stream(s, land, f"{root}/dedupe", f"{root}/ck_dedupe"),
+                                              lambda b: streams.prepare_listings(b, regions), ["seq_a", "seq_b"],
+                                              wait=False),
+            lambda: streams.run_summary_stream(s, land, f"{root}/summary", f"{root}/ck_summary", wait=False),
+            lambda: streams.run_dedupe_stream(s, land, f"{root}/dedupe", f"{root}/ck_dedupe", wait=False),
         ]
         streams.land_in_halves(s, raw, land, F.lit(STREAM_CUT).cast("timestamp"), runs)
         s.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(f"{root}/_done")

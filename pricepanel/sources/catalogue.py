@@ -16,14 +16,18 @@ HOST = T.StructType([
         T.StructField("gpu", T.MapType(T.StringType(), _GPU))])),
 ])
 PAYLOAD_SCHEMA = T.StructType([T.StructField("hostnodes", T.MapType(T.StringType(), HOST))])
+# Parsed with a corrupt-record column, so one pass tells bad JSON from a missing key.
+_PARSE_SCHEMA = T.StructType(PAYLOAD_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
 
 
 def classify_payloads(payloads: DataFrame, col: str = "payload") -> DataFrame:
     """Parse each payload; ``status`` is ok, missing_key (no ``hostnodes``) or malformed."""
-    parsed = F.from_json(F.col(col), PAYLOAD_SCHEMA)
-    valid = F.try_parse_json(F.col(col)).isNotNull()
-    status = F.when(~valid, "malformed").when(parsed.hostnodes.isNull(), "missing_key").otherwise("ok")
-    return payloads.select("*", parsed.hostnodes.alias("hostnodes"), status.alias("status"))
+    parsed = F.from_json(F.col(col), _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    blank = F.col(col).isNull() | (F.trim(F.col(col)) == "")
+    p = payloads.select("*", parsed.alias("_p"))
+    status = (F.when(blank | F.col("_p._corrupt").isNotNull(), "malformed")
+               .when(F.col("_p.hostnodes").isNull(), "missing_key").otherwise("ok"))
+    return p.select(*payloads.columns, F.col("_p.hostnodes").alias("hostnodes"), status.alias("status"))
 
 
 def quarantine_report(payloads: DataFrame, source_col: str = "source", col: str = "payload") -> DataFrame:

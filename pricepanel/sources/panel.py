@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread
 
 # Provider names assigned by supplier key modulo 8, in this order.
 FIXTURE_PROVIDERS = ["aws", "gcp", "azure", "oci", "lambdalabs", "runpod", "vastai", "nebius"]
@@ -44,8 +44,8 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     switch it at run time); nation has 25 rows by construction and is
     broadcast explicitly.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     supp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
@@ -79,7 +79,7 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half-day snapshots from the event stream, before key dedupe (F2)."""
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value"))
     ts = F.col("ts")
     half = F.when(F.hour(ts) >= 12, F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
     keep = (~F.dayofmonth(ts).between(12, 20)

@@ -43,7 +43,7 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, target: str, staging: st
 
 
 def run_ingest_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, prepare,
-                      seq_cols: list[str], max_files_per_trigger: int = 1000) -> None:
+                      seq_cols: list[str], max_files_per_trigger: int = 1000, wait: bool = True):
     """ST1: landing files -> ``prepare`` (normalise/tag/enrich) -> keyed upsert, until caught up."""
     stream = (spark.readStream.schema(landing_schema(spark, landing))
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing))
@@ -54,7 +54,13 @@ def run_ingest_stream(spark: SparkSession, landing: str, target: str, checkpoint
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _finish(q, wait)
+
+
+def _finish(q, wait: bool):
+    if wait:
+        q.awaitTermination()
+    return q
 
 
 def read_stream_target(spark: SparkSession, target: str) -> DataFrame:
@@ -62,7 +68,7 @@ def read_stream_target(spark: SparkSession, target: str) -> DataFrame:
 
 
 def run_summary_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                       delay: str = "1 day", slot: str = "12 hours") -> None:
+                       delay: str = "1 day", slot: str = "12 hours", wait: bool = True):
     """ST2: per 12-hour window snapshot summaries, emitted once the watermark closes the window."""
     stream = spark.readStream.schema(landing_schema(spark, landing)).parquet(landing)
     agg = (stream.withWatermark("timestamp", delay)
@@ -76,7 +82,7 @@ def run_summary_stream(spark: SparkSession, landing: str, sink: str, checkpoint:
                    "total_instances", "providers_count", "gpu_types_count", "min_price", "max_price", "sum_price"))
     q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _finish(q, wait)
 
 
 def read_summary_sink(spark: SparkSession, sink: str) -> DataFrame:
@@ -85,13 +91,14 @@ def read_summary_sink(spark: SparkSession, sink: str) -> DataFrame:
                     "min_price", "max_price", F.round(F.col("sum_price") / F.col("total_instances"), 6).alias("avg_price"))
 
 
-def run_dedupe_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, delay: str = "1 day") -> None:
+def run_dedupe_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, delay: str = "1 day",
+                      wait: bool = True):
     """ST3: drop repeated keys within the watermark (keeps one arbitrary row per key)."""
     stream = spark.readStream.schema(landing_schema(spark, landing)).parquet(landing)
     out = stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(LISTING_KEY)
     q = (out.writeStream.outputMode("append").format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    return _finish(q, wait)
 
 
 def prepare_listings(batch: DataFrame, regions: DataFrame) -> DataFrame:
@@ -103,10 +110,11 @@ def prepare_listings(batch: DataFrame, regions: DataFrame) -> DataFrame:
 
 def land_in_halves(spark: SparkSession, raw: DataFrame, landing: str, cut, runs) -> None:
     """Land the snapshots before ``cut``, run the streams, land the rest, run again:
-    the second run must pick up only the new files."""
-    raw.filter(F.col("timestamp") < cut).write.mode("append").parquet(landing)
-    for r in runs:
-        r()
-    raw.filter(F.col("timestamp") >= cut).write.mode("append").parquet(landing)
-    for r in runs:
-        r()
+    the second run must pick up only the new files. Each ``run`` starts a
+    query and returns it (or None); the queries of one wave run concurrently."""
+    for part in (F.col("timestamp") < cut, F.col("timestamp") >= cut):
+        raw.filter(part).write.mode("append").parquet(landing)
+        started = [r() for r in runs]
+        for q in started:
+            if q is not None:
+                q.awaitTermination()
