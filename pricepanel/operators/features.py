@@ -134,12 +134,17 @@ QUANTILES = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 
 def spot_quantiles(panel: Panel, approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """M7: spot $/GPU-h quantiles per type. Exact by default (memory per group grows
-    with its distinct prices); ``approx=True`` switches to a bounded sketch."""
-    p = ppgh()
-    q = (F.percentile_approx(p, QUANTILES, accuracy) if approx else F.percentile(p, F.array(*map(F.lit, QUANTILES))))
-    a = ok(panel.prices.filter(F.col("is_spot"))).groupBy("gpu_type").agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
-    return a.select("gpu_type", "n", *[r6(F.col("q")[i]).alias(f"q{int(x * 100)}") for i, x in enumerate(QUANTILES)])
+    """M7: spot $/GPU-h quantiles per type. Exact by default, computed in bounded
+    pieces (see ``quantiles``); ``approx=True`` uses a one-pass sketch instead."""
+    from .quantiles import exact_quantiles
+    names = [f"q{int(x * 100)}" for x in QUANTILES]
+    rows = ok(panel.prices.filter(F.col("is_spot")))
+    if approx:
+        a = rows.groupBy("gpu_type").agg(F.percentile_approx(ppgh(), QUANTILES, accuracy).alias("q"),
+                                         F.count(F.lit(1)).alias("n"))
+        return a.select("gpu_type", "n", *[r6(F.col("q")[i]).alias(n) for i, n in enumerate(names)])
+    a = exact_quantiles(rows, ["gpu_type"], ppgh(), QUANTILES, names=names, count_name="n")
+    return a.select("gpu_type", "n", *[r6(n).alias(n) for n in names])
 
 
 def market_segment(panel: Panel) -> DataFrame:

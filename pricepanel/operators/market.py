@@ -9,6 +9,7 @@ from ..functions.columns import ppgh, r6
 from ..functions.predicates import market_base
 from ..panel import Panel
 from .canonical import region_lookup_for_join
+from .quantiles import exact_median
 
 
 def _gpu(panel: Panel) -> DataFrame:
@@ -32,7 +33,8 @@ def headline(panel: Panel) -> DataFrame:
 def median_series(panel: Panel, families: list[str]) -> DataFrame:
     """Daily median on-demand $/GPU-h per family, all families in one grouped query."""
     df = _gpu(panel).filter(~F.col("is_spot") & F.col("gpu_type").isin(*families))
-    return df.groupBy("gpu_type", F.col("dt").alias("day")).agg(r6(F.median(ppgh())).alias("median_price"))
+    m = exact_median(df.withColumn("day", F.col("dt")), ["gpu_type", "day"], ppgh(), "median_price")
+    return m.select("gpu_type", "day", r6("median_price").alias("median_price"))
 
 
 def median_series_gaps(series: DataFrame, max_gap_days: int = 7) -> DataFrame:
@@ -55,18 +57,20 @@ def median_first_last(series: DataFrame) -> DataFrame:
 def price_ladder(panel: Panel, families: list[str]) -> DataFrame:
     """Median on-demand $/GPU-h and listings per family."""
     df = _gpu(panel).filter(~F.col("is_spot") & F.col("gpu_type").isin(*families))
-    return df.groupBy("gpu_type").agg(r6(F.median(ppgh())).alias("p"), F.count(F.lit(1)).alias("n"))
+    m = exact_median(df, ["gpu_type"], ppgh(), "p", "n")
+    return m.select("gpu_type", r6("p").alias("p"), "n")
 
 
 def spot_savings(panel: Panel, families: list[str]) -> DataFrame:
     """Median spot vs on-demand per family and the discount in %.
 
-    A single scan with filtered medians replaces joining two aggregates.
+    One pass computes the medians per (type, spot flag); a small pivot puts
+    the two side by side (types with both sides only), instead of joining
+    two separately computed aggregates.
     """
-    p = ppgh()
-    a = _gpu(panel).groupBy("gpu_type").agg(
-        F.median(F.when(F.col("is_spot"), p)).alias("sp"),
-        F.median(F.when(~F.col("is_spot"), p)).alias("op"))
+    m = exact_median(_gpu(panel), ["gpu_type", "is_spot"], ppgh(), "m")
+    a = m.groupBy("gpu_type").agg(F.max(F.when(F.col("is_spot"), F.col("m"))).alias("sp"),
+                                  F.max(F.when(~F.col("is_spot"), F.col("m"))).alias("op"))
     a = a.filter(F.col("sp").isNotNull() & F.col("op").isNotNull() & F.col("gpu_type").isin(*families))
     return a.select(F.col("gpu_type").alias("g"), r6("op").alias("op"), r6("sp").alias("sp"),
                     r6(100 * (1 - F.col("sp") / F.col("op"))).alias("disc"))
@@ -75,8 +79,8 @@ def spot_savings(panel: Panel, families: list[str]) -> DataFrame:
 def provider_compare(panel: Panel, gpu_type: str, min_n: int = 50) -> DataFrame:
     """Median on-demand $/GPU-h per provider for one type, providers with more than ``min_n`` rows."""
     df = _gpu(panel).filter((F.col("gpu_type") == gpu_type) & ~F.col("is_spot"))
-    a = df.groupBy("provider").agg(r6(F.median(ppgh())).alias("p"), F.count(F.lit(1)).alias("n"))
-    return a.filter(F.col("n") > min_n)
+    a = exact_median(df, ["provider"], ppgh(), "p", "n")
+    return a.filter(F.col("n") > min_n).select("provider", r6("p").alias("p"), "n")
 
 
 def provider_spread(compare: DataFrame) -> DataFrame:
@@ -97,8 +101,8 @@ def region_group_median(panel: Panel, gpu_type: str, min_n: int = 30) -> DataFra
         (F.col("gpu_count") > 0) & (F.col("price_per_hour") > 0) & (F.col("gpu_type") == gpu_type)
         & ~F.col("is_spot"))
     j = df.join(lk, ["provider", "region"], "inner").filter(F.col("rg").isNotNull())
-    a = j.groupBy("rg").agg(r6(F.median(ppgh())).alias("p"), F.count(F.lit(1)).alias("n"))
-    return a.filter(F.col("n") > min_n)
+    a = exact_median(j, ["rg"], ppgh(), "p", "n")
+    return a.filter(F.col("n") > min_n).select("rg", r6("p").alias("p"), "n")
 
 
 def provider_share(panel: Panel, top: int = 7) -> DataFrame:

@@ -136,9 +136,16 @@ def snapshots_window(summary: DataFrame, days: int = 30, as_of=None) -> DataFram
 
 
 def latest_kpi(panel: Panel) -> DataFrame:
-    """Newest snapshot KPIs: listings and median $/GPU-hour (ok rows)."""
-    return ok(panel.latest()).agg(F.count(F.lit(1)).alias("listings"),
-                                  r6(F.median(ppgh())).alias("median_price_per_gpu_hour"))
+    """Newest snapshot KPIs: listings and median $/GPU-hour (ok rows).
+
+    The median is exact and computed in bounded pieces (no single task holds
+    the whole snapshot); it enters the one-row result as a scalar subquery.
+    """
+    from .quantiles import exact_median
+    rows = ok(panel.latest())
+    med = exact_median(rows, [], ppgh(), "m").select("m").scalar()
+    return rows.agg(F.count(F.lit(1)).alias("listings")).select(
+        "listings", r6(med).alias("median_price_per_gpu_hour"))
 
 
 def cheapest_families(panel: Panel, n: int = 10, by_day: bool = True) -> DataFrame:

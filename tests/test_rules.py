@@ -169,3 +169,21 @@ def test_json_roundtrip_old_documents(spark):
                                  '"gpu_type": "H100", "region": "us-east-1", "price_per_hour": 98.3}',)], "json string")
     r = ingest.listing_from_json(df).first()
     assert r.provider == "aws" and r.is_spot is None and r.quality is None
+
+
+def test_exact_quantiles_bucketed_equals_builtin(spark):
+    from pricepanel.operators.quantiles import exact_quantiles
+    df = spark.range(20000).select((F.col("id") % 3).alias("g"),
+                                   F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.round(F.rand(7) * 100, 2))
+                                   .alias("v"))
+    probs = [0.1, 0.5, 0.9]
+    names = ["a", "b", "c"]
+    want = {r.g: list(r.q) for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    for limit in (None, 1):          # 1 forces the bucketed plan, None allows the one-task shortcut
+        got = {r.g: [r.a, r.b, r.c] for r in exact_quantiles(df, ["g"], "v", probs, buckets=8, names=names,
+                                                               max_in_task=limit).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert all(abs(x - y) < 1e-9 for x, y in zip(got[k], want[k]))
+    whole = exact_quantiles(df, [], "v", [0.5], names=["m"], max_in_task=1).first().m
+    assert abs(whole - df.agg(F.percentile("v", 0.5)).first()[0]) < 1e-9
