@@ -69,15 +69,28 @@ def publish_new_snapshots(new: DataFrame, published_snapshots: DataFrame) -> Dat
     return new.join(published_snapshots.select("timestamp").distinct(), "timestamp", "left_anti")
 
 
-def emit_latest(df: DataFrame) -> DataFrame:
-    """K4: only the newest snapshot of ``df``."""
-    mx = df.select(F.max("timestamp")).scalar()
+def emit_latest(df: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
+    """K4: only the newest snapshot of ``df``.
+
+    With a snapshot index (the manifest) the maximum comes from it and a
+    ``dt`` predicate prunes the scan to one partition.
+    """
+    mx = (snapshots if snapshots is not None else df).select(F.max("timestamp")).scalar()
+    if "dt" in df.columns:
+        df = df.filter(F.col("dt") == F.to_date(mx))
     return df.filter(F.col("timestamp") == mx)
 
 
-def recent_n_snapshots(df: DataFrame, n: int) -> DataFrame:
-    """K5: rows of the ``n`` most recent distinct snapshots (semi join)."""
-    recent = df.select("timestamp").distinct().orderBy(F.col("timestamp").desc()).limit(n)
+def recent_n_snapshots(df: DataFrame, n: int, snapshots: DataFrame | None = None) -> DataFrame:
+    """K5: rows of the ``n`` most recent distinct snapshots (semi join on <= n timestamps).
+
+    With a snapshot index the recent list comes from it, and the oldest of
+    them bounds ``dt`` so only those partitions are read.
+    """
+    src = snapshots if snapshots is not None else df
+    recent = src.select("timestamp").distinct().orderBy(F.col("timestamp").desc()).limit(n)
+    if "dt" in df.columns:
+        df = df.filter(F.col("dt") >= F.to_date(recent.select(F.min("timestamp")).scalar()))
     return df.join(F.broadcast(recent), "timestamp", "left_semi")
 
 

@@ -854,11 +854,11 @@ FROM t GROUP BY 1, 2"""))(
         "timestamp", "dt", "row_count", "quality_summary", "schema_version"))
 
 register("emit_latest", f1(f"SELECT {CANON_COLS} FROM prices WHERE {LATEST}"))(
-    lambda s, d: lakeops.emit_latest(L(s, d).prices))
+    lambda s, d: lakeops.emit_latest(L(s, d).prices, L(s, d).snapshots))
 register("recent_n_snapshots", f1(f"""
 SELECT {CANON_COLS} FROM prices
 WHERE timestamp IN (SELECT DISTINCT timestamp FROM prices ORDER BY timestamp DESC LIMIT 5)"""))(
-    lambda s, d: lakeops.recent_n_snapshots(L(s, d).prices, 5))
+    lambda s, d: lakeops.recent_n_snapshots(L(s, d).prices, 5, L(s, d).snapshots))
 register("publish_new_snapshots", f1(f"""
 SELECT {CANON_COLS} FROM prices
 WHERE timestamp NOT IN (SELECT DISTINCT timestamp FROM prices WHERE timestamp < TIMESTAMP '2000-01-01 00:00:00')"""))(
