@@ -9,7 +9,7 @@ from ..functions.columns import quality_view
 from ..schema import BASE_COLUMNS, REGION_COLUMNS
 
 # A dimension is broadcast only when it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -515,6 +515,22 @@ FROM prices WHERE quality = 'ok' GROUP BY 1, 2"""))(lambda s, d: features.market
 from ..operators import regions as regops  # noqa: E402
 from ..operators.canonical import enrich_regions  # noqa: E402
 from ..sources import panel as fixtures  # noqa: E402
+from ..sources.lake import is_committed, path_exists  # noqa: E402
+from .pipeline import lake_root  # noqa: E402
+
+
+def _root(s, d, kind="listings"):
+    L(s, d) if kind == "listings" else E(s, d)
+    return lake_root(s, d, kind)
+
+
+def _source(s, d, name: str, build) -> DataFrame:
+    """A derived input table (raw items, payloads, rule tables...) written once next to
+    the lake, like the files a collector lands; queries then read it as a source."""
+    path = f"{_root(s, d)}/sources/{name}"
+    if not is_committed(s, path):
+        build().write.mode("overwrite").parquet(path)
+    return s.read.parquet(path)
 
 _NR = """,
 nr AS (SELECT n.n_nationkey AS k, n.n_name, r.r_name, lower(replace(r.r_name, ' ', '')) AS rg,
@@ -569,9 +585,10 @@ resolved AS (SELECT pv.provider, pv.raw_region, b.m.canon AS region_canonical, b
 
 
 def _region_inputs(s, d):
-    p = L(s, d)
-    pairs = fixtures.raw_region_variants(s, d, regops.region_pairs(p.prices))
-    prules, crules = fixtures.region_rule_tables(s, d)
+    pairs = _source(s, d, "region_pairs_raw",
+                    lambda: fixtures.raw_region_variants(s, d, regops.region_pairs(L(s, d).prices)))
+    prules = _source(s, d, "provider_rules", lambda: fixtures.region_rule_tables(s, d)[0])
+    crules = _source(s, d, "country_rules", lambda: fixtures.region_rule_tables(s, d)[1])
     return pairs, prules, crules
 
 
@@ -604,7 +621,8 @@ ex AS (SELECT provider, raw_region,
 
 def _refresh(s, d):
     pairs, prules, crules = _region_inputs(s, d)
-    existing = fixtures.existing_dimension(regops.resolve_regions(pairs, prules, crules))
+    existing = _source(s, d, "regions_existing",
+                       lambda: fixtures.existing_dimension(regops.resolve_regions(pairs, prules, crules)))
     return regops.regions_refresh(pairs, existing, prules, crules)
 
 
@@ -654,7 +672,7 @@ _PROV_MAP = ("CASE lower(provider) WHEN 'aws' THEN 'aws' WHEN 'azure' THEN 'azur
 
 
 def _items(s, d):
-    return fixtures.raw_catalogue_items(L(s, d).prices)
+    return _source(s, d, "raw_items", lambda: fixtures.raw_catalogue_items(L(s, d).prices))
 
 
 register("normalize_listings", f1(_ITEMS + f"""
@@ -731,7 +749,7 @@ def _union_sources(items):
 
 
 def _payloads(s, d):
-    return fixtures.host_payloads(L(s, d).prices)
+    return _source(s, d, "host_payloads", lambda: fixtures.host_payloads(L(s, d).prices))
 
 
 _GOOD_HOST = "NOT (is_spot AND gpu_count IN (2, 3))"
@@ -771,18 +789,12 @@ SELECT DISTINCT timestamp, CAST(timestamp AS DATE) AS day, 'dt=' || strftime(tim
 from ..operators import lake as lakeops  # noqa: E402
 from ..operators.canonical import canonical_prices, migrate_defaults  # noqa: E402
 from ..schema import BASE_COLUMNS, LISTING_COLUMNS  # noqa: E402
-from ..sources.lake import is_committed, path_exists, scan_prices  # noqa: E402
+from ..sources.lake import scan_prices  # noqa: E402
 from ..sources.regions_file import load_regions, write_regions  # noqa: E402
-from .pipeline import lake_root  # noqa: E402
 
 OLD_BEFORE = "1998-01-01"
 
 
-def _root(s, d, kind="listings"):
-    L(s, d) if kind == "listings" else E(s, d)
-    return lake_root(s, d, kind)
-
-
 register("scan_prices", f1(f"SELECT {CANON_COLS} FROM prices"))(
     lambda s, d: scan_prices(s, f"{_root(s, d)}/prices"))
 
