@@ -12,14 +12,18 @@ from ..schema import BASE_COLUMNS, REGION_COLUMNS
 BROADCAST_MAX_ROWS = 100_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Does ``df`` have at most ``max_rows`` rows? (reads at most ``max_rows + 1``)"""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    frame is returned as is and the join is planned as a shuffle join.
+    Beyond the bound the frame is returned as is and the join is planned as
+    a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def region_lookup_for_join(regions: DataFrame, region_col: str = "region") -> DataFrame:
@@ -52,15 +56,22 @@ def migrate_defaults(df: DataFrame) -> DataFrame:
     return out
 
 
-def canonical_prices(raw: DataFrame, regions: DataFrame) -> DataFrame:
+def canonical_prices(raw: DataFrame, regions: DataFrame, broadcast: bool = False) -> DataFrame:
     """One canonical view over any vintage of the listing lake.
 
     Base columns are kept if present; ``quality`` is synthesized where the
     file had none (or NULL); region columns fall back to the lookup.
+
+    The lookup is made visibly unique on its key (duplicates are refused when
+    the file is loaded, D15), so for queries that use no region column
+    Catalyst removes the join altogether. ``broadcast`` is the caller's
+    size-checked decision (see ``fits_broadcast``).
     """
     cols = set(raw.columns)
-    lk = region_lookup_for_join(regions).select(
+    lk = region_lookup_for_join(regions).dropDuplicates(["provider", "region"]).select(
         "provider", "region", *[F.col(c).alias(f"_r_{c}") for c in REGION_COLUMNS])
+    if broadcast:
+        lk = F.broadcast(lk)
     base = [c for c in BASE_COLUMNS + ["dt"] if c in cols]
     q = quality_view()
     quality = F.coalesce(F.col("quality"), q) if "quality" in cols else q

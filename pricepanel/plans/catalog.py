@@ -839,7 +839,7 @@ SELECT {_BASE_SEL}, dt,
        COALESCE(region_canonical, r_canon) AS region_canonical, COALESCE(country, r_country) AS country,
        COALESCE(region_lat, r_lat) AS region_lat, COALESCE(region_lon, r_lon) AS region_lon,
        COALESCE(region_group, r_group) AS region_group FROM lk"""))(
-    lambda s, d: canonical_prices(_mixed(s, d), L(s, d).regions))
+    lambda s, d: canonical_prices(_mixed(s, d), L(s, d).regions, broadcast=True))
 register("upgrade_schema", f1(_MIXED + f"""
 SELECT {_BASE_SEL}, dt,
        CASE WHEN quality IS NOT NULL THEN quality WHEN gpu_count IS NULL OR gpu_count <= 0 THEN 'cpu_only'

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import quality_view
-from ..operators.canonical import broadcast_if_small, canonical_prices, enrich_regions
+from ..operators.canonical import broadcast_if_small, canonical_prices, enrich_regions, fits_broadcast
 from ..operators.lake import dedupe_latest, snapshot_manifest
 from ..panel import Panel
 from ..schema import REGIONS_SCHEMA
@@ -81,10 +81,12 @@ def build_lake(spark: SparkSession, sf_dir: str, kind: str = "listings", root: s
 
 
 def open_panel(spark: SparkSession, root: str) -> Panel:
-    regions = broadcast_if_small(spark.read.schema(REGIONS_SCHEMA).parquet(f"{root}/regions"))
+    regions = spark.read.schema(REGIONS_SCHEMA).parquet(f"{root}/regions")
+    small = fits_broadcast(regions)
     raw = scan_prices(spark, f"{root}/prices")
     snapshots = spark.read.parquet(f"{root}/manifest")
-    return Panel(canonical_prices(raw, regions), regions, snapshots)
+    return Panel(canonical_prices(raw, regions, broadcast=small), F.broadcast(regions) if small else regions,
+                 snapshots)
 
 
 def panel(spark: SparkSession, sf_dir: str, kind: str = "listings") -> Panel:
