@@ -69,6 +69,36 @@ def publish_new_snapshots(new: DataFrame, published_snapshots: DataFrame) -> Dat
     return new.join(published_snapshots.select("timestamp").distinct(), "timestamp", "left_anti")
 
 
+def publish_snapshots(spark, new: DataFrame, root: str, code_version: str = "") -> int:
+    """K3 sink: append the snapshots of ``new`` that the lake at ``root`` does not have yet.
+
+    Already published snapshots (by timestamp, from the manifest) are skipped,
+    so publishing the same input twice changes nothing. The listings go to
+    ``root/prices`` (dynamic overwrite of the new dts only, after merging with
+    rows already in those dts), then their manifest rows are appended.
+    Returns the number of snapshots published.
+    """
+    from ..sources.lake import path_exists
+    manifest_path, prices_path = f"{root}/manifest", f"{root}/prices"
+    fresh = with_dt(new)
+    if path_exists(spark, manifest_path):
+        fresh = publish_new_snapshots(fresh, spark.read.parquet(manifest_path))
+    fresh = fresh.select(*LISTING_COLUMNS, "dt").cache()
+    n = fresh.select("timestamp").distinct().count()
+    if n:
+        if path_exists(spark, prices_path):
+            old = scan_prices(spark, prices_path).join(F.broadcast(fresh.select("dt").distinct()), "dt", "left_semi")
+            staged = old.select(*LISTING_COLUMNS, "dt").unionByName(fresh)
+        else:
+            staged = fresh
+        stage_path = f"{root}/_publish_stage"
+        write_lake(staged, stage_path, mode="overwrite", dynamic=False)
+        write_lake(scan_prices(spark, stage_path), prices_path, mode="overwrite", dynamic=True)
+        snapshot_manifest(fresh, code_version=code_version).write.mode("append").parquet(manifest_path)
+    fresh.unpersist()
+    return n
+
+
 def emit_latest(df: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
     """K4: only the newest snapshot of ``df``.
 

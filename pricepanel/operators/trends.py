@@ -60,7 +60,7 @@ def _spot_pairs(panel: Panel, gpu_type, days, as_of, quality_on_spot=True) -> Da
     applied to both sides: they are joined on timestamp equality, so the
     on-demand bound is implied and lets its scan prune partitions too.
     """
-    win = panel.since(days, as_of)
+    win = panel.prices if days is None else panel.since(days, as_of)
     s = win.filter(F.col("is_spot") & (F.col("gpu_type") == gpu_type))
     if quality_on_spot:
         s = ok(s)
@@ -85,8 +85,9 @@ def spot_spread(panel: Panel, gpu_type: str, days: int = 30, as_of=None) -> Data
         F.count(F.lit(1)).alias("pairs"))
 
 
-def spot_spread_raw(panel: Panel, gpu_type: str, days: int = 30, as_of=None) -> DataFrame:
-    """A6 (documented variant): difference of average SKU prices, no normalisation, no quality gate."""
+def spot_spread_raw(panel: Panel, gpu_type: str, days: int | None = None, as_of=None) -> DataFrame:
+    """A6 (documented starter query): difference of average SKU prices per day and provider;
+    no normalisation, no quality gate, whole history unless ``days`` is given."""
     j = _spot_pairs(panel, gpu_type, days, as_of, quality_on_spot=False)
     return j.groupBy(day().alias("day"), "provider").agg(
         r6(F.avg("od_price") - F.avg("s_price")).alias("spread"))

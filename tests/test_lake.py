@@ -114,3 +114,16 @@ def test_day_slices_union_equals_whole(spark):
     late = Panel(p.prices.filter(F.col("dt") >= cut), p.regions, p.snapshots)
     parts = trends_daily(early, 365).unionByName(trends_daily(late, 365))
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, parts.collect()))
+
+
+def test_publish_skips_already_published(spark, tmpdir_path):
+    p = panel(spark, SF_SMALL)
+    root = f"{tmpdir_path}/pub"
+    early = p.prices.filter(F.col("dt") < F.lit("1996-01-01").cast("date"))
+    n1 = K.publish_snapshots(spark, early, root)
+    n2 = K.publish_snapshots(spark, early, root)                 # same input again: nothing new
+    more = p.prices.filter(F.col("dt") < F.lit("1997-01-01").cast("date"))
+    n3 = K.publish_snapshots(spark, more, root)                  # only the 1996 snapshots are new
+    assert (n1, n2) == (12, 0) and n3 == 12
+    assert _content(scan_prices(spark, f"{root}/prices")) == _content(more)
+    assert spark.read.parquet(f"{root}/manifest").count() == 24
