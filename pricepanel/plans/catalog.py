@@ -183,7 +183,8 @@ FROM prices WHERE {LATEST} AND quality = 'ok'"""))(lambda s, d: reports.latest_s
 
 register("provider_freshness", f2("""
 , mx AS (SELECT MAX(timestamp) AS m FROM prices),
-a AS (SELECT provider, MAX(timestamp) AS last_seen, count_if(timestamp = (SELECT m FROM mx)) AS listings_in_latest
+a AS (SELECT provider, MAX(timestamp) AS last_seen,
+             CAST(count_if(timestamp = (SELECT m FROM mx)) AS BIGINT) AS listings_in_latest
       FROM prices WHERE quality = 'ok' GROUP BY provider)
 SELECT provider, last_seen, listings_in_latest,
        CASE WHEN listings_in_latest > 0 THEN 'green'
@@ -196,7 +197,8 @@ register("filter_options", f1("""
            UNION ALL SELECT 'provider', provider FROM prices WHERE quality = 'ok'
            UNION ALL SELECT 'region_group', region_group FROM prices WHERE quality = 'ok' AND region_group IS NOT NULL),
 c AS (SELECT kind, value, COUNT(*) AS listings FROM long GROUP BY 1, 2)
-SELECT kind, value, listings, row_number() OVER (PARTITION BY kind ORDER BY listings DESC, value) AS rank FROM c"""))(
+SELECT kind, value, listings, CAST(row_number() OVER (PARTITION BY kind ORDER BY listings DESC, value) AS INTEGER)
+       AS rank FROM c"""))(
     lambda s, d: reports.filter_options(L(s, d)))
 
 register("summary_by_gpu", f1(f"""
@@ -213,8 +215,8 @@ FROM prices WHERE {LATEST} GROUP BY provider"""))(lambda s, d: reports.summary_b
 register("availability_by_region", f1(f"""
 , t AS (SELECT region, gpu_type, SUM(gpu_count) AS gpus FROM prices WHERE {LATEST} GROUP BY 1, 2),
 r AS (SELECT region, gpu_type, gpus, row_number() OVER (PARTITION BY region ORDER BY gpus DESC, gpu_type) AS rn FROM t)
-SELECT region, SUM(gpus) AS total_gpus, COUNT(*) AS gpu_types,
-       MAX(CASE WHEN rn = 1 THEN gpu_type END) AS top_gpu, MAX(gpus) AS top_gpu_count
+SELECT region, CAST(SUM(gpus) AS BIGINT) AS total_gpus, COUNT(*) AS gpu_types,
+       MAX(CASE WHEN rn = 1 THEN gpu_type END) AS top_gpu, CAST(MAX(gpus) AS BIGINT) AS top_gpu_count
 FROM r GROUP BY region"""))(lambda s, d: reports.availability_by_region(L(s, d)))
 
 _GS_SQL = f"""
@@ -226,8 +228,8 @@ SELECT gpu_type, COUNT(*) AS count,
 FROM prices WHERE {LATEST} AND upper(gpu_type) <> 'UNKNOWN' GROUP BY gpu_type"""
 register("gpu_summary", f1(_GS_SQL))(lambda s, d: reports.gpu_summary(L(s, d)))
 register("top_gpus", f1(f""", g AS ({_GS_SQL}), t AS (SELECT * FROM g ORDER BY count DESC, gpu_type LIMIT 25)
-SELECT *, row_number() OVER (ORDER BY count DESC, gpu_type) AS count_rank,
-       row_number() OVER (ORDER BY avg_price_per_gpu, gpu_type) AS price_rank FROM t"""))(
+SELECT *, CAST(row_number() OVER (ORDER BY count DESC, gpu_type) AS INTEGER) AS count_rank,
+       CAST(row_number() OVER (ORDER BY avg_price_per_gpu, gpu_type) AS INTEGER) AS price_rank FROM t"""))(
     lambda s, d: reports.top_gpus(reports.gpu_summary(L(s, d)), 25))
 
 _K2_SQL = """
@@ -238,11 +240,11 @@ SELECT timestamp, COUNT(*) AS total_instances, COUNT(DISTINCT provider) AS provi
 FROM prices GROUP BY timestamp"""
 register("snapshot_summary", f1(f""", k AS ({_K2_SQL})
 SELECT timestamp, total_instances, providers_count, gpu_types_count, min_price, max_price, avg_price,
-       to_json({{'providers': pl, 'gpu_types': gl}}) AS metadata FROM k"""))(
+       CAST(to_json({{'providers': pl, 'gpu_types': gl}}) AS VARCHAR) AS metadata FROM k"""))(
     lambda s, d: _k2(L(s, d)))
 register("snapshots_window", f1(f""", k AS ({_K2_SQL})
 SELECT timestamp, total_instances, providers_count, gpu_types_count, min_price, max_price, avg_price,
-       array_to_string(pl, ',') AS providers, len(gl) AS gpu_types_listed
+       array_to_string(pl, ',') AS providers, CAST(len(gl) AS INTEGER) AS gpu_types_listed
 FROM k WHERE timestamp >= (SELECT MAX(timestamp) FROM k) - INTERVAL {DAYS} DAY"""))(
     lambda s, d: reports.snapshots_window(_k2(L(s, d)), DAYS))
 
@@ -265,7 +267,8 @@ _RPPGH = "CASE WHEN gpu_count > 0 THEN price_per_hour / gpu_count ELSE 0.0 END"
 register("top10_per_gpu", f1(f"""
 , t AS (SELECT gpu_type, provider, instance_type, gpu_count, vcpus, ram_gb, region, is_spot, price_per_hour,
                {_RPPGH} AS price_per_gpu_hour,
-               row_number() OVER (PARTITION BY gpu_type ORDER BY price_per_hour, provider, instance_type, region, is_spot) AS rank,
+               CAST(row_number() OVER (PARTITION BY gpu_type ORDER BY price_per_hour, provider, instance_type, region,
+                                       is_spot) AS INTEGER) AS rank,
                GREATEST(COUNT(*) OVER (PARTITION BY gpu_type) - 10, 0) AS more
         FROM prices WHERE {LATEST})
 SELECT * FROM t WHERE rank <= 10"""))(lambda s, d: reports.top10_per_gpu(L(s, d)))
@@ -282,8 +285,8 @@ register("best_deals_batch", f1(f"""
 m AS (SELECT p.pattern, provider, instance_type, gpu_type, gpu_count, region, is_spot, price_per_hour,
              {_RPPGH} AS price_per_gpu_hour
       FROM prices JOIN pats p ON contains(upper(gpu_type), p.pattern) WHERE {LATEST}),
-r AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY price_per_gpu_hour, gpu_type, provider,
-                                   instance_type, region, is_spot) AS rank FROM m)
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY pattern ORDER BY price_per_gpu_hour, gpu_type, provider,
+                                   instance_type, region, is_spot) AS INTEGER) AS rank FROM m)
 SELECT * FROM r WHERE rank <= 10"""))(lambda s, d: reports.best_deals_batch(L(s, d), PATTERNS, 10))
 
 register("dataset_freshness", f1("""
@@ -310,7 +313,7 @@ SELECT * FROM t WHERE gpu_type IN (SELECT gpu_type FROM top)"""))(
 
 # ============================== market (deck) ===============================
 register("headline", f1(f"""
-SELECT count_if({GPU_BASE}) AS gpu_listings,
+SELECT CAST(count_if({GPU_BASE}) AS BIGINT) AS gpu_listings,
        COUNT(DISTINCT CASE WHEN {GPU_BASE} THEN dt END) AS days,
        COUNT(DISTINCT CASE WHEN {GPU_BASE} THEN provider END) AS providers,
        COUNT(DISTINCT CASE WHEN {GPU_BASE} THEN gpu_type END) AS gpu_types,
@@ -366,7 +369,8 @@ GROUP BY 1 HAVING COUNT(*) > 30"""))(lambda s, d: market.region_group_median(L(s
 register("provider_share", f1(f"""
 , c AS (SELECT provider, COUNT(*) AS n FROM prices WHERE {GPU_BASE} GROUP BY 1),
 r AS (SELECT provider, n, row_number() OVER (ORDER BY n DESC, provider) AS rk FROM c)
-SELECT CASE WHEN rk <= 7 THEN provider ELSE 'other' END AS label, SUM(n) AS listings, MIN(rk) AS rank
+SELECT CASE WHEN rk <= 7 THEN provider ELSE 'other' END AS label, CAST(SUM(n) AS BIGINT) AS listings,
+       CAST(MIN(rk) AS INTEGER) AS rank
 FROM r GROUP BY 1"""))(lambda s, d: market.provider_share(L(s, d), 7))
 
 
@@ -398,7 +402,7 @@ _SHORT = ("replace(replace(replace(replace(replace(replace(replace(replace(metro
           "'saltlakecity', 'saltlake')")
 register("top_hubs", f1(_GEO + f""",
 pm AS (SELECT round(lat, 2) AS lat, round(lon, 2) AS lon, metro, COUNT(*) AS n FROM us GROUP BY 1, 2, 3),
-h AS (SELECT lat, lon, arg_min(metro, (-n, metro)) AS metro, SUM(n) AS listings FROM pm GROUP BY 1, 2
+h AS (SELECT lat, lon, arg_min(metro, (-n, metro)) AS metro, CAST(SUM(n) AS BIGINT) AS listings FROM pm GROUP BY 1, 2
       ORDER BY listings DESC, lat, lon LIMIT 9),
 s AS (SELECT *, {_SHORT} AS short FROM h)
 SELECT lat, lon, metro, listings, {_title('short')} AS label FROM s"""))(lambda s, d: geo.top_hubs(G(s, d), 9))
@@ -604,8 +608,8 @@ register("region_pairs", f1("SELECT DISTINCT provider, region AS raw_region FROM
     lambda s, d: regops.region_pairs(L(s, d).prices))
 register("resolve_regions", f1(_NR + " SELECT * FROM resolved"))(_resolved)
 register("region_coverage", f1(_NR + """
-SELECT COUNT(*) AS pairs, count_if(region_group IS NOT NULL AND region_group <> '') AS mapped,
-       count_if(region_group IS NULL OR region_group = '') AS unmapped FROM resolved"""))(
+SELECT COUNT(*) AS pairs, CAST(count_if(region_group IS NOT NULL AND region_group <> '') AS BIGINT) AS mapped,
+       CAST(count_if(region_group IS NULL OR region_group = '') AS BIGINT) AS unmapped FROM resolved"""))(
     lambda s, d: regops.region_coverage(_resolved(s, d)))
 register("region_unmapped", f1(_NR + """
 SELECT provider, raw_region FROM resolved WHERE region_group IS NULL OR region_group = ''"""))(
@@ -655,7 +659,7 @@ items AS (SELECT timestamp,
     CASE WHEN vcpus % 10 = 0 THEN NULL ELSE gpu_type END AS gpu_name, gpu_type AS name,
     CASE WHEN vcpus % 7 = 0 THEN NULL ELSE instance_type END AS instance_name,
     CASE WHEN gpu_count = 6 THEN NULL ELSE CAST(gpu_count AS DOUBLE) END AS gpu_count,
-    CASE WHEN gpu_memory_gb IS NULL THEN 0.0 ELSE gpu_memory_gb + 0.9 END AS gpu_memory,
+    CASE WHEN gpu_memory_gb IS NULL THEN 0.0e0 ELSE gpu_memory_gb + 0.9e0 END AS gpu_memory,
     CAST(vcpus AS DOUBLE) AS cpu, ram_gb AS memory, region AS location,
     CASE WHEN gpu_count = 5 AND is_spot THEN 'n/a' ELSE CAST(price_per_hour AS VARCHAR) END AS price,
     is_spot AS spot FROM prices),
@@ -762,7 +766,8 @@ SELECT concat_ws('/', provider, instance_type, region, lower(CAST(is_spot AS VAR
        replace(lower(region), ' ', '') AS location,
        round(vcpus * 0.003 + ram_gb * 0.002 + 100.0 * 0.00005 + gpu_count * price_per_hour, 5) AS price,
        CAST(floor(vcpus / 2) * 2 AS DOUBLE) AS cpu, CAST(floor(ram_gb / 2) * 2 AS DOUBLE) AS memory,
-       gpu_count, gpu_type AS gpu_name, CAST(gpu_memory_gb AS DOUBLE) AS gpu_memory, FALSE AS spot, 100.0 AS disk_size
+       gpu_count, gpu_type AS gpu_name, CAST(gpu_memory_gb AS DOUBLE) AS gpu_memory, FALSE AS spot,
+       100.0e0 AS disk_size
 FROM prices WHERE {_GOOD_HOST} AND gpu_count <> 0"""))(lambda s, d: catalogue.flatten_host_offers(_payloads(s, d)))
 
 register("ingest_quarantine", f1("""
@@ -861,7 +866,7 @@ SELECT timestamp, provider, instance_type, region, FALSE AS is_spot, 'ok' AS qua
 
 register("snapshot_manifest", f1("""
 , t AS (SELECT timestamp, dt, quality, COUNT(*) AS n FROM prices GROUP BY 1, 2, 3)
-SELECT timestamp, dt, SUM(n) AS row_count,
+SELECT timestamp, dt, CAST(SUM(n) AS BIGINT) AS row_count,
        string_agg(quality || '=' || CAST(n AS VARCHAR), ',' ORDER BY quality || '=' || CAST(n AS VARCHAR))
          AS quality_summary, '1.1' AS schema_version
 FROM t GROUP BY 1, 2"""))(
@@ -946,7 +951,8 @@ register("stream_ingest_result", f2(f"SELECT {CANON_COLS} FROM prices"))(
 
 register("stream_snapshot_summary", f2("""
 , k AS (SELECT timestamp AS window_start, timestamp + INTERVAL 12 HOUR AS window_end, COUNT(*) AS total_instances,
-               COUNT(DISTINCT provider) AS providers_count, COUNT(DISTINCT gpu_type) AS gpu_types_count,
+               CAST(COUNT(DISTINCT provider) AS INTEGER) AS providers_count,
+               CAST(COUNT(DISTINCT gpu_type) AS INTEGER) AS gpu_types_count,
                MIN(price_per_hour) AS min_price, MAX(price_per_hour) AS max_price,
                round(AVG(price_per_hour), 6) AS avg_price FROM raw GROUP BY timestamp)
 SELECT * FROM k WHERE window_end <= (SELECT MAX(timestamp) FROM raw) - INTERVAL 1 DAY"""))(
@@ -960,10 +966,10 @@ SELECT DISTINCT timestamp, provider, instance_type, region, is_spot FROM raw""")
 
 # ============================== chart inputs (T2, P12) =======================
 register("top_gpus_by_count", f1(f""", g AS ({_GS_SQL}), t AS (SELECT * FROM g ORDER BY count DESC, gpu_type LIMIT 25)
-SELECT *, row_number() OVER (ORDER BY count DESC, gpu_type) AS count_rank FROM t"""))(
+SELECT *, CAST(row_number() OVER (ORDER BY count DESC, gpu_type) AS INTEGER) AS count_rank FROM t"""))(
     lambda s, d: reports.top_gpus_by_count(reports.gpu_summary(L(s, d)), 25))
 register("top_gpus_by_price", f1(f""", g AS ({_GS_SQL}), t AS (SELECT * FROM g ORDER BY count DESC, gpu_type LIMIT 25)
-SELECT *, row_number() OVER (ORDER BY avg_price_per_gpu, gpu_type) AS price_rank FROM t"""))(
+SELECT *, CAST(row_number() OVER (ORDER BY avg_price_per_gpu, gpu_type) AS INTEGER) AS price_rank FROM t"""))(
     lambda s, d: reports.top_gpus_by_price(reports.gpu_summary(L(s, d)), 25))
 register("relative_scale", f1(f""", g AS ({_GS_SQL})
 SELECT *, round(avg_price_per_gpu / (SELECT MAX(avg_price_per_gpu) FROM g), 6) AS avg_price_per_gpu_rel FROM g"""))(

@@ -52,11 +52,19 @@ def test_entry_smoke(spark):
     assert {"day", "gpu_type", "avg_price_per_gpu_hour", "listings"} <= set(df.columns)
 
 
+SPARK_TO_SQL = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     srecs = [r.asDict(recursive=True) for r in sdf.collect()]
-    ddf = con.execute(entry.oracle_sql()[name]).df()
+    sql = entry.oracle_sql()[name]
+    ddf = con.execute(sql).df()
     assert sorted(sdf.columns) == sorted(ddf.columns)
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({sql})").fetchall()}
+    for f in sdf.schema.fields:
+        assert SPARK_TO_SQL.get(f.dataType.simpleString()) == sql_types[f.name], (f.name, f.dataType, sql_types[f.name])
     cols = sorted(sdf.columns)
     assert _rows(srecs, cols) == _rows(ddf.to_dict("records"), cols)
