@@ -28,14 +28,22 @@ def dedupe_latest(df: DataFrame, order_by, key=LISTING_KEY) -> DataFrame:
 
 def snapshot_summary(df: DataFrame) -> DataFrame:
     """K2: per snapshot totals, distinct providers/types, min/max/avg price and
-    JSON metadata with the sorted sets. Computed from the frame as given (D5)."""
-    return df.groupBy("timestamp").agg(
-        F.count(F.lit(1)).alias("total_instances"),
+    JSON metadata with the sorted sets. Computed from the frame as given (D5).
+
+    Listings are first reduced to (timestamp, provider, gpu_type) cells with
+    count/min/max/sum (map-side combined); the distinct counts and sets are
+    taken over those cells.
+    """
+    cells = df.groupBy("timestamp", "provider", "gpu_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("price_per_hour").alias("lo"), F.max("price_per_hour").alias("hi"),
+        F.sum("price_per_hour").alias("s"))
+    return cells.groupBy("timestamp").agg(
+        F.sum("n").alias("total_instances"),
         F.count_distinct("provider").alias("providers_count"),
         F.count_distinct("gpu_type").alias("gpu_types_count"),
-        F.coalesce(F.min("price_per_hour"), F.lit(0.0)).alias("min_price"),
-        F.coalesce(F.max("price_per_hour"), F.lit(0.0)).alias("max_price"),
-        F.round(F.coalesce(F.avg("price_per_hour"), F.lit(0.0)), 6).alias("avg_price"),
+        F.coalesce(F.min("lo"), F.lit(0.0)).alias("min_price"),
+        F.coalesce(F.max("hi"), F.lit(0.0)).alias("max_price"),
+        F.round(F.coalesce(F.sum("s") / F.sum("n"), F.lit(0.0)), 6).alias("avg_price"),
         F.to_json(F.struct(
             F.array_sort(F.collect_set("provider")).alias("providers"),
             F.array_sort(F.collect_set("gpu_type")).alias("gpu_types"))).alias("metadata"),

@@ -18,16 +18,24 @@ def _gpu(panel: Panel) -> DataFrame:
 
 
 def headline(panel: Panel) -> DataFrame:
-    """GPU listings, distinct days/providers/types, first/last day and total rows in one scan."""
+    """GPU listings, distinct days/providers/types, first/last day and total rows.
+
+    The rows are first reduced to (dt, provider, gpu_type) counts (map-side
+    combined); the distinct counts then run over those few aggregated rows
+    instead of expanding every listing once per distinct aggregate.
+    """
     base = market_base()
-    return panel.prices.agg(
-        F.count_if(base).alias("gpu_listings"),
-        F.count_distinct(F.when(base, F.col("dt"))).alias("days"),
-        F.count_distinct(F.when(base, F.col("provider"))).alias("providers"),
-        F.count_distinct(F.when(base, F.col("gpu_type"))).alias("gpu_types"),
-        F.min(F.when(base, F.col("dt"))).alias("start"),
-        F.max(F.when(base, F.col("dt"))).alias("end"),
-        F.count(F.lit(1)).alias("total_rows"))
+    cells = panel.prices.groupBy("dt", "provider", "gpu_type").agg(
+        F.count_if(base).alias("g"), F.count(F.lit(1)).alias("t"))
+    hit = F.col("g") > 0
+    return cells.agg(
+        F.sum("g").alias("gpu_listings"),
+        F.count_distinct(F.when(hit, F.col("dt"))).alias("days"),
+        F.count_distinct(F.when(hit, F.col("provider"))).alias("providers"),
+        F.count_distinct(F.when(hit, F.col("gpu_type"))).alias("gpu_types"),
+        F.min(F.when(hit, F.col("dt"))).alias("start"),
+        F.max(F.when(hit, F.col("dt"))).alias("end"),
+        F.sum("t").alias("total_rows"))
 
 
 def median_series(panel: Panel, families: list[str]) -> DataFrame:

@@ -18,10 +18,15 @@ TIE_BREAK = ["provider", "instance_type", "region", "is_spot"]
 
 
 def dataset_stats(panel: Panel) -> DataFrame:
-    """A1: first/last snapshot, distinct snapshots, rows, distinct providers and GPU types."""
-    return panel.prices.agg(
+    """A1: first/last snapshot, distinct snapshots, rows, distinct providers and GPU types.
+
+    Rows are reduced to (timestamp, provider, gpu_type) counts first, so the
+    three distinct counts run over aggregated cells, not over every listing.
+    """
+    cells = panel.prices.groupBy("timestamp", "provider", "gpu_type").agg(F.count(F.lit(1)).alias("n"))
+    return cells.agg(
         F.min("timestamp").alias("first_snapshot"), F.max("timestamp").alias("last_snapshot"),
-        F.count_distinct("timestamp").alias("snapshots"), F.count(F.lit(1)).alias("total_records"),
+        F.count_distinct("timestamp").alias("snapshots"), F.sum("n").alias("total_records"),
         F.count_distinct("provider").alias("providers"), F.count_distinct("gpu_type").alias("gpu_types"))
 
 
@@ -53,13 +58,15 @@ def provider_freshness(panel: Panel) -> DataFrame:
 def filter_options(panel: Panel) -> DataFrame:
     """Popularity-ordered distinct GPU types, providers and (non-null) region groups.
 
-    One scan: each ok row emits (kind, value) three times and the counts
-    are aggregated map-side. ``rank`` orders by count desc, then value.
+    One scan: ok rows are counted per (gpu_type, provider, region_group)
+    cell (map-side combined), then each cell emits its count under the three
+    kinds. ``rank`` orders by count desc, then value.
     """
+    cells = ok(panel.prices).groupBy("gpu_type", "provider", "region_group").agg(F.count(F.lit(1)).alias("n"))
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value"))
                       for k in ("gpu_type", "provider", "region_group")])
-    long = ok(panel.prices).select(F.inline(kinds)).filter(F.col("value").isNotNull())
-    counts = long.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("listings"))
+    long = cells.select("n", F.inline(kinds)).filter(F.col("value").isNotNull())
+    counts = long.groupBy("kind", "value").agg(F.sum("n").alias("listings"))
     w = Window.partitionBy("kind").orderBy(F.col("listings").desc(), F.col("value"))
     return counts.withColumn("rank", F.row_number().over(w))
 
