@@ -190,6 +190,37 @@ def upgrade_schema(raw: DataFrame, regions: DataFrame) -> DataFrame:
     return old.select(*sel).unionByName(new.select(*sel))
 
 
+def upgrade_lake(spark, root: str, regions: DataFrame, dry_run: bool = False, code_version: str = "") -> list:
+    """K6 sink: upgrade the old-vintage ``dt``s of the lake at ``root`` in place.
+
+    ``dry_run`` only lists them. Otherwise their rows are rewritten at v1.1
+    (staged first, then a dynamic overwrite of just those ``dt``s) and their
+    manifest rows are replaced by new ones marked ``backfilled``. A second
+    run finds nothing to do.
+    """
+    from ..sources.lake import path_exists
+    prices_path, manifest_path = f"{root}/prices", f"{root}/manifest"
+    raw = scan_prices(spark, prices_path, merge_schema=True)
+    old_dts = list_old_vintage(raw)
+    old = sorted(r.dt for r in old_dts.collect())           # the report: one date per old partition
+    if dry_run or not old:
+        return old
+    touched = raw.join(F.broadcast(old_dts), "dt", "left_semi")
+    upgraded = upgrade_schema(touched, regions)
+    stage = f"{root}/_upgrade_stage"
+    write_lake(upgraded, stage, mode="overwrite", dynamic=False)
+    write_lake(scan_prices(spark, stage), prices_path, mode="overwrite", dynamic=True)
+    fresh = snapshot_manifest(scan_prices(spark, stage), code_version=code_version, backfilled=True)
+    if path_exists(spark, manifest_path):
+        keep = spark.read.parquet(manifest_path).join(F.broadcast(old_dts), "dt", "left_anti")
+        merged = keep.unionByName(fresh)
+        merged.write.mode("overwrite").parquet(f"{root}/_manifest_stage")
+        spark.read.parquet(f"{root}/_manifest_stage").repartition(1).write.mode("overwrite").parquet(manifest_path)
+    else:
+        fresh.repartition(1).write.mode("overwrite").parquet(manifest_path)
+    return old
+
+
 def compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
     """Rewrite a dt range into fewer, larger files (dynamic overwrite of those dts only)."""
     write_lake(df, path, mode="overwrite")

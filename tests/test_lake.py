@@ -127,3 +127,21 @@ def test_publish_skips_already_published(spark, tmpdir_path):
     assert (n1, n2) == (12, 0) and n3 == 12
     assert _content(scan_prices(spark, f"{root}/prices")) == _content(more)
     assert spark.read.parquet(f"{root}/manifest").count() == 24
+
+
+def test_upgrade_lake_in_place_marks_backfilled(spark, tmpdir_path):
+    from pricepanel.sources.panel import old_vintage_rows
+    p = panel(spark, SF_SMALL)
+    root = f"{tmpdir_path}/lake"
+    old_vintage_rows(p.prices, "1995-04-01").write.partitionBy("dt").parquet(f"{root}/prices")
+    K.publish_snapshots(spark, p.prices.filter(F.col("dt") >= F.lit("1995-04-01").cast("date"))
+                        .filter(F.col("dt") < F.lit("1996-01-01").cast("date")), root)
+    listed = K.upgrade_lake(spark, root, p.regions, dry_run=True)
+    assert sorted(d.month for d in listed) == [1, 2, 3]
+    assert K.upgrade_lake(spark, root, p.regions) == listed
+    assert K.upgrade_lake(spark, root, p.regions) == []                      # idempotent
+    lake = scan_prices(spark, f"{root}/prices")
+    assert lake.filter(F.col("quality").isNull()).count() == 0
+    man = spark.read.parquet(f"{root}/manifest")
+    assert man.filter("backfilled").count() == 3 and man.count() == 12
+    assert man.agg(F.sum("row_count")).first()[0] == lake.count()
