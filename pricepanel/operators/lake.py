@@ -201,10 +201,12 @@ def upgrade_lake(spark, root: str, regions: DataFrame, dry_run: bool = False, co
     from ..sources.lake import path_exists
     prices_path, manifest_path = f"{root}/prices", f"{root}/manifest"
     raw = scan_prices(spark, prices_path, merge_schema=True)
-    old_dts = list_old_vintage(raw)
-    old = sorted(r.dt for r in old_dts.collect())           # the report: one date per old partition
+    # The report: one date per old partition (bounded by the calendar). It is
+    # fixed here, because the lake it was read from is rewritten below.
+    old = sorted(r.dt for r in list_old_vintage(raw).collect())
     if dry_run or not old:
         return old
+    old_dts = spark.createDataFrame([(d,) for d in old], "dt date")
     touched = raw.join(F.broadcast(old_dts), "dt", "left_semi")
     upgraded = upgrade_schema(touched, regions)
     stage = f"{root}/_upgrade_stage"
