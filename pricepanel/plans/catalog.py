@@ -887,19 +887,22 @@ WHERE timestamp NOT IN (SELECT DISTINCT timestamp FROM prices WHERE timestamp <
 
 
 def _incoming(p):
+    """A re-sent newest snapshot: every row, prices changed on even GPU counts, plus the
+    whole snapshot again under new instance names (new keys)."""
     latest = p.latest()
-    changed = latest.filter(F.col("gpu_count") % 2 == 0).withColumn("price_per_hour", F.col("price_per_hour") * 1.1)
-    new = latest.filter(F.col("gpu_count") == 1).withColumn("instance_type", F.concat("instance_type", F.lit("-new")))
+    changed = latest.withColumn("price_per_hour", F.when(F.col("gpu_count") % 2 == 0, F.col("price_per_hour") * 1.1)
+                                .otherwise(F.col("price_per_hour")))
+    new = latest.withColumn("instance_type", F.concat("instance_type", F.lit("-new")))
     return changed.unionByName(new)
 
 
 _LC = ", ".join(LISTING_COLUMNS)
 register("upsert_latest_wins", f1(f""",
-inc AS (SELECT {_LC.replace('price_per_hour', 'price_per_hour * 1.1 AS price_per_hour')}, dt FROM prices
-        WHERE {LATEST} AND gpu_count % 2 = 0
+inc AS (SELECT {_LC.replace('price_per_hour', 'CASE WHEN gpu_count % 2 = 0 THEN price_per_hour * 1.1 ELSE price_per_hour END AS price_per_hour')}, dt
+        FROM prices WHERE {LATEST}
         UNION ALL
         SELECT {_LC.replace('instance_type', "instance_type || '-new' AS instance_type")}, dt FROM prices
-        WHERE {LATEST} AND gpu_count = 1),
+        WHERE {LATEST}),
 old AS (SELECT {_LC}, dt FROM prices WHERE dt IN (SELECT DISTINCT dt FROM inc))
 SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.timestamp = old.timestamp
   AND inc.provider = old.provider AND inc.instance_type = old.instance_type AND inc.region = old.region
