@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (day, normalize_provider, ppgh, price_per_gpu_hour, quality_at_ingest,
                                  quality_backfill, quality_view, snapshot_filename)
 from ..operators import geo, market, reports, trends
+from ..session import configure
 from .oracle import f1, f2
 from .pipeline import panel
 
@@ -27,7 +28,10 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(configure(spark), sf_dir)
+        run.__name__ = run.__qualname__ = name
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

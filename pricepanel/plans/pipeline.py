@@ -19,7 +19,7 @@ from ..operators.canonical import broadcast_if_small, canonical_prices, enrich_r
 from ..operators.lake import dedupe_latest, snapshot_manifest
 from ..panel import Panel
 from ..schema import REGIONS_SCHEMA
-from ..session import ensure_checkpoint_dir
+from ..session import configure, ensure_checkpoint_dir
 from ..sources.lake import is_committed, scan_prices, write_lake
 from ..sources.panel import (F1_SEQUENCE, F2_SEQUENCE, events_panel_raw, listing_panel_raw,
                              region_dimension)
@@ -91,6 +91,7 @@ def open_panel(spark: SparkSession, root: str) -> Panel:
 
 def panel(spark: SparkSession, sf_dir: str, kind: str = "listings") -> Panel:
     """The ``Panel`` for ``sf_dir``, building its lake on first use."""
+    configure(spark)
     key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), kind)
     if key in _PANELS:
         return _PANELS[key]

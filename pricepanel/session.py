@@ -15,6 +15,13 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Streaming state (open windows, dedupe keys within the watermark) lives in
+    # RocksDB on executor disk instead of the JVM heap, and each micro-batch
+    # checkpoints only its changes; the choice is pinned in a query's
+    # checkpoint on first start.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -38,6 +45,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply ``REQUIRED_CONF`` to a session created elsewhere (a cluster's own
+    session). All of them are runtime settings; a value already equal is left alone."""
+    for k, v in REQUIRED_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder: ``spark.checkpoint.dir`` as the cluster set it.
 

@@ -57,3 +57,14 @@ def test_spread_join_is_on_four_keys(spark, q):
     txt = plan(q["spot_spread"](spark, SF_SMALL))
     joins = [line for line in txt.splitlines() if line.startswith("Left keys")]
     assert joins and all(line.count("#") == 4 for line in joins)
+
+
+def test_registered_queries_configure_a_foreign_session(spark):
+    """A cluster passes its own session: the settings the operators rely on
+    (UTC, AQE, skew join, RocksDB state store) are applied by the query itself."""
+    from pricepanel.session import REQUIRED_CONF
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    entry.queries()["collection_cadence"](spark, SF_SMALL)
+    for k, v in REQUIRED_CONF.items():
+        assert spark.conf.get(k) == v, k
