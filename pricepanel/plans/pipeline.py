@@ -53,7 +53,7 @@ def _code_hash() -> str:
 
 def lake_root(spark: SparkSession, sf_dir: str, kind: str) -> str:
     tables = _KINDS[kind][0]
-    key = hashlib.sha1((source_fingerprint(sf_dir, tables) + _code_hash()).encode()).hexdigest()[:16]
+    key = hashlib.sha1((source_fingerprint(spark, sf_dir, tables) + _code_hash()).encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{_NAMESPACE[0]}/{kind}-{key}"
 
 

@@ -30,14 +30,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
-def source_fingerprint(sf_dir: str, names: list[str]) -> str:
-    """Cheap identity of the inputs (path, size, mtime) used to key derived tables."""
+def source_fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+    """Cheap identity of the inputs used to key derived tables: per table its
+    qualified path, bytes, file count and modification time.
+
+    Read through the Hadoop file system of the path, so it works for a shared
+    store (``hdfs://``, ``s3a://``...) as well as local files, with two
+    metadata calls per table.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
     for n in names:
-        p = table_path(sf_dir, n)
-        try:
-            st = os.stat(p)
-            parts.append(f"{os.path.realpath(p)}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(f"{p}:?")
+        p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            parts.append(f"{p.toString()}:?")
+            continue
+        summary = fs.getContentSummary(p)
+        parts.append(f"{fs.makeQualified(p).toString()}:{summary.getLength()}:{summary.getFileCount()}:"
+                     f"{fs.getFileStatus(p).getModificationTime()}")
     return "|".join(parts)

@@ -145,3 +145,14 @@ def test_upgrade_lake_in_place_marks_backfilled(spark, tmpdir_path):
     man = spark.read.parquet(f"{root}/manifest")
     assert man.filter("backfilled").count() == 3 and man.count() == 12
     assert man.agg(F.sum("row_count")).first()[0] == lake.count()
+
+
+def test_source_fingerprint_follows_rewritten_input(spark, tmpdir_path):
+    """Derived tables are keyed by their inputs: rewriting an input table changes the key."""
+    from pricepanel.sources.tables import source_fingerprint
+    spark.range(10).write.parquet(f"{tmpdir_path}/t.parquet")
+    first = source_fingerprint(spark, tmpdir_path, ["t"])
+    assert first == source_fingerprint(spark, tmpdir_path, ["t"])
+    spark.range(1000).write.mode("overwrite").parquet(f"{tmpdir_path}/t.parquet")
+    assert source_fingerprint(spark, tmpdir_path, ["t"]) != first
+    assert source_fingerprint(spark, tmpdir_path, ["absent"]).endswith(":?")
