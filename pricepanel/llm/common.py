@@ -96,10 +96,14 @@ class Words:
         self.start = np.flatnonzero(edge == 1)
         self.end = np.flatnonzero(edge == -1)
         self.doc = np.searchsorted(self.doc_start, self.start, side="right") - 1
-        self.hash = self._hashes()
+        self.hash = self._hashes(self.start, self.end - self.start)
 
-    def _hashes(self) -> np.ndarray:
-        size = self.end - self.start
+    def prefixes(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words longer than ``k`` bytes, and the hashes of their first ``k``."""
+        long = np.flatnonzero(self.end - self.start > k)
+        return long, self._hashes(self.start[long], np.full(len(long), k, dtype=np.int64))
+
+    def _hashes(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         out = np.empty(len(size), dtype=np.uint64)
         if not len(size):
             return out
@@ -111,7 +115,7 @@ class Words:
             n = size[lo:hi]
             first = np.cumsum(n) - n
             place = np.arange(int(n.sum())) - np.repeat(first, n)
-            at = place + np.repeat(self.start[lo:hi], n)
+            at = place + np.repeat(start[lo:hi], n)
             value = _SYMBOL[self.buffer[at]] * _powers(int(n.max()))[place]
             out[lo:hi] = np.add.reduceat(value, first)
             lo = hi

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from .bpe_trie import op8_bpe_trie
+from .ftrl_toxicity import op6_ftrl_toxicity
+from .mcd_rules import op2_mcd_rules
 
 QUERIES = {
+    "op2_mcd_rules": op2_mcd_rules,
+    "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op8_bpe_trie": op8_bpe_trie,
 }
 ORACLES: dict[str, str] = {}
