@@ -12,7 +12,8 @@ inserted in byte order, which is the depth-first order of the trie.
 Null text is the empty text: no tokens, and the empty text decoded. Repeated
 rows, empty tables and very long texts need no special case; a row is encoded
 by itself, and columns of the input other than id and text are not read.
-The trie of a Python worker is bounded by ``MAX_NODES``; beyond it starts anew.
+A Python worker keeps its trie from task to task; it is bounded by ``MAX_NODES`` nodes and ``MAX_WORDS``
+words, and starts anew beyond them.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, documents
 
-MAX_NODES = 1_200_000
-MAX_WORDS = 400_000
-MAX_PAIRS = 500_000
+MAX_NODES = 2_000_000
+MAX_WORDS = 700_000
+MAX_PAIRS = 800_000
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the
@@ -197,13 +198,24 @@ class BpeTrie:
             yield b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids themselves (``ids``, array<int>) of each text."""
+_TRIES: dict[str, BpeTrie] = {}
+
+
+def trie_of(path: str) -> BpeTrie:
+    """This process's trie for a vocabulary file."""
+    if path not in _TRIES:
+        _TRIES[path] = BpeTrie(path)
+    return _TRIES[path]
+
+
+def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and on demand the ids themselves (``ids``, array<int>)."""
     path = vocabulary or vocabulary_path()
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches):
         import pyarrow as pa
-        trie = BpeTrie(path)
+        trie = trie_of(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, offsets, n, sha, back = [], [0], [], [], []
@@ -214,23 +226,25 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None) -> DataFram
                     size += len(texts[hi])
                     hi += 1
                 for code, plain in trie.encode_decode(texts[lo:hi]):
-                    ids.append(code)
+                    if with_ids:
+                        ids.append(code)
                     offsets.append(offsets[-1] + len(code) // 4)
                     n.append(len(code) // 4)
                     sha.append(hashlib.sha256(code).hexdigest())
                     back.append(hashlib.sha256(plain.decode("utf-8", "replace").encode()).hexdigest())
                 lo = hi
-            values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sha), pa.array(back),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+            out = {"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha, pa.string()),
+                   "decoded_sha256": pa.array(back, pa.string())}
+            if with_ids:
+                values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
+                out["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            yield pa.RecordBatch.from_pydict(out)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"))
+            .mapInArrow(run, schema))
 
 
 def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents`` with the public byte-level vocabulary."""
     arrow_batches(spark)
-    return encode_documents(documents(spark, sf_dir)).drop("ids")
+    return encode_documents(documents(spark, sf_dir), with_ids=False)
