@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from .bpe_trie import op8_bpe_trie
 from .ftrl_toxicity import op6_ftrl_toxicity
+from .ipf_mixing import op1_ipf_mixing
+from .kd_sharding import op3_kd_sharding
 from .mcd_rules import op2_mcd_rules
+from .winnowing import op9_winnowing
 
 QUERIES = {
+    "op1_ipf_mixing": op1_ipf_mixing,
     "op2_mcd_rules": op2_mcd_rules,
+    "op3_kd_sharding": op3_kd_sharding,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op8_bpe_trie": op8_bpe_trie,
+    "op9_winnowing": op9_winnowing,
 }
 ORACLES: dict[str, str] = {}
