@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from .bpe_trie import op8_bpe_trie
+from .chosen_path import op5_chosen_path
 from .ftrl_toxicity import op6_ftrl_toxicity
 from .ipf_mixing import op1_ipf_mixing
 from .kd_sharding import op3_kd_sharding
+from .langid_pieces import op4_langid_pieces
 from .mcd_rules import op2_mcd_rules
+from .tool_calls import op7_tool_calls
 from .winnowing import op9_winnowing
 
 QUERIES = {
     "op1_ipf_mixing": op1_ipf_mixing,
     "op2_mcd_rules": op2_mcd_rules,
     "op3_kd_sharding": op3_kd_sharding,
+    "op4_langid_pieces": op4_langid_pieces,
+    "op5_chosen_path": op5_chosen_path,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
+    "op7_tool_calls": op7_tool_calls,
     "op8_bpe_trie": op8_bpe_trie,
     "op9_winnowing": op9_winnowing,
 }
