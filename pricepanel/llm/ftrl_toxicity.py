@@ -170,6 +170,12 @@ def scored(docs: DataFrame, model, column: str = "score") -> DataFrame:
     return docs.withColumn(column, toxicity(F.col("text").cast("string")))
 
 
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score under 0.5, with just their own columns."""
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    return scored(packed, train(docs, labels), "_score").where("_score < 0.5").select("_row.*")
+
+
 def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every whole text; labels outside the held-out fold train the model."""
     arrow_batches(spark)

@@ -8,12 +8,14 @@ from .ftrl_toxicity import op6_ftrl_toxicity
 from .ipf_mixing import op1_ipf_mixing
 from .kd_sharding import op3_kd_sharding
 from .langid_pieces import op4_langid_pieces
+from .lm_trie import op10_lm_trie
 from .mcd_rules import op2_mcd_rules
 from .tool_calls import op7_tool_calls
 from .winnowing import op9_winnowing
 
 QUERIES = {
     "op1_ipf_mixing": op1_ipf_mixing,
+    "op10_lm_trie": op10_lm_trie,
     "op2_mcd_rules": op2_mcd_rules,
     "op3_kd_sharding": op3_kd_sharding,
     "op4_langid_pieces": op4_langid_pieces,
