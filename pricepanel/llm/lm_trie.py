@@ -315,13 +315,18 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(fold("doc_id", FOLDS) != HELD_OUT, F.lit(False)).alias("train"))
 
 
+def _range(parts: int) -> int:
+    """Width of the key ranges that cut the word hashes in ``parts`` (and a few last keys beyond them)."""
+    return ((1 << _KEY_BITS) - 1) // parts
+
+
 def _word_keys(texts: list[bytes]) -> tuple[Words, np.ndarray]:
     w = Words([t.translate(_LOWER) for t in texts])
     return w, (w.hash >> np.uint64(1)).astype(np.int64)
 
 
 def _count_words(docs: DataFrame, parts: int) -> DataFrame:
-    span = (1 << _KEY_BITS) // parts
+    span = _range(parts)
 
     def run(batches):
         counter = _Counter(span)
@@ -484,7 +489,7 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
     size = _texts(docs).where("train").agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     model = Model(f"{folder}/model")
     parts = max(1, math.ceil(size / 6 / PART_TOKENS))
-    span = (1 << _KEY_BITS) // parts
+    span = _range(parts)
     parts += 1  # the last keys, beyond parts * span
     blocks = kept_table(_count_words(docs, parts - 1), folder, "words")
     model.parts, model.spans = [parts], [span]

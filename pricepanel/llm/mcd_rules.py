@@ -44,6 +44,7 @@ DIM = len(FEATURES)
 MIN_GROUP = 100
 COVERAGE = 0.75
 STEPS = 6
+SALTS = 32  # parts of a group in joins with its estimate
 # Least standard deviation of a transformed statistic, and the chi-square values used (6 degrees of freedom):
 # the 0.75 quantile scales the scatter, the 0.975 quantile reweights; the limit for rejection is far out, since
 # the tails of text statistics are longer than normal ones.
@@ -198,8 +199,14 @@ def distance() -> Column:
     return total
 
 
+def _per_group(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows with what ``table`` has of their group; a hot group is joined in SALTS parts."""
+    parts = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(parts, ["g", "salt"]).drop("salt")
+
+
 def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
-    """g -> centre, whiten of the reweighted minimum-covariance-determinant estimate; ``rows``: (g, x).
+    """g -> centre, whiten of the reweighted minimum-covariance-determinant estimate; ``rows``: (g, salt, x).
 
     Every step reads all rows once and writes one row per group and start."""
     medians = [F.percentile_approx(F.col("x")[i], 0.5, 2000).alias(f"m{i}") for i in range(DIM)]
@@ -208,7 +215,7 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
     middle = kept_table(middle.where(F.col("size") >= MIN_GROUP), folder, "middle")
     spread = [F.percentile_approx(F.abs(F.col("x")[i] - F.col("centre")[i]), 0.5, 2000).alias(f"d{i}")
               for i in range(DIM)]
-    spread = rows.join(middle, "g").groupBy("g").agg(*spread).select(
+    spread = _per_group(rows, middle).groupBy("g").agg(*spread).select(
         "g", F.array(*[F.greatest(F.col(f"d{i}") * 1.4826, F.lit(FLOOR[i])) for i in range(DIM)]).alias("mad"))
     start = kept_table(middle.join(spread, "g"), folder, "start")
 
@@ -217,7 +224,7 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
     diagonal = F.array(*[F.col("mad")[i] * F.col("mad")[i] if i == j else F.lit(0.0) for i, j in tri])
     zero = F.array(*[F.lit(0.0)] * DIM)
     z = [F.tanh((F.col("x")[i] - F.col("centre")[i]) / F.col("mad")[i]) for i in range(DIM)]
-    scored = rows.join(start, "g").groupBy("g").agg(
+    scored = _per_group(rows, start).groupBy("g").agg(
         F.first("centre").alias("centre"), F.first("mad").alias("mad"),
         F.array(*[F.avg(z[i] * z[j]) for i, j in tri]).alias("t"))
     second = F.array(*[F.col("t")[k] * F.col("mad")[i] * F.col("mad")[j] for k, (i, j) in enumerate(tri)])
@@ -227,10 +234,10 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
     current = kept_table(current.select("g", "run", "e.*"), folder, "step0")
 
     for k in range(1, steps + 1):
-        near = rows.join(current, "g").withColumn("d2", distance())
+        near = _per_group(rows, current).withColumn("d2", distance())
         cut = kept_table(near.groupBy("g", "run").agg(F.percentile_approx("d2", COVERAGE, 2000).alias("cut")),
                          folder, f"cut{k}")
-        inside = rows.join(current.join(cut, ["g", "run"]), "g").where(distance() <= F.col("cut"))
+        inside = _per_group(rows, current.join(cut, ["g", "run"])).where(distance() <= F.col("cut"))
         sums = inside.groupBy("g", "run").agg(F.first("centre").alias("centre"), *_moments())
         current = kept_table(sums.select("g", "run", _solve("n", "s1", "s2", "centre", unit).alias("e"))
                              .select("g", "run", "e.*"), folder, f"step{k}")
@@ -238,10 +245,10 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
     best = kept_table(current.groupBy("g").agg(F.min_by(F.struct("centre", "whiten"), F.struct("logdet", "run"))
                                                .alias("e")).select("g", "e.*"), folder, "best")
     # consistent at the covered share, then the usual reweighting over the rows inside the 0.975 quantile
-    cut = rows.join(best, "g").groupBy("g").agg(F.percentile_approx(distance(), COVERAGE, 2000).alias("cut"))
+    cut = _per_group(rows, best).groupBy("g").agg(F.percentile_approx(distance(), COVERAGE, 2000).alias("cut"))
     scaled = best.join(cut, "g").select("g", "centre", "whiten", F.greatest(
         F.col("cut") / CHI2_COVERAGE, F.lit(1e-6)).alias("ratio"))
-    sums = (rows.join(scaled, "g").where(distance() <= CHI2_WEIGHT * F.col("ratio"))
+    sums = (_per_group(rows, scaled).where(distance() <= CHI2_WEIGHT * F.col("ratio"))
             .groupBy("g").agg(F.first("centre").alias("centre"), *_moments()))
     return kept_table(sums.select("g", _solve("n", "s1", "s2", "centre", F.lit(1.09)).alias("e"))
                       .select("g", "e.centre", "e.whiten"), folder, "final")
@@ -255,7 +262,9 @@ def fit(rows: DataFrame, folder: str) -> DataFrame:
     """(_l, _s) -> centre, whiten, from all rows (lang, source, _stats) that pass the base rules."""
     good = rows.where(~base_failed()).select("lang", "source", F.col("_stats.x").alias("x"))
     plan = kept_table(group_plan(good), folder, "plan")
-    table = kept_table(_named(good).join(plan, ["_l", "_s"]).select("g", "x"), folder, "vectors")
+    table = kept_table(_named(good).join(plan, ["_l", "_s"])
+                       .select("g", "x", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")),
+                       folder, "vectors")
     return plan.join(estimates(table, folder), "g").drop("g")
 
 

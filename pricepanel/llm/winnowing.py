@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import documents
 
 K = 4
-W = 8
+W = 4
 LONG_WORD = 40
 BLOCK_ROWS = 64
 BLOCKS_A_GROUP = 256
