@@ -12,7 +12,7 @@ The model is fitted on a bounded sample of the labelled training rows
 (``sample_docs``, drawn by the hash of the text among all of them); everything else reads
 all rows. Defined results: null and empty texts have no features and get the
 score of the intercept; rows without label or doc_id are never learned from;
-without any training label every score is 0; copies get equal scores; other
+without any labelled training text every score is 0; copies get equal scores; other
 columns of the input are not read.
 """
 
@@ -155,12 +155,16 @@ def train(docs: DataFrame, labels: DataFrame, params: Ftrl = Ftrl(), sample_docs
         for b in batches:
             texts += byte_texts(b.column(1))
             y += b.column(2).to_pylist()
+        if not y:
+            return
         names, weights, bias = fit(texts, np.asarray(y, dtype=float), params)
         yield pa.RecordBatch.from_arrays(
             [pa.array([names.tobytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary()),
              pa.array([bias], pa.float64())], names=["names", "weights", "bias"])
 
     row = rows.mapInArrow(learn, "names binary, weights binary, bias double").first()
+    if row is None:  # no labelled row has a text here
+        return None
     return np.frombuffer(row[0], np.uint64), np.frombuffer(row[1], np.float32), row[2]
 
 
