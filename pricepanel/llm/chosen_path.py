@@ -145,9 +145,8 @@ def leaves(texts: DataFrame, folder: str, small: int = SMALL) -> DataFrame:
     for d in range(1, DEPTH + 1):
         node = f"n{d}"
         size = open_.groupBy(node).agg(F.count("*").alias("n")).where("n > 1")
-        here = open_.join(size, node)
-        if d == 1:
-            here = kept_table(here, folder, "paths")
+        # written before it is summed again, so that a hot node may be split over tasks in this join
+        here = kept_table(open_.join(size, node), folder, f"paths{d}")
         ready = here.where(F.col("n") <= small)
         large = here.where(F.col("n") > small)
         if d < DEPTH:
@@ -349,7 +348,7 @@ def near_classes(docs: DataFrame, folder: str | None = None) -> DataFrame:
     at = found.groupBy("tid").agg(F.map_from_entries(F.collect_list(F.struct("run", short.alias("leaf")))).alias("m"))
     spelled = F.unhex(F.concat(*[F.lpad(F.hex(F.coalesce(F.element_at("m", F.lit(r)), F.lit(0))), 8, "0")
                                  for r in range(RUNS)]))
-    known = at.select("tid", spelled.alias("at")).join(texts.select("tid", "sketch"), "tid")
+    known = at.select("tid", spelled.alias("at")).join(texts.select("tid", "sketch"), "tid").hint("merge")
     compared = (_blocks(found.join(known, "tid")).select("leaf", "a", "b", "run", "tid", "own", "sketch", "at")
                 .repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "tid"))
     candidates = kept_table(likely(compared), folder, "candidates")
@@ -357,6 +356,8 @@ def near_classes(docs: DataFrame, folder: str | None = None) -> DataFrame:
     wanted = candidates.select("tid").distinct().join(texts.select("tid", "text_id"), "tid")
     wanted = kept_table(wanted, folder, "wanted")
     source = _identified(docs).withColumnRenamed("did", "text_id")
+    # ``wanted`` grows with the input, so it is never sent to all tasks, at any size
+    wanted = wanted.hint("merge")
     chosen = (source.join(wanted, (source.tid == wanted.tid) & source.text_id.eqNullSafe(wanted.text_id), "left_semi")
               .select("tid", "text"))
 
@@ -368,7 +369,7 @@ def near_classes(docs: DataFrame, folder: str | None = None) -> DataFrame:
                 "shingles": pa.array([s.tobytes() for s in shingle_sets(byte_texts(b.column(1)))], pa.binary())})
 
     shingles = kept_table(chosen.mapInArrow(sets, "tid long, shingles binary").dropDuplicates(["tid"]), folder, "sets")
-    exact = kept_table(verified(candidates.join(shingles, "tid").select(
+    exact = kept_table(verified(candidates.join(shingles.hint("merge"), "tid").select(
         "leaf", "a", "b", "run", "tid", "own", "at", "shingles")
         .repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "tid")), folder, "links")
     counted = exact.groupBy("tid").agg(F.sum("links").alias("links"))
