@@ -10,7 +10,9 @@ learned languages (equal priors).
 Piece probabilities are learned by expectation-maximisation: expected piece
 counts from the forward-backward algorithm over the distinct words of a bounded
 sample of the training rows (``SAMPLE_DOCS`` a language, drawn by a hash of the
-id among all rows), summed by Spark over all tasks. All rows are scored, whole.
+id among all rows), summed by Spark over all tasks. Pieces that are hardly used in
+any language in the end have probability 0; single characters keep a little. All
+rows are scored, whole; a Python worker remembers words from task to task.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
 without any training row all are; a word of more than ``MAX_WORD`` characters is
@@ -22,6 +24,7 @@ equal results; other columns are not read.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,8 @@ ROUNDS = 3
 MAX_WORD = 40
 SMOOTHING = 0.05
 UNKNOWN = 1e-7
-MAX_CACHED = 600_000
+MAX_CACHED = 900_000
+LEAST_USE = 0.5
 MARK = "▁"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -228,7 +232,20 @@ def train(docs: DataFrame, path: str | None = None, per_language: int = SAMPLE_D
         total[-1] = 0
         p = total / total.sum(axis=0)
         p[-1] = UNKNOWN
-    return languages, pieces, p
+    used = (total.max(axis=1) >= LEAST_USE + SMOOTHING) | np.array([len(x) == 1 for x in pieces] + [False])
+    p = total[used] / total[used].sum(axis=0)
+    return languages, [x for x, u in zip(pieces, used) if u], np.concatenate([p, np.full((1, len(languages)), UNKNOWN)])
+
+
+_SCORER: dict[str, Scorer] = {}
+
+
+def _scorer(name: str, shared) -> Scorer:
+    """This process's scorer of a model; one model at a time."""
+    if name not in _SCORER:
+        _SCORER.clear()
+        _SCORER[name] = Scorer(*shared.value)
+    return _SCORER[name]
 
 
 def predicted(docs: DataFrame, model) -> DataFrame:
@@ -237,10 +254,11 @@ def predicted(docs: DataFrame, model) -> DataFrame:
     if model is None:
         return docs.withColumn("_lid", F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    name = uuid.uuid4().hex
 
     @F.pandas_udf(schema)
     def lid(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(*shared.value)
+        scorer = _scorer(name, shared)
         for s in batches:
             texts = [t if isinstance(t, str) and _LETTER.search(t) else "" for t in s]
             value = np.empty((len(texts), len(scorer.languages)))
