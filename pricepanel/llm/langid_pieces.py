@@ -167,9 +167,12 @@ def _sample(docs: DataFrame, per_language: int, folds: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"),
                        F.col("lang").cast("string").alias("_lang")).where(
         (fold("_id", folds) != 0) & F.col("_lang").isNotNull() & F.col("_text").isNotNull())
-    sizes = rows.groupBy("_lang").agg(F.count("*").alias("_n"))
+    sizes = rows.groupBy("_lang").count().collect()  # one row a learned language
+    if not sizes:
+        return rows.select("_lang", "_text")
+    size = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in r]), F.col("_lang"))
     u = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
-    return rows.join(sizes, "_lang").where(u * F.col("_n") < per_language).select("_lang", "_text")
+    return rows.where(u * size < per_language).select("_lang", "_text")
 
 
 def train(docs: DataFrame, path: str | None = None, per_language: int = SAMPLE_DOCS, rounds: int = ROUNDS,
