@@ -1,14 +1,15 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Level k of the trie holds the k-grams of the training texts in the order of
-their context and last word: Elias-Fano keys ``context * stride + word``, where
-context is the place of the (k-1)-gram in the level above (context-relative, so
-a key needs about as many bits as a context has kinds of followers), Elias-Fano
-pointers to each context's first follower, and per k-gram a 16-bit code of its
-smoothed probability, per context one of its back-off weight. Words are numbered
-by the rank of a 63-bit hash; level 1 is the Elias-Fano sequence of these
-hashes. A query takes a context's range from the pointers and searches the
-successor of its key there. Levels are shards of ``.npy`` arrays in the shared
+their context and last word. A context is the place of the (k-1)-gram in the
+level above; Elias-Fano pointers give the range of its followers. Within the
+range the words are an Elias-Fano sequence relative to the context: word w of a
+context with m followers from place b on is stored as b + w * m / words, with
+enough binary places to tell all words apart, so that the whole level rises
+evenly, however many followers a context has, and the successor search of a
+query looks at a few numbers. Per k-gram there is a 16-bit code of its smoothed
+probability, per context one of its back-off weight. Words are numbered by the
+rank of a 63-bit hash; level 1 is the Elias-Fano sequence of these hashes. Levels are shards of ``.npy`` arrays in the shared
 folder, memory-mapped by the scoring tasks: what a task keeps in its own memory
 does not grow with the model.
 
@@ -89,6 +90,24 @@ class Model:
         return self.kinds + 1
 
 
+def _bits(stride: int) -> int:
+    return stride.bit_length()
+
+
+def _relative(words: np.ndarray, begin: np.ndarray, many: np.ndarray, stride: int) -> np.ndarray:
+    """begin + words * many / stride, with ``_bits`` binary places: rises with the word, never the same for two."""
+    whole, rest = np.divmod(words * many, stride)
+    return ((begin + whole) << _bits(stride)) + (rest << _bits(stride)) // stride
+
+
+def _word_of(value: np.ndarray, begin: np.ndarray, many: np.ndarray, stride: int) -> np.ndarray:
+    """The word that ``_relative`` gave that value."""
+    t = _bits(stride)
+    whole, part = (value >> t) - begin, value & ((1 << t) - 1)
+    rest = (part * stride + (1 << t) - 1) >> t
+    return (whole * stride + rest) // many
+
+
 class Trie:
     """The levels of a model, opened on demand."""
 
@@ -145,12 +164,17 @@ class Trie:
             out[at] = got
         return out
 
-    def key(self, level: int, places: np.ndarray) -> np.ndarray:
+    def last_word(self, level: int, places: np.ndarray) -> np.ndarray:
+        """The last words of the k-grams at the places (for building: opens all pointers of a shard)."""
         out = np.zeros(len(places), dtype=np.int64)
         shard = np.searchsorted(self.first[level - 1], places, side="right") - 1
         for s, at in self._by_shard(shard):
-            out[at] = self._ef(level, s, "keys").get(places[at] - self.first[level - 1][s]).astype(np.int64) \
-                + s * self.model.spans[level - 1]
+            pointers = self._ef(level, s, "pointers")
+            begin = pointers.get(np.arange(pointers.size)).astype(np.int64)
+            own = places[at] - self.first[level - 1][s]
+            context = np.searchsorted(begin, own, side="right") - 1
+            out[at] = _word_of(self._ef(level, s, "keys").get(own).astype(np.int64), begin[context],
+                               begin[context + 1] - begin[context], self.model.stride)
         return out
 
     def backoff(self, level: int, contexts: np.ndarray) -> np.ndarray:
@@ -172,10 +196,10 @@ class Trie:
             at = live[at]
             c = contexts[at] - s * wide
             pointers = self._ef(level, s, "pointers")
-            got = self._ef(level, s, "keys").find(c * self.model.stride + words[at])
-            hit = np.flatnonzero(got >= 0)
-            inside = got[hit] >= pointers.get(c[hit]).astype(np.int64)
-            place[at[hit[inside]]] = got[hit[inside]] + self.first[level - 1][s]
+            begin = pointers.get(c).astype(np.int64)
+            many = pointers.get(c + 1).astype(np.int64) - begin
+            got = self._ef(level, s, "keys").find(_relative(words[at], begin, many, self.model.stride))
+            place[at] = np.where(got >= 0, got + self.first[level - 1][s], -1)
         return place, weight
 
     def unigram(self, words: np.ndarray) -> np.ndarray:
@@ -464,12 +488,13 @@ def _build_grams(model: Model, level: int, span: int):
             lower = trie.unigram(word)
         else:
             total = trie.value(2, kinds, "counts").astype(np.int64)
-            before = trie.key(2, kinds) % model.stride
+            before = trie.last_word(2, kinds)
             lower = trie.bigram(np.repeat(before, size), word)[0]
         share = (counts - DISCOUNT) / np.repeat(total, size)
         left = np.maximum(1.0 - np.add.reduceat(share, first), 1e-9)
         place = f"{model.folder}/level{level}/{part}"
-        EliasFano.of(keys - part * span, span).save(place, "keys")
+        relative = _relative(word, np.repeat(first, size), np.repeat(size, size), model.stride)
+        EliasFano.of(relative, len(keys) << _bits(model.stride)).save(place, "keys")
         begin = np.zeros(wide + 1, dtype=np.int64)
         begin[kinds - part * wide + 1] = size
         EliasFano.of(np.cumsum(begin), len(keys) + 1).save(place, "pointers")
