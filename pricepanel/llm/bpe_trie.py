@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, documents
 
-MAX_NODES = 2_000_000
-MAX_WORDS = 700_000
-MAX_PAIRS = 800_000
+MAX_NODES = 1_400_000
+MAX_WORDS = 450_000
+MAX_PAIRS = 500_000
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the

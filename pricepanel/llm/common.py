@@ -22,9 +22,20 @@ IS_SEPARATOR[list(SEPARATORS)] = True
 # Bytes that begin a code point in UTF-8.
 IS_LEAD = (np.arange(256) & 0xC0) != 0x80
 
-ARROW_ROWS = 2000
-_CHUNK = 1 << 21
-_SEGMENT = 1 << 22
+ARROW_ROWS = 1000
+_CHUNK = 1 << 20
+_SEGMENT = 1 << 20
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on after a task that needed much."""
+    import ctypes
+    import gc
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

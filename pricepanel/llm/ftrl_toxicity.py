@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BASE, Words, arrow_batches, byte_texts, chunks, documents, fold, mixed
+from .common import _BASE, Words, arrow_batches, byte_texts, chunks, documents, fold, mixed, release
 
 SAMPLE_DOCS = 8_000
 FOLDS = 5
@@ -158,6 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, params: Ftrl = Ftrl(), sample_docs
         if not y:
             return
         names, weights, bias = fit(texts, np.asarray(y, dtype=float), params)
+        texts.clear()
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([names.tobytes()], pa.binary()), pa.array([weights.tobytes()], pa.binary()),
              pa.array([bias], pa.float64())], names=["names", "weights", "bias"])

@@ -40,7 +40,7 @@ ROUNDS = 3
 MAX_WORD = 40
 SMOOTHING = 0.05
 UNKNOWN = 1e-7
-MAX_CACHED = 900_000
+MAX_CACHED = 700_000
 LEAST_USE = 0.5
 MARK = "▁"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -268,7 +268,7 @@ def predicted(docs: DataFrame, model) -> DataFrame:
             lo = 0
             while lo < len(texts):  # a bounded amount of text at a time
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 1 << 21):
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 1 << 20):
                     size += len(texts[hi])
                     hi += 1
                 value[lo:hi] = scorer(_lowered(texts[lo:hi]))

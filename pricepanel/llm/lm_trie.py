@@ -41,7 +41,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_batches, byte_texts, chunks, documents, fold, kept_table, scratch
+from .common import Words, arrow_batches, byte_texts, chunks, documents, fold, kept_table, release, scratch
 from .elias_fano import EliasFano, load_array, save_array
 
 FOLDS, HELD_OUT = 7, 2
@@ -52,7 +52,7 @@ PART_TOKENS = 8_000_000
 _KEY_BITS = 63
 _END = 0x3C6EF372FE94F82A  # key of the end token: a constant of its own
 _STEP = 4096  # codes a unit of log10
-_HELD = 3_000_000
+_HELD = 2_000_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -320,6 +320,8 @@ def _shards(blocks: DataFrame, build, parts: int) -> list[int]:
                     keys, counts = [k], [c]
         if current is not None:
             finish()
+        keys, counts = [], []
+        release()
         yield pa.RecordBatch.from_pydict({"part": pa.array(done, pa.int64()), "size": pa.array(sizes, pa.int64())})
 
     got = (blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "part long, size long")
@@ -362,6 +364,7 @@ def _count_words(docs: DataFrame, parts: int) -> DataFrame:
                 counter.add(_word_keys(texts[lo:hi])[1])
             yield from counter.blocks()
         yield from counter.blocks(last=True)
+        release()
 
     return _texts(docs).where("train").mapInArrow(run, _BLOCKS)
 
@@ -431,7 +434,7 @@ def _sequences(column, model: Model) -> Iterator[tuple[int, int, np.ndarray, np.
     """Ranges of texts with their word numbers in a row, the start mark before each text; and each one's text."""
     kind = np.int64 if model.unknown >> 32 else np.uint32
     blobs = column.to_pylist()
-    for lo, hi in chunks(blobs, 1 << 21):
+    for lo, hi in chunks(blobs):
         size = np.fromiter((len(x) // np.dtype(kind).itemsize for x in blobs[lo:hi]), dtype=np.int64, count=hi - lo)
         flat = np.frombuffer(b"".join(blobs[lo:hi]), dtype=kind).astype(np.int64)
         doc = np.repeat(np.arange(hi - lo), size + 1)
@@ -465,6 +468,7 @@ def _count_grams(tokens: DataFrame, model: Model, level: int, span: int) -> Data
                     counter.add(pair[at] * model.stride + ids[at + 1])
             yield from counter.blocks()
         yield from counter.blocks(last=True)
+        release()
 
     return tokens.where("train").select("ids").mapInArrow(run, _BLOCKS)
 

@@ -265,7 +265,8 @@ def fit(rows: DataFrame, folder: str) -> DataFrame:
     table = kept_table(_named(good).join(plan, ["_l", "_s"])
                        .select("g", "x", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")),
                        folder, "vectors")
-    return plan.join(estimates(table, folder), "g").drop("g")
+    # a written table, so that the planner knows its size when rows with whole texts are joined with it
+    return kept_table(plan.join(estimates(table, folder), "g").drop("g"), folder, "fit")
 
 
 def verdicts(rows: DataFrame, estimate: DataFrame) -> DataFrame:
