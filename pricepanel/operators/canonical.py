@@ -1,4 +1,4 @@
-"""Canonical listing view (S2, J1, K11) and the size-checked broadcast helper."""
+"""Canonical listing view."""
 
 from __future__ import annotations
 
@@ -8,24 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import quality_view
 from ..schema import BASE_COLUMNS, REGION_COLUMNS
 
-# A dimension is broadcast only when it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Does ``df`` have at most ``max_rows`` rows? (reads at most ``max_rows + 1``)"""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned as is and the join is planned as
-    a shuffle join.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def region_lookup_for_join(regions: DataFrame, region_col: str = "region") -> DataFrame:
     """Rename the lookup file's columns to the names they take on a listing."""
     return regions.select(
@@ -56,7 +38,7 @@ def migrate_defaults(df: DataFrame) -> DataFrame:
     return out
 
 
-def canonical_prices(raw: DataFrame, regions: DataFrame, broadcast: bool = False) -> DataFrame:
+def canonical_prices(raw: DataFrame, regions: DataFrame) -> DataFrame:
     """One canonical view over any vintage of the listing lake.
 
     Base columns are kept if present; ``quality`` is synthesized where the
@@ -64,14 +46,12 @@ def canonical_prices(raw: DataFrame, regions: DataFrame, broadcast: bool = False
 
     The lookup is made visibly unique on its key (duplicates are refused when
     the file is loaded, D15), so for queries that use no region column
-    Catalyst removes the join altogether. ``broadcast`` is the caller's
-    size-checked decision (see ``fits_broadcast``).
+    Catalyst removes the join altogether. The join strategy is the planner's:
+    broadcast while the lookup's statistics allow it, shuffled beyond.
     """
     cols = set(raw.columns)
     lk = region_lookup_for_join(regions).dropDuplicates(["provider", "region"]).select(
         "provider", "region", *[F.col(c).alias(f"_r_{c}") for c in REGION_COLUMNS])
-    if broadcast:
-        lk = F.broadcast(lk)
     base = [c for c in BASE_COLUMNS + ["dt"] if c in cols]
     q = quality_view()
     quality = F.coalesce(F.col("quality"), q) if "quality" in cols else q

@@ -3,8 +3,6 @@ generation gaps, lag/rolling features, collection gaps, quantiles and segments."
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,29 +30,20 @@ def spread_ratio(panel: Panel) -> DataFrame:
 
 
 def provider_corr(panel: Panel, gpu_type: str, min_days: int = 3) -> DataFrame:
-    """M3: Pearson correlation of daily mean $/GPU-h between every two providers of one type.
+    """M3: Pearson correlation of each provider's daily mean $/GPU-h with the mean of all others' offers.
 
-    The daily means are pivoted to one column per provider (one row per
-    day), and each pair is a ``corr`` aggregate over that table: no row is
-    ever paired with another, and days where either provider is missing
-    are skipped by the aggregate. The provider list is the pivot's own
-    (bounded by spark.sql.pivotMaxValues).
+    One row per provider: the others' mean of a day is the day's total less
+    the provider's own, so no provider is paired with another and the plan
+    does not grow with their number.
     """
-    daily = ok(panel.prices.filter(F.col("gpu_type") == gpu_type)).groupBy(day().alias("day"), "provider").agg(
-        F.avg(ppgh()).alias("p"))
-    wide = daily.groupBy("day").pivot("provider").agg(F.first("p"))
-    provs = sorted(c for c in wide.columns if c != "day")
-    if len(provs) < 2:
-        return daily.sparkSession.createDataFrame(
-            [], "provider_a string, provider_b string, corr double, n_days long")
-    aggs = []
-    for a, b in combinations(provs, 2):
-        both = F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull()
-        aggs.append(F.struct(F.lit(a).alias("provider_a"), F.lit(b).alias("provider_b"),
-                             F.corr(f"`{a}`", f"`{b}`").alias("corr"), F.count_if(both).alias("n_days")))
-    pairs = wide.agg(F.array(*aggs).alias("pairs")).select(F.inline("pairs"))
-    return pairs.filter(F.col("n_days") >= min_days).select(
-        "provider_a", "provider_b", r6(F.when(~F.isnan("corr"), F.col("corr"))).alias("corr"), "n_days")
+    own = ok(panel.prices.filter(F.col("gpu_type") == gpu_type)).groupBy(day().alias("day"), "provider").agg(
+        F.sum(ppgh()).alias("s"), F.count(ppgh()).alias("n"))
+    whole = own.groupBy("day").agg(F.sum("s").alias("day_s"), F.sum("n").alias("day_n"))
+    daily = own.join(whole, "day").filter(F.col("day_n") > F.col("n")).select(
+        "provider", (F.col("s") / F.col("n")).alias("p"),
+        ((F.col("day_s") - F.col("s")) / (F.col("day_n") - F.col("n"))).alias("rest"))
+    return daily.groupBy("provider").agg(F.corr("p", "rest").alias("c"), F.count(F.lit(1)).alias("n_days")).filter(
+        F.col("n_days") >= min_days).select("provider", r6(F.when(~F.isnan("c"), F.col("c"))).alias("corr"), "n_days")
 
 
 def generation_gap(panel: Panel, newer: str, older: str) -> DataFrame:
@@ -84,11 +73,11 @@ def feature_frame(panel: Panel, window: int = 3) -> DataFrame:
         F.dayofweek("timestamp").alias("day_of_week"), F.hour("timestamp").alias("hour"))
 
 
-def _calendar(panel: Panel, step_hours: int) -> DataFrame:
-    """Expected snapshot slots from the first to the last snapshot."""
-    bounds = panel.snapshots.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    step = F.make_dt_interval(F.lit(0), F.lit(step_hours))
-    return bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("timestamp"))
+def _slot(step_hours: int):
+    """The slot a snapshot belongs to: its stamp floored to a grid of ``step_hours`` from midnight UTC.
+
+    Collectors stamp the moment they run, some minutes into the slot."""
+    return F.window("timestamp", f"{step_hours} hours").getField("start")
 
 
 def gap_mask(panel: Panel, step_hours: int = 12, min_outage_days: int = 2) -> DataFrame:
@@ -98,8 +87,11 @@ def gap_mask(panel: Panel, step_hours: int = 12, min_outage_days: int = 2) -> Da
     The windows run over the day calendar, whose length is set by the time
     span, not by the number of listings.
     """
-    seen = panel.snapshots.select("timestamp").distinct().withColumn("observed", F.lit(True))
-    slots = _calendar(panel, step_hours).join(seen, "timestamp", "left").select(
+    seen = panel.snapshots.select(_slot(step_hours).alias("timestamp")).distinct().withColumn("observed", F.lit(True))
+    step = F.make_dt_interval(F.lit(0), F.lit(step_hours))
+    calendar = seen.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).select(
+        F.explode(F.sequence("lo", "hi", step)).alias("timestamp"))
+    slots = calendar.join(seen, "timestamp", "left").select(
         "timestamp", day().alias("day"), F.coalesce("observed", F.lit(False)).alias("observed"))
     days = slots.groupBy("day").agg(F.max(F.col("observed").cast("int")).alias("day_seen"))
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,14 +100,16 @@ def gap_mask(panel: Panel, step_hours: int = 12, min_outage_days: int = 2) -> Da
     days = days.select("day", "day_seen", F.max(seen_day).over(before).alias("prev"),
                        F.min(seen_day).over(after).alias("next"))
     run = F.datediff("next", "prev") - 1
-    days = days.select("day", ((F.col("day_seen") == 0) & (run >= min_outage_days)).alias("outage"))
+    days = days.select("day", F.coalesce((F.col("day_seen") == 0) & (run >= min_outage_days), F.lit(False))
+                       .alias("outage"))
     return slots.join(days, "day").select("timestamp", "day", "observed", "outage")
 
 
 def within_day_fill(panel: Panel, step_hours: int = 12) -> DataFrame:
     """M6: per (gpu_type, provider) series of avg $/GPU-h on every slot of a collected day;
     a missing slot takes the last earlier value of the same day, never across days."""
-    obs = ok(panel.prices).groupBy("gpu_type", "provider", "timestamp").agg(r6(F.avg(ppgh())).alias("price"))
+    obs = ok(panel.prices).withColumn("slot", _slot(step_hours)).groupBy("gpu_type", "provider", "slot").agg(
+        r6(F.avg(ppgh())).alias("price")).withColumnRenamed("slot", "timestamp")
     mask = gap_mask(panel, step_hours)
     day_slots = mask.groupBy("day").agg(F.max(F.col("observed").cast("int")).alias("seen"),
                                         F.collect_list("timestamp").alias("slots")).filter("seen = 1")

@@ -37,7 +37,8 @@ def supply_clusters(geo: DataFrame) -> DataFrame:
 
 def top_hubs(geo: DataFrame, n: int = 9) -> DataFrame:
     """Per coordinate the biggest metro (ties by name) and total listings, top ``n``."""
-    per_metro = _rounded(geo).groupBy("lat2", "lon2", "metro").agg(F.count(F.lit(1)).alias("n"))
+    # counted at the raw coordinate, as collected; only the choice and the total are per rounded coordinate
+    per_metro = _rounded(geo.groupBy("lat", "lon", "metro").agg(F.count(F.lit(1)).alias("n")))
     hubs = per_metro.groupBy(F.col("lat2").alias("lat"), F.col("lon2").alias("lon")).agg(
         F.min_by("metro", F.struct(-F.col("n"), F.col("metro"))).alias("metro"), F.sum("n").alias("listings"))
     top = hubs.orderBy(F.col("listings").desc(), "lat", "lon").limit(n)
@@ -65,12 +66,12 @@ def gpu_metro_matrix(geo: DataFrame, families: list[str], n_metros: int = 12, n_
     The grid is built by exploding the (bounded) top-metro list onto the
     top-family rows, then left-joined to the counts.
     """
-    metros = geo.groupBy("metro").agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("c").desc(), "metro").limit(n_metros)
-    types = (geo.filter(F.col("gpu_type").isin(*families)).groupBy("gpu_type").agg(F.count(F.lit(1)).alias("c"))
+    counts = geo.groupBy("gpu_type", "metro").agg(F.count(F.lit(1)).alias("n"))
+    metros = counts.groupBy("metro").agg(F.sum("n").alias("c")).orderBy(F.col("c").desc(), "metro").limit(n_metros)
+    types = (counts.filter(F.col("gpu_type").isin(*families)).groupBy("gpu_type").agg(F.sum("n").alias("c"))
              .orderBy(F.col("c").desc(), "gpu_type").limit(n_types))
     metro_list = metros.agg(F.collect_list("metro")).scalar()
     grid = types.select("gpu_type", F.explode(metro_list).alias("metro"))
-    counts = geo.groupBy("gpu_type", "metro").agg(F.count(F.lit(1)).alias("n"))
     return grid.join(counts, ["gpu_type", "metro"], "left").select(
         "gpu_type", "metro", F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import quality_backfill
-from ..schema import LISTING_COLUMNS, LISTING_KEY, REGION_COLUMNS, SCHEMA_VERSION
+from ..schema import LAKE_SCHEMA, LISTING_COLUMNS, LISTING_KEY, REGION_COLUMNS, SCHEMA_VERSION
 from ..sources.lake import is_committed, scan_prices, with_dt, write_lake
 from .canonical import enrich_regions
 
@@ -77,33 +79,47 @@ def publish_new_snapshots(new: DataFrame, published_snapshots: DataFrame) -> Dat
     return new.join(published_snapshots.select("timestamp").distinct(), "timestamp", "left_anti")
 
 
+def _fresh(folder: str) -> str:
+    """A staging folder no other call has used."""
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def _replace_dates(spark, content: DataFrame, path: str, staging: str) -> DataFrame:
+    """Stage ``content`` in a folder of its own, then overwrite just its dates at ``path``; the staged rows."""
+    stage = _fresh(staging)
+    write_lake(content, stage, mode="overwrite", dynamic=False)
+    staged = scan_prices(spark, stage)
+    write_lake(staged, path, mode="overwrite", dynamic=True)
+    return staged
+
+
 def publish_snapshots(spark, new: DataFrame, root: str, code_version: str = "") -> int:
     """K3 sink: append the snapshots of ``new`` that the lake at ``root`` does not have yet.
 
-    Already published snapshots (by timestamp, from the manifest) are skipped,
-    so publishing the same input twice changes nothing. The listings go to
-    ``root/prices`` (dynamic overwrite of the new dts only, after merging with
-    rows already in those dts), then their manifest rows are appended.
-    Returns the number of snapshots published.
+    A snapshot is published once its manifest row is written, which comes
+    last; publishing the same input twice changes nothing. After a failure
+    between the two writes the next call replaces the rows of the snapshots
+    it publishes (by timestamp), so none is stored twice. Returns the number
+    of snapshots published.
     """
     from ..sources.lake import path_exists
     manifest_path, prices_path = f"{root}/manifest", f"{root}/prices"
     fresh = with_dt(new)
     if path_exists(spark, manifest_path):
         fresh = publish_new_snapshots(fresh, spark.read.parquet(manifest_path))
-    fresh = fresh.select(*LISTING_COLUMNS, "dt").cache()
-    n = fresh.select("timestamp").distinct().count()
+    stage = _fresh(f"{root}/_publish_stage")
+    write_lake(fresh, stage, mode="overwrite", dynamic=False)
+    fresh = scan_prices(spark, stage)
+    stamps = fresh.select("timestamp", "dt").distinct()
+    n = stamps.count()
     if n:
+        content = fresh.select(*LISTING_COLUMNS, "dt")
         if path_exists(spark, prices_path):
-            old = scan_prices(spark, prices_path).join(F.broadcast(fresh.select("dt").distinct()), "dt", "left_semi")
-            staged = old.select(*LISTING_COLUMNS, "dt").unionByName(fresh)
-        else:
-            staged = fresh
-        stage_path = f"{root}/_publish_stage"
-        write_lake(staged, stage_path, mode="overwrite", dynamic=False)
-        write_lake(scan_prices(spark, stage_path), prices_path, mode="overwrite", dynamic=True)
+            old = (scan_prices(spark, prices_path).join(stamps.select("dt").distinct(), "dt", "left_semi")
+                   .join(stamps.select("timestamp"), "timestamp", "left_anti"))
+            content = old.select(*LISTING_COLUMNS, "dt").unionByName(content)
+        _replace_dates(spark, content, prices_path, f"{root}/_publish_stage")
         snapshot_manifest(fresh, code_version=code_version).write.mode("append").parquet(manifest_path)
-    fresh.unpersist()
     return n
 
 
@@ -132,35 +148,33 @@ def recent_n_snapshots(df: DataFrame, n: int, snapshots: DataFrame | None = None
     return df.join(F.broadcast(recent), "timestamp", "left_semi")
 
 
-def upsert_latest_wins(existing: DataFrame, incoming: DataFrame, seq_col: str = "_seq") -> DataFrame:
+def upsert_latest_wins(existing: DataFrame, incoming: DataFrame, sequence: str | None = None) -> DataFrame:
     """K1: merge ``incoming`` into the ``existing`` rows of the same ``dt``s.
 
-    Returns the new content of the touched partitions only: for every key
-    the incoming row wins over the stored one. Untouched ``dt``s are not
-    read (semi join on the touched dt list).
+    Returns the new content of the touched partitions only: for every key the
+    incoming row wins over the stored one, and of several incoming rows the
+    last: the greatest ``sequence`` column, or, without one, the last in the
+    order of the frame. Untouched ``dt``s are not read.
     """
-    inc = with_dt(incoming).select(*LISTING_COLUMNS, "dt").withColumn(seq_col, F.lit(1))
+    order = F.col(sequence) if sequence else F.monotonically_increasing_id()
+    inc = with_dt(incoming).select(*LISTING_COLUMNS, "dt", F.struct(F.lit(1).alias("new"), order.alias("at")).alias("_seq"))
+    kind = inc.schema["_seq"].dataType["at"].dataType
     touched = inc.select("dt").distinct()
-    old = (with_dt(existing).join(F.broadcast(touched), "dt", "left_semi")
-           .select(*LISTING_COLUMNS, "dt").withColumn(seq_col, F.lit(0)))
-    return dedupe_latest(old.unionByName(inc), [seq_col]).drop(seq_col)
+    old = with_dt(existing).join(touched, "dt", "left_semi").select(
+        *LISTING_COLUMNS, "dt", F.struct(F.lit(0).alias("new"), F.lit(None).cast(kind).alias("at")).alias("_seq"))
+    return dedupe_latest(old.unionByName(inc), ["_seq"]).drop("_seq")
 
 
-def upsert_into_lake(spark, lake_path: str, incoming: DataFrame, staging_path: str) -> int:
-    """K1 sink: stage the merged partitions, then overwrite just those ``dt``s.
+def upsert_into_lake(spark, lake_path: str, incoming: DataFrame, staging_path: str, sequence: str | None = None) -> int:
+    """K1 sink: stage the merged partitions in a fresh folder, then overwrite just those ``dt``s.
 
-    Staging first means a failed job leaves the lake untouched. Returns the
-    number of rows received (statements, not net rows: D6).
+    Staging first means a failed job leaves the lake untouched, and a staging
+    path may be used again. Returns the number of rows received (statements,
+    not net rows: D6).
     """
-    inc = incoming.cache()
-    received = inc.count()
-    if is_committed(spark, lake_path):
-        merged = upsert_latest_wins(scan_prices(spark, lake_path), inc)
-    else:
-        merged = with_dt(inc)
-    write_lake(merged, staging_path, mode="overwrite")
-    write_lake(scan_prices(spark, staging_path), lake_path, mode="overwrite")
-    inc.unpersist()
+    existing = scan_prices(spark, lake_path) if is_committed(spark, lake_path) else spark.createDataFrame([], LAKE_SCHEMA)
+    received = incoming.count()
+    _replace_dates(spark, upsert_latest_wins(existing, incoming, sequence), lake_path, staging_path)
     return received
 
 
@@ -176,18 +190,19 @@ def upgrade_schema(raw: DataFrame, regions: DataFrame) -> DataFrame:
     """K6: rewrite old-vintage rows to v1.1: synthesize quality (backfill
     rule), re-enrich regions, cast to the declared schema. Rows already at
     v1.1 are returned unchanged, so a second run is a no-op."""
-    cols = set(raw.columns)
-    old_flag = F.col("quality").isNull() if "quality" in cols else F.lit(True)
     r = raw
     for c in ("quality", *REGION_COLUMNS):
-        if c not in cols:
+        if c not in raw.columns:
             r = r.withColumn(c, F.lit(None))
-    old = r.filter(old_flag).withColumn("quality", quality_backfill())
-    old = enrich_regions(old.drop(*REGION_COLUMNS), regions)
-    new = r.filter(~old_flag)
-    from ..schema import LAKE_SCHEMA
-    sel = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LAKE_SCHEMA.fields]
-    return old.select(*sel).unionByName(new.select(*sel))
+    # one pass: every row looks its region up, rows without a tag take what they found
+    kept = [F.col(c).alias(f"_had_{c}") for c in REGION_COLUMNS]
+    plain = [c for c in r.columns if c not in REGION_COLUMNS]
+    r = enrich_regions(r.select(*plain, *kept), regions)
+    old = F.col("quality").isNull()
+    for c in REGION_COLUMNS:
+        r = r.withColumn(c, F.when(old, F.col(c)).otherwise(F.col(f"_had_{c}")))
+    r = r.withColumn("quality", F.when(old, quality_backfill()).otherwise(F.col("quality")))
+    return r.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LAKE_SCHEMA.fields])
 
 
 def upgrade_lake(spark, root: str, regions: DataFrame, dry_run: bool = False, code_version: str = "") -> list:
@@ -199,30 +214,57 @@ def upgrade_lake(spark, root: str, regions: DataFrame, dry_run: bool = False, co
     run finds nothing to do.
     """
     from ..sources.lake import path_exists
-    prices_path, manifest_path = f"{root}/prices", f"{root}/manifest"
+    prices_path, manifest_path, pending_path = f"{root}/prices", f"{root}/manifest", f"{root}/_upgrade_pending"
     raw = scan_prices(spark, prices_path, merge_schema=True)
     # The report: one date per old partition (bounded by the calendar). It is
     # fixed here, because the lake it was read from is rewritten below.
-    old = sorted(r.dt for r in list_old_vintage(raw).collect())
+    old = {r.dt for r in list_old_vintage(raw).collect()}
+    if path_exists(spark, pending_path):  # an upgrade that failed before its manifest was written
+        old |= {r.dt for r in spark.read.parquet(pending_path).collect()}
+    old = sorted(old)
     if dry_run or not old:
         return old
-    old_dts = spark.createDataFrame([(d,) for d in old], "dt date")
-    touched = raw.join(F.broadcast(old_dts), "dt", "left_semi")
-    upgraded = upgrade_schema(touched, regions)
-    stage = f"{root}/_upgrade_stage"
-    write_lake(upgraded, stage, mode="overwrite", dynamic=False)
-    write_lake(scan_prices(spark, stage), prices_path, mode="overwrite", dynamic=True)
-    fresh = snapshot_manifest(scan_prices(spark, stage), code_version=code_version, backfilled=True)
+    dates = "dt date"
+    spark.createDataFrame([(d,) for d in old], dates).write.mode("overwrite").parquet(pending_path)
+    old_dts = spark.createDataFrame([(d,) for d in old], dates)
+    staged = _replace_dates(spark, upgrade_schema(raw.join(old_dts, "dt", "left_semi"), regions), prices_path,
+                            f"{root}/_upgrade_stage")
+    fresh = snapshot_manifest(staged, code_version=code_version, backfilled=True)
     if path_exists(spark, manifest_path):
-        keep = spark.read.parquet(manifest_path).join(F.broadcast(old_dts), "dt", "left_anti")
-        merged = keep.unionByName(fresh)
-        merged.write.mode("overwrite").parquet(f"{root}/_manifest_stage")
-        spark.read.parquet(f"{root}/_manifest_stage").repartition(1).write.mode("overwrite").parquet(manifest_path)
-    else:
-        fresh.repartition(1).write.mode("overwrite").parquet(manifest_path)
+        fresh = spark.read.parquet(manifest_path).join(old_dts, "dt", "left_anti").unionByName(fresh)
+    stage = _fresh(f"{root}/_manifest_stage")
+    fresh.write.parquet(stage)
+    spark.read.parquet(stage).write.mode("overwrite").parquet(manifest_path)
+    spark.createDataFrame([], dates).write.mode("overwrite").parquet(pending_path)
     return old
 
 
-def compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
-    """Rewrite a dt range into fewer, larger files (dynamic overwrite of those dts only)."""
-    write_lake(df, path, mode="overwrite")
+def compact(spark, path: str, staging: str, first: str, last: str) -> None:
+    """Rewrite the dates from ``first`` to ``last`` into fewer, larger files (staged, then just those dates)."""
+    _replace_dates(spark, scan_prices(spark, path).filter(F.col("dt").between(first, last)), path, staging)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """K8: the filtered listings as CSV with a header, cheapest $/GPU-h first (a folder of ordered part files)."""
+    df.orderBy("price_per_gpu_hour").write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_snapshot_summary(spark, listings: DataFrame, path: str) -> int:
+    """K2 sink: store one summary row per snapshot of ``listings``, replacing those of the same snapshots.
+
+    The table is partitioned by date; only the touched dates are rewritten. Returns the snapshots written.
+    """
+    from ..sources.lake import path_exists
+    new = snapshot_summary(listings).withColumn("dt", F.to_date("timestamp"))
+    stage = _fresh(f"{path.rstrip('/')}_stage")
+    new.write.parquet(f"{stage}/new")
+    new = spark.read.parquet(f"{stage}/new")
+    merged = new
+    if path_exists(spark, path):
+        stored = spark.read.schema(new.schema).parquet(path)
+        merged = (stored.join(new.select("dt").distinct(), "dt", "left_semi")
+                  .join(new.select("timestamp"), "timestamp", "left_anti").select(*new.columns).unionByName(new))
+    merged.write.parquet(f"{stage}/merged")
+    (spark.read.parquet(f"{stage}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt").parquet(path))
+    return new.count()

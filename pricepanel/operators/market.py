@@ -120,3 +120,30 @@ def provider_share(panel: Panel, top: int = 7) -> DataFrame:
     ranked = counts.withColumn("rk", rk)
     label = F.when(F.col("rk") <= top, F.col("provider")).otherwise(F.lit("other"))
     return ranked.groupBy(label.alias("label")).agg(F.sum("n").alias("listings"), F.min("rk").alias("rank"))
+
+
+def provider_top(panel: Panel, top: int = 8) -> DataFrame:
+    """The ``top`` providers by GPU listings (ties by name)."""
+    return (_gpu(panel).groupBy("provider").agg(F.count(F.lit(1)).alias("listings"))
+            .orderBy(F.col("listings").desc(), "provider").limit(top))
+
+
+def _long(metric: str, df: DataFrame, key: str, value: str) -> DataFrame:
+    return df.select(F.lit(metric).alias("metric"), F.col(key).alias("key"), F.col(value).cast("double").alias("value"))
+
+
+def findings(panel: Panel, ladder: list[str], savings: list[str], geo_rows: DataFrame) -> DataFrame:
+    """K9: the deck's figures as one long frame (metric, key, value); ``df.write.json`` is the sink."""
+    from .geo import concentration
+
+    def melted(metric: str, df: DataFrame, columns: list[str]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in columns])
+        return df.select(F.lit(metric).alias("metric"), F.inline(pairs))
+
+    out = melted("headline", headline(panel), ["gpu_listings", "days", "providers", "gpu_types", "total_rows"])
+    for part in (_long("ladder", price_ladder(panel, ladder), "gpu_type", "p"),
+                 _long("spot_savings", spot_savings(panel, savings), "g", "disc"),
+                 _long("provider_share", provider_top(panel), "provider", "listings"),
+                 melted("concentration", concentration(geo_rows), ["top3_share_pct", "n_metros"])):
+        out = out.unionByName(part)
+    return out

@@ -3,20 +3,19 @@
 Spark's ``percentile``/``median`` keep, per group, a map of every distinct
 value to its count and merge it in one task: a group holding a third of the
 rows (or a global median) lands on one executor. Here the same exact answer
-(linear interpolation between the ranks around ``p * (n - 1)``) is found in
-bounded pieces:
+(linear interpolation between the ranks around ``p * (n - 1)``) is found by
+narrowing, one lazy plan for every size:
 
 1. value counts per (group, value), combined map-side;
-2. per group ``buckets - 1`` approximate cut points over the distinct values
-   (a mergeable sketch), so each bucket holds about 1/buckets of them;
-3. counts per (group, bucket) and their running total (a window over at most
-   ``buckets`` rows per group) locate the bucket holding each wanted rank;
-4. only those buckets are ranked exactly (a window per (group, bucket)).
-
-Like a broadcast, the one-task shortcut is taken only behind a size check:
-when no group has more than ``max_in_task`` distinct values, Spark's own
-``percentile`` over the value counts (state: one entry per distinct value)
-is used; beyond that bound the bucketed plan runs.
+2. ``ROUNDS`` times: approximate cut points over the distinct values of each
+   range still wanted (a mergeable sketch), counts per bucket, and their
+   running total (a window over at most ``buckets`` rows) say which bucket
+   holds each wanted rank; only those buckets go on;
+3. the rest is ranked exactly: a window over about 1/buckets**ROUNDS of a
+   group's distinct values.
+
+A group is joined with its cut points in ``SALTS`` parts, so a hot group is
+spread over that many tasks.
 """
 
 from __future__ import annotations
@@ -24,21 +23,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_IN_TASK = 1_000_000
+ROUNDS = 2
+SALTS = 32
 
 
-def largest_group(vc: DataFrame, group_cols: list[str]) -> int:
-    """Distinct values in the biggest group (one small aggregation, one number to the driver)."""
-    if not group_cols:
-        return vc.count()
-    sizes = vc.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_d"))
-    return sizes.agg(F.max("_d")).first()[0] or 0
+def _narrow(values: DataFrame, ranks: DataFrame, keys: list[str], level: int,
+            buckets: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cut every range of ``keys`` into buckets; keep the buckets of the wanted ranks, ranks counted inside them."""
+    bucket = f"_b{level}"
+    cuts = values.groupBy(*keys).agg(
+        F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("_cuts"))
+    cuts = cuts.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = values.join(cuts, [*keys, "_s"]).select(
+        *keys, F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias(bucket), "_v", "_c", "_s")
+    upto = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*keys, bucket).agg(F.sum("_c").alias("_t")).withColumn(
+        "_before", F.coalesce(F.sum("_t").over(upto), F.lit(0)))
+    ranks = ranks.join(totals, keys).where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_t")))
+    ranks = ranks.withColumn("_r", F.col("_r") - F.col("_before")).drop("_before", "_t")
+    keys = [*keys, bucket]
+    return placed.join(ranks.select(*keys).distinct(), keys, "left_semi"), ranks, keys
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value: Column | str, probs: list[float],
-                    buckets: int = 128, names: list[str] | None = None, count_name: str | None = None,
-                    max_in_task: int | None = MAX_IN_TASK) -> DataFrame:
+                    buckets: int = 128, names: list[str] | None = None, count_name: str | None = None) -> DataFrame:
     """One row per group with one column per probability (``names`` or ``q<p>``),
     plus the number of non-NULL values as ``count_name`` when given.
 
@@ -46,71 +54,36 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: Column | str, p
     """
     names = names or [f"q{str(p).replace('.', '_')}" for p in probs]
     v = F.col(value) if isinstance(value, str) else value
-    whole = not group_cols
-    if whole:
-        # One global group: a constant key, and the one-row cut table is broadcast
-        # (so the constant key never drives a shuffle of the values).
-        df = df.withColumn("_k", F.lit(0))
-    g = ["_k"] if whole else list(group_cols)
-    vc = (df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-
-    if max_in_task and largest_group(vc, [] if whole else g) <= max_in_task:
-        q = vc.groupBy(*g).agg(F.percentile("_v", [float(p) for p in probs], F.col("_c")).alias("_q"),
-                               F.sum("_c").alias("_n"))
-        cols = [F.col("_q")[i].alias(n) for i, n in enumerate(names)]
-        if count_name:
-            cols.append(F.col("_n").alias(count_name))
-        out = q.select(*g, *cols)
-        return out.drop("_k") if whole else out
-
-    cuts = [i / buckets for i in range(1, buckets)]
-    per_group = vc.groupBy(*g).agg(F.sum("_c").alias("_n"),
-                                   F.percentile_approx("_v", cuts, 10 * buckets).alias("_cuts"))
-    cut_table = per_group.select(*g, "_cuts")
-    vcb = vc.join(F.broadcast(cut_table) if whole else cut_table, g)
-    vcb = vcb.select(*g, "_v", "_c", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_b"))
-
-    bstat = vcb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))
-    w = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bstat = bstat.withColumn("_before", F.coalesce(F.sum("_bc").over(w), F.lit(0)))
-
-    # wanted ranks (0-based) per group and probability
-    ranks = per_group.select(*g, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_qi"), (F.lit(p) * (F.col("_n") - 1)).alias("_pos")) for i, p in enumerate(probs)
-    ])).alias("_t")).select(*g, "_n", "_t._qi", "_t._pos")
-    ranks = ranks.select(*g, "_qi", "_pos", F.explode(F.array(
-        F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_r")).distinct()
-
-    located = ranks.join(bstat, g).filter((F.col("_before") <= F.col("_r"))
-                                          & (F.col("_r") < F.col("_before") + F.col("_bc")))
-    wanted = located.select(*g, "_b").distinct()
-    inside = vcb.join(wanted, g + ["_b"], "left_semi")
-    wv = Window.partitionBy(*g, "_b").orderBy("_v")
-    inside = inside.withColumn("_upto", F.sum("_c").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = inside.withColumn("_from", F.col("_upto") - F.col("_c"))
-    hit = located.join(inside, g + ["_b"]).filter(
-        (F.col("_r") >= F.col("_before") + F.col("_from")) & (F.col("_r") < F.col("_before") + F.col("_upto")))
-    at = hit.select(*g, "_qi", "_pos", "_r", "_v")
-
-    # one aggregation per group: the values at the two ranks around each position
-    per_g = at.join(per_group.select(*g, "_n"), g)
-    aggs = [F.first("_n").alias("_n")]
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("_n") - 1)
-        aggs.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.floor(pos)), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when((F.col("_qi") == i) & (F.col("_r") == F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}"))
-    out = per_g.groupBy(*g).agg(*aggs)
+    if not group_cols:  # one group: a key that is always 0, but not a literal, which would make the joins cross joins
+        df = df.withColumn("_k", F.pmod(F.xxhash64(v), F.lit(1)))
+    g = list(group_cols) or ["_k"]
+    counts = (df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
+              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = counts.withColumn("_s", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+
+    size = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    # the two 0-based ranks around each position
+    ranks = size.select(*g, "_n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_qi"), F.lit(up).alias("_up"),
+                 (F.ceil if up else F.floor)(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("_r"))
+        for i, p in enumerate(probs) for up in (0, 1)])).alias("_t")).select(*g, "_n", "_t.*")
+    values, keys = counts, g
+    for level in range(ROUNDS):
+        values, ranks, keys = _narrow(values, ranks, keys, level, buckets)
+    inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.select(*keys, "_v", "_c").withColumn("_upto", F.sum("_c").over(inside))
+    at = ranks.join(ranked, keys).where((F.col("_r") >= F.col("_upto") - F.col("_c")) & (F.col("_r") < F.col("_upto")))
+
+    found = at.groupBy(*g).agg(F.first("_n").alias("_n"), *[F.max(F.when((F.col("_qi") == i) & (F.col("_up") == up), F.col("_v"))).alias(f"_v{i}_{up}")
+                                 for i in range(len(probs)) for up in (0, 1)])
     cols = []
     for i, (p, n) in enumerate(zip(probs, names)):
         pos = F.lit(p) * (F.col("_n") - 1)
-        vlo, vhi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cols.append(F.when(vlo == vhi, vlo).otherwise(
-            (F.ceil(pos) - pos) * vlo + (pos - F.floor(pos)) * vhi).alias(n))
+        low, high = F.col(f"_v{i}_0"), F.col(f"_v{i}_1")
+        cols.append(F.when(low == high, low).otherwise((F.ceil(pos) - pos) * low + (pos - F.floor(pos)) * high).alias(n))
     if count_name:
         cols.append(F.col("_n").alias(count_name))
-    out = out.select(*g, *cols)
-    return out.drop("_k") if whole else out
+    return found.select(*group_cols, *cols)
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value: Column | str, name: str = "median",

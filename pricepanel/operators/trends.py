@@ -103,8 +103,10 @@ def price_history(panel: Panel, instance_type: str, provider: str, region: str,
 
 def price_history_stats(history: DataFrame, value: str = "price_per_hour") -> DataFrame:
     """Points, current (newest), min, max, avg, change and change % vs the first point."""
-    first = F.min_by(value, "timestamp")
-    last = F.max_by(value, "timestamp")
+    # several offers may share a stamp (spot and on-demand): of these the lowest is the first, the highest the last
+    at = F.struct("timestamp", value)
+    first = F.min_by(value, at)
+    last = F.max_by(value, at)
     a = history.agg(F.count(F.lit(1)).alias("points"), last.alias("current"), first.alias("first"),
                     F.min(value).alias("min_price"), F.max(value).alias("max_price"),
                     r6(F.avg(value)).alias("avg_price"))

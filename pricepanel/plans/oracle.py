@@ -12,7 +12,7 @@ raw AS (
   SELECT CAST(date_trunc('month', l.l_shipdate) AS TIMESTAMP) AS timestamp,
     CASE CAST(l.l_suppkey AS INT) % 8 WHEN 0 THEN 'aws' WHEN 1 THEN 'gcp' WHEN 2 THEN 'azure' WHEN 3 THEN 'oci'
       WHEN 4 THEN 'lambdalabs' WHEN 5 THEN 'runpod' WHEN 6 THEN 'vastai' ELSE 'nebius' END AS provider,
-    lower(concat(p.p_type, '-', CAST(p.p_size % 4 AS VARCHAR))) AS instance_type,
+    lower(concat(p.p_type, '-', CAST(l.l_partkey // 500 AS VARCHAR))) AS instance_type,
     CASE WHEN p.p_size = 50 THEN 'Unknown' ELSE p.p_name END AS gpu_type,
     CAST(l.l_linenumber AS INT) - 1 AS gpu_count,
     CASE WHEN p.p_size % 12 = 0 THEN NULL ELSE (p.p_size % 12) * 8 END AS gpu_memory_gb,
@@ -36,10 +36,12 @@ listings AS (
 regions AS (
   SELECT pv.provider, n.n_name AS raw_region,
     lower(concat(r.r_name, '-', n.n_name, CASE WHEN n.n_nationkey % 5 = 1 THEN '-zone' ELSE '' END)) AS region_canonical,
-    n.n_name AS country, CAST(n.n_nationkey AS DOUBLE) * 1.5 + 20 AS lat,
-    CAST(n.n_nationkey AS DOUBLE) * -2.5 - 70 AS lon, r.r_name AS region_group
+    n.n_name AS country,
+    CAST(n.n_nationkey - n.n_nationkey % 2 AS DOUBLE) * 1.5e0 + 20 + (n.n_nationkey % 2 * 0.001e0 + pv.idx * 0.0004e0) AS lat,
+    CAST(n.n_nationkey - n.n_nationkey % 2 AS DOUBLE) * -2.5e0 - 70 + (n.n_nationkey % 2 * 0.001e0 + pv.idx * 0.0004e0) AS lon,
+    r.r_name AS region_group
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  CROSS JOIN (VALUES ('aws'),('gcp'),('azure'),('oci'),('lambdalabs'),('runpod'),('vastai'),('nebius')) pv(provider)
+  CROSS JOIN (VALUES (0,'aws'),(1,'gcp'),(2,'azure'),(3,'oci'),(4,'lambdalabs'),(5,'runpod'),(6,'vastai'),(7,'nebius')) pv(idx, provider)
   WHERE n.n_nationkey % 7 <> 3
 ),
 prices AS (
@@ -51,11 +53,11 @@ prices AS (
   FROM listings l LEFT JOIN regions r ON l.provider = r.provider AND l.region = r.raw_region
 )"""
 
-F2_CTES = """
+_F2 = """
 raw AS (
-  SELECT date_trunc('day', ts) + CASE WHEN extract(hour FROM ts) >= 12 THEN INTERVAL '12 hours' ELSE INTERVAL '0 hours' END AS timestamp,
+  SELECT {stamp} AS timestamp,
     CASE event_type WHEN 'view' THEN 'aws' WHEN 'click' THEN 'gcp' WHEN 'purchase' THEN 'vastai' WHEN 'signup' THEN 'runpod' ELSE 'azure' END AS provider,
-    concat('sku-', CAST(user_id % 6 AS VARCHAR)) AS instance_type,
+    concat('sku-', CAST(user_id // 15 AS VARCHAR)) AS instance_type,
     CASE user_id % 5 WHEN 0 THEN 'H100' WHEN 1 THEN 'A100' WHEN 2 THEN 'L40S' WHEN 3 THEN 'T4' ELSE 'A10' END AS gpu_type,
     CAST(1 + event_id % 4 AS INT) AS gpu_count,
     24 AS gpu_memory_gb,
@@ -65,11 +67,7 @@ raw AS (
     value / 97e0 AS price_per_hour, event_id % 3 = 0 AS is_spot,
     CAST(NULL AS BOOLEAN) AS available, CAST(NULL AS VARCHAR) AS availability_zone,
     ts AS seq_a, event_id AS seq_b
-  FROM events
-  WHERE extract(day FROM ts) NOT BETWEEN 12 AND 20
-    AND NOT (event_type = 'purchase' AND ts < TIMESTAMP '2024-01-04 00:00:00')
-    AND NOT (event_type = 'error'    AND ts >= TIMESTAMP '2024-01-21 00:00:00')
-    AND NOT (event_type = 'signup'   AND ts >= TIMESTAMP '2024-01-29 12:00:00')
+  FROM events{only}
 ),
 prices AS (
   SELECT timestamp, provider, instance_type, gpu_type, gpu_count, gpu_memory_gb, vcpus, ram_gb, region,
@@ -85,6 +83,20 @@ prices AS (
 )"""
 
 
+_SLOT = ("date_trunc('day', ts) + CASE WHEN extract(hour FROM ts) >= 12 THEN INTERVAL '12 hours' "
+         "ELSE INTERVAL '0 hours' END")
+F2_CTES = _F2.format(stamp=_SLOT, only="")
+# With gaps: no snapshot on days 12 to 20, providers that come late or vanish, stamps minutes into the slot.
+F2_GAP_CTES = _F2.format(
+    stamp=f"{_SLOT} + to_minutes((extract(day FROM ts) * 7 + CASE WHEN extract(hour FROM ts) >= 12 THEN 12 ELSE 0 END) % 23)"
+          " + INTERVAL 17 SECOND",
+    only="""
+  WHERE extract(day FROM ts) NOT BETWEEN 12 AND 20
+    AND NOT (event_type = 'purchase' AND ts < TIMESTAMP '2024-01-04 00:00:00')
+    AND NOT (event_type = 'error'    AND ts >= TIMESTAMP '2024-01-21 00:00:00')
+    AND NOT (event_type = 'signup'   AND ts >= TIMESTAMP '2024-01-29 12:00:00')""")
+
+
 def f1(query: str) -> str:
     """Oracle over the monthly listing panel (tables: raw, listings, regions, prices)."""
     return "WITH " + F1_CTES.strip() + "\n" + query.strip()
@@ -93,3 +105,8 @@ def f1(query: str) -> str:
 def f2(query: str) -> str:
     """Oracle over the half-day events panel (tables: raw, prices)."""
     return "WITH " + F2_CTES.strip() + "\n" + query.strip()
+
+
+def f2_gaps(query: str) -> str:
+    """Oracle over the events panel with gaps (tables: raw, prices)."""
+    return "WITH " + F2_GAP_CTES.strip() + "\n" + query.strip()

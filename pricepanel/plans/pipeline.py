@@ -15,22 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import quality_view
-from ..operators.canonical import broadcast_if_small, canonical_prices, enrich_regions, fits_broadcast
+from ..operators.canonical import canonical_prices, enrich_regions
 from ..operators.lake import dedupe_latest, snapshot_manifest
 from ..panel import Panel
 from ..schema import REGIONS_SCHEMA
 from ..session import configure, ensure_checkpoint_dir
 from ..sources.lake import is_committed, scan_prices, write_lake
-from ..sources.panel import (F1_SEQUENCE, F2_SEQUENCE, events_panel_raw, listing_panel_raw,
+from ..sources.panel import (F1_SEQUENCE, F2_SEQUENCE, events_gap_raw, events_panel_raw, listing_panel_raw,
                              region_dimension)
 from ..sources.tables import source_fingerprint
 
 _PKG = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _CODE_FILES = ["sources/panel.py", "operators/canonical.py", "operators/lake.py", "sources/lake.py",
-               "functions/columns.py", "plans/pipeline.py", "schema.py", "streaming/snapshots.py"]
+               "functions/columns.py", "plans/pipeline.py", "plans/catalog.py", "operators/regions.py", "schema.py",
+               "streaming/snapshots.py"]
 _KINDS = {
     "listings": (["lineitem", "part", "supplier", "nation", "region"], listing_panel_raw, F1_SEQUENCE),
     "events": (["events"], events_panel_raw, F2_SEQUENCE),
+    "event_gaps": (["events"], events_gap_raw, F2_SEQUENCE),
 }
 _PANELS: dict = {}
 # Folder (under the checkpoint dir) holding the derived tables; bench uses a fresh one.
@@ -69,24 +71,22 @@ def build_lake(spark: SparkSession, sf_dir: str, kind: str = "listings", root: s
     _, raw_fn, seq = _KINDS[kind]
     regions = regions_for(spark, sf_dir, kind)
     regions.write.mode("overwrite").parquet(f"{root}/regions")
-    regions = broadcast_if_small(spark.read.schema(REGIONS_SCHEMA).parquet(f"{root}/regions"))
+    regions = spark.read.schema(REGIONS_SCHEMA).parquet(f"{root}/regions")
 
     listings = dedupe_latest(raw_fn(spark, sf_dir), seq).drop("seq_a", "seq_b", "seq_c")
     tagged = enrich_regions(listings.withColumn("quality", quality_view()), regions)
     write_lake(tagged, f"{root}/prices", mode="overwrite", dynamic=False)
 
     manifest = snapshot_manifest(scan_prices(spark, f"{root}/prices"), emitted_at=None, code_version=_code_hash())
-    manifest.repartition(1).write.mode("overwrite").parquet(f"{root}/manifest")
+    manifest.write.mode("overwrite").parquet(f"{root}/manifest")
     return root
 
 
 def open_panel(spark: SparkSession, root: str) -> Panel:
     regions = spark.read.schema(REGIONS_SCHEMA).parquet(f"{root}/regions")
-    small = fits_broadcast(regions)
     raw = scan_prices(spark, f"{root}/prices")
     snapshots = spark.read.parquet(f"{root}/manifest")
-    return Panel(canonical_prices(raw, regions, broadcast=small), F.broadcast(regions) if small else regions,
-                 snapshots)
+    return Panel(canonical_prices(raw, regions), regions, snapshots)
 
 
 def panel(spark: SparkSession, sf_dir: str, kind: str = "listings") -> Panel:

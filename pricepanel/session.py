@@ -58,13 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder: ``spark.checkpoint.dir`` as the cluster set it.
 
     ``spark.checkpoint.dir`` is a static setting, so it is only read here.
-    When it is unset (tests, a laptop) the context's checkpoint folder is
-    used, and only if that is unset too do we point it at ``fallback``.
+    When it is unset the context's checkpoint folder is used, then ``fallback``,
+    and on a ``local`` master (tests, a laptop) a temporary folder; a cluster
+    must name a folder that all its machines share.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not fallback and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "pricepanel-checkpoints"))
     return sc.getCheckpointDir()

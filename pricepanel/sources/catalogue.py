@@ -43,8 +43,8 @@ def flatten_host_offers(payloads: DataFrame, col: str = "payload") -> DataFrame:
     rounded to 5 places; cpu and ram rounded down to a multiple of 2; the
     country lower-cased with spaces removed.
     """
-    good = classify_payloads(payloads, col).filter(F.col("status") == "ok")
-    hosts = good.select(F.explode("hostnodes").alias("host", "d"))
+    # a payload that is malformed or lacks the key has no host nodes, so it yields no row; it is parsed once, by the generator
+    hosts = payloads.select(F.explode(F.from_json(F.col(col), PAYLOAD_SCHEMA)["hostnodes"]).alias("host", "d"))
     gpus = hosts.select("host", "d", F.explode("d.specs.gpu").alias("gpu_name", "g")).filter(F.col("g.amount") != 0)
     s = F.col("d.specs")
     base = s.cpu.price * s.cpu.amount + s.ram.price * s.ram.amount + s.storage.price * s.storage.amount

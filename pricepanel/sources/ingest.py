@@ -38,21 +38,30 @@ def _truthy_num(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
 
+def _whole(column: str) -> Column:
+    return F.expr(f"try_cast({column} AS INT)")
+
+
 def _parsed(raw: DataFrame) -> DataFrame:
     """Shared parse step: every derived field, plus the item's fate (status, reason)."""
-    gpu_name = F.when(_truthy_str(F.col("gpu_name")), F.col("gpu_name")).otherwise(F.col("name"))
-    inst = F.when(_truthy_str(F.col("instance_name")), F.col("instance_name")).otherwise(F.col("name"))
-    count = F.when(_truthy_num(F.col("gpu_count")), F.col("gpu_count").cast("int")).otherwise(F.lit(0))
+    # a name that is absent has a default; the key columns of a listing are never NULL
+    gpu_name = F.when(_truthy_str(F.col("gpu_name")), F.col("gpu_name")).otherwise(F.coalesce("name", F.lit("Unknown")))
+    inst = F.when(_truthy_str(F.col("instance_name")), F.col("instance_name")).otherwise(
+        F.coalesce("name", F.lit("unknown")))
+    count = F.when(_truthy_num(F.col("gpu_count")), _whole("gpu_count")).otherwise(F.lit(0))
     price = F.expr("try_cast(price AS DOUBLE)")
     # The collector's order of failure: provider is read first, the GPU count
-    # decides a silent drop, the price is parsed last.
-    status = (F.when(F.col("provider").isNull(), "rejected")
-               .when(count <= 0, "dropped")
-               .when(price.isNull(), "rejected")
-               .otherwise("accepted"))
-    reason = (F.when(F.col("provider").isNull(), "provider")
-               .when(count <= 0, "no_gpu")
-               .when(price.isNull(), "price"))
+    # decides a silent drop, then sizes and the price are parsed. A number no
+    # integer can hold (NaN, infinite, too large) rejects its own item only.
+    no_size = ((_truthy_num(F.col("gpu_memory")) & _whole("gpu_memory").isNull())
+               | (_truthy_num(F.col("cpu")) & _whole("cpu").isNull()))
+    fate = (F.when(F.col("provider").isNull(), F.struct(F.lit("rejected"), F.lit("provider")))
+             .when(count.isNull(), F.struct(F.lit("rejected"), F.lit("gpu_count")))
+             .when(count <= 0, F.struct(F.lit("dropped"), F.lit("no_gpu")))
+             .when(no_size, F.struct(F.lit("rejected"), F.lit("size")))
+             .when(price.isNull(), F.struct(F.lit("rejected"), F.lit("price")))
+             .otherwise(F.struct(F.lit("accepted"), F.lit(None).cast("string"))))
+    status, reason = fate["col1"], fate["col2"]
     return raw.select(
         "*", gpu_name.alias("_gpu"), inst.alias("_inst"), count.alias("_count"), price.alias("_price"),
         status.alias("status"), reason.alias("reason"))
@@ -74,10 +83,10 @@ def normalize_listings(raw: DataFrame, timestamp=None) -> DataFrame:
         F.col("_inst").alias("instance_type"),
         F.col("_gpu").alias("gpu_type"),
         F.col("_count").alias("gpu_count"),
-        F.when(_truthy_num(mem), mem.cast("int")).alias("gpu_memory_gb"),
-        F.when(_truthy_num(F.col("cpu")), F.col("cpu").cast("int")).otherwise(F.lit(0)).alias("vcpus"),
+        F.when(_truthy_num(mem), _whole("gpu_memory")).alias("gpu_memory_gb"),
+        F.when(_truthy_num(F.col("cpu")), _whole("cpu")).otherwise(F.lit(0)).alias("vcpus"),
         F.when(_truthy_num(F.col("memory")), F.col("memory")).otherwise(F.lit(0.0)).alias("ram_gb"),
-        F.col("location").alias("region"),
+        F.coalesce("location", F.lit("unknown")).alias("region"),
         F.col("_price").alias("price_per_hour"),
         F.coalesce(F.col("spot"), F.lit(False)).alias("is_spot"),
         F.lit(True).alias("available"),

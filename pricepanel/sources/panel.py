@@ -1,8 +1,10 @@
 """Listing panels derived from the driver tables (see FIXTURES.md).
 
 * ``listing_panel_raw``: one offer per lineitem, snapshots are months (F1).
-* ``events_panel_raw``: one offer per event, snapshots are half-days, with a
-  collection outage and providers that start late or vanish (F2).
+* ``events_panel_raw``: one offer per event, snapshots are half-days (F2).
+* ``events_gap_raw``: the same with a collection outage, providers that start
+  late or vanish, and snapshots stamped some minutes after the slot (F2g); only
+  the gap queries read it.
 * ``region_dimension``: the (provider, raw_region) lookup built from
   nation x region, some nations deliberately unmapped.
 
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread
+from .tables import read_table
 
 # Provider names assigned by supplier key modulo 8, in this order.
 FIXTURE_PROVIDERS = ["aws", "gcp", "azure", "oci", "lambdalabs", "runpod", "vastai", "nebius"]
@@ -23,6 +25,10 @@ FIXTURE_PROVIDERS = ["aws", "gcp", "azure", "oci", "lambdalabs", "runpod", "vast
 EVENT_PROVIDERS = {"view": "aws", "click": "gcp", "purchase": "vastai", "signup": "runpod"}
 EVENT_GPUS = ["H100", "A100", "L40S", "T4", "A10"]
 
+# Keys grow with the input: a shape of instance for so many parts, a SKU for so many users.
+PARTS_PER_SHAPE = 500
+USERS_PER_SKU = 15
+
 # Ordering that decides which duplicate of a key wins (last write wins).
 F1_SEQUENCE = ["seq_a", "seq_b", "seq_c", "price_per_hour", "gpu_count", "gpu_memory_gb"]
 F2_SEQUENCE = ["seq_a", "seq_b"]
@@ -44,8 +50,8 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     switch it at run time); nation has 25 rows by construction and is
     broadcast explicitly.
     """
-    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"))
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     supp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
@@ -60,7 +66,8 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.date_trunc("month", F.col("l_shipdate")).cast("timestamp").alias("timestamp"),
         provider.alias("provider"),
-        F.lower(F.concat(F.col("p_type"), F.lit("-"), (F.col("p_size") % 4).cast("string"))).alias("instance_type"),
+        F.lower(F.concat(F.col("p_type"), F.lit("-"), F.floor(F.col("l_partkey") / PARTS_PER_SHAPE).cast("string")))
+        .alias("instance_type"),
         F.when(F.col("p_size") == 50, "Unknown").otherwise(F.col("p_name")).alias("gpu_type"),
         (F.col("l_linenumber").cast("int") - 1).alias("gpu_count"),
         F.when(mem_slot == 0, F.lit(None).cast("int")).otherwise(mem_slot * 8).cast("int").alias("gpu_memory_gb"),
@@ -79,19 +86,31 @@ def listing_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half-day snapshots from the event stream, before key dedupe (F2)."""
-    ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value"))
+    return _half_days(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value"))
+
+
+def events_gap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with gaps: an outage, late and lost providers, and stamps some minutes into the slot."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     ts = F.col("ts")
-    half = F.when(F.hour(ts) >= 12, F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
     keep = (~F.dayofmonth(ts).between(12, 20)
             & ~((F.col("event_type") == "purchase") & (ts < F.lit("2024-01-04 00:00:00").cast("timestamp_ntz")))
             & ~((F.col("event_type") == "error") & (ts >= F.lit("2024-01-21 00:00:00").cast("timestamp_ntz")))
             & ~((F.col("event_type") == "signup") & (ts >= F.lit("2024-01-29 12:00:00").cast("timestamp_ntz"))))
+    out = _half_days(ev.filter(keep))
+    return out.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(
+        mins=(F.dayofmonth("timestamp") * 7 + F.hour("timestamp")) % 23, secs=F.lit(17)))
+
+
+def _half_days(ev: DataFrame) -> DataFrame:
+    ts = F.col("ts")
+    half = F.when(F.hour(ts) >= 12, F.expr("INTERVAL 12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
     gpu_idx = F.col("user_id") % 5
     gpu_count = (F.lit(1) + F.col("event_id") % 4).cast("int")
-    return ev.filter(keep).select(
+    return ev.select(
         (F.date_trunc("day", ts) + half).cast("timestamp").alias("timestamp"),
         _case_map(F.col("event_type"), EVENT_PROVIDERS, "azure").alias("provider"),
-        F.concat(F.lit("sku-"), (F.col("user_id") % 6).cast("string")).alias("instance_type"),
+        F.concat(F.lit("sku-"), F.floor(F.col("user_id") / USERS_PER_SKU).cast("string")).alias("instance_type"),
         _case_map(gpu_idx, dict(enumerate(EVENT_GPUS[:-1])), EVENT_GPUS[-1]).alias("gpu_type"),
         gpu_count.alias("gpu_count"),
         F.lit(24).cast("int").alias("gpu_memory_gb"),
@@ -115,16 +134,19 @@ def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     nr = nation.filter(F.col("n_nationkey") % 7 != 3).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    key = F.col("n_nationkey").cast("double")
-    per_provider = nr.withColumn("provider", F.explode(F.array(*[F.lit(p) for p in FIXTURE_PROVIDERS])))
+    # two nations share a site; providers measure it a little differently (less than the rounding of the maps)
+    odd = F.col("n_nationkey") % 2
+    key = (F.col("n_nationkey") - odd).cast("double")
+    per_provider = nr.select("*", F.posexplode(F.array(*[F.lit(p) for p in FIXTURE_PROVIDERS])).alias("at", "provider"))
+    shift = odd * F.lit(0.001) + F.col("at") * F.lit(0.0004)
     return per_provider.select(
         "provider",
         F.col("n_name").alias("raw_region"),
         F.lower(F.concat(F.col("r_name"), F.lit("-"), F.col("n_name"),
                          F.when(F.col("n_nationkey") % 5 == 1, "-zone").otherwise(""))).alias("region_canonical"),
         F.col("n_name").alias("country"),
-        (key * 1.5 + 20).alias("lat"),
-        (key * -2.5 - 70).alias("lon"),
+        (key * 1.5 + 20 + shift).alias("lat"),
+        (key * -2.5 - 70 + shift).alias("lon"),
         F.col("r_name").alias("region_group"),
     )
 
@@ -233,13 +255,14 @@ def raw_catalogue_items(prices: DataFrame) -> DataFrame:
         "timestamp",
         provider.alias("provider"),
         F.when(v % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("gpu_type")).alias("gpu_name"),
-        F.col("gpu_type").alias("name"),
+        F.when(v % 20 == 0, F.lit(None).cast("string")).otherwise(F.col("gpu_type")).alias("name"),
         F.when(v % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("instance_type")).alias("instance_name"),
-        F.when(g == 6, F.lit(None).cast("double")).otherwise(g.cast("double")).alias("gpu_count"),
+        F.when(g == 6, F.lit(None).cast("double")).when((g == 4) & sp, F.lit(1e18)).otherwise(g.cast("double"))
+         .alias("gpu_count"),
         F.when(F.col("gpu_memory_gb").isNull(), F.lit(0.0)).otherwise(F.col("gpu_memory_gb") + 0.9).alias("gpu_memory"),
-        v.cast("double").alias("cpu"),
+        F.when((g == 3) & sp, F.lit(1e12)).otherwise(v.cast("double")).alias("cpu"),
         F.col("ram_gb").alias("memory"),
-        F.col("region").alias("location"),
+        F.when(v % 26 == 0, F.lit(None).cast("string")).otherwise(F.col("region")).alias("location"),
         F.when((g == 5) & sp, F.lit("n/a")).otherwise(F.col("price_per_hour").cast("string")).alias("price"),
         sp.alias("spot"))
 

@@ -17,19 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a fact-table scan at least one partition per core.
-
-    A small input stored as one Parquet row group is read by a single task,
-    which would then run every join and sort of the ingest alone. Only in
-    that case is the scan round-robined to the default parallelism; a large
-    input already splits into many more partitions and is left as is (no
-    extra shuffle at scale).
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
-
-
 def source_fingerprint(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     """Cheap identity of the inputs used to key derived tables: per table its
     qualified path, bytes, file count and modification time.

@@ -156,3 +156,122 @@ def test_source_fingerprint_follows_rewritten_input(spark, tmpdir_path):
     spark.range(1000).write.mode("overwrite").parquet(f"{tmpdir_path}/t.parquet")
     assert source_fingerprint(spark, tmpdir_path, ["t"]) != first
     assert source_fingerprint(spark, tmpdir_path, ["absent"]).endswith(":?")
+
+
+def _two(p, spark):
+    """Two listings of one key with different prices, in this order, and a third key."""
+    rows = p.latest().filter("is_spot = false").limit(2).select(*LISTING_COLUMNS).collect()
+    first, other = rows[0].asDict(), rows[1].asDict()
+    from pyspark.sql.types import StructType
+    schema = StructType([p.prices.schema[c] for c in LISTING_COLUMNS])
+    return spark.createDataFrame([first | {"price_per_hour": 1.0}, other, first | {"price_per_hour": 2.0}], schema).coalesce(1)
+
+
+def test_first_upsert_keeps_the_last_row_of_a_key(spark, tmpdir_path):
+    rows = _two(panel(spark, SF_SMALL), spark)
+    assert K.upsert_into_lake(spark, f"{tmpdir_path}/lake", rows, f"{tmpdir_path}/stage") == 3
+    stored = scan_prices(spark, f"{tmpdir_path}/lake")
+    assert stored.count() == 2 and stored.filter("price_per_hour = 2.0").count() == 1
+    # an explicit sequence decides instead of the order of the frame
+    numbered = rows.withColumn("at", -F.monotonically_increasing_id())
+    K.upsert_into_lake(spark, f"{tmpdir_path}/lake", numbered, f"{tmpdir_path}/stage", sequence="at")
+    stored = scan_prices(spark, f"{tmpdir_path}/lake")
+    assert stored.count() == 2 and stored.filter("price_per_hour = 1.0").count() == 1
+
+
+def test_a_staging_folder_used_again_restores_nothing(spark, tmpdir_path):
+    p = panel(spark, SF_SMALL)
+    lake, stage = f"{tmpdir_path}/lake", f"{tmpdir_path}/stage"
+    days = [F.lit(x).cast("date") for x in ("1995-05-01", "1995-06-01")]
+    may, june = (p.prices.filter(F.col("dt") == x) for x in days)
+    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(1.0)), stage)
+    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(5.0)), f"{tmpdir_path}/other")
+    K.upsert_into_lake(spark, lake, june, stage)
+    got = scan_prices(spark, lake).filter(F.col("dt") == days[0])
+    assert {r[0] for r in got.select("price_per_hour").distinct().collect()} == {5.0}
+
+
+def test_publish_after_a_failure_between_the_writes_duplicates_nothing(spark, tmpdir_path):
+    p = panel(spark, SF_SMALL)
+    root = f"{tmpdir_path}/pub"
+    early = p.prices.filter(F.col("dt") < F.lit("1995-04-01").cast("date"))
+    write_lake(early, f"{root}/prices", dynamic=False)             # prices written, manifest row absent
+    assert K.publish_snapshots(spark, early, root) == 3
+    assert scan_prices(spark, f"{root}/prices").count() == early.count()
+    assert spark.read.parquet(f"{root}/manifest").count() == 3
+
+
+def test_upgrade_after_a_failure_before_the_manifest_marks_backfilled(spark, tmpdir_path, monkeypatch):
+    import pytest
+    from pricepanel.sources.panel import old_vintage_rows
+    p = panel(spark, SF_SMALL)
+    root = f"{tmpdir_path}/lake"
+    old_vintage_rows(p.prices, "1995-03-01").write.partitionBy("dt").parquet(f"{root}/prices")
+    manifest = K.snapshot_manifest
+    monkeypatch.setattr(K, "snapshot_manifest", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        K.upgrade_lake(spark, root, p.regions)
+    monkeypatch.setattr(K, "snapshot_manifest", manifest)
+    assert len(K.upgrade_lake(spark, root, p.regions)) == 2
+    assert spark.read.parquet(f"{root}/manifest").filter("backfilled").count() == 2
+    assert K.upgrade_lake(spark, root, p.regions) == []
+
+
+def test_summary_table_is_upserted_by_snapshot(spark, tmpdir_path):
+    p = panel(spark, SF_SMALL)
+    early = p.prices.filter(F.col("dt") < F.lit("1995-06-01").cast("date"))
+    path = f"{tmpdir_path}/summary"
+    assert K.write_snapshot_summary(spark, early, path) == 5
+    assert K.write_snapshot_summary(spark, early.filter("dt = '1995-03-01'").limit(1), path) == 1
+    got = {r.dt.month: r.total_instances for r in spark.read.parquet(path).collect()}
+    assert len(got) == 5 and got[3] == 1
+
+
+def test_export_and_compact(spark, tmpdir_path):
+    from pricepanel.operators.reports import latest_snapshot
+    p = panel(spark, SF_SMALL)
+    K.export_csv(latest_snapshot(p), f"{tmpdir_path}/csv")
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/csv")
+    assert back.count() == latest_snapshot(p).count() and "price_per_gpu_hour" in back.columns
+    write_lake(p.prices, f"{tmpdir_path}/lake", dynamic=False)
+    before = _content(scan_prices(spark, f"{tmpdir_path}/lake"))
+    K.compact(spark, f"{tmpdir_path}/lake", f"{tmpdir_path}/stage", "1995-01-01", "1996-01-01")
+    assert _content(scan_prices(spark, f"{tmpdir_path}/lake")) == before
+
+
+def test_gaps_on_stamps_some_minutes_into_the_slot(spark):
+    from pricepanel.operators import features
+    from pricepanel.panel import Panel
+    stamps = ["2024-01-01 09:03:17", "2024-01-01 21:05:02", "2024-01-02 09:01:40", "2024-01-02 21:04:00", "2024-01-06 09:02:00"]
+    rows = spark.createDataFrame([(s, "a", "H100", 1, float(i)) for i, s in enumerate(stamps)],
+                                 "t string, provider string, gpu_type string, gpu_count int, price_per_hour double")
+    rows = rows.select(F.col("t").cast("timestamp").alias("timestamp"), "*", F.lit("ok").alias("quality"))
+    p = Panel(rows, None, rows.select("timestamp"))
+    mask = features.gap_mask(p).orderBy("timestamp").collect()
+    assert sum(r.observed for r in mask) == 5 and len(mask) == 11
+    assert {str(r.day) for r in mask if r.outage} == {"2024-01-03", "2024-01-04", "2024-01-05"}
+    filled = features.within_day_fill(p).orderBy("timestamp").collect()
+    assert [r.price for r in filled if not r.was_missing] == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_one_bad_number_rejects_its_item_only(spark):
+    from pricepanel.sources import ingest
+    rows = [("aws", "H100", float("nan"), 80.0, 1.0), ("aws", "H100", 1e18, 80.0, 1.0), ("aws", "H100", 1.0, float("inf"), 1.0),
+            ("aws", None, 1.0, 80.0, 2.0), ("aws", "H100", 8.0, 80.0, 2.0)]
+    items = spark.createDataFrame(rows, "provider string, name string, gpu_count double, gpu_memory double, memory double")
+    items = items.select(F.lit("2024-01-01").cast("timestamp").alias("timestamp"), "*", *[
+        F.lit(None).cast(t).alias(c) for c, t in (("gpu_name", "string"), ("instance_name", "string"), ("cpu", "double"),
+                                                  ("location", "string"), ("spot", "boolean"))], F.lit("1.5").alias("price"))
+    got = ingest.normalize_listings(items).collect()
+    assert [(r.gpu_type, r.instance_type, r.region, r.gpu_count) for r in got] == [
+        ("Unknown", "unknown", "unknown", 1), ("H100", "H100", "unknown", 8)]
+    report = {(r.status, r.reason): r["items"] for r in ingest.ingest_report(items).collect()}
+    assert report == {("rejected", "gpu_count"): 2, ("rejected", "size"): 1, ("accepted", None): 2}
+
+
+def test_hub_is_named_by_its_largest_raw_coordinate(spark):
+    from pricepanel.operators import geo
+    rows = [("a", 1.001)] * 3 + [("a", 1.002)] * 3 + [("b", 1.003)] * 5
+    df = spark.createDataFrame([(m, x, 2.0) for m, x in rows], "metro string, lat double, lon double")
+    got = geo.top_hubs(df).first()
+    assert (got.metro, got.listings) == ("b", 11)

@@ -179,11 +179,11 @@ def test_exact_quantiles_bucketed_equals_builtin(spark):
     probs = [0.1, 0.5, 0.9]
     names = ["a", "b", "c"]
     want = {r.g: list(r.q) for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
-    for limit in (None, 1):          # 1 forces the bucketed plan, None allows the one-task shortcut
-        got = {r.g: [r.a, r.b, r.c] for r in exact_quantiles(df, ["g"], "v", probs, buckets=8, names=names,
-                                                               max_in_task=limit).collect()}
+    for buckets in (3, 8, 128):
+        got = {r.g: [r.a, r.b, r.c] for r in exact_quantiles(df, ["g"], "v", probs, buckets=buckets,
+                                                             names=names).collect()}
         assert got.keys() == want.keys()
         for k in want:
             assert all(abs(x - y) < 1e-9 for x, y in zip(got[k], want[k]))
-    whole = exact_quantiles(df, [], "v", [0.5], names=["m"], max_in_task=1).first().m
+    whole = exact_quantiles(df, [], "v", [0.5], names=["m"]).first().m
     assert abs(whole - df.agg(F.percentile("v", 0.5)).first()[0]) < 1e-9
