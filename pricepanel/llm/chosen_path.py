@@ -144,8 +144,8 @@ def leaves(texts: DataFrame, folder: str, small: int = SMALL) -> DataFrame:
     done = []
     for d in range(1, DEPTH + 1):
         node = f"n{d}"
-        size = open_.groupBy(node).agg(F.count("*").alias("n")).where("n > 1")
-        # written before it is summed again, so that a hot node may be split over tasks in this join
+        # sizes and rows are written apart, so that a hot node may be split over tasks in this join
+        size = kept_table(open_.groupBy(node).agg(F.count("*").alias("n")).where("n > 1"), folder, f"sizes{d}")
         here = kept_table(open_.join(size, node), folder, f"paths{d}")
         ready = here.where(F.col("n") <= small)
         large = here.where(F.col("n") > small)
