@@ -33,8 +33,8 @@ DIMS = ("source", "lang", "topic")
 # Production targets: the present shares, flattened by these powers (1 keeps a marginal, 0 makes it uniform).
 POWERS = {"source": 0.5, "lang": 0.6, "topic": 0.8}
 SAMPLE_SHARE = 0.6
-TOLERANCE = 1e-7
-MAX_SWEEPS = 40
+TOLERANCE = 1e-5
+MAX_SWEEPS = 30
 SEED = 20240229
 _CELL = [f"_{d}" for d in DIMS]
 
