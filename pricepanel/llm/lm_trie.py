@@ -520,7 +520,7 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
     parts = max(1, math.ceil(size / 6 / PART_TOKENS))
     span = _range(parts)
     parts += 1  # the last keys, beyond parts * span
-    blocks = kept_table(_count_words(docs, parts - 1), folder, "words")
+    blocks = _count_words(docs, parts - 1)
     model.parts, model.spans = [parts], [span]
     model.sizes = [_shards(blocks, _build_words(model.folder, span), parts)]
     model.kinds = sum(model.sizes[0])
@@ -536,7 +536,7 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
         parts = max(1, math.ceil(model.tokens / PART_TOKENS))
         wide = math.ceil(contexts / parts)
         span = wide * model.stride
-        blocks = kept_table(_count_grams(tokens, model, level, span), folder, f"grams{level}")
+        blocks = _count_grams(tokens, model, level, span)
         sizes = _shards(blocks, _build_grams(model, level, span), parts)
         model.parts.append(parts)
         model.spans.append(span)
