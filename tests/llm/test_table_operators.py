@@ -3,6 +3,7 @@
 import json
 import zlib
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
@@ -41,7 +42,7 @@ def test_raking_equals_numpy_and_meets_all_marginals(spark):
     goals = [rng.dirichlet(np.ones(n)) for n in table.shape]
     targets = {d: spark.createDataFrame([(f"{d[0]}{i}", float(x)) for i, x in enumerate(g)], "level string, share double")
                for d, g in zip(ipf_mixing.DIMS, goals)}
-    got = ipf_mixing.rake(cells, targets, scratch(spark, "t"), tolerance=1e-9).collect()
+    got = ipf_mixing.rake(cells, targets, scratch(spark, "t"), tolerance=1e-6).collect()
     w, total = table.astype(float), table.sum()
     for _ in range(200):
         for axis, g in enumerate(goals):
@@ -69,7 +70,8 @@ def test_mixing_query_is_calibrated(spark):
     assert 0.5 * total < drawn < 0.7 * total
 
 
-def test_mixing_edge_rows(spark):
+def test_mixing_edge_rows(spark, monkeypatch):
+    monkeypatch.setattr(ipf_mixing, "rake", partial(ipf_mixing.rake, max_sweeps=2))
     odd = odd_documents(spark, _u="clash", probability=-1.0, topic="clash")
     kept = ipf_mixing.sample_documents(odd, share=1.0)
     assert kept.columns == odd.columns and kept.count() == odd.count()  # everything at share 1
