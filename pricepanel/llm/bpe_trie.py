@@ -12,8 +12,9 @@ inserted in byte order, which is the depth-first order of the trie.
 Null text is the empty text: no tokens, and the empty text decoded. Repeated
 rows, empty tables and very long texts need no special case; a row is encoded
 by itself, and columns of the input other than id and text are not read.
-A Python worker keeps its trie from task to task; it is bounded by ``MAX_NODES`` nodes and ``MAX_WORDS``
-words, and starts anew beyond them.
+A trie is bounded by its nodes and words and starts anew beyond them. A Python worker may keep a large one
+from task to task (``keep``); in a job of several stages a small one is made for each task, so that idle
+workers hold no memory.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, documents
+from .common import arrow_batches, documents, release
 
 MAX_NODES = 1_400_000
 MAX_WORDS = 450_000
 MAX_PAIRS = 500_000
+SMALL_TRIE = (400_000, 100_000)
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the
@@ -208,14 +210,17 @@ def trie_of(path: str) -> BpeTrie:
     return _TRIES[path]
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and on demand the ids themselves (``ids``, array<int>)."""
+def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = True,
+                     keep: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and on demand the ids themselves (``ids``, array<int>).
+
+    ``keep``: each Python worker keeps a large trie for its next tasks, which takes memory and saves time."""
     path = vocabulary or vocabulary_path()
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches):
         import pyarrow as pa
-        trie = trie_of(path)
+        trie = trie_of(path) if keep else BpeTrie(path, *SMALL_TRIE)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, offsets, n, sha, back = [], [0], [], [], []
@@ -239,6 +244,8 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
                 values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
                 out["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
             yield pa.RecordBatch.from_pydict(out)
+        del trie
+        release()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, schema))
@@ -247,4 +254,4 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
 def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents`` with the public byte-level vocabulary."""
     arrow_batches(spark)
-    return encode_documents(documents(spark, sf_dir), with_ids=False)
+    return encode_documents(documents(spark, sf_dir), with_ids=False, keep=True)
