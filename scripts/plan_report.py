@@ -25,7 +25,7 @@ def plan_text(df) -> str:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from pricepanel.plans import catalog
     from pricepanel.session import build_session
     spark = build_session()
     print("# Physical plans of the registered queries\n")
@@ -35,9 +35,9 @@ def main():
           "before the shuffle); Lake pruned = the listing-lake scan carries a `dt` partition filter.\n")
     print("| query | Exch | BHJ | SMJ | BNLJ | Win | WGL | lake scans | lake pruned | pushed filters on lake |")
     print("|---|---|---|---|---|---|---|---|---|---|")
-    for name in sorted(entry.queries()):
+    for name in sorted(catalog.QUERIES):
         try:
-            txt = plan_text(entry.queries()[name](spark, sf_dir))
+            txt = plan_text(catalog.QUERIES[name](spark, sf_dir))
         except Exception as e:  # noqa: BLE001
             print(f"| {name} | error: {type(e).__name__} |||||||||")
             continue
