@@ -32,7 +32,7 @@ from .common import arrow_batches, documents, release
 MAX_NODES = 1_400_000
 MAX_WORDS = 450_000
 MAX_PAIRS = 500_000
-SMALL_TRIE = (400_000, 100_000)
+SMALL_TRIE = (150_000, 40_000)
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the
