@@ -15,9 +15,10 @@
    distance stays under a chi-square limit.
 
 Groups under ``MIN_GROUP`` rows are estimated together with the other small
-groups of their language, and if these are too few with those of all languages;
-fewer rows than that in all are not judged by distance. A floor on the variance
-of each statistic keeps constant columns from making a scatter singular.
+groups of their language; if these are too few, they are judged by an estimate
+over all rows of the table. Fewer rows than that in the table are not judged by
+distance. A floor on the variance of each statistic keeps constant columns from
+making a scatter singular.
 
 Defined results: null and empty texts have no words and fail the base rule; a
 null language or source is a value of its own; copies get equal verdicts;
@@ -42,15 +43,16 @@ MAX_REPEAT_PERCENT = 20
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "capitals", "echoes")
 DIM = len(FEATURES)
 MIN_GROUP = 100
-COVERAGE = 0.75
+COVERAGE = 0.5  # nearly half of a group may be junk
 STEPS = 6
 SALTS = 32  # parts of a group in joins with its estimate
 # Least standard deviation of a transformed statistic, and the chi-square values used (6 degrees of freedom):
-# the 0.75 quantile scales the scatter, the 0.975 quantile reweights; the limit for rejection is far out, since
+# the median scales the scatter, the 0.975 quantile reweights; the limit for rejection is far out, since
 # the tails of text statistics are longer than normal ones.
 FLOOR = (0.02, 0.02, 0.08, 0.03, 0.02, 0.03)
-CHI2_COVERAGE = 7.8408
+CHI2_COVERAGE = 5.3481
 CHI2_WEIGHT = 14.4494
+CHI2_TRIMMED = 1.0493  # makes the scatter of the rows below CHI2_WEIGHT consistent
 CHI2_REJECT = 45.0
 
 STATS_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, x array<double>"
@@ -250,7 +252,7 @@ def estimates(rows: DataFrame, folder: str, steps: int = STEPS) -> DataFrame:
         F.col("cut") / CHI2_COVERAGE, F.lit(1e-6)).alias("ratio"))
     sums = (_per_group(rows, scaled).where(distance() <= CHI2_WEIGHT * F.col("ratio"))
             .groupBy("g").agg(F.first("centre").alias("centre"), *_moments()))
-    return kept_table(sums.select("g", _solve("n", "s1", "s2", "centre", F.lit(1.09)).alias("e"))
+    return kept_table(sums.select("g", _solve("n", "s1", "s2", "centre", F.lit(CHI2_TRIMMED)).alias("e"))
                       .select("g", "e.centre", "e.whiten"), folder, "final")
 
 
@@ -262,7 +264,10 @@ def fit(rows: DataFrame, folder: str) -> DataFrame:
     """(_l, _s) -> centre, whiten, from all rows (lang, source, _stats) that pass the base rules."""
     good = rows.where(~base_failed()).select("lang", "source", F.col("_stats.x").alias("x"))
     plan = kept_table(group_plan(good), folder, "plan")
-    table = kept_table(_named(good).join(plan, ["_l", "_s"])
+    groups = F.array("g")
+    if plan.where(F.col("g") == "").limit(1).count():  # groups left over are judged by all rows
+        groups = F.array_distinct(F.array(F.col("g"), F.lit("")))
+    table = kept_table(_named(good).join(plan, ["_l", "_s"]).withColumn("g", F.explode(groups))
                        .select("g", "x", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")),
                        folder, "vectors")
     # a written table, so that the planner knows its size when rows with whole texts are joined with it

@@ -146,6 +146,32 @@ def test_robust_estimate_resists_outliers_and_follows_numpy(spark):
     assert np.mean(d2[:900]) == pytest.approx(mcd_rules.DIM, rel=0.35)
 
 
+@pytest.mark.parametrize("share", [0.30, 0.38, 0.45])
+def test_estimate_resists_junk_up_to_nearly_half(spark, share):
+    rng = np.random.default_rng(5)
+    good = rng.normal(0, 1, (900, mcd_rules.DIM)) @ np.diag([.3, .4, .5, .6, .7, .8]) + 2
+    bad = rng.normal(9, .1, (int(900 * share / (1 - share)), mcd_rules.DIM))
+    x = np.concatenate([good, bad])
+    rows = spark.createDataFrame([("g", i % mcd_rules.SALTS, r.tolist()) for i, r in enumerate(x)],
+                                 "g string, salt int, x array<double>")
+    est = mcd_rules.estimates(rows, scratch(spark, "t")).first()
+    w = np.zeros((mcd_rules.DIM, mcd_rules.DIM))
+    w[np.tril_indices(mcd_rules.DIM)] = est.whiten
+    d2 = (((x - est.centre) @ w.T) ** 2).sum(axis=1)
+    assert d2[900:].min() > mcd_rules.CHI2_REJECT > d2[:900].max()
+
+
+def test_small_leftover_groups_are_judged_by_all_rows(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(2, .5, (300, mcd_rules.DIM)), rng.normal(2, .5, (5, mcd_rules.DIM)),
+                        rng.normal(9, .1, (5, mcd_rules.DIM))])
+    rows = [("en" if i < 300 else "xx", "s", (i, 100, 500, 0, 0, 0, r.tolist())) for i, r in enumerate(x)]
+    stats = f"struct<doc_id: long, {mcd_rules.STATS_SCHEMA.replace(' ', ': ').replace(',: ', ', ')}>"
+    df = spark.createDataFrame(rows, f"lang string, source string, _stats {stats}")
+    got = mcd_rules.verdicts(df, mcd_rules.fit(df, scratch(spark, "t"))).collect()
+    assert len(got) == 310 and {r._stats.doc_id for r in got if not r.kept} == set(range(305, 310))
+
+
 def test_quality_rules_reject_junk_and_keep_the_rest(spark):
     rows = mcd_rules.op2_mcd_rules(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
