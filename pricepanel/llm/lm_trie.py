@@ -15,8 +15,8 @@ does not grow with the model.
 
 Probabilities are interpolated absolute discounting: (c - D) / c(context) plus
 the mass left over times the lower order; at order 1 the mass left over is that
-of any unknown word. All k-grams of all training texts are counted; those under
-``MIN_COUNTS`` are pruned from the levels (their mass is in the back-off). A
+of any unknown word. All k-grams of all training texts are counted and kept; were
+``MIN_COUNTS`` raised, those under it would be pruned (their mass is in the back-off). A
 k-gram can only reach its threshold if its parts do, so each level is counted
 over the tokens whose parts are in the level above.
 
@@ -46,9 +46,9 @@ from .elias_fano import EliasFano, load_array, save_array
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 3
-MIN_COUNTS = (1, 3, 3)
+MIN_COUNTS = (1, 1, 1)  # nothing is pruned
 DISCOUNT = 0.7
-PART_TOKENS = 8_000_000
+PART_TOKENS = 4_000_000
 _KEY_BITS = 63
 _END = 0x3C6EF372FE94F82A  # key of the end token: a constant of its own
 _STEP = 4096  # codes a unit of log10
@@ -505,7 +505,8 @@ def _build_grams(model: Model, level: int, span: int):
         backoff = np.zeros(wide, dtype=np.uint16)
         backoff[kinds - part * wide] = _code(left) + 1
         save_array(place, "backoff", backoff)
-        save_array(place, "counts", counts)
+        if level < ORDER:  # the totals of the next level
+            save_array(place, "counts", counts.astype(np.min_scalar_type(counts.max())))
         save_array(place, "code", _code(share + np.repeat(left, size) * 10.0 ** lower))
         return len(keys)
 

@@ -334,6 +334,17 @@ def test_lm_equals_a_dictionary_model(spark, monkeypatch, part_tokens):
         assert abs(r.score - score) <= 2e-4 * n + 1e-3
 
 
+def test_lm_knows_texts_seen_once(spark):
+    once = " ".join(f"rare{i}" for i in range(40))
+    ids = {use: next(i for i in range(500, 600) if (zlib.crc32(str(i).encode()) % 7 != 2) == use) for use in (True, False)}
+    rows = [(i, f"common words of text {i}") for i in range(60)] + [(ids[True], once), (ids[False], once)]
+    model, tokens = lm_trie.train(spark.createDataFrame(rows, "doc_id long, text string"), scratch(spark, "lm-once"))
+    assert sum(model.sizes[1]) >= 41 and sum(model.sizes[2]) >= 40
+    got = {r.doc_id: r for r in lm_trie.scored(tokens, model).collect()}
+    held = got[ids[False]]
+    assert not held.train and held.score == got[ids[True]].score and held.score / held.n_tokens > -0.5
+
+
 def test_lm_beats_the_base_on_held_out_rows(spark):
     r = lm_trie.op10_lm_trie(spark, "/root/testdata/sf0.01").where("held_out").agg(
         F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
