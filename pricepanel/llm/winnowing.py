@@ -41,9 +41,9 @@ _HASHES = 1 << 40
 def units(text: Column) -> Column:
     """Words; words of more than LONG_WORD code points as single code points."""
     words = F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
-    return F.when(text.rlike(r"[^ \t\n\x0B\f\r]{%d}" % (LONG_WORD + 1)),
-                  F.regexp_extract_all(text, F.lit(r"[^ \t\n\x0B\f\r]{1,%d}(?![^ \t\n\x0B\f\r])|[^ \t\n\x0B\f\r]"
-                                                   % LONG_WORD), F.lit(0))).otherwise(words)
+    cut = F.flatten(F.transform(words, lambda w: F.when(
+        F.length(w) > LONG_WORD, F.filter(F.split(w, ""), lambda c: c != "")).otherwise(F.array(w))))
+    return F.when(text.rlike(r"[^ \t\n\x0B\f\r]{%d}" % (LONG_WORD + 1)), cut).otherwise(words)
 
 
 def entries(text: Column) -> Column:

@@ -139,6 +139,21 @@ def test_shared_run_guarantees_a_shared_entry(spark):
     assert got[0] & got[1]
 
 
+@pytest.mark.parametrize("n", [40, 41, 60, 100, 101])
+def test_long_words_count_code_point_by_code_point(spark, n):
+    line = "".join(chr(0x4E00 + (i * 37) % 900) for i in range(n - 1)) + "🙂"
+    got = frame(spark, [f"ab {line}\ncd", f"{line} {line}x"]).select(winnowing.units(F.col("text"))).collect()
+    cut = lambda w: list(w) if len(w) > 40 else [w]
+    assert got[0][0] == ["ab", *cut(line), "cd"] and got[1][0] == [*cut(line), *cut(line + "x")]
+
+
+def test_shared_run_at_the_end_of_unspaced_lines(spark):
+    run = "共有される文章です"[:winnowing.K + winnowing.W - 1]
+    a, b = ("".join(chr(at + i) for i in range(70)) + run for at in (0x4E00, 0x5E00))
+    got = [set(r[0]) for r in frame(spark, [a, b]).select(winnowing.hashes(winnowing.entries(F.col("text")))).collect()]
+    assert got[0] & got[1]
+
+
 @pytest.mark.parametrize("ids", [[5, 1, 9, 3], [1, 1, 2, 2], [None, 7, -100, 10**15], [4]])
 def test_edited_text_takes_from_the_next_row(spark, ids):
     texts = ["one two three four five", None, "", "ünï cödé " * 30][:len(ids)]
