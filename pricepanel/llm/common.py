@@ -59,6 +59,18 @@ def kept_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_ranges(rows: DataFrame, order: list[str], folder: str, name: str) -> DataFrame:
+    """``rows`` written once in ranges of ascending ``order``, with ``part`` (number of the range) and ``place`` in it.
+
+    The bounds are sampled from the data, and equal rows are dealt by a tie-break of their own, so that a range is
+    bounded for any distribution of the keys."""
+    dealt = (rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie")
+             .sortWithinPartitions(*order, "_tie"))
+    at = F.monotonically_increasing_id()  # the partition above 33 bits of the row's place in it
+    return kept_table(dealt.select(*rows.columns, F.shiftright(at, 33).alias("part"),
+                                   at.bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), folder, name)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null for a null id)."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

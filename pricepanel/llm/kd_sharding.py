@@ -13,8 +13,9 @@ per pass one aggregation sums the bytes of 2**16 key ranges a node, and only the
 range with the median is refined. What reaches the driver is one row a node, at
 most the number of shards.
 
-Slots are numbered by id within a shard without gathering it: ids are cut into
-blocks, blocks are numbered by running counts, rows inside a block.
+Slots are numbered by id within a shard without gathering it: rows are written in
+ranges of shard and id whose bounds come from the data, and a row's slot is its
+place in the range beside the running counts of the ranges before.
 
 Defined results: null text has no bytes (size 1, checksum 0); a null language or
 source is a value of its own; null ids come first; rows equal in id and text stay
@@ -26,13 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, kept_table, scratch
+from .common import documents, in_ranges, kept_table, scratch
 
 SHARDS = 16
 DIMS = ("size", "id", "lang", "source")
 _VALUE_BITS, _TIE_BITS = 20, 42
 _PASSES = (46, 30, 15, 0)  # right shifts; each pass refines 16 bits or less
-_BLOCK_ROWS = 4096
 
 
 def metadata(docs: DataFrame) -> DataFrame:
@@ -129,27 +129,22 @@ def assign(table: DataFrame, shards: int) -> Column:
     return _lookup(final, node).cast("int")
 
 
-def with_slots(rows: DataFrame, span: dict) -> DataFrame:
+def with_slots(rows: DataFrame, folder: str) -> DataFrame:
     """Number the rows of each shard from 0 by id, then checksum."""
-    low, n = span["lo"] or 0, max(1, span["n"])
-    width = max(1, ((span["hi"] or 0) - low + 1) * _BLOCK_ROWS // n)
-    rows = rows.withColumn("block", F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1)))
-    counts = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
-    before = counts.select("shard", "block", (F.sum("n").over(
-        Window.partitionBy("shard").orderBy("block")) - F.col("n")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size"))
-    return rows.withColumn("place", inside).join(before, ["shard", "block"]).withColumn(
-        "slot", (F.col("before") + F.col("place") - 1).cast("long"))
+    rows = in_ranges(rows, ["shard", "doc_id", "text_crc32", "size"], folder, "ranges")
+    counts = rows.groupBy("part", "shard").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = counts.select("part", "shard", (F.sum("n").over(
+        Window.partitionBy("shard").orderBy("part")) - F.col("n") - F.col("first")).alias("before"))
+    return rows.join(before, ["part", "shard"]).withColumn("slot", F.col("before") + F.col("place"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, folder: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
     folder = folder or scratch(docs.sparkSession, "kd")
-    keys, span = keyed(kept_table(metadata(docs), folder, "metadata"))
+    keys, _ = keyed(kept_table(metadata(docs), folder, "metadata"))
     keys = kept_table(keys, folder, "keys")
-    placed = kept_table(keys.select("doc_id", "size", "text_crc32", assign(keys, shards).alias("shard")),
-                        folder, "placed")
-    return with_slots(placed, span).select(
+    placed = keys.select("doc_id", "size", "text_crc32", assign(keys, shards).alias("shard"))
+    return with_slots(placed, folder).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 

@@ -12,13 +12,15 @@ is the least hash at the rightmost place: 40 bits of hash above 23 bits that fal
 with the position (longer texts are hashed all the same; positions count modulo
 2**23).
 
-``neighbours`` finds the next row by ascending id without a global sort: ids are
-cut into narrow ranges (blocks); within a block the next row comes from a window,
-and only the last row of a block is joined with the head of the next block.
+``neighbours`` finds the next row by ascending id: rows are written once in ranges
+whose bounds come from the data, and a range is cut into blocks of ``BLOCK_ROWS``
+rows, whatever the ids are. Within a block the next row comes from a window, and
+only the last row of a block is joined with the head of the next block.
 
 Defined results: null text is empty and has no entries (fingerprint ""); a
 likeness with an empty fingerprint is 0, of two empty ones 1; equal texts have
-equal fingerprints; rows of equal id are ordered by text; null ids come first;
+equal fingerprints; rows of equal id are ordered by the first ``ORDER_CHARS`` code
+points of the text, then by a hash of it; null ids come first;
 an empty table gives no rows; other columns are not read.
 """
 
@@ -27,13 +29,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, in_ranges, scratch
 
 K = 4
 W = 4
 LONG_WORD = 40
 BLOCK_ROWS = 64
-BLOCKS_A_GROUP = 256
+ORDER_CHARS = 64
+_BLOCK_BITS = 27  # blocks of a range
 _PLACES = 1 << 23
 _HASHES = 1 << 40
 
@@ -82,42 +85,36 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``next_text`` by ascending doc_id (after the last row: the first), with ``block``."""
+def neighbours(docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, text and ``next_text`` by ascending doc_id (after the last row: the first), with ``block`` and ``place``."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    span = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).first()
-    if span["lo"] is None:
-        width, low = 1, 0
-    else:
-        width, low = max(1, (span["hi"] - span["lo"] + 1) * BLOCK_ROWS // span["n"]), span["lo"]
-    block = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    rows = rows.withColumn("block", block)
-
-    heads = rows.groupBy("block").agg(F.min(F.struct("doc_id", "text")).alias("head"))
-    group = F.floor(F.col("block") / BLOCKS_A_GROUP)
-    blocks = rows.groupBy("block").agg(F.count("*").alias("n")).select("block", group.alias("grp"))
-    firsts = blocks.groupBy("grp").agg(F.min("block").alias("first"))
-    in_order = Window.orderBy("grp")  # one row for BLOCK_ROWS * BLOCKS_A_GROUP rows of the input
-    firsts = firsts.select("grp", F.coalesce(F.lead("first").over(in_order), F.first("first").over(
-        in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    following = (blocks.withColumn("in_group", F.lead("block").over(Window.partitionBy("grp").orderBy("block")))
-                 .join(firsts, "grp").select("block", F.coalesce("in_group", "after").alias("next_block")))
-    next_head = (following.join(heads.withColumnRenamed("block", "next_block"), "next_block")
-                 .select("block", F.col("head.text").alias("head_text")))
-    ordered = Window.partitionBy("block").orderBy("doc_id", "text")
-    return (rows.withColumn("lead_text", F.lead("text").over(ordered))
-            .join(next_head, "block", "left"))
-
-
-def fingerprints(docs: DataFrame) -> DataFrame:
+    rows = rows.withColumns({"_head": F.substring("text", 1, ORDER_CHARS), "_hash": F.xxhash64("text")})
+    rows = in_ranges(rows, ["doc_id", "_head", "_hash"], folder, "ranges").drop("_head", "_hash")
+    block = lambda part, place: F.shiftleft(part, _BLOCK_BITS) + F.floor(place / BLOCK_ROWS)
+    rows = rows.withColumn("block", block(F.col("part"), F.col("place")))
+
+    in_order = Window.orderBy("part")  # one row a range
+    last = rows.groupBy("part").agg(F.max("place").alias("place")).select(
+        "part", block(F.col("part"), F.col("place")).alias("last"))
+    before = last.select("part", F.coalesce(F.lag("last").over(in_order), F.last("last").over(
+        in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
+    heads = (rows.where(F.col("place") % BLOCK_ROWS == 0).join(before, "part")
+             .select(F.when(F.col("place") == 0, F.col("before")).otherwise(F.col("block") - 1).alias("block"),
+                     F.col("text").alias("head_text")))
+    ordered = Window.partitionBy("block").orderBy("place")
+    return (rows.drop("part").withColumn("lead_text", F.lead("text").over(ordered))
+            .join(heads, "block", "left"))
+
+
+def fingerprints(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
-    rows = neighbours(docs)
+    rows = neighbours(docs, folder or scratch(docs.sparkSession, "winnowing"))
     following = F.coalesce("lead_text", "head_text")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"),
                       F.substring(following, F.lit(1), half))
-    ordered = Window.partitionBy("block").orderBy("doc_id", "text")
-    rows = rows.select("doc_id", "block", "text", "head_text", F.length("text").cast("long").alias("n_chars"),
+    ordered = Window.partitionBy("block").orderBy("place")
+    rows = rows.select("doc_id", "block", "place", "text", "head_text", F.length("text").cast("long").alias("n_chars"),
                        F.sha2(edited, 256).alias("edited_sha256"), entries(F.col("text")).alias("own"),
                        entries(edited).alias("changed"))
     rows = rows.withColumn("next_own", F.coalesce(F.lead("own").over(ordered), entries(F.col("head_text"))))

@@ -236,6 +236,25 @@ def test_shards_of_odd_and_of_equal_rows(spark):
     assert kd_sharding.shard_documents(odd.limit(0)).count() == 0
 
 
+def test_slots_follow_the_ids_in_bounded_ranges(spark, monkeypatch):
+    rows = [(i + 10**15 * (i % 2) if i % 5 else None, "x" * (i % 50), "en", "s", 0) for i in range(800)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    made = []
+    in_ranges = kd_sharding.in_ranges
+    monkeypatch.setattr(kd_sharding, "in_ranges", lambda *a: made.append(in_ranges(*a)) or made[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = kd_sharding.shard_documents(df, 4).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    check_shards(got, 4)
+    assert max(Counter(r.part for r in made[0].collect()).values()) <= 250  # of 800 rows in 8 ranges
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"])
+    for s in range(4):
+        mine = [r for r in got if r.shard == s]
+        assert [key(r) for r in sorted(mine, key=lambda r: r.slot)] == sorted(map(key, mine))
+
+
 # --- near duplicates -------------------------------------------------------------------------
 
 

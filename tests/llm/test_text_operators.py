@@ -188,6 +188,24 @@ def test_fingerprints_of_the_table(spark):
     assert np.mean(near) == pytest.approx(1 / 3, abs=0.07)  # half of the units are shared
 
 
+@pytest.mark.parametrize("ids", ["outlier", "offset", "null", "same", "copies"])
+def test_blocks_are_bounded_for_any_ids(spark, ids):
+    n = 600
+    number = {"outlier": lambda i: 10**15 if i == 7 else i, "offset": lambda i: i + 10**15 * (i % 2), "null": lambda i: None}
+    rows = [(number.get(ids, lambda i: 3)(i), "copy of a text" if ids == "copies" else f"t{i:04} some words of text {i}")
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for name, value in (("coalescePartitions.enabled", "false"), ("coalescePartitions.enabled", "true")):
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
+        got = winnowing.neighbours(df, scratch(spark, "t")).select("block", "place", "doc_id", "text", F.coalesce(
+            "lead_text", "head_text").alias("next")).collect()
+        assert max(Counter(r.block for r in got).values()) <= winnowing.BLOCK_ROWS
+        want = sorted(rows, key=lambda r: (r[0] or 0, r[1]))
+        assert [(r.doc_id, r.text) for r in sorted(got, key=lambda r: (r.block, r.place))] == want
+        following = Counter((*a, b[1]) for a, b in zip(want, want[1:] + want[:1]))
+        assert Counter((r.doc_id, r.text, r.next) for r in got) == following
+
+
 def test_fingerprints_of_an_empty_table(spark):
     assert winnowing.fingerprints(frame(spark, []).limit(0)).count() == 0
 
