@@ -67,8 +67,15 @@ def in_ranges(rows: DataFrame, order: list[str], folder: str, name: str) -> Data
     dealt = (rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie")
              .sortWithinPartitions(*order, "_tie"))
     at = F.monotonically_increasing_id()  # the partition above 33 bits of the row's place in it
-    return kept_table(dealt.select(*rows.columns, F.shiftright(at, 33).alias("part"),
-                                   at.bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), folder, name)
+    dealt = dealt.select(*rows.columns, F.shiftright(at, 33).alias("part"),
+                         at.bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+    spark, cleanup = rows.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    former = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")  # the shuffled rows go once they are written
+    try:
+        return kept_table(dealt, folder, name)
+    finally:
+        spark.conf.set(cleanup, former)
 
 
 def fold(column: str, modulus: int) -> Column:
