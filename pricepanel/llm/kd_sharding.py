@@ -8,7 +8,10 @@ and the hashes of language and source.
 
 A cut is found over all rows by radix refinement: a row's place along a
 dimension is a 62-bit key (20 bits of the value, then 42 bits of text checksum
-and id, so that rows of equal value are cut too and equal texts are adjacent);
+and id, so that rows of equal value are cut too). Equal texts have one place in
+every dimension, that of their least id, language and source, so a cut leaves
+them together; only a group of more than 1/WHOLE of a shard's bytes is divided,
+where it straddles a cut, since the law is equal bytes.
 per pass one aggregation sums the bytes of 2**16 key ranges a node, and only the
 range with the median is refined. What reaches the driver is one row a node, at
 most the number of shards.
@@ -32,6 +35,8 @@ from .common import documents, in_ranges, kept_table, scratch
 SHARDS = 16
 DIMS = ("size", "id", "lang", "source")
 _VALUE_BITS, _TIE_BITS = 20, 42
+WHOLE = 32
+SALTS = 32  # parts of a group of equal texts in the join with its place
 _PASSES = (46, 30, 15, 0)  # right shifts; each pass refines 16 bits or less
 
 
@@ -39,21 +44,39 @@ def metadata(docs: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32 and the raw dimensions (0 to 1 for hashes) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     hashed = lambda c: F.coalesce((F.crc32(F.col(c).cast("string")) + 1) / F.lit(float(1 << 32)), F.lit(0.0))
-    return docs.select(F.col("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"),
+    return docs.select(F.col("doc_id"), F.xxhash64(text, F.md5(text.cast("binary"))).alias("copies"), (F.octet_length(text).cast("long") + 1).alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"),
                        hashed("lang").alias("lang"), hashed("source").alias("source"))
 
 
+def grouped(meta: DataFrame, folder: str, shards: int) -> DataFrame:
+    """``meta`` with the least id (``place_id``), lang and source of equal texts, and ``tie_id`` that orders them.
+
+    Groups are summed map-side and joined in SALTS parts, so that a group may hold any share of the rows."""
+    share = (meta.agg(F.sum("size")).first()[0] or 0) / shards
+    groups = meta.groupBy("copies", "size").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("g_id"), F.min("lang").alias("g_lang"),
+        F.min("source").alias("g_source")).where("n > 1")
+    parts = kept_table(groups, folder, "groups").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = meta.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
+        parts, ["copies", "size", "salt"], "left")
+    copy = F.col("n").isNotNull()
+    whole = copy & (F.col("n") * F.col("size") * WHOLE <= share)
+    return rows.select("doc_id", "size", "text_crc32", F.when(copy, F.col("g_id")).otherwise(F.col("doc_id")).alias("place_id"),
+                       F.when(whole, F.col("g_id")).otherwise(F.col("doc_id")).alias("tie_id"),
+                       *[F.coalesce(f"g_{d}", d).alias(d) for d in ("lang", "source")])
+
+
 def keyed(meta: DataFrame) -> tuple[DataFrame, dict]:
     """Keys of every dimension: value code above the tie-break bits."""
     span = meta.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("size").alias("top"),
                     F.count("*").alias("n"), F.sum("size").alias("bytes")).first().asDict()
     low, high = span["lo"] or 0, span["hi"] or 0
     scaled = {"size": F.log2(F.col("size").cast("double")) / max(1e-9, float(_log2(span["top"] or 1))),
-              "id": F.coalesce((F.col("doc_id") - F.lit(low)) / F.lit(float(max(1, high - low))), F.lit(0.0)),
+              "id": F.coalesce((F.col("place_id") - F.lit(low)) / F.lit(float(max(1, high - low))), F.lit(0.0)),
               "lang": F.col("lang"), "source": F.col("source")}
     tie = (F.shiftleft(F.shiftright(F.col("text_crc32"), 8), 18)
-           + F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << 18)))
+           + F.pmod(F.xxhash64("tie_id", "text_crc32"), F.lit(1 << 18)))
     code = lambda c: F.least(F.greatest(F.floor(c * ((1 << _VALUE_BITS) - 1)), F.lit(0)),
                              F.lit((1 << _VALUE_BITS) - 1)).cast("long")
     return meta.select("doc_id", "size", "text_crc32",
@@ -141,7 +164,8 @@ def with_slots(rows: DataFrame, folder: str) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = SHARDS, folder: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
     folder = folder or scratch(docs.sparkSession, "kd")
-    keys, _ = keyed(kept_table(metadata(docs), folder, "metadata"))
+    meta = kept_table(metadata(docs), folder, "metadata")
+    keys, _ = keyed(kept_table(grouped(meta, folder, shards), folder, "grouped"))
     keys = kept_table(keys, folder, "keys")
     placed = keys.select("doc_id", "size", "text_crc32", assign(keys, shards).alias("shard"))
     return with_slots(placed, folder).select(

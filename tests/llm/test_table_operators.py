@@ -255,6 +255,17 @@ def test_slots_follow_the_ids_in_bounded_ranges(spark, monkeypatch):
         assert [key(r) for r in sorted(mine, key=lambda r: r.slot)] == sorted(map(key, mine))
 
 
+def test_equal_texts_stay_in_one_shard(spark):
+    rows = [(i, f"text {i % 1500} " * (1 + i % 1500 % 9), f"l{i % 7}", f"s{i % 5}", 0) for i in range(4500)]
+    got = kd_sharding.shard_documents(spark.createDataFrame(rows, DOCS)).collect()
+    sizes = check_shards(got, 16)
+    assert len(got) == 4500 and max(sizes.values()) - min(sizes.values()) <= 0.1 * sum(sizes.values()) / 16
+    shards = {}
+    for r in got:
+        shards.setdefault(rows[r.doc_id][1], set()).add(r.shard)
+    assert all(len(x) == 1 for x in shards.values())
+
+
 # --- near duplicates -------------------------------------------------------------------------
 
 
