@@ -95,12 +95,15 @@ def test_pair_compatibility_equals_merging_the_joined_bytes():
 
 
 def brute_units(text):
-    words = text.encode().split()
-    if any(len(w.decode()) > winnowing.LONG_WORD for w in words):
-        import re
-        sep = r" \t\n\x0b\x0c\r"
-        return re.findall(rf"[^{sep}]{{1,{winnowing.LONG_WORD}}}(?![^{sep}])|[^{sep}]", text)
-    return [w.decode() for w in words]
+    """Words, one after another; a word over LONG_WORD code points as its single code points."""
+    out, word = [], ""
+    for c in text + " ":
+        if c not in " \t\n\x0b\x0c\r":
+            word += c
+        elif word:
+            out += [word] if len(word) <= winnowing.LONG_WORD else list(word)
+            word = ""
+    return out
 
 
 def test_winnowing_chooses_the_least_of_each_window_rightmost(spark):
