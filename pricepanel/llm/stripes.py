@@ -44,9 +44,9 @@ LONGEST = 4
 TOP = 2000
 FILTER_BITS = 1 << 27
 SEGMENTS = 64
-PART_TOKENS = 4_000_000
-RUN_BYTES = 6 << 20
-_HELD = 2_000_000
+PART_TOKENS = 2_000_000
+RUN_BYTES = 4 << 20
+_HELD = 1_000_000
 _MAP_BITS = 1 << 15
 # A-Z lower-cased; what ends a piece becomes a line feed
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -62,7 +62,7 @@ class _Run:
         seed = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.names],
                         dtype=np.uint64)
         self.keys = [mixed(seed[self.lang[w.doc]] * _BASE + w.hash)]
-        ends = np.cumsum(w.buffer == 10)[w.start] if len(w.hash) else np.empty(0, dtype=np.int64)
+        ends = np.searchsorted(np.flatnonzero(w.buffer == 10), w.start)  # ends of pieces before each word
         new = (w.doc[1:] != w.doc[:-1]) | (ends[1:] != ends[:-1])
         self.piece = np.concatenate([[0], np.cumsum(new)])[:len(w.hash)]
 
@@ -177,7 +177,7 @@ class _Stripes:
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.held = 0
+        self.held = self.whole = 0  # entries, and entries after the last merge
 
     def add(self, prefix: np.ndarray, word: np.ndarray, count: np.ndarray) -> None:
         self.parts.append((prefix, word, count))
@@ -188,7 +188,7 @@ class _Stripes:
         if len(self.parts) != 1:
             columns = [np.concatenate(x) for x in zip(*self.parts)] if self.parts else [np.empty(0, np.uint64)] * 3
             self.parts = [_added(*columns)]
-            self.held = len(self.parts[0][0])
+            self.held = self.whole = len(self.parts[0][0])
         return self.parts[0]
 
 
@@ -274,7 +274,7 @@ def _merge_level(blocks: DataFrame, parts: int, least: int) -> DataFrame:
                 current = part
                 gap, size, word, count = _unpacked(block, [kinds, kinds, entries, entries])
                 stripes.add(np.repeat(np.cumsum(gap, dtype=np.uint64), size.astype(np.int64)), word, count.astype(np.int64))
-                if stripes.held > 2 * _HELD:
+                if stripes.held > _HELD + 2 * stripes.whole:  # as often as the merged stripes double
                     stripes.merged()
         if current is not None:
             yield frequent(stripes)
