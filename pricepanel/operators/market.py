@@ -76,10 +76,10 @@ def spot_savings(panel: Panel, families: list[str]) -> DataFrame:
     the two side by side (types with both sides only), instead of joining
     two separately computed aggregates.
     """
-    m = exact_median(_gpu(panel), ["gpu_type", "is_spot"], ppgh(), "m")
+    m = exact_median(_gpu(panel).filter(F.col("gpu_type").isin(*families)), ["gpu_type", "is_spot"], ppgh(), "m")
     a = m.groupBy("gpu_type").agg(F.max(F.when(F.col("is_spot"), F.col("m"))).alias("sp"),
                                   F.max(F.when(~F.col("is_spot"), F.col("m"))).alias("op"))
-    a = a.filter(F.col("sp").isNotNull() & F.col("op").isNotNull() & F.col("gpu_type").isin(*families))
+    a = a.filter(F.col("sp").isNotNull() & F.col("op").isNotNull())
     return a.select(F.col("gpu_type").alias("g"), r6("op").alias("op"), r6("sp").alias("sp"),
                     r6(100 * (1 - F.col("sp") / F.col("op"))).alias("disc"))
 

@@ -3,19 +3,18 @@
 Spark's ``percentile``/``median`` keep, per group, a map of every distinct
 value to its count and merge it in one task: a group holding a third of the
 rows (or a global median) lands on one executor. Here the same exact answer
-(linear interpolation between the ranks around ``p * (n - 1)``) is found by
-narrowing, one lazy plan for every size:
-
-1. value counts per (group, value), combined map-side;
-2. ``ROUNDS`` times: approximate cut points over the distinct values of each
-   range still wanted (a mergeable sketch), counts per bucket, and their
-   running total (a window over at most ``buckets`` rows) say which bucket
-   holds each wanted rank; only those buckets go on;
-3. the rest is ranked exactly: a window over about 1/buckets**ROUNDS of a
-   group's distinct values.
-
-A group is joined with its cut points in ``SALTS`` parts, so a hot group is
-spread over that many tasks.
+(linear interpolation between the ranks around ``p * (n - 1)``) is a selection
+by rank over value counts that are written once, in ranges:
+
+1. value counts per (group, value), combined map-side, then dealt into ranges
+   of (group, value) whose bounds Spark samples from the counts, and written
+   with the number of their range: a hot group lies in many ranges;
+2. the totals per (group, range) -- at most groups + ranges rows -- and their
+   running sum say which range holds each wanted rank;
+3. only the (group, range) pairs that are hit are read again and ranked, with
+   a window over one pair, so over a range at most.
+
+One plan for every size. The table lies under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -23,59 +22,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROUNDS = 2
-SALTS = 32
+from ..sources.scratch import scratch_table
+
+
+def value_ranges(df: DataFrame, group_cols: list[str], value: Column | str) -> DataFrame:
+    """(group, ``_v``, ``_c``, ``_part``): how often each value occurs, written once in ranges of (group, value)."""
+    v = F.col(value) if isinstance(value, str) else value
+    counts = (df.select(*group_cols, v.alias("_v")).filter(F.col("_v").isNotNull())
+              .groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    dealt = counts.repartitionByRange(*group_cols, "_v").sortWithinPartitions(*group_cols, "_v")
+    return scratch_table(dealt.withColumn("_part", F.spark_partition_id()), "quantiles")
 
 
-def _narrow(values: DataFrame, ranks: DataFrame, keys: list[str], level: int,
-            buckets: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Cut every range of ``keys`` into buckets; keep the buckets of the wanted ranks, ranks counted inside them."""
-    bucket = f"_b{level}"
-    cuts = values.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("_cuts"))
-    cuts = cuts.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = values.join(cuts, [*keys, "_s"]).select(
-        *keys, F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias(bucket), "_v", "_c", "_s")
-    upto = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(*keys, bucket).agg(F.sum("_c").alias("_t")).withColumn(
-        "_before", F.coalesce(F.sum("_t").over(upto), F.lit(0)))
-    ranks = ranks.join(totals, keys).where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_t")))
-    ranks = ranks.withColumn("_r", F.col("_r") - F.col("_before")).drop("_before", "_t")
-    keys = [*keys, bucket]
-    return placed.join(ranks.select(*keys).distinct(), keys, "left_semi"), ranks, keys
+def _wanted(probs: list[float]) -> Column:
+    """The two 0-based ranks around each position, with the place they take in the answer."""
+    return F.array(*[
+        F.struct(F.lit(2 * i + up).alias("at"), (F.ceil if up else F.floor)(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("r"))
+        for i, p in enumerate(probs) for up in (0, 1)])
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value: Column | str, probs: list[float],
-                    buckets: int = 128, names: list[str] | None = None, count_name: str | None = None) -> DataFrame:
+                    names: list[str] | None = None, count_name: str | None = None) -> DataFrame:
     """One row per group with one column per probability (``names`` or ``q<p>``),
     plus the number of non-NULL values as ``count_name`` when given.
 
-    NULL values are ignored; a group with no values does not appear.
+    NULL values are ignored; a group with no values does not appear; a NULL group key is a group.
     """
     names = names or [f"q{str(p).replace('.', '_')}" for p in probs]
-    v = F.col(value) if isinstance(value, str) else value
-    if not group_cols:  # one group: a key that is always 0, but not a literal, which would make the joins cross joins
-        df = df.withColumn("_k", F.pmod(F.xxhash64(v), F.lit(1)))
-    g = list(group_cols) or ["_k"]
-    counts = (df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
-              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    counts = counts.withColumn("_s", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
-
-    size = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
-    # the two 0-based ranks around each position
-    ranks = size.select(*g, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_qi"), F.lit(up).alias("_up"),
-                 (F.ceil if up else F.floor)(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("_r"))
-        for i, p in enumerate(probs) for up in (0, 1)])).alias("_t")).select(*g, "_n", "_t.*")
-    values, keys = counts, g
-    for level in range(ROUNDS):
-        values, ranks, keys = _narrow(values, ranks, keys, level, buckets)
-    inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.select(*keys, "_v", "_c").withColumn("_upto", F.sum("_c").over(inside))
-    at = ranks.join(ranked, keys).where((F.col("_r") >= F.col("_upto") - F.col("_c")) & (F.col("_r") < F.col("_upto")))
-
-    found = at.groupBy(*g).agg(F.first("_n").alias("_n"), *[F.max(F.when((F.col("_qi") == i) & (F.col("_up") == up), F.col("_v"))).alias(f"_v{i}_{up}")
-                                 for i in range(len(probs)) for up in (0, 1)])
+    g = list(group_cols)
+    if not g:
+        df, g = df.withColumn("_k", F.lit(0)), ["_k"]
+    ranges = value_ranges(df, g, value)
+
+    whole = Window.partitionBy(*g)
+    upto = F.sum("_t").over(whole.orderBy("_part"))
+    totals = ranges.groupBy(*g, "_part").agg(F.sum("_c").alias("_t")).select(
+        *g, "_part", "_t", upto.alias("_upto"), F.sum("_t").over(whole).alias("_n"))
+    hits = totals.withColumn("_want", F.filter(
+        _wanted(probs), lambda x: (x["r"] >= F.col("_upto") - F.col("_t")) & (x["r"] < F.col("_upto"))))
+    hits = hits.filter(F.size("_want") > 0).select(
+        *[F.col(c).alias(f"_h_{c}") for c in g], F.col("_part").alias("_h_part"),
+        (F.col("_upto") - F.col("_t")).alias("_before"), "_n", "_want")
+
+    same = F.col("_part") == F.col("_h_part")
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+    inside = Window.partitionBy(*g, "_part").orderBy("_v")
+    ranked = ranges.join(hits, same).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
+    at = ranked.select(*g, "_n", "_v", F.explode(F.filter(
+        "_want", lambda x: (x["r"] >= F.col("_to") - F.col("_c")) & (x["r"] < F.col("_to")))).alias("_x"))
+    found = at.groupBy(*g).agg(F.first("_n").alias("_n"), *[
+        F.max(F.when(F.col("_x.at") == 2 * i + up, F.col("_v"))).alias(f"_v{i}_{up}")
+        for i in range(len(probs)) for up in (0, 1)])
     cols = []
     for i, (p, n) in enumerate(zip(probs, names)):
         pos = F.lit(p) * (F.col("_n") - 1)
@@ -87,5 +85,5 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: Column | str, p
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value: Column | str, name: str = "median",
-                 count_name: str | None = None, buckets: int = 128) -> DataFrame:
-    return exact_quantiles(df, group_cols, value, [0.5], buckets, [name], count_name)
+                 count_name: str | None = None) -> DataFrame:
+    return exact_quantiles(df, group_cols, value, [0.5], [name], count_name)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricepanel.functions import columns as C
@@ -171,19 +172,66 @@ def test_json_roundtrip_old_documents(spark):
     assert r.provider == "aws" and r.is_spot is None and r.quality is None
 
 
-def test_exact_quantiles_bucketed_equals_builtin(spark):
+def _percentiles(df, groups, probs):
+    return df.groupBy(*groups).agg(F.percentile("v", probs).alias("p"), F.count("v").alias("n")).filter("n > 0")
+
+
+def test_exact_quantiles_equal_builtin_with_a_hot_group_over_many_ranges(spark):
+    """One group holds 90 % of the rows; NULL groups and values, ties and groups of one row are there too."""
+    from pyspark.sql import Window
+    from pricepanel.operators.quantiles import exact_quantiles, value_ranges
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 20 == 0, F.concat(F.lit("g"), F.col("id") % 700))
+        .when(F.col("id") % 30 == 10, "one value").alias("g"),
+        F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 30 == 10, 4.5)
+        .otherwise(F.round(F.rand(3) * F.rand(4) * 1000, 2)).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([("alone", 7.25), ("empty", None)], "g string, v double"))
+    df = spark.createDataFrame(rows.collect(), rows.schema)
+    former = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled",)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = value_ranges(df, ["g"], "v")
+        per = ranges.groupBy("g").agg(F.count_distinct("_part").alias("n")).filter("g = 'hot'").first().n
+        assert per >= 4  # the hot group is shared by many tasks
+        # ranges do not overlap: a greater range of a group holds greater values
+        ends = ranges.groupBy("g", "_part").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        before = F.lag("hi").over(Window.partitionBy("g").orderBy("_part"))
+        assert ends.withColumn("b", before).filter("b >= lo").count() == 0
+        got = exact_quantiles(df, ["g"], "v", probs, names=list("abcdef"), count_name="n").collect()
+    finally:
+        for k, x in former.items():
+            spark.conf.set(k, x)
+    want = {r.g: (r.p, r.n) for r in _percentiles(df, ["g"], probs).collect()}
+    assert {r.g: ([r[c] for c in "abcdef"], r.n) for r in got} == {k: (pytest.approx(p, rel=1e-12), n) for k, (p, n) in want.items()}
+    assert None in want and "empty" not in want and len(got) == len(want)
+    whole = exact_quantiles(df, [], "v", [0.5, 0.75], names=["m", "q"]).first()
+    assert [whole.m, whole.q] == pytest.approx(_percentiles(df, [], [0.5, 0.75]).first().p)
+    assert exact_quantiles(df.filter("g = 'empty'"), ["g"], "v", [0.5]).collect() == []
+    two = df.withColumn("h", F.col("v") > 300)
+    got = exact_quantiles(two, ["g", "h"], "v", [0.5], names=["m"]).collect()
+    assert {(r.g, r.h): r.m for r in got} == {(r.g, r.h): pytest.approx(r.p[0]) for r in _percentiles(two, ["g", "h"], [0.5]).collect()}
+
+
+def test_quantile_plan_counts_once_and_ranks_within_a_range(spark):
     from pricepanel.operators.quantiles import exact_quantiles
-    df = spark.range(20000).select((F.col("id") % 3).alias("g"),
-                                   F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.round(F.rand(7) * 100, 2))
-                                   .alias("v"))
-    probs = [0.1, 0.5, 0.9]
-    names = ["a", "b", "c"]
-    want = {r.g: list(r.q) for r in df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
-    for buckets in (3, 8, 128):
-        got = {r.g: [r.a, r.b, r.c] for r in exact_quantiles(df, ["g"], "v", probs, buckets=buckets,
-                                                             names=names).collect()}
-        assert got.keys() == want.keys()
-        for k in want:
-            assert all(abs(x - y) < 1e-9 for x, y in zip(got[k], want[k]))
-    whole = exact_quantiles(df, [], "v", [0.5], names=["m"]).first().m
-    assert abs(whole - df.agg(F.percentile("v", 0.5)).first()[0]) < 1e-9
+    df = spark.range(1000).selectExpr("id % 3 as g", "cast(id % 41 as double) as v")
+    plan = exact_quantiles(df, ["g"], "v", [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_v#") and "Aggregate [g#" in plan and "cartesian" not in plan.lower()
+    windows = [line for line in plan.splitlines() if "Window [sum(_c#" in line]
+    assert len(windows) == 1 and "_part#" in windows[0]
+    assert "Range (0, 1000" not in plan  # the counts are read from their table, not made again
+
+
+def test_old_scratch_tables_are_cleared(spark):
+    import os
+    import time
+    from pricepanel.sources.scratch import clear_scratch, scratch_root, scratch_table
+    clear_scratch(spark, 0)
+    old, new = scratch_table(spark.range(3).toDF("a"), "old"), scratch_table(spark.range(4).toDF("a"), "new")
+    folder = scratch_root(spark).removeprefix("file:")
+    name = next(n for n in os.listdir(folder) if n.startswith("old-"))
+    past = time.time() - 7200
+    os.utime(f"{folder}/{name}", (past, past))
+    assert clear_scratch(spark, 1) == 1 and new.count() == 4
+    assert [n[:4] for n in os.listdir(folder) if not n.startswith(".")] == ["new-"] and old is not None
