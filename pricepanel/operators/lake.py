@@ -1,15 +1,23 @@
-"""Lake maintenance operators (K1-K7, W4): dedupe, upsert, publish, manifest, upgrade."""
+"""Lake maintenance operators (K1-K7, W4): dedupe, upsert, publish, manifest, upgrade, verify.
+
+Lake, manifest and summary table are written as numbered deltas
+(``sources.deltas``): a writer that fails between two of them leaves every
+snapshot readable exactly once, and its next run finishes the work.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import quality_backfill
-from ..schema import LAKE_SCHEMA, LISTING_COLUMNS, LISTING_KEY, REGION_COLUMNS, SCHEMA_VERSION
-from ..sources.lake import is_committed, scan_prices, with_dt, write_lake
+from ..schema import (BASE_COLUMNS, LAKE_SCHEMA, LISTING_COLUMNS, LISTING_KEY, MANIFEST_SCHEMA, REGION_COLUMNS, SCHEMA_VERSION,
+                      STORED_SUMMARY_SCHEMA)
+from ..sources.deltas import DATES, ROWS, add_delta, fold, read_table
+from ..sources.lake import CLUSTER_COLUMNS, path_exists, scan_prices, with_dt
+from ..sources.scratch import scratch_table
 from .canonical import enrich_regions
 
 
@@ -52,21 +60,27 @@ def snapshot_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def row_digest() -> Column:
+    """A 64-bit hash of the observed columns of a listing, as a number that adds up exactly in any order."""
+    return F.xxhash64(*[F.col(c) for c in BASE_COLUMNS]).cast("decimal(20,0)")
+
+
 def snapshot_manifest(df: DataFrame, emitted_at=None, code_version: str = "", backfilled: bool = False) -> DataFrame:
-    """K7: provenance per snapshot: row count, sorted ``quality=n`` summary, version.
+    """K7: provenance per snapshot: row count, sorted ``quality=n`` summary, content digest, version.
 
     Two small aggregations: (timestamp, quality) counts, then one row per
     snapshot; the second works on at most |snapshots| x |tags| rows.
     """
-    per_tag = with_dt(df).groupBy("timestamp", "dt", "quality").agg(F.count(F.lit(1)).alias("n"))
+    per_tag = with_dt(df).groupBy("timestamp", "dt", "quality").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_digest()).alias("d"))
     out = per_tag.groupBy("timestamp", "dt").agg(
-        F.sum("n").alias("row_count"),
+        F.sum("n").alias("row_count"), F.sum("d").cast("string").alias("digest"),
         F.array_join(F.array_sort(F.collect_list(
             F.concat(F.coalesce(F.col("quality"), F.lit("null")), F.lit("="), F.col("n").cast("string")))), ",")
         .alias("quality_summary"),
     )
     return out.select(
-        "timestamp", "dt", "row_count", "quality_summary",
+        "timestamp", "dt", "row_count", "quality_summary", "digest",
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         (F.lit(emitted_at).cast("timestamp") if emitted_at is not None else F.current_timestamp()).alias("emitted_at"),
         F.lit(code_version).alias("code_version"),
@@ -79,50 +93,51 @@ def publish_new_snapshots(new: DataFrame, published_snapshots: DataFrame) -> Dat
     return new.join(published_snapshots.select("timestamp").distinct(), "timestamp", "left_anti")
 
 
-def _fresh(folder: str) -> str:
-    """A staging folder no other call has used."""
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest of the lake at ``root``: one row a snapshot, the newest that was written."""
+    return read_table(spark, f"{root}/manifest", MANIFEST_SCHEMA, ["timestamp"])
 
 
-def _replace_dates(spark, content: DataFrame, path: str, staging: str) -> DataFrame:
-    """Stage ``content`` in a folder of its own, then overwrite just its dates at ``path``; the staged rows."""
-    stage = _fresh(staging)
-    write_lake(content, stage, mode="overwrite", dynamic=False)
-    staged = scan_prices(spark, stage)
-    write_lake(staged, path, mode="overwrite", dynamic=True)
-    return staged
+def _note_snapshots(rows: DataFrame, root: str, **how) -> None:
+    manifest = snapshot_manifest(rows, **how).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA])
+    add_delta(manifest, f"{root}/manifest", ROWS)
 
 
 def publish_snapshots(spark, new: DataFrame, root: str, code_version: str = "") -> int:
-    """K3 sink: append the snapshots of ``new`` that the lake at ``root`` does not have yet.
+    """K3 sink: add the snapshots of ``new`` that the lake at ``root`` does not have yet.
 
     A snapshot is published once its manifest row is written, which comes
-    last; publishing the same input twice changes nothing. After a failure
-    between the two writes the next call replaces the rows of the snapshots
-    it publishes (by timestamp), so none is stored twice. Returns the number
-    of snapshots published.
+    last; publishing the same input twice changes nothing. Rows that a failed
+    call left of these snapshots are replaced with their whole dates. Returns
+    the number of snapshots published.
     """
-    from ..sources.lake import path_exists
-    manifest_path, prices_path = f"{root}/manifest", f"{root}/prices"
-    fresh = with_dt(new)
-    if path_exists(spark, manifest_path):
-        fresh = publish_new_snapshots(fresh, spark.read.parquet(manifest_path))
-    stage = _fresh(f"{root}/_publish_stage")
-    write_lake(fresh, stage, mode="overwrite", dynamic=False)
-    fresh = scan_prices(spark, stage)
-    stamps = fresh.select("timestamp", "dt").distinct()
+    prices_path = f"{root}/prices"
+    fresh = publish_new_snapshots(with_dt(new), read_manifest(spark, root)).select(*LISTING_COLUMNS, "dt")
+    fresh = scratch_table(fresh, "publish")
+    stamps = scratch_table(fresh.select("timestamp", "dt").distinct(), "publish-stamps")
     n = stamps.count()
     if n:
-        content = fresh.select(*LISTING_COLUMNS, "dt")
-        if path_exists(spark, prices_path):
-            old = (scan_prices(spark, prices_path).join(stamps.select("dt").distinct(), "dt", "left_semi")
-                   .join(stamps.select("timestamp"), "timestamp", "left_anti"))
-            content = old.select(*LISTING_COLUMNS, "dt").unionByName(content)
-        _replace_dates(spark, content, prices_path, f"{root}/_publish_stage")
-        snapshot_manifest(fresh, code_version=code_version).write.mode("append").parquet(manifest_path)
+        there = scan_prices(spark, prices_path).join(stamps.select("dt").distinct(), "dt", "left_semi")
+        if there.join(stamps.select("timestamp"), "timestamp", "left_semi").isEmpty():
+            add_delta(fresh, prices_path, ROWS, CLUSTER_COLUMNS)
+        else:
+            other = there.join(stamps.select("timestamp"), "timestamp", "left_anti")
+            add_delta(other.select(*LISTING_COLUMNS, "dt").unionByName(fresh), prices_path, DATES, CLUSTER_COLUMNS)
+        _note_snapshots(fresh, root, code_version=code_version)
     return n
 
 
+def verify_lake(spark, root: str) -> DataFrame:
+    """K7: per snapshot of the manifest whether the lake still holds the rows it was written with.
+
+    One aggregation over the observed columns; a snapshot that is gone counts as changed."""
+    now = with_dt(scan_prices(spark, f"{root}/prices")).groupBy("timestamp").agg(
+        F.count(F.lit(1)).alias("rows_now"), F.sum(row_digest()).cast("string").alias("digest_now"))
+    return read_manifest(spark, root).join(now, "timestamp", "left").select(
+        "timestamp", "row_count", F.coalesce("rows_now", F.lit(0)).alias("rows_now"),
+        F.col("digest").eqNullSafe(F.col("digest_now")).alias("intact"))
+
+
 def emit_latest(df: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
     """K4: only the newest snapshot of ``df``.
 
@@ -165,17 +180,17 @@ def upsert_latest_wins(existing: DataFrame, incoming: DataFrame, sequence: str |
     return dedupe_latest(old.unionByName(inc), ["_seq"]).drop("_seq")
 
 
-def upsert_into_lake(spark, lake_path: str, incoming: DataFrame, staging_path: str, sequence: str | None = None) -> int:
-    """K1 sink: stage the merged partitions in a fresh folder, then overwrite just those ``dt``s.
+def upsert_into_lake(spark, lake_path: str, incoming: DataFrame, sequence: str | None = None) -> int:
+    """K1 sink: write ``incoming`` as one delta of the lake, of several rows of a key the last.
 
-    Staging first means a failed job leaves the lake untouched, and a staging
-    path may be used again. Returns the number of rows received (statements,
-    not net rows: D6).
+    Only the incoming rows are written: a late key costs a small file in its date, not the date. Readers let
+    the newest delta win; ``compact`` folds deltas in. Returns the rows received (statements, not net rows: D6).
     """
-    existing = scan_prices(spark, lake_path) if is_committed(spark, lake_path) else spark.createDataFrame([], LAKE_SCHEMA)
-    received = incoming.count()
-    _replace_dates(spark, upsert_latest_wins(existing, incoming, sequence), lake_path, staging_path)
-    return received
+    order = F.col(sequence) if sequence else F.monotonically_increasing_id()
+    numbered = with_dt(incoming).select(*LISTING_COLUMNS, "dt", order.alias("_seq"))
+    rows = scratch_table(numbered, "upsert")
+    add_delta(dedupe_latest(rows, ["_seq"]).drop("_seq"), lake_path, ROWS, CLUSTER_COLUMNS)
+    return rows.count()
 
 
 def list_old_vintage(raw: DataFrame) -> DataFrame:
@@ -205,43 +220,45 @@ def upgrade_schema(raw: DataFrame, regions: DataFrame) -> DataFrame:
     return r.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LAKE_SCHEMA.fields])
 
 
+_RUN = "run string, dt date"
+
+
+def _unfinished(spark, root: str) -> DataFrame:
+    """(run, dt) of upgrades that began and did not get to the end."""
+    begun, ended = f"{root}/_upgrades/begun", f"{root}/_upgrades/ended"
+    runs = spark.read.schema(_RUN).parquet(begun) if path_exists(spark, begun) else spark.createDataFrame([], _RUN)
+    if path_exists(spark, ended):
+        runs = runs.join(spark.read.schema("run string").parquet(ended), "run", "left_anti")
+    return runs
+
+
 def upgrade_lake(spark, root: str, regions: DataFrame, dry_run: bool = False, code_version: str = "") -> list:
-    """K6 sink: upgrade the old-vintage ``dt``s of the lake at ``root`` in place.
+    """K6 sink: upgrade the old-vintage ``dt``s of the lake at ``root``.
 
-    ``dry_run`` only lists them. Otherwise their rows are rewritten at v1.1
-    (staged first, then a dynamic overwrite of just those ``dt``s) and their
-    manifest rows are replaced by new ones marked ``backfilled``. A second
-    run finds nothing to do.
+    ``dry_run`` only lists them. Otherwise their rows are written at v1.1 as one
+    delta of whole dates, then their manifest rows, marked ``backfilled``. The
+    dates are noted before and ticked off after, so a failed upgrade is finished
+    by the next run; a run after that finds nothing to do.
     """
-    from ..sources.lake import path_exists
-    prices_path, manifest_path, pending_path = f"{root}/prices", f"{root}/manifest", f"{root}/_upgrade_pending"
+    prices_path = f"{root}/prices"
     raw = scan_prices(spark, prices_path, merge_schema=True)
-    # The report: one date per old partition (bounded by the calendar). It is
-    # fixed here, because the lake it was read from is rewritten below.
-    old = {r.dt for r in list_old_vintage(raw).collect()}
-    if path_exists(spark, pending_path):  # an upgrade that failed before its manifest was written
-        old |= {r.dt for r in spark.read.parquet(pending_path).collect()}
-    old = sorted(old)
+    left = _unfinished(spark, root).collect()  # a row a date, bounded by the calendar, like the report below
+    old = sorted({r.dt for r in list_old_vintage(raw).collect()} | {r.dt for r in left})
     if dry_run or not old:
         return old
-    dates = "dt date"
-    spark.createDataFrame([(d,) for d in old], dates).write.mode("overwrite").parquet(pending_path)
-    old_dts = spark.createDataFrame([(d,) for d in old], dates)
-    staged = _replace_dates(spark, upgrade_schema(raw.join(old_dts, "dt", "left_semi"), regions), prices_path,
-                            f"{root}/_upgrade_stage")
-    fresh = snapshot_manifest(staged, code_version=code_version, backfilled=True)
-    if path_exists(spark, manifest_path):
-        fresh = spark.read.parquet(manifest_path).join(old_dts, "dt", "left_anti").unionByName(fresh)
-    stage = _fresh(f"{root}/_manifest_stage")
-    fresh.write.parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(manifest_path)
-    spark.createDataFrame([], dates).write.mode("overwrite").parquet(pending_path)
+    run = uuid.uuid4().hex
+    spark.createDataFrame([(run, d) for d in old], _RUN).write.mode("append").parquet(f"{root}/_upgrades/begun")
+    dates = F.col("dt").isin([F.lit(d) for d in old])
+    add_delta(upgrade_schema(raw.filter(dates), regions), prices_path, DATES, CLUSTER_COLUMNS)
+    _note_snapshots(scan_prices(spark, prices_path).filter(dates), root, code_version=code_version, backfilled=True)
+    done = {run} | {r.run for r in left}
+    spark.createDataFrame([(x,) for x in sorted(done)], "run string").write.mode("append").parquet(f"{root}/_upgrades/ended")
     return old
 
 
-def compact(spark, path: str, staging: str, first: str, last: str) -> None:
-    """Rewrite the dates from ``first`` to ``last`` into fewer, larger files (staged, then just those dates)."""
-    _replace_dates(spark, scan_prices(spark, path).filter(F.col("dt").between(first, last)), path, staging)
+def compact(spark, path: str, first: str, last: str) -> None:
+    """Fold the deltas of the dates from ``first`` to ``last`` in, and write these dates in fewer, larger files."""
+    fold(spark, path, LAKE_SCHEMA, LISTING_KEY, first, last, CLUSTER_COLUMNS)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -252,19 +269,13 @@ def export_csv(df: DataFrame, path: str) -> None:
 def write_snapshot_summary(spark, listings: DataFrame, path: str) -> int:
     """K2 sink: store one summary row per snapshot of ``listings``, replacing those of the same snapshots.
 
-    The table is partitioned by date; only the touched dates are rewritten. Returns the snapshots written.
-    """
-    from ..sources.lake import path_exists
+    Returns the snapshots written."""
     new = snapshot_summary(listings).withColumn("dt", F.to_date("timestamp"))
-    stage = _fresh(f"{path.rstrip('/')}_stage")
-    new.write.parquet(f"{stage}/new")
-    new = spark.read.parquet(f"{stage}/new")
-    merged = new
-    if path_exists(spark, path):
-        stored = spark.read.schema(new.schema).parquet(path)
-        merged = (stored.join(new.select("dt").distinct(), "dt", "left_semi")
-                  .join(new.select("timestamp"), "timestamp", "left_anti").select(*new.columns).unionByName(new))
-    merged.write.parquet(f"{stage}/merged")
-    (spark.read.parquet(f"{stage}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt").parquet(path))
+    new = scratch_table(new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_SUMMARY_SCHEMA]), "summary")
+    add_delta(new, path, ROWS)
     return new.count()
+
+
+def read_snapshot_summary(spark, path: str) -> DataFrame:
+    """The stored summaries, with their ``dt``."""
+    return read_table(spark, path, STORED_SUMMARY_SCHEMA, ["timestamp"])

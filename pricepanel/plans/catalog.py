@@ -275,14 +275,14 @@ def _k2(p):
 
 def _stored_summary(s, d, days: int | None = None) -> DataFrame:
     """The stored snapshot summaries, written by two overlapping upserts; only the dates of the last ``days``."""
-    from ..operators.lake import write_snapshot_summary
+    from ..operators.lake import read_snapshot_summary, write_snapshot_summary
     root = f"{_root(s, d)}/summary"
     if not is_committed(s, f"{root}/done"):
         p = L(s, d)
         write_snapshot_summary(s, p.prices.filter(F.col("dt") < "1999-01-01"), f"{root}/table")
         write_snapshot_summary(s, p.prices.filter(F.col("dt") >= "1998-06-01"), f"{root}/table")
         s.range(1).write.mode("overwrite").parquet(f"{root}/done")
-    table = s.read.parquet(f"{root}/table")
+    table = read_snapshot_summary(s, f"{root}/table")
     if days is not None:
         table = table.filter(F.col("dt") >= F.date_sub(L(s, d).snapshots.select(F.max("dt")).scalar(), days + 1))
     return table.drop("dt")
@@ -855,7 +855,7 @@ SELECT DISTINCT timestamp, CAST(timestamp AS DATE) AS day, 'dt=' || strftime(tim
 from ..operators import lake as lakeops  # noqa: E402
 from ..operators.canonical import canonical_prices, migrate_defaults  # noqa: E402
 from ..schema import BASE_COLUMNS, LISTING_COLUMNS  # noqa: E402
-from ..sources.lake import scan_prices  # noqa: E402
+from ..sources.lake import scan_prices, write_lake  # noqa: E402
 from ..sources.regions_file import load_regions, write_regions  # noqa: E402
 
 OLD_BEFORE = "1998-01-01"
@@ -956,6 +956,24 @@ def _incoming(p):
     return changed.unionByName(new)
 
 
+def _merge_lake(s, d, name: str, compacted: bool) -> str:
+    """A copy of the lake that took the newest snapshot twice more: at wrong prices, then as it is re-sent."""
+    path = f"{_root(s, d)}/{name}"
+    if not is_committed(s, f"{path}/_done"):
+        p = L(s, d)
+        write_lake(p.prices, path, dynamic=False)
+        lakeops.upsert_into_lake(s, path, p.latest().withColumn("price_per_hour", F.lit(-1.0)))
+        lakeops.upsert_into_lake(s, path, _incoming(p))
+        if compacted:
+            lakeops.compact(s, path, "1992-01-01", "2999-01-01")
+        s.range(1).write.mode("overwrite").parquet(f"{path}/_done")
+    return path
+
+
+def _touched(lake, p):
+    return lake.filter(F.col("dt") == p.snapshots.select(F.max("dt")).scalar()).select(*LISTING_COLUMNS, "dt")
+
+
 _LC = ", ".join(LISTING_COLUMNS)
 register("upsert_latest_wins", f1(f""",
 inc AS (SELECT {_LC.replace('price_per_hour', 'CASE WHEN gpu_count % 2 = 0 THEN price_per_hour * 1.1 ELSE price_per_hour END AS price_per_hour')}, dt
@@ -968,7 +986,15 @@ SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.timestamp = old.
   AND inc.provider = old.provider AND inc.instance_type = old.instance_type AND inc.region = old.region
   AND inc.is_spot = old.is_spot)
 UNION ALL SELECT * FROM inc"""))(
-    lambda s, d: lakeops.upsert_latest_wins(scan_prices(s, f"{_root(s, d)}/prices"), _incoming(L(s, d))))
+    lambda s, d: _touched(scan_prices(s, _merge_lake(s, d, "merge_lake", compacted=False)), L(s, d)))
+register("upsert_compacted", ORACLES["upsert_latest_wins"])(
+    lambda s, d: _touched(scan_prices(s, _merge_lake(s, d, "compacted_lake", compacted=True)), L(s, d)))
+register("upsert_whole_lake", f1(f"""
+SELECT {_LC.replace('price_per_hour', f'CASE WHEN {LATEST} AND gpu_count % 2 = 0 THEN price_per_hour * 1.1 ELSE price_per_hour END AS price_per_hour')}, dt
+FROM prices
+UNION ALL
+SELECT {_LC.replace('instance_type', "instance_type || '-new' AS instance_type")}, dt FROM prices WHERE {LATEST}"""))(
+    lambda s, d: scan_prices(s, _merge_lake(s, d, "merge_lake", compacted=False)))
 
 
 def _regions_csv(s, d):
@@ -1006,7 +1032,8 @@ def _stream_root(s, d) -> str:
                                               lambda b: streams.prepare_listings(b, regions), ["seq_a", "seq_b"],
                                               wait=False),
             lambda: streams.run_summary_stream(s, land, f"{root}/summary", f"{root}/ck_summary", wait=False),
-            lambda: streams.run_dedupe_stream(s, land, f"{root}/dedupe", f"{root}/ck_dedupe", wait=False),
+            lambda: streams.run_dedupe_stream(s, land, f"{root}/dedupe", f"{root}/ck_dedupe", ["seq_a", "seq_b"],
+                                              wait=False),
         ]
         streams.land_in_halves(s, raw, land, F.lit(STREAM_CUT).cast("timestamp"), runs)
         s.createDataFrame([(run,)], "run string").write.mode("overwrite").parquet(f"{base}/_done")
@@ -1022,13 +1049,11 @@ register("stream_snapshot_summary", f2("""
                CAST(COUNT(DISTINCT gpu_type) AS INTEGER) AS gpu_types_count,
                MIN(price_per_hour) AS min_price, MAX(price_per_hour) AS max_price,
                round(AVG(price_per_hour), 6) AS avg_price FROM raw GROUP BY timestamp)
-SELECT * FROM k WHERE window_end <= (SELECT MAX(timestamp) FROM raw) - INTERVAL 1 DAY"""))(
+SELECT * FROM k"""))(
     lambda s, d: streams.read_summary_sink(s, f"{_stream_root(s, d)}/summary"))
 
-register("stream_dedupe", f2("""
-SELECT DISTINCT timestamp, provider, instance_type, region, is_spot FROM raw"""))(
-    lambda s, d: s.read.parquet(f"{_stream_root(s, d)}/dedupe").select(
-        "timestamp", "provider", "instance_type", "region", "is_spot"))
+register("stream_dedupe", f2(f"SELECT {', '.join(BASE_COLUMNS)} FROM prices"))(
+    lambda s, d: s.read.parquet(f"{_stream_root(s, d)}/dedupe").select(*BASE_COLUMNS))
 
 
 # ============================== chart inputs (T2, P12) =======================

@@ -28,7 +28,7 @@ from ..sources.tables import source_fingerprint
 _PKG = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _CODE_FILES = ["sources/panel.py", "operators/canonical.py", "operators/lake.py", "sources/lake.py",
                "functions/columns.py", "plans/pipeline.py", "plans/catalog.py", "operators/regions.py", "schema.py",
-               "streaming/snapshots.py"]
+               "streaming/snapshots.py", "sources/deltas.py"]
 _KINDS = {
     "listings": (["lineitem", "part", "supplier", "nation", "region"], listing_panel_raw, F1_SEQUENCE),
     "events": (["events"], events_panel_raw, F2_SEQUENCE),

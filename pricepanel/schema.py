@@ -69,3 +69,17 @@ SNAPSHOT_METADATA_SCHEMA = T.StructType([
     T.StructField("providers", T.ArrayType(T.StringType()), True),
     T.StructField("gpu_types", T.ArrayType(T.StringType()), True),
 ])
+
+# Snapshot summary as stored, and the manifest (provenance per snapshot); ``dt`` is the Hive partition.
+STORED_SUMMARY_SCHEMA = T.StructType(SNAPSHOT_SUMMARY_SCHEMA.fields + [T.StructField("dt", T.DateType(), True)])
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("timestamp", T.TimestampType(), False),
+    T.StructField("row_count", T.LongType(), True),
+    T.StructField("quality_summary", T.StringType(), True),
+    T.StructField("digest", T.StringType(), True),
+    T.StructField("schema_version", T.StringType(), True),
+    T.StructField("emitted_at", T.TimestampType(), True),
+    T.StructField("code_version", T.StringType(), True),
+    T.StructField("backfilled", T.BooleanType(), True),
+    T.StructField("dt", T.DateType(), True),
+])

@@ -1,7 +1,7 @@
 """The listing lake: Hive-partitioned (``dt=YYYY-MM-DD``) zstd Parquet.
 
-Writes are partition-scoped (dynamic partition overwrite), so re-running a
-snapshot rewrites only its own ``dt`` and leaves the rest untouched.
+A fresh lake is written as a whole; later writes are numbered deltas that
+readers merge by key (``deltas``), so no stored file is ever overwritten.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import LAKE_SCHEMA, LISTING_COLUMNS
+from ..schema import LAKE_SCHEMA, LISTING_COLUMNS, LISTING_KEY
+from .deltas import read_table
 
 # Columns the files are clustered by inside each dt, so Parquet min/max
 # statistics can skip row groups for the usual gpu_type/provider filters.
@@ -59,8 +60,6 @@ def write_lake(df: DataFrame, path: str, mode: str = "overwrite", num_partitions
 
 
 def scan_prices(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
-    """Scan the lake. With the declared schema absent columns read as NULL;
+    """Scan the lake, its deltas merged in. With the declared schema absent columns read as NULL;
     ``merge_schema=True`` instead discovers which vintages are present."""
-    if merge_schema:
-        return spark.read.option("mergeSchema", "true").parquet(root)
-    return spark.read.schema(LAKE_SCHEMA).parquet(root)
+    return read_table(spark, root, LAKE_SCHEMA, LISTING_KEY, merge_schema)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators.lake import dedupe_latest
 from ..schema import LISTING_COLUMNS, LISTING_KEY
-from ..sources.lake import path_exists, scan_prices, write_lake
+from ..sources.lake import path_exists
 
 
 def landing_schema(spark: SparkSession, landing: str) -> T.StructType:
@@ -22,24 +22,33 @@ def landing_schema(spark: SparkSession, landing: str) -> T.StructType:
     return spark.read.parquet(landing).schema
 
 
-def upsert_batch(spark: SparkSession, batch: DataFrame, target: str, staging: str, seq_cols: list[str]) -> None:
-    """Merge one micro-batch into ``target``: for each key the row with the highest
-    sequence wins, across the batch and what is already stored.
+def _write_dates(spark: SparkSession, rows: DataFrame, target: str, staging: str, *cluster: str) -> None:
+    """Stage ``rows``, then overwrite just their ``dt``s of ``target``."""
+    rows.write.mode("overwrite").parquet(staging)
+    (spark.read.schema(rows.schema).parquet(staging).hint("rebalance", "dt").sortWithinPartitions("dt", *cluster)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(target))
+
+
+def upsert_rows(spark: SparkSession, rows: DataFrame, target: str, staging: str, seq_cols: list[str]) -> None:
+    """Merge ``rows`` (with ``dt``) into ``target``: for each listing key the row with the highest
+    sequence wins, across the rows and what is already stored.
 
-    Only the ``dt`` partitions the batch touches are read and rewritten; the
+    Only the ``dt`` partitions the rows touch are read and rewritten; the
     merged rows are staged first so a failed batch leaves the target intact
     and a replayed batch produces the same partitions (idempotent).
     """
-    cols = LISTING_COLUMNS + seq_cols + ["dt"]
-    inc = batch.withColumn("dt", F.to_date("timestamp")).select(*cols)
+    merged = rows
     if path_exists(spark, target):
-        touched = inc.select("dt").distinct()
-        old = spark.read.parquet(target).join(F.broadcast(touched), "dt", "left_semi").select(*cols)
-        inc = old.unionByName(inc)
-    merged = dedupe_latest(inc, seq_cols, key=LISTING_KEY)
-    merged.write.mode("overwrite").parquet(staging)
-    (spark.read.parquet(staging).hint("rebalance", "dt").sortWithinPartitions("dt", "gpu_type", "provider")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(target))
+        touched = rows.select("dt").distinct()
+        old = spark.read.schema(rows.schema).parquet(target).join(F.broadcast(touched), "dt", "left_semi")
+        merged = old.select(*rows.columns).unionByName(rows)
+    _write_dates(spark, dedupe_latest(merged, seq_cols, key=LISTING_KEY), target, staging, "gpu_type", "provider")
+
+
+def upsert_batch(spark: SparkSession, batch: DataFrame, target: str, staging: str, seq_cols: list[str]) -> None:
+    """``upsert_rows`` of one prepared micro-batch of listings."""
+    rows = batch.withColumn("dt", F.to_date("timestamp")).select(*LISTING_COLUMNS, *seq_cols, "dt")
+    upsert_rows(spark, rows, target, staging, seq_cols)
 
 
 def run_ingest_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, prepare,
@@ -67,37 +76,88 @@ def read_stream_target(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).select(*LISTING_COLUMNS, "dt")
 
 
-def run_summary_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                       delay: str = "1 day", slot: str = "12 hours", wait: bool = True):
-    """ST2: per 12-hour window snapshot summaries, emitted once the watermark closes the window."""
+_CELL = ["window_start", "provider", "gpu_type"]
+
+
+def update_windows(spark: SparkSession, batch: DataFrame, batch_id: int, sink: str, staging: str, slot: str) -> None:
+    """ST2, one micro-batch: store its cells, then recompute every window it touches from the stored cells.
+
+    A cell is (window, provider, type) with count, least, greatest and sum: cells of all batches merge into the
+    exact summary of a window, distinct counts included, so a late row changes its window like any other and a
+    window never closes. The cells of a batch lie in a folder of its own that a replay writes again, and the
+    recomputed windows replace those of the same start: both steps may be repeated.
+    """
+    start = F.window("timestamp", slot).getField("start")
+    cells = batch.groupBy(start.alias("window_start"), "provider", "gpu_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("price_per_hour").alias("lo"), F.max("price_per_hour").alias("hi"),
+        F.sum("price_per_hour").alias("s")).withColumn("dt", F.to_date("window_start"))
+    own = f"{sink}/cells/batch={batch_id}"
+    (cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(own))
+    stored = spark.read.schema(T.StructType([*cells.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{sink}/cells")
+    mine = stored.filter(F.col("batch") == batch_id)
+    touched = mine.select("dt", "window_start").distinct()
+    merged = stored.join(F.broadcast(mine.select("dt").distinct()), "dt", "left_semi").join(
+        touched, ["dt", "window_start"], "left_semi").groupBy("dt", *_CELL).agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("s").alias("s"))
+    windows = merged.groupBy("dt", "window_start").agg(
+        F.sum("n").alias("total_instances"), F.count_distinct("provider").cast("int").alias("providers_count"),
+        F.count_distinct("gpu_type").cast("int").alias("gpu_types_count"), F.min("lo").alias("min_price"),
+        F.max("hi").alias("max_price"), F.round(F.sum("s") / F.sum("n"), 6).alias("avg_price"))
+    windows = windows.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {slot}")).select(*_WINDOW, "dt")
+    table = f"{sink}/windows"
+    if path_exists(spark, table):
+        old = spark.read.schema(windows.schema).parquet(table).join(
+            F.broadcast(mine.select("dt").distinct()), "dt", "left_semi").join(touched, ["dt", "window_start"], "left_anti")
+        windows = old.select(*windows.columns).unionByName(windows)
+    _write_dates(spark, windows, table, staging, "window_start")
+
+
+_WINDOW = ["window_start", "window_end", "total_instances", "providers_count", "gpu_types_count", "min_price", "max_price",
+           "avg_price"]
+
+
+def run_summary_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, slot: str = "12 hours",
+                       wait: bool = True):
+    """ST2: summaries of all 12-hour windows, each updated by every batch that holds rows of it.
+
+    No row is too late and the newest window is there. A sink belongs to one checkpoint (batch numbers)."""
     stream = spark.readStream.schema(landing_schema(spark, landing)).parquet(landing)
-    agg = (stream.withWatermark("timestamp", delay)
-           .groupBy(F.window("timestamp", slot).alias("w"))
-           .agg(F.count(F.lit(1)).alias("total_instances"),
-                F.size(F.collect_set("provider")).alias("providers_count"),
-                F.size(F.collect_set("gpu_type")).alias("gpu_types_count"),
-                F.min("price_per_hour").alias("min_price"), F.max("price_per_hour").alias("max_price"),
-                F.sum("price_per_hour").alias("sum_price"))
-           .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                   "total_instances", "providers_count", "gpu_types_count", "min_price", "max_price", "sum_price"))
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    staging = checkpoint.rstrip("/") + "_staging"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        update_windows(spark, batch, batch_id, sink, f"{staging}/{batch_id}", slot)
+
+    q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     return _finish(q, wait)
 
 
 def read_summary_sink(spark: SparkSession, sink: str) -> DataFrame:
-    s = spark.read.parquet(sink)
-    return s.select("window_start", "window_end", "total_instances", "providers_count", "gpu_types_count",
-                    "min_price", "max_price", F.round(F.col("sum_price") / F.col("total_instances"), 6).alias("avg_price"))
+    return spark.read.parquet(f"{sink}/windows").select(*_WINDOW)
 
 
-def run_dedupe_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, delay: str = "1 day",
-                      wait: bool = True):
-    """ST3: drop repeated keys within the watermark (keeps one arbitrary row per key)."""
-    stream = spark.readStream.schema(landing_schema(spark, landing)).parquet(landing)
-    out = stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(LISTING_KEY)
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def run_dedupe_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, seq_cols: list[str],
+                      delay: str = "1 day", wait: bool = True):
+    """ST3: last write wins: per listing key the row of the greatest sequence, whole.
+
+    Keyed state holds the greatest row of every key until the watermark passes its timestamp (rows later than that
+    are the ingest stream's, ST1); a batch hands on the keys it changed, and a keyed upsert stores them, so the
+    newest snapshot is there and a replay changes nothing. The state is an aggregation (``max_by`` of the row), so
+    it stays in the JVM and in the state store, without a Python call per key.
+    """
+    schema = landing_schema(spark, landing)
+    rest = [c for c in schema.names if c not in LISTING_KEY]
+    stream = spark.readStream.schema(schema).parquet(landing)
+    last = stream.withWatermark("timestamp", delay).groupBy(*LISTING_KEY).agg(
+        F.max_by(F.struct(*rest), F.struct(*seq_cols)).alias("row"))
+    staging = checkpoint.rstrip("/") + "_staging"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*LISTING_KEY, "row.*").select(*schema.names).withColumn("dt", F.to_date("timestamp"))
+        upsert_rows(spark, rows, sink, f"{staging}/{batch_id}", seq_cols)
+
+    q = (last.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     return _finish(q, wait)
 
 

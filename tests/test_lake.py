@@ -23,9 +23,9 @@ def test_upsert_twice_equals_once(spark, tmpdir_path):
     write_lake(base, lake, dynamic=False)
     latest = p.prices.filter(F.col("dt") == F.lit("1995-12-01").cast("date"))
     incoming = latest.withColumn("price_per_hour", F.col("price_per_hour") * 2)
-    n1 = K.upsert_into_lake(spark, lake, incoming, f"{tmpdir_path}/stage1")
+    n1 = K.upsert_into_lake(spark, lake, incoming)
     once = _content(scan_prices(spark, lake))
-    n2 = K.upsert_into_lake(spark, lake, incoming, f"{tmpdir_path}/stage2")
+    n2 = K.upsert_into_lake(spark, lake, incoming)
     assert n1 == n2 == latest.count()
     assert _content(scan_prices(spark, lake)) == once
     # other partitions untouched, the touched one replaced
@@ -126,7 +126,7 @@ def test_publish_skips_already_published(spark, tmpdir_path):
     n3 = K.publish_snapshots(spark, more, root)                  # only the 1996 snapshots are new
     assert (n1, n2) == (12, 0) and n3 == 12
     assert _content(scan_prices(spark, f"{root}/prices")) == _content(more)
-    assert spark.read.parquet(f"{root}/manifest").count() == 24
+    assert K.read_manifest(spark, root).count() == 24
 
 
 def test_upgrade_lake_in_place_marks_backfilled(spark, tmpdir_path):
@@ -142,7 +142,7 @@ def test_upgrade_lake_in_place_marks_backfilled(spark, tmpdir_path):
     assert K.upgrade_lake(spark, root, p.regions) == []                      # idempotent
     lake = scan_prices(spark, f"{root}/prices")
     assert lake.filter(F.col("quality").isNull()).count() == 0
-    man = spark.read.parquet(f"{root}/manifest")
+    man = K.read_manifest(spark, root)
     assert man.filter("backfilled").count() == 3 and man.count() == 12
     assert man.agg(F.sum("row_count")).first()[0] == lake.count()
 
@@ -169,26 +169,26 @@ def _two(p, spark):
 
 def test_first_upsert_keeps_the_last_row_of_a_key(spark, tmpdir_path):
     rows = _two(panel(spark, SF_SMALL), spark)
-    assert K.upsert_into_lake(spark, f"{tmpdir_path}/lake", rows, f"{tmpdir_path}/stage") == 3
+    assert K.upsert_into_lake(spark, f"{tmpdir_path}/lake", rows) == 3
     stored = scan_prices(spark, f"{tmpdir_path}/lake")
     assert stored.count() == 2 and stored.filter("price_per_hour = 2.0").count() == 1
     # an explicit sequence decides instead of the order of the frame
     numbered = rows.withColumn("at", -F.monotonically_increasing_id())
-    K.upsert_into_lake(spark, f"{tmpdir_path}/lake", numbered, f"{tmpdir_path}/stage", sequence="at")
+    K.upsert_into_lake(spark, f"{tmpdir_path}/lake", numbered, sequence="at")
     stored = scan_prices(spark, f"{tmpdir_path}/lake")
     assert stored.count() == 2 and stored.filter("price_per_hour = 1.0").count() == 1
 
 
-def test_a_staging_folder_used_again_restores_nothing(spark, tmpdir_path):
+def test_the_newest_of_several_upserts_wins(spark, tmpdir_path):
     p = panel(spark, SF_SMALL)
-    lake, stage = f"{tmpdir_path}/lake", f"{tmpdir_path}/stage"
+    lake = f"{tmpdir_path}/lake"
     days = [F.lit(x).cast("date") for x in ("1995-05-01", "1995-06-01")]
     may, june = (p.prices.filter(F.col("dt") == x) for x in days)
-    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(1.0)), stage)
-    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(5.0)), f"{tmpdir_path}/other")
-    K.upsert_into_lake(spark, lake, june, stage)
+    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(1.0)))
+    K.upsert_into_lake(spark, lake, may.withColumn("price_per_hour", F.lit(5.0)))
+    K.upsert_into_lake(spark, lake, june)
     got = scan_prices(spark, lake).filter(F.col("dt") == days[0])
-    assert {r[0] for r in got.select("price_per_hour").distinct().collect()} == {5.0}
+    assert {r[0] for r in got.select("price_per_hour").distinct().collect()} == {5.0} and got.count() == may.count()
 
 
 def test_publish_after_a_failure_between_the_writes_duplicates_nothing(spark, tmpdir_path):
@@ -198,7 +198,7 @@ def test_publish_after_a_failure_between_the_writes_duplicates_nothing(spark, tm
     write_lake(early, f"{root}/prices", dynamic=False)             # prices written, manifest row absent
     assert K.publish_snapshots(spark, early, root) == 3
     assert scan_prices(spark, f"{root}/prices").count() == early.count()
-    assert spark.read.parquet(f"{root}/manifest").count() == 3
+    assert K.read_manifest(spark, root).count() == 3
 
 
 def test_upgrade_after_a_failure_before_the_manifest_marks_backfilled(spark, tmpdir_path, monkeypatch):
@@ -213,7 +213,7 @@ def test_upgrade_after_a_failure_before_the_manifest_marks_backfilled(spark, tmp
         K.upgrade_lake(spark, root, p.regions)
     monkeypatch.setattr(K, "snapshot_manifest", manifest)
     assert len(K.upgrade_lake(spark, root, p.regions)) == 2
-    assert spark.read.parquet(f"{root}/manifest").filter("backfilled").count() == 2
+    assert K.read_manifest(spark, root).filter("backfilled").count() == 2
     assert K.upgrade_lake(spark, root, p.regions) == []
 
 
@@ -223,7 +223,7 @@ def test_summary_table_is_upserted_by_snapshot(spark, tmpdir_path):
     path = f"{tmpdir_path}/summary"
     assert K.write_snapshot_summary(spark, early, path) == 5
     assert K.write_snapshot_summary(spark, early.filter("dt = '1995-03-01'").limit(1), path) == 1
-    got = {r.dt.month: r.total_instances for r in spark.read.parquet(path).collect()}
+    got = {r.dt.month: r.total_instances for r in K.read_snapshot_summary(spark, path).collect()}
     assert len(got) == 5 and got[3] == 1
 
 
@@ -235,7 +235,7 @@ def test_export_and_compact(spark, tmpdir_path):
     assert back.count() == latest_snapshot(p).count() and "price_per_gpu_hour" in back.columns
     write_lake(p.prices, f"{tmpdir_path}/lake", dynamic=False)
     before = _content(scan_prices(spark, f"{tmpdir_path}/lake"))
-    K.compact(spark, f"{tmpdir_path}/lake", f"{tmpdir_path}/stage", "1995-01-01", "1996-01-01")
+    K.compact(spark, f"{tmpdir_path}/lake", "1995-01-01", "1996-01-01")
     assert _content(scan_prices(spark, f"{tmpdir_path}/lake")) == before
 
 
