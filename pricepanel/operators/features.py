@@ -124,6 +124,68 @@ def within_day_fill(panel: Panel, step_hours: int = 12) -> DataFrame:
                     F.col("price").isNull().alias("was_missing"))
 
 
+def series_outages(panel: Panel, step_hours: int = 12, min_slots: int = 2) -> DataFrame:
+    """M6: the outages of every (gpu_type, provider) series: runs of at least ``min_slots`` slots without a price.
+
+    Gaps and islands: the listings are reduced to the slots of each series, and a run lies between two slots
+    that follow one another (``ended``), or between a series' last slot and the panel's end (still open).
+    A window holds the slots of one series, so it grows with the calendar, not with the listings."""
+    step = F.make_dt_interval(F.lit(0), F.lit(step_hours))
+    slots = ok(panel.prices).select("gpu_type", "provider", _slot(step_hours).alias("slot")).distinct()
+    end = panel.snapshots.select(F.max(_slot(step_hours))).scalar()
+    after = F.lead("slot").over(Window.partitionBy("gpu_type", "provider").orderBy("slot"))
+    runs = slots.withColumn("next", after).select(
+        "gpu_type", "provider", (F.col("slot") + step).alias("outage_start"),
+        F.coalesce("next", end + step).alias("outage_end"), F.col("next").isNotNull().alias("ended"))
+    missing = F.floor((F.unix_timestamp("outage_end") - F.unix_timestamp("outage_start")) / (step_hours * 3600))
+    return runs.withColumn("missing_slots", missing).filter(F.col("missing_slots") >= min_slots)
+
+
+def provider_pairs(panel: Panel, per_type: int = 8, named: list[str] | None = None, min_days: int = 3) -> DataFrame:
+    """M3: co-movement of pairs of providers, of every type: covariance and correlation of their daily mean $/GPU-h.
+
+    The ``per_type`` providers with the most listings of a type are paired (ties by name), or exactly the ``named``
+    ones, so a day of a type makes a bounded number of pairs. They come from one array a day, not from a join of
+    the series with itself, and the centred co-moments of a pair merge from task to task."""
+    daily = ok(panel.prices).groupBy("gpu_type", "provider", day().alias("day")).agg(
+        F.sum(ppgh()).alias("s"), F.count(ppgh()).alias("n")).filter("n > 0")
+    if named is not None:
+        chosen = daily.filter(F.col("provider").isin(*named))
+    else:
+        rank = F.row_number().over(Window.partitionBy("gpu_type").orderBy(F.col("listings").desc(), "provider"))
+        top = daily.groupBy("gpu_type", "provider").agg(F.sum("n").alias("listings")).withColumn("rank", rank).filter(
+            F.col("rank") <= per_type)
+        chosen = daily.join(top.select("gpu_type", "provider"), ["gpu_type", "provider"], "left_semi")
+    series = chosen.groupBy("gpu_type", "day").agg(F.array_sort(F.collect_list(
+        F.struct("provider", F.round(F.col("s") / F.col("n"), 9).alias("p")))).alias("v"))
+    pairs = F.flatten(F.transform("v", lambda a, i: F.transform(
+        F.slice("v", i + 2, F.size("v")), lambda b: F.struct(
+            a["provider"].alias("provider_a"), b["provider"].alias("provider_b"), a["p"].alias("pa"), b["p"].alias("pb")))))
+    moments = series.select("gpu_type", F.inline(pairs)).groupBy("gpu_type", "provider_a", "provider_b").agg(
+        F.count(F.lit(1)).alias("n_days"), F.covar_samp("pa", "pb").alias("cov"), F.corr("pa", "pb").alias("c"))
+    return moments.filter(F.col("n_days") >= min_days).select(
+        "gpu_type", "provider_a", "provider_b", "n_days", r6("cov").alias("covariance"),
+        r6(F.when(~F.isnan("c"), F.col("c"))).alias("correlation"))
+
+
+def feature_frame_hours(panel: Panel, step_hours: int = 12, lag_hours: int = 24, window_hours: int = 48) -> DataFrame:
+    """M5 on the clock: lags and rolling features that follow hours, not rows, across snapshots that are missing.
+
+    ``RANGE`` frames over the slot: the lag is the price exactly ``lag_hours`` before (NULL if that slot was not
+    collected), the rolling features cover the slots of the last ``window_hours`` that are there."""
+    snap = ok(panel.prices).groupBy("gpu_type", _slot(step_hours).alias("slot"), "provider").agg(
+        F.sum(ppgh()).alias("s"), F.count(F.lit(1)).alias("n")).groupBy("gpu_type", "slot").agg(
+        (F.sum("s") / F.sum("n")).alias("price"), F.sum("n").alias("listings"))
+    over = "OVER (PARTITION BY gpu_type ORDER BY slot RANGE BETWEEN INTERVAL {} HOURS PRECEDING AND {})"
+    lag = over.format(lag_hours, f"INTERVAL {lag_hours} HOURS PRECEDING")
+    roll = over.format(window_hours, "CURRENT ROW")
+    return snap.select(
+        "gpu_type", "slot", r6("price").alias("price"), "listings", r6(F.expr(f"max(price) {lag}")).alias("lag_price"),
+        F.expr(f"max(listings) {lag}").alias("lag_listings"), F.expr(f"count(price) {roll}").alias("rolling_slots"),
+        r6(F.expr(f"avg(price) {roll}")).alias("rolling_price"),
+        r6(F.try_divide(F.expr(f"stddev_samp(price) {roll}"), F.expr(f"avg(price) {roll}"))).alias("rolling_cv"))
+
+
 QUANTILES = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 

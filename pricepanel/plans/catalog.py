@@ -1087,3 +1087,6 @@ UNION ALL SELECT 'provider_share', provider, n FROM shares
 UNION ALL SELECT 'concentration', 'top3_share_pct', round(100 * sum(n) FILTER (place <= 3) / sum(n), 1) FROM ranked
 UNION ALL SELECT 'concentration', 'n_metros', count(*) FROM ranked"""))(
     lambda s, d: market.findings(L(s, d), LADDER, SAVINGS, G(s, d)))
+
+
+from . import extensions  # noqa: E402,F401  registers the queries built on the ones above
