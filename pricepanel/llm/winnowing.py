@@ -14,8 +14,9 @@ with the position (longer texts are hashed all the same; positions count modulo
 
 ``neighbours`` finds the next row by ascending id: rows are written once in ranges
 whose bounds come from the data, and a range is cut into blocks of ``BLOCK_ROWS``
-rows, whatever the ids are. Within a block the next row comes from a window, and
-only the last row of a block is joined with the head of the next block.
+rows, whatever the ids are. The first row of a block is also dealt to the block
+before, behind its last row, so the next row of every row comes from a window over
+one block and no text is joined.
 
 Defined results: null text is empty and has no entries (fingerprint ""); a
 likeness with an empty fingerprint is 0, of two empty ones 1; equal texts have
@@ -26,7 +27,7 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import documents, in_ranges, scratch
@@ -86,7 +87,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def neighbours(docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, text and ``next_text`` by ascending doc_id (after the last row: the first), with ``block`` and ``place``."""
+    """doc_id, text and ``next_text`` by ascending doc_id (after the last row: the first), with ``block`` and ``place``.
+
+    Rows marked ``guest`` stand for the first row of the next block."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumns({"_head": F.substring("text", 1, ORDER_CHARS), "_hash": F.xxhash64("text")})
     rows = in_ranges(rows, ["doc_id", "_head", "_hash"], folder, "ranges").drop("_head", "_hash")
@@ -99,25 +102,25 @@ def neighbours(docs: DataFrame, folder: str) -> DataFrame:
     before = last.select("part", F.coalesce(F.lag("last").over(in_order), F.last("last").over(
         in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
     heads = (rows.where(F.col("place") % BLOCK_ROWS == 0).join(before, "part")
-             .select(F.when(F.col("place") == 0, F.col("before")).otherwise(F.col("block") - 1).alias("block"),
-                     F.col("text").alias("head_text")))
-    ordered = Window.partitionBy("block").orderBy("place")
-    return (rows.drop("part").withColumn("lead_text", F.lead("text").over(ordered))
-            .join(heads, "block", "left"))
+             .withColumn("block", F.when(F.col("place") == 0, F.col("before")).otherwise(F.col("block") - 1)).drop("before"))
+    return (rows.withColumn("guest", F.lit(False)).unionByName(heads.withColumn("guest", F.lit(True)))
+            .withColumn("next_text", F.lead("text").over(_in_block())))
+
+
+def _in_block() -> WindowSpec:
+    return Window.partitionBy("block").orderBy("guest", "place")
 
 
 def fingerprints(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
     rows = neighbours(docs, folder or scratch(docs.sparkSession, "winnowing"))
-    following = F.coalesce("lead_text", "head_text")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"),
-                      F.substring(following, F.lit(1), half))
-    ordered = Window.partitionBy("block").orderBy("place")
-    rows = rows.select("doc_id", "block", "place", "text", "head_text", F.length("text").cast("long").alias("n_chars"),
+                      F.substring(F.col("next_text"), F.lit(1), half))
+    rows = rows.select("doc_id", "block", "place", "guest", F.length("text").cast("long").alias("n_chars"),
                        F.sha2(edited, 256).alias("edited_sha256"), entries(F.col("text")).alias("own"),
-                       entries(edited).alias("changed"))
-    rows = rows.withColumn("next_own", F.coalesce(F.lead("own").over(ordered), entries(F.col("head_text"))))
+                       F.when(~F.col("guest"), entries(edited)).alias("changed"))
+    rows = rows.withColumn("next_own", F.lead("own").over(_in_block())).where(~F.col("guest"))
     h = {c: hashes(F.col(c)) for c in ("own", "changed", "next_own")}
     rows = rows.select("doc_id", "n_chars", "edited_sha256", shown(F.col("own")).alias("fingerprint"),
                        shown(F.col("changed")).alias("edited_fingerprint"),
