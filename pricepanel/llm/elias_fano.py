@@ -81,26 +81,60 @@ def _unpack(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
     return (low | high) & np.uint64((1 << width) - 1)
 
 
+# place of the k-th one of a byte at [byte * 8 + k]
+_IN_BYTE = np.zeros(256 * 8, dtype=np.int64)
+for _byte in range(256):
+    for _k, _bit in enumerate([i for i in range(8) if _byte >> i & 1]):
+        _IN_BYTE[_byte * 8 + _k] = _bit
+_EACH = np.uint64(0x0101010101010101)
+_TOP = np.uint64(0x8080808080808080)
+_HINT = 64  # ones (or zeros) between two entries of a select hint
+_STEPS = 4  # words looked at after a hint before a binary search
+
+
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th one (from 0) of each 64-bit word, by halving."""
-    place = np.zeros(len(word), dtype=np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = word & np.uint64((1 << half) - 1)
-        n = np.bitwise_count(low).astype(np.int64)
-        right = k >= n
-        k = np.where(right, k - n, k)
-        place += np.where(right, half, 0)
-        word = np.where(right, word >> np.uint64(half), low)
-    return place
+    """Place of the k-th one (from 0) of each 64-bit word: by sums over its bytes, then a table."""
+    k = k.astype(np.uint64)
+    two = np.uint64(0x3333333333333333)
+    upto = word - ((word >> _ONE) & np.uint64(0x5555555555555555))
+    upto = (upto & two) + ((upto >> np.uint64(2)) & two)
+    upto = ((upto + (upto >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH  # byte i: ones in bytes 0 to i
+    # bytes whose ones all come before the k-th
+    shift = np.bitwise_count((((k * _EACH) | _TOP) - upto) & _TOP).astype(np.uint64) << np.uint64(3)
+    before = ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+    byte = (word >> shift) & np.uint64(255)
+    return shift.astype(np.int64) + _IN_BYTE[((byte << np.uint64(3)) | (k - before)).astype(np.int64)]
+
+
+def _hints(before: np.ndarray, total: int) -> np.ndarray:
+    """The word that holds every _HINT-th one, by the ones before each word (the last entry closes)."""
+    return (np.searchsorted(before, np.arange(0, total, _HINT), side="right") - 1).astype(np.uint32 if len(before) >> 32 == 0 else np.int64)
+
+
+def _word_with(before: np.ndarray, hint: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The word that holds the k-th one: from its hint on, and by binary search where that is far."""
+    word = hint[k >> 6].astype(np.int64)
+    last = len(before) - 1
+    live = np.flatnonzero(before[np.minimum(word + 1, last)] <= k)
+    for _ in range(_STEPS):
+        live = live[word[live] < last]
+        if not len(live):
+            return word
+        word[live] += 1
+        live = live[before[np.minimum(word[live] + 1, last)] <= k[live]]
+    if len(live):
+        word[live] = np.searchsorted(before, k[live], side="right") - 1
+    return word
 
 
 class EliasFano:
     """``size`` non-decreasing numbers below ``universe``."""
 
-    def __init__(self, size: int, universe: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
+    def __init__(self, size: int, universe: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, one_at: np.ndarray,
+                 zero_at: np.ndarray):
         self.size, self.universe = size, universe
         self.width = self._width(size, universe)
-        self.low, self.high, self.ones = low, high, ones
+        self.low, self.high, self.ones, self.one_at, self.zero_at = low, high, ones, one_at, zero_at
 
     @staticmethod
     def _width(size: int, universe: int) -> int:
@@ -116,30 +150,49 @@ class EliasFano:
         np.bitwise_or.at(bits, (at >> _SIX).astype(np.int64), _ONE << (at & _LOW6))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(bits), dtype=np.int64)[:-1]])
         low = _pack(values & np.uint64((1 << width) - 1), width)
-        return cls(len(values), universe, low, bits, ones)
+        zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
+        return cls(len(values), universe, low, bits, ones, _hints(ones, len(values)), _hints(zeros, 64 * len(bits) - len(values)))
 
     def save(self, folder: str, name: str) -> None:
         save_array(folder, f"{name}_low", self.low)
         save_array(folder, f"{name}_high", self.high)
         save_array(folder, f"{name}_ones", self.ones)
+        save_array(folder, f"{name}_one_at", self.one_at)
+        save_array(folder, f"{name}_zero_at", self.zero_at)
         save_array(folder, f"{name}_shape", np.array([self.size, self.universe], dtype=np.uint64))
 
     @classmethod
     def load(cls, folder: str, name: str) -> EliasFano:
         size, universe = map(int, load_array(folder, f"{name}_shape"))
-        return cls(size, universe, *(load_array(folder, f"{name}_{x}") for x in ("low", "high", "ones")))
+        return cls(size, universe, *(load_array(folder, f"{name}_{x}") for x in ("low", "high", "ones", "one_at", "zero_at")))
+
+    def _place(self, index: np.ndarray) -> np.ndarray:
+        """Bits of the ones of the numbers at the given places."""
+        word = _word_with(self.ones, self.one_at, index)
+        return word * 64 + _select_in_word(self.high[word], index - self.ones[word])
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """The numbers at the given places."""
-        word = np.searchsorted(self.ones, index, side="right") - 1
-        place = word * 64 + _select_in_word(self.high[word], index - self.ones[word])
+        return self._value(index, self._place(index))
+
+    def _value(self, index: np.ndarray, place: np.ndarray) -> np.ndarray:
         return ((place - index).astype(np.uint64) << np.uint64(self.width)) | _unpack(self.low, index, self.width)
 
+    def neighbours(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at the given places and at the places after them."""
+        place = self._place(index)
+        # the next one mostly lies in the same word
+        rest = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) >> _ONE
+        after = place + 1 + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._place(index[far] + 1)
+        return self._value(index, place), self._value(index + 1, after)
+
     def _bucket(self, top: np.ndarray) -> np.ndarray:
         """Bit after the zero that closes the numbers with high parts below ``top``."""
         k = np.maximum(top - 1, 0)
         zeros = self._zeros()
-        word = np.searchsorted(zeros, k, side="right") - 1
+        word = _word_with(zeros, self.zero_at, k)
         place = word * 64 + _select_in_word(~self.high[word], k - zeros[word])
         return np.where(top > 0, place + 1, 0)
 

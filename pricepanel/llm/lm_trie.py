@@ -48,7 +48,8 @@ FOLDS, HELD_OUT = 7, 2
 ORDER = 3
 MIN_COUNTS = (1, 1, 1)  # nothing is pruned
 DISCOUNT = 0.7
-PART_TOKENS = 4_000_000
+PART_TOKENS = 2_000_000
+OPEN_ARRAYS = 4096  # arrays and sequences a task keeps open
 _KEY_BITS = 63
 _END = 0x3C6EF372FE94F82A  # key of the end token: a constant of its own
 _STEP = 4096  # codes a unit of log10
@@ -114,19 +115,23 @@ class Trie:
     def __init__(self, model: Model):
         self.model = model
         self.first = [np.concatenate([[0], np.cumsum(n)]) for n in model.sizes]
-        self.open: dict[tuple, object] = {}
+        self.open: dict[tuple, object] = {}  # least recently used first
 
-    def _array(self, level: int, shard: int, name: str) -> np.ndarray:
+    def _opened(self, level: int, shard: int, name: str, load):
         key = (level, shard, name)
-        if key not in self.open:
-            self.open[key] = load_array(f"{self.model.folder}/level{level}/{shard}", name)
-        return self.open[key]
+        got = self.open.pop(key, None)
+        if got is None:
+            while len(self.open) >= OPEN_ARRAYS:  # maps of a process, and memory where arrays are fetched, are bounded
+                self.open.pop(next(iter(self.open)))
+            got = load(f"{self.model.folder}/level{level}/{shard}", name)
+        self.open[key] = got
+        return got
+
+    def _array(self, level: int, shard: int, name: str) -> np.ndarray:
+        return self._opened(level, shard, name, load_array)
 
     def _ef(self, level: int, shard: int, name: str) -> EliasFano:
-        key = (level, shard, name)
-        if key not in self.open:
-            self.open[key] = EliasFano.load(f"{self.model.folder}/level{level}/{shard}", name)
-        return self.open[key]
+        return self._opened(level, shard, name, EliasFano.load)
 
     @staticmethod
     def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -135,7 +140,7 @@ class Trie:
         if shard.min() == shard.max():
             yield int(shard[0]), np.arange(len(shard))
             return
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")  # 16 bits: by radix
         cut = np.flatnonzero(np.diff(shard[order])) + 1
         for at in np.split(order, cut):
             yield int(shard[at[0]]), at
@@ -196,8 +201,8 @@ class Trie:
             at = live[at]
             c = contexts[at] - s * wide
             pointers = self._ef(level, s, "pointers")
-            begin = pointers.get(c).astype(np.int64)
-            many = pointers.get(c + 1).astype(np.int64) - begin
+            begin, end = (x.astype(np.int64) for x in pointers.neighbours(c))
+            many = end - begin
             got = self._ef(level, s, "keys").find(_relative(words[at], begin, many, self.model.stride))
             place[at] = np.where(got >= 0, got + self.first[level - 1][s], -1)
         return place, weight
@@ -534,6 +539,8 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
     for level in range(2, order + 1):
         if not model.kinds or not contexts:
             break
+        if contexts * model.stride >= 1 << 63:  # a key is context * stride + word
+            raise ValueError(f"{contexts} contexts of {model.kinds} words do not fit 63-bit keys of level {level}")
         parts = max(1, math.ceil(model.tokens / PART_TOKENS))
         wide = math.ceil(contexts / parts)
         span = wide * model.stride

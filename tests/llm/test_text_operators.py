@@ -393,3 +393,27 @@ def test_lm_without_training_rows(spark):
     assert [(r.n_tokens, r.score) for r in lm_trie.scored(tokens, model).orderBy("n_tokens").collect()] == [(1, 0.0), (3, 0.0)]
     model, tokens = lm_trie.train(df.limit(0), scratch(spark, "lm-empty"))
     assert lm_trie.scored(tokens, model).count() == 0
+
+
+def test_elias_fano_select_far_from_its_hints():
+    rng = np.random.default_rng(9)
+    gaps = np.where(rng.random(3000) < 0.01, rng.integers(0, 200_000, 3000), rng.integers(0, 3, 3000))
+    v = np.cumsum(gaps)
+    e = EliasFano.of(v, int(v[-1]) + 1)
+    i = rng.integers(0, 2999, 5000)
+    here, after = e.neighbours(i)
+    assert (e.get(i) == v[i]).all() and (here == v[i]).all() and (after == v[i + 1]).all()
+    q = np.concatenate([v, v + 1, rng.integers(0, v[-1], 3000)])
+    found = e.find(q)
+    assert ((found >= 0) == np.isin(q, v)).all() and (v[found[found >= 0]] == q[found >= 0]).all()
+
+
+def test_trie_keeps_a_bounded_number_of_arrays_open(spark, monkeypatch):
+    docs = frame(spark, [f"a{i % 5} b{i % 7} c a{i % 3}" for i in range(40)])
+    monkeypatch.setattr(lm_trie, "PART_TOKENS", 20)
+    model, _ = lm_trie.train(docs, scratch(spark, "lm"))
+    words = np.arange(model.kinds)
+    full = lm_trie.Trie(model).bigram(words, words[::-1])[0]
+    monkeypatch.setattr(lm_trie, "OPEN_ARRAYS", 3)
+    trie = lm_trie.Trie(model)
+    assert (trie.bigram(words, words[::-1])[0] == full).all() and len(trie.open) <= 3 < sum(model.parts)
