@@ -580,10 +580,13 @@ def scored(tokens: DataFrame, model: Model) -> DataFrame:
             score = np.zeros(b.num_rows)
             for lo, hi, ids, doc in _sequences(b.column(5), model):
                 at = np.flatnonzero(ids != model.start)
-                value, pair = trie.bigram(ids[at - 1], ids[at])
+                wide = model.unknown + 1
+                kinds, which = np.unique(ids[at - 1] * wide + ids[at], return_inverse=True)  # each pair is looked up once
+                value, pair = trie.bigram(kinds // wide, kinds % wide)
+                value = value[which]
                 if len(model.parts) > 2:
                     before = np.full(len(ids), -1, dtype=np.int64)
-                    before[at] = pair
+                    before[at] = pair[which]
                     value = trie.trigram(before[at - 1], ids[at], value)
                 score[lo:hi] = np.bincount(doc[at], weights=value, minlength=hi - lo)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(score)], names=[*names, "score"])
