@@ -407,6 +407,7 @@ def test_tool_calls_of_the_conversations(spark):
     calls = {f"call_{r.conv_id}_{r.turn}" for r in talk if r.role == "user"}
     answers = {f"call_{r.conv_id}_{r.turn - 1}" for r in talk if r.role == "assistant"}
     assert {r.call_id for r in rows if r.kind == "call"} == calls
+    assert {r.call_id for r in rows if r.status == "orphan"} >= {f"call_{r.conv_id}_-1" for r in talk if r.role == "system" and r.turn == 0}
     for r in rows:
         if r.status in ("linked", "unanswered"):
             assert (r.call_id in answers) == (r.status == "linked")
@@ -426,6 +427,74 @@ def test_schema_validation(value, schema, errors):
     assert len(tool_calls.validate(value, schema)) == errors
 
 
+@pytest.mark.parametrize("value,schema,errors", [
+    (None, {"type": ["string", "null"]}, 0), (3, {"type": ["string", "null"]}, 1), (3, {"type": ["string", "integer"]}, 0),
+    (10**400, {"type": "integer"}, 0), (10**400, {"type": "integer", "maximum": 5.5}, 1), (1, {"type": "no such type"}, 1),
+    (True, {"enum": [1]}, 1), (1.0, {"enum": [1]}, 0), ({"a": [1, 2]}, {"enum": [{"a": [1, 2.0]}]}, 0)])
+def test_schema_types_and_values(value, schema, errors):
+    assert len(tool_calls.validate(value, schema)) == errors
+
+
+def test_messages_that_json_or_utf8_cannot_hold_are_malformed_with_a_reason(spark):
+    body = '{"id":"%s","name":"search","arguments":%s}'
+    rows = {"a": ('{"query":"q","limit":1%s}' % ("0" * 400), None), "b": ('{"query":"q","limit":1e400}', "number beyond a double: 1e400"),
+            "c": ('{"query":"q","limit":NaN}', "not a JSON number: NaN"), "d": ('{"query":"\\ud800","limit":1}', "half of a surrogate pair"),
+            "e": ("[" * 100_000 + "]" * 100_000, "nested too deeply"), "f": ('{"query":"q","limit":-Infinity}', "not a JSON number: -Infinity"),
+            "g": ('{"query":"\\ud83d\\ude42","limit":2.0}', None), "h": ('{"limit":1e2,"query":-0.0}', None),
+            "i": ('{"query":"q","limit":1%s}' % ("0" * 5000), "no JSON"), "j": ("{", "no JSON")}
+    texts = [(1, i, "tool_call", body % (k, a)) for i, (k, (a, _)) in enumerate(rows.items())]
+    texts += [(2, 0, "tool_call", '{"id":"x","arguments":{}}'), (2, 1, "tool_call", '{"id":"x","name":"n"}'), (2, 2, "tool_call", "3"),
+              (2, 3, "tool_call", '{"id":"x","name":"n","arguments":{},"depends_on":[1]}'), (2, 4, "tool_result", '{"tool_call_id":"x"}'),
+              (2, 5, "tool_result", '{"content":1}'), (2, 6, "tool_result", " ")]
+    got = {(r.conv_id, r.turn): r for r in linked(spark, texts)}
+    for i, (k, (_, reason)) in enumerate(rows.items()):
+        r = got[1, i]
+        assert (r.status == "malformed") == (reason is not None) and (reason is None or r.errors == [reason]), k
+    assert got[1, 0].record.count("0") >= 400 and got[1, 0].errors == ["$.limit: above the maximum"]
+    assert '"limit":2,"query":"🙂"' in got[1, 6].record and '"limit":100,"query":0' in got[1, 7].record
+    assert [got[2, t].errors for t in range(7)] == [["no name"], ["no arguments"], ["no JSON object"], ["depends_on names no calls"],
+                                                    ["no content"], ["no tool_call_id"], ["no text"]]
+
+
+def brute_levels(needs):
+    """Longest way from a call without dependency; None on or behind a cycle; what is missing counts for nothing."""
+    needs = {k: {x for x in v if x in needs} for k, v in needs.items()}
+    level = {}
+    while True:
+        ready = [k for k, v in needs.items() if k not in level and all(x in level for x in v)]
+        if not ready:
+            return {k: level.get(k) for k in needs}
+        level |= {k: max((level[x] + 1 for x in needs[k]), default=0) for k in ready}
+
+
+def test_levels_of_random_graphs_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    rows, want = [], {}
+    for conv in range(30):
+        n = int(rng.integers(1, 40))
+        style = conv % 5
+        needs = {}
+        for i in range(n):
+            if style == 0:  # ladder
+                needs[f"k{i}"] = [f"k{j}" for j in (i - 1, i - 2) if j >= 0]
+            elif style == 1:  # any earlier calls
+                needs[f"k{i}"] = [f"k{j}" for j in rng.choice(i, min(i, int(rng.integers(0, 4))), replace=False)] if i else []
+            elif style == 2:  # any calls: cycles too
+                needs[f"k{i}"] = [f"k{j}" for j in rng.integers(0, n, int(rng.integers(0, 2)))] + (["gone"] if i % 7 == 3 else [])
+            elif style == 3:  # chains that meet
+                needs[f"k{i}"] = [f"k{j}" for j in (i - 3, i - 1 if i % 11 == 10 else -1) if j >= 0]
+            else:  # all earlier calls
+                needs[f"k{i}"] = [f"k{j}" for j in range(i)]
+        rows += [call(conv, int(t), k, depends_on=needs[k] if len(needs[k]) != 1 else needs[k][0])
+                 for t, k in zip(rng.permutation(n) if style == 2 else range(n), needs)]
+        want |= {(conv, k): (v, "gone" in needs[k]) for k, v in brute_levels(needs).items()}
+    got = {(r.conv_id, r.call_id): r for r in linked(spark, rows)}
+    assert got.keys() == want.keys()
+    for k, (level, gone) in want.items():
+        assert got[k].level == level, k
+        assert got[k].status == ("cycle" if level is None else "unknown_dependency" if gone else "unanswered"), k
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
