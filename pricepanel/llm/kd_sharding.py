@@ -8,13 +8,18 @@ and the hashes of language and source.
 
 A cut is found over all rows by radix refinement: a row's place along a
 dimension is a 62-bit key (20 bits of the value, then 42 bits of text checksum
-and id, so that rows of equal value are cut too). Equal texts have one place in
-every dimension, that of their least id, language and source, so a cut leaves
-them together; only a group of more than 1/WHOLE of a shard's bytes is divided,
-where it straddles a cut, since the law is equal bytes.
-per pass one aggregation sums the bytes of 2**16 key ranges a node, and only the
-range with the median is refined. What reaches the driver is one row a node, at
-most the number of shards.
+and id, so that rows of equal value are cut too). Per pass one aggregation sums
+the bytes of 2**16 key ranges a node, and only the range with the median is
+refined. What reaches the driver is one row a node, at most the number of shards,
+and goes back as a table of that many rows; a row's node is written after each
+level.
+
+Equal texts have one place in every dimension, that of their least id, language
+and source, so a cut leaves them together. The law sets the limit: a group that
+stays whole can put a cut off by half its bytes, which the shards of one side
+share; where that is over 1/(2 * WHOLE) of a shard for each of them, the cut goes
+through the group. So the fewer shards a node has, the smaller the groups that it
+must keep whole: 1/WHOLE of a shard at the last cuts, k/(2 * WHOLE) at a node of k.
 
 Slots are numbered by id within a shard without gathering it: rows are written in
 ranges of shard and id whose bounds come from the data, and a row's slot is its
@@ -49,38 +54,40 @@ def metadata(docs: DataFrame) -> DataFrame:
                        hashed("lang").alias("lang"), hashed("source").alias("source"))
 
 
-def grouped(meta: DataFrame, folder: str, shards: int) -> DataFrame:
-    """``meta`` with the least id (``place_id``), lang and source of equal texts, and ``tie_id`` that orders them.
+def grouped(meta: DataFrame, folder: str) -> DataFrame:
+    """``meta`` with the least id (``place_id``), lang and source of equal texts, and the bytes of the group.
 
-    Groups are summed map-side and joined in SALTS parts, so that a group may hold any share of the rows."""
-    share = (meta.agg(F.sum("size")).first()[0] or 0) / shards
+    Groups are summed map-side and merged with their rows in SALTS parts, so that a group may hold any share of the
+    rows; the table of groups grows with the rows and is never broadcast."""
     groups = meta.groupBy("copies", "size").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("g_id"), F.min("lang").alias("g_lang"),
         F.min("source").alias("g_source")).where("n > 1")
     parts = kept_table(groups, folder, "groups").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = meta.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
-        parts, ["copies", "size", "salt"], "left")
+        parts.hint("merge"), ["copies", "size", "salt"], "left")
     copy = F.col("n").isNotNull()
-    whole = copy & (F.col("n") * F.col("size") * WHOLE <= share)
     return rows.select("doc_id", "size", "text_crc32", F.when(copy, F.col("g_id")).otherwise(F.col("doc_id")).alias("place_id"),
-                       F.when(whole, F.col("g_id")).otherwise(F.col("doc_id")).alias("tie_id"),
+                       (F.coalesce("n", F.lit(1)) * F.col("size")).alias("group_bytes"),
                        *[F.coalesce(f"g_{d}", d).alias(d) for d in ("lang", "source")])
 
 
 def keyed(meta: DataFrame) -> tuple[DataFrame, dict]:
-    """Keys of every dimension: value code above the tie-break bits."""
+    """The value code of every dimension, and the tie-breaks of a row with its group and of the row alone."""
     span = meta.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("size").alias("top"),
                     F.count("*").alias("n"), F.sum("size").alias("bytes")).first().asDict()
     low, high = span["lo"] or 0, span["hi"] or 0
     scaled = {"size": F.log2(F.col("size").cast("double")) / max(1e-9, float(_log2(span["top"] or 1))),
               "id": F.coalesce((F.col("place_id") - F.lit(low)) / F.lit(float(max(1, high - low))), F.lit(0.0)),
               "lang": F.col("lang"), "source": F.col("source")}
-    tie = (F.shiftleft(F.shiftright(F.col("text_crc32"), 8), 18)
-           + F.pmod(F.xxhash64("tie_id", "text_crc32"), F.lit(1 << 18)))
+
+    def tie(of: str) -> Column:
+        return (F.shiftleft(F.shiftright(F.col("text_crc32"), 8), 18)
+                + F.pmod(F.xxhash64(of, "text_crc32"), F.lit(1 << 18)))
+
     code = lambda c: F.least(F.greatest(F.floor(c * ((1 << _VALUE_BITS) - 1)), F.lit(0)),
                              F.lit((1 << _VALUE_BITS) - 1)).cast("long")
-    return meta.select("doc_id", "size", "text_crc32",
-                       *[(F.shiftleft(code(scaled[d]), _TIE_BITS) + tie).alias(f"k_{d}") for d in DIMS]), span
+    return meta.select("doc_id", "size", "text_crc32", "group_bytes", tie("place_id").alias("tie"), tie("doc_id").alias("own_tie"),
+                       *[code(scaled[d]).alias(f"v_{d}") for d in DIMS]), span
 
 
 def _log2(x: int) -> float:
@@ -88,34 +95,34 @@ def _log2(x: int) -> float:
     return math.log2(max(2, x))
 
 
-def _lookup(values: dict[int, int], node: Column) -> Column:
-    """A literal map from node to long (one entry a node, at most the number of shards)."""
-    return F.element_at(F.create_map(*[F.lit(v).cast("long") for kv in values.items() for v in kv]), node)
-
-
-def _key(dims: dict[int, int], node: Column) -> Column:
-    return F.element_at(F.array(*[F.col(f"k_{d}") for d in DIMS]), (_lookup(dims, node) + 1).cast("int"))
+def _table(rows: DataFrame, columns: list[str], values: list[tuple]) -> DataFrame:
+    """A table of whole numbers, one row a node: at most the number of shards, so it may be broadcast."""
+    rows_ = [F.struct(*[F.lit(x).cast("long").alias(c) for c, x in zip(columns, v)]) for v in values]
+    return F.broadcast(rows.sparkSession.range(1).select(F.inline(F.array(*rows_))))
 
 
-def split(table: DataFrame, node: Column, goals: dict[int, tuple[int, int]]) -> tuple[dict, dict]:
-    """Dimension and last left key of each node in ``goals`` (node -> (left, all) shards)."""
-    rows = table.withColumn("node", node).where(F.col("node").isin(*goals))
-    box = rows.groupBy("node").agg(F.sum("size").alias("bytes"), *[
-        (F.max(F.shiftright(f"k_{d}", _TIE_BITS)) - F.min(F.shiftright(f"k_{d}", _TIE_BITS))).alias(d)
-        for d in DIMS]).collect()
+def split(table: DataFrame, goals: dict[int, tuple[int, int]], share: float) -> DataFrame | None:
+    """``table`` (rows with their ``node``) with the child of each node in ``goals`` (node -> (left, all) shards)."""
+    box = table.groupBy("node").agg(F.sum("size").alias("bytes"), *[
+        (F.max(f"v_{d}") - F.min(f"v_{d}")).alias(d) for d in DIMS]).collect()  # a row a node
+    box = [r for r in box if r["node"] in goals]
+    if not box:
+        return None
     dims = {r["node"]: max(range(len(DIMS)), key=lambda i, r=r: r[DIMS[i]]) for r in box}
-    if not dims:
-        return {}, {}
     want = {r["node"]: r["bytes"] * goals[r["node"]][0] // goals[r["node"]][1] for r in box}
-    keyed_rows = rows.where(F.col("node").isin(*dims)).select(
-        "node", "size", _key(dims, F.col("node")).alias("key"))
+    whole = {n: int(share * goals[n][1] / (2 * WHOLE)) for n in dims}  # bytes of the largest group kept whole
+    cut = _table(table, ["node", "dim", "whole"], [(n, d, whole[n]) for n, d in dims.items()])
+    value = F.element_at(F.array(*[F.col(f"v_{d}") for d in DIMS]), (F.col("dim") + 1).cast("int"))
+    key = F.shiftleft(value, _TIE_BITS) + F.when(F.col("group_bytes") <= F.col("whole"), F.col("tie")).otherwise(F.col("own_tie"))
+    keyed_rows = table.join(cut, "node").select("node", "size", key.alias("key"))
     prefix, above = dict.fromkeys(dims, 0), 62
     cuts = {}
     for shift in _PASSES:
-        inside = keyed_rows.where(F.shiftright("key", above) == _lookup(prefix, F.col("node")))
-        sums = inside.groupBy("node", F.shiftright("key", shift).alias("range")).agg(F.sum("size").alias("w"))
+        at = _table(table, ["node", "prefix", "want"], [(n, prefix[n], want[n]) for n in dims])
+        inside = keyed_rows.join(at, "node").where(F.shiftright("key", above) == F.col("prefix"))
+        sums = inside.groupBy("node", "want", F.shiftright("key", shift).alias("range")).agg(F.sum("size").alias("w"))
         run = sums.withColumn("upto", F.sum("w").over(Window.partitionBy("node").orderBy("range")))
-        found = (run.where((F.col("upto") >= _lookup(want, F.col("node"))))
+        found = (run.where(F.col("upto") >= F.col("want"))
                  .groupBy("node").agg(F.min(F.struct("range", "w", "upto")).alias("r")).select("node", "r.*").collect())
         for r in found:
             prefix[r["node"]] = r["range"]
@@ -125,31 +132,30 @@ def split(table: DataFrame, node: Column, goals: dict[int, tuple[int, int]]) ->
                 over, under = r["upto"] - want[r["node"]], want[r["node"]] - (r["upto"] - r["w"])
                 cuts[r["node"]] = r["range"] if over <= under else r["range"] - 1
         above = shift
-    return dims, cuts
+    last = _table(table, ["node", "dim", "whole", "cut"], [(n, dims[n], whole[n], cuts.get(n, -1)) for n in dims])
+    child = F.col("node") * 2 + F.when(key <= F.col("cut"), 0).otherwise(1)
+    return table.join(last, "node", "left").withColumn("node", F.when(F.col("cut").isNull(), F.col("node")).otherwise(child)).select(
+        *table.columns)
 
 
-def assign(table: DataFrame, shards: int) -> Column:
-    """The shard of a row of ``keyed`` rows, as an expression over its keys."""
-    node = F.lit(1).cast("long")
-    leaves = {1: shards}  # node -> shards below it; children of n are 2n and 2n + 1
-    final: dict[int, int] = {}
-    first = {1: 0}
+def assign(table: DataFrame, shards: int, share: float, folder: str) -> DataFrame:
+    """``keyed`` rows with their ``shard``; the node of a row is written after each level."""
+    table = table.withColumn("node", F.lit(1).cast("long"))
+    leaves, final, first = {1: shards}, {}, {1: 0}  # shards below a node; children of n are 2n and 2n + 1
+    level = 0
     while any(k > 1 for k in leaves.values()):
         goals = {n: (k // 2, k) for n, k in leaves.items() if k > 1}
-        dims, cuts = split(table, node, goals)
-        for n in goals:  # nodes without rows: any cut will do
-            dims.setdefault(n, 0)
-            cuts.setdefault(n, -1)
+        below = split(table, goals, share)
+        if below is not None:
+            table = kept_table(below, folder, f"level{level}")
         final |= {n: first[n] for n, k in leaves.items() if k == 1}
-        step = node * 2 + F.when(_key(dims, node) <= _lookup(cuts, node), 0).otherwise(1)
-        node = F.when(node.isin(*goals), step).otherwise(node)
         children = {}
         for n, (left, k) in goals.items():
             children |= {2 * n: left, 2 * n + 1: k - left}
             first |= {2 * n: first[n], 2 * n + 1: first[n] + left}
-        leaves = children
+        leaves, level = children, level + 1
     final |= {n: first[n] for n in leaves}
-    return _lookup(final, node).cast("int")
+    return table.join(_table(table, ["node", "shard"], list(final.items())), "node").withColumn("shard", F.col("shard").cast("int"))
 
 
 def with_slots(rows: DataFrame, folder: str) -> DataFrame:
@@ -165,9 +171,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, folder: str | None =
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
     folder = folder or scratch(docs.sparkSession, "kd")
     meta = kept_table(metadata(docs), folder, "metadata")
-    keys, _ = keyed(kept_table(grouped(meta, folder, shards), folder, "grouped"))
+    keys, span = keyed(kept_table(grouped(meta, folder), folder, "grouped"))
     keys = kept_table(keys, folder, "keys")
-    placed = keys.select("doc_id", "size", "text_crc32", assign(keys, shards).alias("shard"))
+    placed = assign(keys, shards, (span["bytes"] or 0) / shards, folder).select("doc_id", "size", "text_crc32", "shard")
     return with_slots(placed, folder).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

@@ -225,6 +225,34 @@ def test_any_number_of_shards(spark, shards):
     assert len(sizes) == shards and max(sizes.values()) - min(sizes.values()) <= 200
 
 
+def test_many_shards(spark):
+    df = spark.createDataFrame([(i, f"t{i}" + "x" * (i % 90), f"l{i % 4}", f"s{i % 9}", 0) for i in range(6400)], DOCS)
+    sizes = check_shards(kd_sharding.shard_documents(df, 64).collect(), 64)
+    mean = sum(sizes.values()) / 64
+    assert len(sizes) == 64 and max(sizes.values()) <= 1.05 * mean and min(sizes.values()) >= 0.95 * mean
+
+
+def test_groups_stay_whole_as_far_as_the_law_allows(spark):
+    """A group of a fifth of a shard stays whole at the early cuts; one of half the rows is divided."""
+    rows = [(i, f"text {i} " * 8, "en", f"s{i % 5}", 0) for i in range(3200)]
+    rows += [(10_000 + i, f"copy {i // 20} " * 8, "en", "s", 0) for i in range(1600)] + [(20_000 + i, "hot " * 15, "en", "s", 0) for i in range(4800)]
+    got = kd_sharding.shard_documents(spark.createDataFrame(rows, DOCS), 8).collect()
+    sizes = check_shards(got, 8)
+    mean = sum(sizes.values()) / 8
+    assert max(sizes.values()) <= 1.08 * mean and min(sizes.values()) >= 0.92 * mean
+    of = {}
+    for r in got:
+        of.setdefault((r["size"], r.text_crc32), set()).add(r.shard)
+    assert Counter(len(s) for k, s in of.items())[1] >= len(of) - 1 - 7 and max(map(len, of.values())) >= 4
+
+
+def test_the_groups_of_equal_texts_are_merged_not_broadcast(spark):
+    rows = [(i, f"text {i % 50}", "en", "s", 0) for i in range(200)]
+    meta = kd_sharding.metadata(spark.createDataFrame(rows, DOCS))
+    plan = kd_sharding.grouped(meta, scratch(spark, "t"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_shards_of_odd_and_of_equal_rows(spark):
     odd = odd_documents(spark, shard="clash", size=-5, node="clash")
     rows = kd_sharding.shard_documents(odd).collect()
