@@ -23,12 +23,12 @@ equal results; other columns are not read.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +43,7 @@ UNKNOWN = 1e-7
 MAX_CACHED = 700_000
 LEAST_USE = 0.5
 MARK = "▁"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # the Unicode letters: no digits, numerals or marks
 
 
 def vocabulary_path() -> str:
