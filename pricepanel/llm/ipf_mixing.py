@@ -3,7 +3,9 @@
 Token counts are summed over all documents into cells of source, language and
 topic. Raking scales the cells' weights to the target share of each source, then
 of each language, then of each topic, and over again until a whole sweep changes
-no factor by more than ``tolerance``. A document then has the calibrated weight
+no factor by more than ``tolerance``. Marginals that no weights of these cells can
+meet together never settle: after ``max_sweeps`` the marginal that is furthest off
+is reported as a warning, with its distance. A document then has the calibrated weight
 of its cell per token, and is sampled with probability min(1, c * weight), where
 c makes the expected number of tokens the asked share of all. The uniform number
 compared with the probability is a hash of id and text, so a rerun after a lost
@@ -24,6 +26,8 @@ their share; copies with equal id are drawn together; an empty table gives no ro
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +37,8 @@ DIMS = ("source", "lang", "topic")
 # Production targets: the present shares, flattened by these powers (1 keeps a marginal, 0 makes it uniform).
 POWERS = {"source": 0.5, "lang": 0.6, "topic": 0.8}
 SAMPLE_SHARE = 0.6
-TOLERANCE = 1e-5
-MAX_SWEEPS = 30
+TOLERANCE = 1e-7
+MAX_SWEEPS = 40
 SEED = 20240229
 _CELL = [f"_{d}" for d in DIMS]
 
@@ -86,6 +90,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, tolerance
         goals[d] = kept_table(aim.select("level", (F.col("share") * total / F.lit(whole.first()[0] or 1.0))
                                          .alias("goal")).withColumnRenamed("level", f"_{d}"), folder, f"goal_{d}")
     cells = kept_table(cells.withColumn("w", F.col("tokens").cast("double")), folder, "sweep0")
+    moved_most = 0.0
     for sweep in range(1, max_sweeps + 1):
         moved = cells.withColumn("_moved", F.lit(0.0))
         for d in DIMS:
@@ -95,11 +100,32 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, tolerance
                      .withColumn("_moved", F.greatest("_moved", F.abs(F.col("_factor") - 1))).drop("_factor"))
         table = kept_table(moved, folder, f"sweep{sweep}")
         cells = table.drop("_moved")
-        if (table.agg(F.max("_moved")).first()[0] or 0.0) <= tolerance:
+        moved_most = table.agg(F.max("_moved")).first()[0] or 0.0
+        if moved_most <= tolerance:
             break
+    else:
+        off = marginal_errors(cells, goals).orderBy(F.col("error").desc(), "dim", "level").first()
+        if off is not None:
+            warnings.warn(f"raking stopped after {max_sweeps} sweeps that still move a weight by {moved_most:.2g}: {off['dim']} "
+                          f"{off['level']} is off its target by {off['error']:.2g} of it", RakingWarning, stacklevel=2)
     return cells
 
 
+class RakingWarning(UserWarning):
+    """Targets that the cells cannot meet together, or not within the sweeps."""
+
+
+def marginal_errors(cells: DataFrame, goals: dict[str, DataFrame]) -> DataFrame:
+    """(dim, level, error): how far the weights of every level are from its goal, as a share of the goal."""
+    out = None
+    for d in DIMS:
+        have = cells.groupBy(f"_{d}").agg(F.sum("w").alias("_have")).join(goals[d], f"_{d}").select(
+            F.lit(d).alias("dim"), F.col(f"_{d}").alias("level"),
+            F.abs(F.try_divide(F.col("_have"), F.col("goal")) - 1).alias("error"))
+        out = have if out is None else out.unionByName(have)
+    return out
+
+
 def with_probability(cells: DataFrame, share: float = SAMPLE_SHARE) -> DataFrame:
     """Adds ``per_token`` (weight of a token) and ``probability``; expected tokens are ``share`` of all."""
     cells = cells.withColumn("per_token", F.col("w") / F.col("tokens"))
