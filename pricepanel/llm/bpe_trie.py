@@ -9,10 +9,15 @@ ancestors only, a prefix shared by many words is encoded once, and a word's
 ids are read off by stepping back from its node to the root. New words are
 inserted in byte order, which is the depth-first order of the trie.
 
+A pre-token over ``LONG_WORD`` bytes shares no path worth keeping: it is walked by
+itself with the same states, of which only those within the longest token matter
+for the next, and one number a byte is kept to read the ids off. A text over
+``TEXT_PART`` characters is taken a bounded number of pre-tokens at a time.
+
 Null text is the empty text: no tokens, and the empty text decoded. Repeated
-rows, empty tables and very long texts need no special case; a row is encoded
-by itself, and columns of the input other than id and text are not read.
-A trie is bounded by its nodes and words and starts anew beyond them. A Python worker may keep a large one
+rows and empty tables need no special case; a row is encoded by itself, and
+columns of the input other than id and text are not read.
+A trie is bounded by its nodes, looked at with every word, and by the words it knows, and starts anew beyond them. A Python worker may keep a large one
 from task to task (``keep``); in a job of several stages a small one is made for each task, so that idle
 workers hold no memory.
 """
@@ -22,7 +27,10 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +41,9 @@ MAX_NODES = 1_400_000
 MAX_WORDS = 450_000
 MAX_PAIRS = 500_000
 SMALL_TRIE = (150_000, 40_000)
+LONG_WORD = 1024
+TEXT_PART = 1 << 20
+_PART_WORDS = 50_000
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the
@@ -72,6 +83,10 @@ class BpeTrie:
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
             self.halves.setdefault(vocab[a + b], (vocab[a], vocab[b]))
         self.longest = max(map(len, self.id_of))
+        self.sizes: dict[bytes, list[int]] = {}  # lengths of the tokens that end in these (two) bytes, longest first
+        for data in self.id_of:
+            self.sizes.setdefault(data[-2:], []).append(len(data))
+        self.sizes = {end: sorted(set(n), reverse=True) for end, n in self.sizes.items()}
         self.split = regex.compile(PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.fits: dict[int, bool] = {}
@@ -167,34 +182,92 @@ class BpeTrie:
             depth -= len(self.bytes_of[token])
         return ids[::-1]
 
+    def fit(self, before: int, token: int) -> bool:
+        pair = before << 16 | token
+        known = self.fits.get(pair)
+        if known is None:
+            if len(self.fits) >= MAX_PAIRS:
+                self.fits.clear()
+            known = self.fits[pair] = self.compatible(before, token)
+        return known
+
+    def walk(self, word: bytes) -> bytes:
+        """The ids of one long word, as little-endian unsigned 32-bit integers, without a trie."""
+        id_of, sizes, fit = self.id_of, self.sizes, self.fit
+        last = array("i", [-1])  # last token of each prefix
+        for depth in range(1, len(word) + 1):
+            # tokens of two bytes and more, then the byte itself
+            for n in (*sizes.get(word[depth - 2:depth], ()), 1) if depth > 1 else (1,):
+                if n <= depth:
+                    token = id_of.get(word[depth - n:depth])
+                    if token is not None and fit(last[depth - n], token):
+                        break
+            else:
+                raise ValueError("the vocabulary lacks single bytes")
+            last.append(token)
+        ids, depth = array("I"), len(word)
+        while depth:
+            token = last[depth]
+            ids.append(token)
+            depth -= len(self.bytes_of[token])
+        ids.reverse()
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def learn(self, words: set[str]) -> None:
         """Encode the words not met yet, in the order of a depth-first walk."""
         new = [w for w in words if w not in self.words]
-        if len(self.last) > self.max_nodes:
-            self.clear()
         if len(self.words) + len(new) > self.max_words:
             self.words = {}
             new = list(words)
         for data, w in sorted((w.encode("utf-8"), w) for w in new):
+            if len(self.last) > self.max_nodes:
+                self.clear()
             ids = self.insert(data)
             self.words[w] = (struct.pack(f"<{len(ids)}I", *ids), b"".join(map(self.bytes_of.__getitem__, ids)))
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> Iterator[str]:
         """Pre-tokens of a text; special tokens in it stand for themselves."""
         if self.special is None or not any(s in text for s in self.specials):
-            return self.split.findall(text)
-        out = []
-        for i, part in enumerate(self.special.split(text)):
-            out += [part] if i % 2 else self.split.findall(part)
-        return out
+            yield from self.split.findall(text) if len(text) <= TEXT_PART else (m[0] for m in self.split.finditer(text))
+            return
+        at = 0
+        for found in self.special.finditer(text):
+            yield from (m[0] for m in self.split.finditer(text[at:found.start()]))
+            yield found[0]
+            at = found.end()
+        yield from (m[0] for m in self.split.finditer(text[at:]))
+
+    def _known(self, todo: list[list[str]]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids and decoded bytes of the pre-tokens of some texts; those of long ones are not kept."""
+        words = {w for p in todo for w in p} - self.specials.keys()
+        long = {w for w in words if len(w) > LONG_WORD}
+        self.learn(words - long)
+        for s, i in self.specials.items():
+            self.words[s] = (struct.pack("<I", i), s.encode())
+        if not long:
+            return self.words
+        own = {w: self.words[w] for p in todo for w in p if w not in long}
+        for w in long:
+            data = w.encode("utf-8")
+            own[w] = (self.walk(data), data)  # the tokens of a word are its bytes
+        return own
 
     def encode_decode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids as little-endian unsigned 32-bit integers, and the bytes they decode to, of each text."""
-        todo = list(map(self.pieces, texts))
-        self.learn({w for p in todo for w in p} - self.specials.keys())
-        for s, i in self.specials.items():
-            self.words[s] = (struct.pack("<I", i), s.encode())
-        known = self.words
+        if len(texts) == 1 and len(texts[0]) > TEXT_PART:
+            ids, plain = bytearray(), bytearray()
+            pieces = self.pieces(texts[0])
+            while part := list(islice(pieces, _PART_WORDS)):
+                known = self._known([part])
+                for w in part:
+                    ids += known[w][0]
+                    plain += known[w][1]
+            yield bytes(ids), bytes(plain)
+            return
+        todo = [list(self.pieces(t)) for t in texts]
+        known = self._known(todo)
         for p in todo:
             both = [known[w] for w in p]
             yield b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
@@ -227,7 +300,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
             lo = 0
             while lo < len(texts):  # a bounded amount of text at a time
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 1 << 20):
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= TEXT_PART):
                     size += len(texts[hi])
                     hi += 1
                 for code, plain in trie.encode_decode(texts[lo:hi]):

@@ -3,7 +3,6 @@
 import json
 import zlib
 from collections import Counter
-from functools import partial
 
 import numpy as np
 import pytest
@@ -42,7 +41,7 @@ def test_raking_equals_numpy_and_meets_all_marginals(spark):
     goals = [rng.dirichlet(np.ones(n)) for n in table.shape]
     targets = {d: spark.createDataFrame([(f"{d[0]}{i}", float(x)) for i, x in enumerate(g)], "level string, share double")
                for d, g in zip(ipf_mixing.DIMS, goals)}
-    got = ipf_mixing.rake(cells, targets, scratch(spark, "t"), tolerance=1e-6).collect()
+    got = ipf_mixing.rake(cells, targets, scratch(spark, "t"), tolerance=1e-9).collect()
     w, total = table.astype(float), table.sum()
     for _ in range(200):
         for axis, g in enumerate(goals):
@@ -70,8 +69,16 @@ def test_mixing_query_is_calibrated(spark):
     assert 0.5 * total < drawn < 0.7 * total
 
 
-def test_mixing_edge_rows(spark, monkeypatch):
-    monkeypatch.setattr(ipf_mixing, "rake", partial(ipf_mixing.rake, max_sweeps=2))
+def test_targets_that_no_weights_meet_are_reported(spark):
+    """Source a has only language x, b only y: their shares cannot differ."""
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "y", "t", 30)], "_source string, _lang string, _topic string, tokens long")
+    targets = {d: spark.createDataFrame(rows, "level string, share double") for d, rows in
+               {"source": [("a", 0.5), ("b", 0.5)], "lang": [("x", 0.2), ("y", 0.8)], "topic": [("t", 1.0)]}.items()}
+    with pytest.warns(ipf_mixing.RakingWarning, match="source b is off its target by 0.6"):
+        ipf_mixing.rake(cells, targets, scratch(spark, "t"), max_sweeps=3)
+
+
+def test_mixing_edge_rows(spark):
     odd = odd_documents(spark, _u="clash", probability=-1.0, topic="clash")
     kept = ipf_mixing.sample_documents(odd, share=1.0)
     assert kept.columns == odd.columns and kept.count() == odd.count()  # everything at share 1

@@ -91,6 +91,35 @@ def test_pair_compatibility_equals_merging_the_joined_bytes():
         assert trie.compatible(a, b) == (trie.merged(trie.bytes_of[a] + trie.bytes_of[b]) == [a, b])
 
 
+@pytest.mark.parametrize("text", ["x" * 5000, "é" * 3000, "-" * 4000 + " " * 5000, "日本語" * 1500, "the" * 3000,
+                                  "a<|endoftext|>" + "b" * 2000, "qzj" * 4000 + " and the rest"])
+def test_long_words_are_walked_like_the_library(library, text):
+    trie = bpe_trie.BpeTrie(bpe_trie.vocabulary_path(), 50, 5)
+    (code, plain), = trie.encode_decode([text])
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert code == struct.pack(f"<{len(ids)}I", *ids) and plain.decode() == text
+    assert all(len(w) <= bpe_trie.LONG_WORD for w in trie.words) and len(trie.last) < 50 + bpe_trie.LONG_WORD
+
+
+def test_long_words_and_texts_take_bounded_memory(library, monkeypatch):
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    word = bytes(rng.integers(97, 123, 2_000_000, dtype=np.uint8)).decode()
+    trie = bpe_trie.BpeTrie(bpe_trie.vocabulary_path())
+    trie.encode_decode(["warm up"])
+    tracemalloc.start()
+    (code, plain), = trie.encode_decode([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(trie.last) == 1 and plain.decode() == word and peak < (64 << 20) + 10 * len(word)  # the pairs known, and a word of 20 MB: 264 MB
+    monkeypatch.setattr(bpe_trie, "TEXT_PART", 1000)
+    monkeypatch.setattr(bpe_trie, "_PART_WORDS", 7)
+    text = " ".join(["some words é 日本", "a<|endoftext|>b", "x" * 3000, "the cat\n\n"] * 30)
+    (code, plain), = trie.encode_decode([text])
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert code == struct.pack(f"<{len(ids)}I", *ids) and plain.decode() == text
+
+
 # --- winnowing -------------------------------------------------------------------------------
 
 
@@ -417,3 +446,25 @@ def test_trie_keeps_a_bounded_number_of_arrays_open(spark, monkeypatch):
     monkeypatch.setattr(lm_trie, "OPEN_ARRAYS", 3)
     trie = lm_trie.Trie(model)
     assert (trie.bigram(words, words[::-1])[0] == full).all() and len(trie.open) <= 3 < sum(model.parts)
+
+
+def test_only_unicode_letters_give_a_text_a_language():
+    texts = ["²", "½①", "₂ 3 Ⅳ", "१२३", "_", "🙂", "ª", "a²", "日", "\u0301", None, ""]
+    assert [bool(langid_pieces._LETTER.search(t)) if t else False for t in texts] == [
+        False, False, False, False, False, False, True, True, True, False, False, False]
+
+
+def test_toxicity_sample_takes_the_rarer_label_first_and_is_bounded_in_bytes(spark):
+    n = 3000
+    rows = [(i, f"vile word{i % 7} trash" if i % 25 == 0 else f"kind word{i % 9} here") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 25 == 0).cast("int").alias("toxic"))
+    train = {i for i in range(n) if zlib.crc32(str(i).encode()) % 5}
+    rare = sum(i % 25 == 0 for i in train)
+    model = ftrl_toxicity.train(docs, labels, sample_docs=400)
+    got = ftrl_toxicity.scored(docs, model).select("doc_id", (F.col("score") >= 0.5).alias("bad")).collect()
+    assert rare < 200 and {r.doc_id for r in got if r.bad} == {i for i in range(n) if i % 25 == 0}
+    # no byte to spare: the model sees nothing, which is no error
+    assert ftrl_toxicity.train(docs, labels, sample_bytes=0) is None
+    small = ftrl_toxicity.train(docs, labels, sample_docs=400, sample_bytes=2000)
+    assert small is not None and len(small[0]) <= len(model[0])
