@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Ftrl = Ftrl(), sample_docs
         F.lit(int(take.get(0, 0) / max(1, many.get(0, 0)) * (1 << 20))))
     drawn = marked.where(draw < upto)
     rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("_text"))
-            .join(drawn, "_id").select("_id", "_text", "_y", draw.alias("_draw"))
+            .join(F.broadcast(drawn), "_id").select("_id", "_text", "_y", draw.alias("_draw"))  # about sample_docs rows
             .repartition(1).sortWithinPartitions("_draw", "_id", "_text"))
 
     def learn(batches):
