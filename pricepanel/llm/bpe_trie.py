@@ -227,13 +227,16 @@ class BpeTrie:
             ids = self.insert(data)
             self.words[w] = (struct.pack(f"<{len(ids)}I", *ids), b"".join(map(self.bytes_of.__getitem__, ids)))
 
-    def pieces(self, text: str) -> Iterator[str]:
+    def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text; special tokens in it stand for themselves."""
         if self.special is None or not any(s in text for s in self.specials):
-            yield from self.split.findall(text) if len(text) <= TEXT_PART else (m[0] for m in self.split.finditer(text))
-            return
+            return self.split.findall(text)
+        return list(self.stream(text))
+
+    def stream(self, text: str) -> Iterator[str]:
+        """The same, one at a time."""
         at = 0
-        for found in self.special.finditer(text):
+        for found in self.special.finditer(text) if self.special else ():
             yield from (m[0] for m in self.split.finditer(text[at:found.start()]))
             yield found[0]
             at = found.end()
@@ -258,7 +261,7 @@ class BpeTrie:
         """Ids as little-endian unsigned 32-bit integers, and the bytes they decode to, of each text."""
         if len(texts) == 1 and len(texts[0]) > TEXT_PART:
             ids, plain = bytearray(), bytearray()
-            pieces = self.pieces(texts[0])
+            pieces = self.stream(texts[0])
             while part := list(islice(pieces, _PART_WORDS)):
                 known = self._known([part])
                 for w in part:
@@ -266,7 +269,7 @@ class BpeTrie:
                     plain += known[w][1]
             yield bytes(ids), bytes(plain)
             return
-        todo = [list(self.pieces(t)) for t in texts]
+        todo = list(map(self.pieces, texts))
         known = self._known(todo)
         for p in todo:
             both = [known[w] for w in p]
