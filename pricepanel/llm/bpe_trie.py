@@ -44,6 +44,7 @@ SMALL_TRIE = (150_000, 40_000)
 LONG_WORD = 1024
 TEXT_PART = 1 << 20
 _PART_WORDS = 50_000
+_SHORT = (2, 1)
 NEVER = float("inf")
 
 # The byte-level pre-tokenisation pattern of the public vocabulary, with the
@@ -82,11 +83,12 @@ class BpeTrie:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
             self.halves.setdefault(vocab[a + b], (vocab[a], vocab[b]))
-        self.longest = max(map(len, self.id_of))
-        self.sizes: dict[bytes, list[int]] = {}  # lengths of the tokens that end in these (two) bytes, longest first
+        # lengths of the tokens that end in these three bytes, longest first, then those of two bytes and one
+        ends: dict[bytes, set[int]] = {}
         for data in self.id_of:
-            self.sizes.setdefault(data[-2:], []).append(len(data))
-        self.sizes = {end: sorted(set(n), reverse=True) for end, n in self.sizes.items()}
+            if len(data) > 2:
+                ends.setdefault(data[-3:], set()).add(len(data))
+        self.sizes = {end: (*sorted(n, reverse=True), 2, 1) for end, n in ends.items()}
         self.split = regex.compile(PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.fits: dict[int, bool] = {}
@@ -151,21 +153,24 @@ class BpeTrie:
 
     def insert(self, word: bytes) -> list[int]:
         """Walk or extend the word's path, then read its ids off the states on it."""
-        child, last, id_of, fits, longest = self.child, self.last, self.id_of, self.fits, self.longest
+        child, last, id_of, fits, sizes = self.child, self.last, self.id_of, self.fits, self.sizes
         node, path = 0, [0]
         for depth in range(1, len(word) + 1):
             key = node << 8 | word[depth - 1]
             found = child.get(key)
             if found is None:
-                for start in range(depth - longest if depth > longest else 0, depth):
-                    token = id_of.get(word[start:depth])
+                for n in sizes.get(word[depth - 3:depth], _SHORT) if depth > 2 else _SHORT[2 - depth:]:
+                    if n > depth:
+                        continue
+                    token = id_of.get(word[depth - n:depth])
                     if token is not None:
-                        pair = last[path[start]] << 16 | token
+                        before = last[path[depth - n]]
+                        pair = before << 16 | token
                         fit = fits.get(pair)
                         if fit is None:
                             if len(fits) >= MAX_PAIRS:
                                 fits.clear()
-                            fit = fits[pair] = self.compatible(last[path[start]], token)
+                            fit = fits[pair] = self.compatible(before, token)
                         if fit:
                             break
                 else:
@@ -196,8 +201,7 @@ class BpeTrie:
         id_of, sizes, fit = self.id_of, self.sizes, self.fit
         last = array("i", [-1])  # last token of each prefix
         for depth in range(1, len(word) + 1):
-            # tokens of two bytes and more, then the byte itself
-            for n in (*sizes.get(word[depth - 2:depth], ()), 1) if depth > 1 else (1,):
+            for n in sizes.get(word[depth - 3:depth], _SHORT) if depth > 2 else _SHORT[2 - depth:]:
                 if n <= depth:
                     token = id_of.get(word[depth - n:depth])
                     if token is not None and fit(last[depth - n], token):
