@@ -103,6 +103,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, tolerance
         moved_most = table.agg(F.max("_moved")).first()[0] or 0.0
         if moved_most <= tolerance:
             break
+        if sweep % 8 == 0:  # the driver lets go of the plans of earlier sweeps, and Spark's cleaner of what they left
+            cells.sparkSession.sparkContext._jvm.java.lang.System.gc()
     else:
         off = marginal_errors(cells, goals).orderBy(F.col("error").desc(), "dim", "level").first()
         if off is not None:
