@@ -12,9 +12,9 @@ compared with the probability is a hash of id and text, so a rerun after a lost
 executor, or any other partitioning, draws the same sample.
 
 The cells are a Spark table throughout: a sweep is three aggregations and joins
-on marginal levels, written to the scratch folder; the driver sees one number a
-sweep. Rows are summed before they are shuffled, so a hot source is one row a
-task.
+on marginal levels, each written to the scratch folder, so that a plan is one
+dimension deep; the driver sees one number a sweep. Rows are summed before they are
+shuffled, so a hot source is one row a task.
 
 Topics come from the shape of a text (``topic_of``), unless ``topic`` names a column.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, kept_table, scratch
@@ -81,30 +81,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, tolerance
          max_sweeps: int = MAX_SWEEPS) -> DataFrame:
     """``cells`` (_source, _lang, _topic, tokens) with the raked weight ``w``; weights add up to all tokens."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    goals = {}
-    for d in DIMS:
-        present = cells.groupBy(F.col(f"_{d}").alias("level")).agg(F.sum("tokens").alias("t"))
-        aim = present.join(targets[d], "level", "left").withColumn(
-            "share", F.coalesce("share", F.col("t") / F.lit(float(max(total, 1)))))
-        whole = aim.agg(F.sum("share").alias("whole"))
-        goals[d] = kept_table(aim.select("level", (F.col("share") * total / F.lit(whole.first()[0] or 1.0))
-                                         .alias("goal")).withColumnRenamed("level", f"_{d}"), folder, f"goal_{d}")
+    goals = {d: kept_table(_goal(cells, targets[d], d, total), folder, f"goal_{d}") for d in DIMS}
     cells = kept_table(cells.withColumn("w", F.col("tokens").cast("double")), folder, "sweep0")
     moved_most = 0.0
     for sweep in range(1, max_sweeps + 1):
-        moved = cells.withColumn("_moved", F.lit(0.0))
+        cells = cells.withColumn("_moved", F.lit(0.0))
         for d in DIMS:
-            factor = (moved.groupBy(f"_{d}").agg(F.sum("w").alias("_have")).join(goals[d], f"_{d}")
-                      .select(f"_{d}", (F.col("goal") / F.col("_have")).alias("_factor")))
-            moved = (moved.join(factor, f"_{d}").withColumn("w", F.col("w") * F.col("_factor"))
-                     .withColumn("_moved", F.greatest("_moved", F.abs(F.col("_factor") - 1))).drop("_factor"))
-        table = kept_table(moved, folder, f"sweep{sweep}")
-        cells = table.drop("_moved")
-        moved_most = table.agg(F.max("_moved")).first()[0] or 0.0
+            seen = Observation()
+            cells = kept_table(_fitted(cells, goals[d], d).observe(seen, F.max("_moved").alias("most")), folder, f"sweep{sweep}{d}")
+        cells, moved_most = cells.drop("_moved"), seen.get["most"] or 0.0
         if moved_most <= tolerance:
             break
-        if sweep % 8 == 0:  # the driver lets go of the plans of earlier sweeps, and Spark's cleaner of what they left
-            cells.sparkSession.sparkContext._jvm.java.lang.System.gc()
     else:
         off = marginal_errors(cells, goals).orderBy(F.col("error").desc(), "dim", "level").first()
         if off is not None:
@@ -113,6 +100,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], folder: str, tolerance
     return cells
 
 
+def _goal(cells: DataFrame, target: DataFrame, d: str, total: int) -> DataFrame:
+    """(_level, goal): the tokens that each present level of a dimension should weigh; goals add up to ``total``."""
+    present = cells.groupBy(F.col(f"_{d}").alias("level")).agg(F.sum("tokens").alias("t"))
+    aim = present.join(target, "level", "left").withColumn(
+        "share", F.coalesce("share", F.col("t") / F.lit(float(max(total, 1)))))
+    whole = aim.agg(F.sum("share").alias("whole")).first()[0] or 1.0
+    return aim.select(F.col("level").alias(f"_{d}"), (F.col("share") * total / F.lit(whole)).alias("goal"))
+
+
+def _fitted(cells: DataFrame, goal: DataFrame, d: str) -> DataFrame:
+    """``cells`` scaled to the goals of one dimension; a level that weighs nothing stays as it is."""
+    factor = (cells.groupBy(f"_{d}").agg(F.sum("w").alias("_have")).join(goal, f"_{d}")
+              .select(f"_{d}", F.coalesce(F.try_divide("goal", "_have"), F.lit(1.0)).alias("_factor")))
+    return (cells.join(factor, f"_{d}").withColumn("w", F.col("w") * F.col("_factor"))
+            .withColumn("_moved", F.greatest("_moved", F.abs(F.col("_factor") - 1))).drop("_factor"))
+
+
 class RakingWarning(UserWarning):
     """Targets that the cells cannot meet together, or not within the sweeps."""
 
