@@ -288,8 +288,9 @@ def filter_documents(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, with just their own columns."""
     folder = folder or scratch(docs.sparkSession, "mcd")
     packed = docs.select("text", "lang", "source", F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
-    rows = kept_table(with_statistics(packed).select("lang", "source", "_stats"), folder, "stats")
-    return verdicts(with_statistics(packed).drop("text"), fit(rows, folder)).where("kept").select("_row.*")
+    # rows are written with their statistics, so that every text is counted once; the estimate reads only its columns
+    rows = kept_table(with_statistics(packed).drop("text"), folder, "stats")
+    return verdicts(rows, fit(rows.select("lang", "source", "_stats"), folder)).where("kept").select("_row.*")
 
 
 def op2_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
