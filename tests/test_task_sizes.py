@@ -1,13 +1,18 @@
 """The lake is built with one move of its rows, and tasks are sized by the data, not by the session."""
 
 import io
+import os
 from contextlib import redirect_stdout
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from pricepanel import session
 from pricepanel.operators import lake as K
 from pricepanel.plans import pipeline
-from pricepanel.sources.lake import scan_prices
+from pricepanel.schema import LISTING_COLUMNS
+from pricepanel.sources.deltas import ROWS, add_delta, read_table
+from pricepanel.sources.lake import scan_prices, write_lake
 from pricepanel.sources.panel import F1_SEQUENCE, listing_panel_raw
 
 SIZES = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
@@ -18,6 +23,19 @@ def _conf(spark):
     return [spark.conf.get(k, None) for k in SIZES + ["spark.sql.shuffle.partitions"]]
 
 
+def _listings(spark, n: int):
+    i = F.col("id")
+    made = {"timestamp": F.lit("2024-01-01").cast("timestamp"), "provider": F.concat(F.lit("p"), i % 3),
+            "instance_type": F.concat(F.lit("i"), i), "gpu_type": F.concat(F.lit("g"), i % 50), "region": F.lit("r"),
+            "price_per_hour": F.rand(7), "is_spot": i % 2 == 0}
+    kinds = {f.name: f.dataType for f in K.LAKE_SCHEMA}
+    return spark.range(0, n, 1, 8).select(*[made.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in LISTING_COLUMNS])
+
+
+def _files(folder):
+    return [f for f in os.listdir(folder) if f.startswith("part-")]
+
+
 def test_lake_build_moves_rows_once(spark, tmpdir_path, monkeypatch):
     taken, write = [], pipeline.write_lake
     monkeypatch.setattr(pipeline, "write_lake", lambda df, *a, **k: (taken.append((df, k)), write(df, *a, **k)))
@@ -43,3 +61,15 @@ def test_shuffles_start_with_partitions_by_input(spark):
     assert _conf(spark) == before
     with session.sized_tasks(spark):
         assert _conf(spark)[0] == before[3]
+
+
+def test_a_hot_date_is_written_by_many_tasks(spark, tmpdir_path, monkeypatch):
+    rows = _listings(spark, 40_000)
+    monkeypatch.setattr(session, "TASK_BYTES", 64 << 10)
+    write_lake(rows, f"{tmpdir_path}/lake", dynamic=False)
+    assert len(_files(f"{tmpdir_path}/lake/dt=2024-01-01")) > 2
+    add_delta(rows.withColumns({"price_per_hour": F.lit(2.0), "dt": F.to_date("timestamp")}), f"{tmpdir_path}/lake", ROWS)
+    delta = f"{tmpdir_path}/lake/_deltas/{1:010d}-rows/dt=2024-01-01"
+    assert len(_files(delta)) > 2
+    now = read_table(spark, f"{tmpdir_path}/lake", K.LAKE_SCHEMA, K.LISTING_KEY)
+    assert now.count() == 40_000 and now.filter("price_per_hour = 2.0").count() == 40_000
