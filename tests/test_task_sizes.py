@@ -14,6 +14,7 @@ from pricepanel.schema import LISTING_COLUMNS
 from pricepanel.sources.deltas import ROWS, add_delta, read_table
 from pricepanel.sources.lake import scan_prices, write_lake
 from pricepanel.sources.panel import F1_SEQUENCE, listing_panel_raw
+from pricepanel.streaming import snapshots as st
 
 SIZES = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
          "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]
@@ -73,3 +74,18 @@ def test_a_hot_date_is_written_by_many_tasks(spark, tmpdir_path, monkeypatch):
     assert len(_files(delta)) > 2
     now = read_table(spark, f"{tmpdir_path}/lake", K.LAKE_SCHEMA, K.LISTING_KEY)
     assert now.count() == 40_000 and now.filter("price_per_hour = 2.0").count() == 40_000
+
+
+def test_state_partitions_do_not_follow_the_session(spark, tmpdir_path):
+    rows = _listings(spark, 300).withColumns({"seq_a": F.lit(1), "seq_b": F.col("price_per_hour")})
+    land, sink, ck = f"{tmpdir_path}/landing", f"{tmpdir_path}/dedupe", f"{tmpdir_path}/ck"
+    twice = rows.unionByName(rows.withColumns({"seq_b": F.col("seq_b") + 1, "gpu_count": F.lit(4)}))
+    twice.write.parquet(land)
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "12"}):
+        st.run_dedupe_stream(spark, land, sink, ck, ["seq_a", "seq_b"], state_partitions=3)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "12"
+    assert sorted(x for x in os.listdir(f"{ck}/state/0") if x.isdigit()) == ["0", "1", "2"]
+    got = spark.read.parquet(sink)
+    assert got.count() == 300 and got.filter("gpu_count = 4").count() == 300
+    # what a batch hands on is staged once, so the plan with state does not run again for each use
+    assert os.path.exists(f"{ck}_staging/0_changed/_SUCCESS")
