@@ -24,7 +24,7 @@ IS_LEAD = (np.arange(256) & 0xC0) != 0x80
 
 ARROW_ROWS = 1000
 _CHUNK = 1 << 20
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 16
 
 
 def release() -> None:
@@ -88,16 +88,17 @@ def fold(column: str, modulus: int) -> Column:
 _RNG = np.random.default_rng(20240229)
 _SYMBOL = _RNG.integers(0, 2**64, size=256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C13)  # odd, 3 modulo 8
-_POWERS = np.ones(1, dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POWERS = {}
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        steps = np.full(max(n, 4096), _BASE, dtype=np.uint64)
+def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64."""
+    if len(_POWERS.get(base, ())) < n:
+        steps = np.full(max(n, _SEGMENT), base, dtype=np.uint64)
         steps[0] = 1
-        _POWERS = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS
+        _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS[base][:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -134,20 +135,18 @@ class Words:
         return long, self._hashes(self.start[long], np.full(len(long), k, dtype=np.int64))
 
     def _hashes(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges in order, by differences of one running sum: symbols times powers of their places."""
         out = np.empty(len(size), dtype=np.uint64)
-        if not len(size):
-            return out
-        total = np.cumsum(size)
+        end = start + size
         lo = 0
         while lo < len(size):  # a bounded number of bytes at a time
-            done = total[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(total, done + _SEGMENT, side="right")))
-            n = size[lo:hi]
-            first = np.cumsum(n) - n
-            place = np.arange(int(n.sum())) - np.repeat(first, n)
-            at = place + np.repeat(start[lo:hi], n)
-            value = _SYMBOL[self.buffer[at]] * _powers(int(n.max()))[place]
-            out[lo:hi] = np.add.reduceat(value, first)
+            first = start[lo]
+            hi = max(lo + 1, int(np.searchsorted(end, first + _SEGMENT, side="right")))
+            n = int(end[hi - 1] - first)
+            upto = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(_SYMBOL[self.buffer[first:first + n]] * _powers(n), out=upto[1:])
+            begin = start[lo:hi] - first
+            out[lo:hi] = (upto[end[lo:hi] - first] - upto[begin]) * _powers(int(begin[-1]) + 1, _INVERSE)[begin]
             lo = hi
         return mixed(out)
 

@@ -73,8 +73,8 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
 def _unpack(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
     if not width:
         return np.zeros(len(index), dtype=np.uint64)
-    at = index.astype(np.uint64) * np.uint64(width)
-    word, shift = (at >> _SIX).astype(np.int64), at & _LOW6
+    at = index * width
+    word, shift = at >> 6, (at & 63).view(np.uint64)
     low = words[word] >> shift
     # a shift by 64 is not defined: shift by 63 and then by one
     high = (words[word + 1] << (_LOW6 - shift)) << _ONE
@@ -88,13 +88,13 @@ for _byte in range(256):
         _IN_BYTE[_byte * 8 + _k] = _bit
 _EACH = np.uint64(0x0101010101010101)
 _TOP = np.uint64(0x8080808080808080)
-_HINT = 64  # ones (or zeros) between two entries of a select hint
+_HINT_BITS = 4  # a select hint has an entry for every 16th one (or zero)
 _STEPS = 4  # words looked at after a hint before a binary search
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Place of the k-th one (from 0) of each 64-bit word: by sums over its bytes, then a table."""
-    k = k.astype(np.uint64)
+    k = k.view(np.uint64)
     two = np.uint64(0x3333333333333333)
     upto = word - ((word >> _ONE) & np.uint64(0x5555555555555555))
     upto = (upto & two) + ((upto >> np.uint64(2)) & two)
@@ -103,26 +103,37 @@ def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     shift = np.bitwise_count((((k * _EACH) | _TOP) - upto) & _TOP).astype(np.uint64) << np.uint64(3)
     before = ((upto << np.uint64(8)) >> shift) & np.uint64(255)
     byte = (word >> shift) & np.uint64(255)
-    return shift.astype(np.int64) + _IN_BYTE[((byte << np.uint64(3)) | (k - before)).astype(np.int64)]
+    return shift.view(np.int64) + _IN_BYTE[((byte << np.uint64(3)) | (k - before)).view(np.int64)]
+
+
+def _least(values: np.ndarray) -> np.ndarray:
+    """Non-negative numbers in 32 bits where they fit: half the bytes to keep and to look up."""
+    return values.astype(np.uint32) if not len(values) or int(values.max()) >> 32 == 0 else values
 
 
 def _hints(before: np.ndarray, total: int) -> np.ndarray:
-    """The word that holds every _HINT-th one, by the ones before each word (the last entry closes)."""
-    return (np.searchsorted(before, np.arange(0, total, _HINT), side="right") - 1).astype(np.uint32 if len(before) >> 32 == 0 else np.int64)
+    """The word that holds every 16th one, by the ones before each word (the last entry closes)."""
+    return _least(np.searchsorted(before, np.arange(0, total, 1 << _HINT_BITS), side="right") - 1)
+
+
+def _word_with(ones: np.ndarray, hint: np.ndarray, k: np.ndarray, zeros: bool = False) -> np.ndarray:
+    """The word that holds the k-th one (or zero): from its hint on, and by binary search where that is far.
 
+    ``ones`` counts the ones before each word; the zeros before it are the other bits."""
+    word = hint[k >> _HINT_BITS].astype(np.int64)
 
-def _word_with(before: np.ndarray, hint: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """The word that holds the k-th one: from its hint on, and by binary search where that is far."""
-    word = hint[k >> 6].astype(np.int64)
-    last = len(before) - 1
-    live = np.flatnonzero(before[np.minimum(word + 1, last)] <= k)
+    def passed(word: np.ndarray, k: np.ndarray) -> np.ndarray:
+        after = word + 1  # there is one: the last word is to spare
+        return np.flatnonzero((after << 6) - ones[after] <= k if zeros else ones[after] <= k)
+
+    live = passed(word, k)
     for _ in range(_STEPS):
-        live = live[word[live] < last]
         if not len(live):
             return word
         word[live] += 1
-        live = live[before[np.minimum(word[live] + 1, last)] <= k[live]]
+        live = live[passed(word[live], k[live])]
     if len(live):
+        before = np.arange(len(ones), dtype=np.int64) * 64 - ones if zeros else ones
         word[live] = np.searchsorted(before, k[live], side="right") - 1
     return word
 
@@ -130,8 +141,8 @@ def _word_with(before: np.ndarray, hint: np.ndarray, k: np.ndarray) -> np.ndarra
 class EliasFano:
     """``size`` non-decreasing numbers below ``universe``."""
 
-    def __init__(self, size: int, universe: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, one_at: np.ndarray,
-                 zero_at: np.ndarray):
+    def __init__(self, size: int, universe: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray,
+                 one_at: np.ndarray | None, zero_at: np.ndarray | None):
         self.size, self.universe = size, universe
         self.width = self._width(size, universe)
         self.low, self.high, self.ones, self.one_at, self.zero_at = low, high, ones, one_at, zero_at
@@ -151,38 +162,43 @@ class EliasFano:
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(bits), dtype=np.int64)[:-1]])
         low = _pack(values & np.uint64((1 << width) - 1), width)
         zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
-        return cls(len(values), universe, low, bits, ones, _hints(ones, len(values)), _hints(zeros, 64 * len(bits) - len(values)))
+        return cls(len(values), universe, low, bits, _least(ones), _hints(ones, len(values)), _hints(zeros, 64 * len(bits) - len(values)))
 
-    def save(self, folder: str, name: str) -> None:
+    def save(self, folder: str, name: str, get: bool = True, find: bool = True) -> None:
+        """Write the sequence with the hints for ``get`` (and ``neighbours``), for ``find``, or for both."""
         save_array(folder, f"{name}_low", self.low)
         save_array(folder, f"{name}_high", self.high)
         save_array(folder, f"{name}_ones", self.ones)
-        save_array(folder, f"{name}_one_at", self.one_at)
-        save_array(folder, f"{name}_zero_at", self.zero_at)
-        save_array(folder, f"{name}_shape", np.array([self.size, self.universe], dtype=np.uint64))
+        if get:
+            save_array(folder, f"{name}_one_at", self.one_at)
+        if find:
+            save_array(folder, f"{name}_zero_at", self.zero_at)
+        save_array(folder, f"{name}_shape", np.array([self.size, self.universe, get, find], dtype=np.uint64))
 
     @classmethod
     def load(cls, folder: str, name: str) -> EliasFano:
-        size, universe = map(int, load_array(folder, f"{name}_shape"))
-        return cls(size, universe, *(load_array(folder, f"{name}_{x}") for x in ("low", "high", "ones", "one_at", "zero_at")))
+        size, universe, get, find = map(int, load_array(folder, f"{name}_shape"))
+        low, high, ones = (load_array(folder, f"{name}_{x}") for x in ("low", "high", "ones"))
+        return cls(size, universe, low, high, ones, load_array(folder, f"{name}_one_at") if get else None,
+                   load_array(folder, f"{name}_zero_at") if find else None)
 
     def _place(self, index: np.ndarray) -> np.ndarray:
         """Bits of the ones of the numbers at the given places."""
         word = _word_with(self.ones, self.one_at, index)
-        return word * 64 + _select_in_word(self.high[word], index - self.ones[word])
+        return (word << 6) + _select_in_word(self.high[word], index - self.ones[word])
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """The numbers at the given places."""
         return self._value(index, self._place(index))
 
     def _value(self, index: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return ((place - index).astype(np.uint64) << np.uint64(self.width)) | _unpack(self.low, index, self.width)
+        return ((place - index).view(np.uint64) << np.uint64(self.width)) | _unpack(self.low, index, self.width)
 
     def neighbours(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers at the given places and at the places after them."""
         place = self._place(index)
         # the next one mostly lies in the same word
-        rest = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) >> _ONE
+        rest = (self.high[place >> 6] >> (place & 63).view(np.uint64)) >> _ONE
         after = place + 1 + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
         far = np.flatnonzero(rest == 0)
         after[far] = self._place(index[far] + 1)
@@ -191,33 +207,30 @@ class EliasFano:
     def _bucket(self, top: np.ndarray) -> np.ndarray:
         """Bit after the zero that closes the numbers with high parts below ``top``."""
         k = np.maximum(top - 1, 0)
-        zeros = self._zeros()
-        word = _word_with(zeros, self.zero_at, k)
-        place = word * 64 + _select_in_word(~self.high[word], k - zeros[word])
+        word = _word_with(self.ones, self.zero_at, k, zeros=True)
+        place = (word << 6) + _select_in_word(~self.high[word], k - ((word << 6) - self.ones[word]))
         return np.where(top > 0, place + 1, 0)
 
-    def _zeros(self) -> np.ndarray:
-        if not hasattr(self, "_zero"):
-            self._zero = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
-        return self._zero
-
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of the first number equal to each value, -1 where there is none."""
         out = np.full(len(values), -1, dtype=np.int64)
         if not self.size:
             return out
-        values = values.astype(np.uint64)
+        values = values.astype(np.uint64, copy=False)
         live = np.flatnonzero(values < np.uint64(min(self.universe, 2**64 - 1)))
-        top = (values[live] >> np.uint64(self.width)).astype(np.int64)
-        low = values[live] & np.uint64((1 << self.width) - 1)
+        if len(live) < len(values):
+            values = values[live]
+        top = (values >> np.uint64(self.width)).view(np.int64)
+        low = values & np.uint64((1 << self.width) - 1)
         place = self._bucket(top)
         index = place - top
-        while len(live):  # successor search among the numbers of equal high part
-            here = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) & _ONE
-            on = np.flatnonzero((here == _ONE) & (index < self.size))
-            live, place, index, low = live[on], place[on], index[on], low[on]
+        while len(live):  # successor search among the numbers of equal high part; no ones follow the last number
+            on = np.flatnonzero((self.high[place >> 6] >> (place & 63).view(np.uint64)) & _ONE)
+            if len(on) < len(live):
+                live, place, index, low = live[on], place[on], index[on], low[on]
             have = _unpack(self.low, index, self.width)
-            out[live[have == low]] = index[have == low]
+            same = np.flatnonzero(have == low)
+            out[live[same]] = index[same]
             on = np.flatnonzero(have < low)
             live, place, index, low = live[on], place[on] + 1, index[on] + 1, low[on]
         return out

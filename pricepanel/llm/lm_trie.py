@@ -54,6 +54,7 @@ _KEY_BITS = 63
 _END = 0x3C6EF372FE94F82A  # key of the end token: a constant of its own
 _STEP = 4096  # codes a unit of log10
 _HELD = 2_000_000
+_LOOKED_UP = 2 << 20  # bytes of word numbers that are looked up together: repeats once, and enough for each shard
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -97,8 +98,9 @@ def _bits(stride: int) -> int:
 
 def _relative(words: np.ndarray, begin: np.ndarray, many: np.ndarray, stride: int) -> np.ndarray:
     """begin + words * many / stride, with ``_bits`` binary places: rises with the word, never the same for two."""
-    whole, rest = np.divmod(words * many, stride)
-    return ((begin + whole) << _bits(stride)) + (rest << _bits(stride)) // stride
+    product = words * many
+    whole = product // stride
+    return ((begin + whole) << _bits(stride)) + ((product - whole * stride) << _bits(stride)) // stride
 
 
 def _word_of(value: np.ndarray, begin: np.ndarray, many: np.ndarray, stride: int) -> np.ndarray:
@@ -134,16 +136,17 @@ class Trie:
         return self._opened(level, shard, name, EliasFano.load)
 
     @staticmethod
-    def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice]]:
+        """Each shard and its entries; where these lie in a row, as a slice."""
         if not len(shard):
             return
-        if shard.min() == shard.max():
-            yield int(shard[0]), np.arange(len(shard))
-            return
-        order = np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")  # 16 bits: by radix
-        cut = np.flatnonzero(np.diff(shard[order])) + 1
-        for at in np.split(order, cut):
-            yield int(shard[at[0]]), at
+        order = None
+        if (shard[1:] < shard[:-1]).any():
+            order = np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")  # 16 bits: by radix
+            shard = shard[order]
+        cut = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            yield int(shard[lo]), slice(lo, hi) if order is None else order[lo:hi]
 
     def find(self, level: int, keys: np.ndarray) -> np.ndarray:
         """Places of the keys in a level, -1 where absent."""
@@ -182,30 +185,47 @@ class Trie:
                                begin[context + 1] - begin[context], self.model.stride)
         return out
 
-    def backoff(self, level: int, contexts: np.ndarray) -> np.ndarray:
-        """Code + 1 of the back-off weight of contexts of a level, 0 for those without followers in it."""
-        out = np.zeros(len(contexts), dtype=np.int64)
+    def _follow(self, level: int, shard: int, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Place in its shard of each context's follower, -1 where absent; contexts counted from the shard's first."""
+        begin, end = (x.view(np.int64) for x in self._ef(level, shard, "pointers").neighbours(contexts))
+        many = end - begin
+        got = self._ef(level, shard, "keys").find(_relative(words, begin, many, self.model.stride))
+        got[many == 0] = -1
+        return got
+
+    def follow(self, level: int, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Place of each context's follower, -1 where absent."""
+        place = np.full(len(contexts), -1, dtype=np.int64)
         wide = self.model.spans[level - 1] // self.model.stride
         for s, at in self._by_shard(contexts // wide):
             if self.model.sizes[level - 1][s]:
-                out[at] = self._array(level, s, "backoff")[contexts[at] - s * wide]
-        return out
+                got = self._follow(level, s, contexts[at] - s * wide, words[at])
+                place[at] = np.where(got >= 0, got + self.first[level - 1][s], -1)
+        return place
 
-    def follow(self, level: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each context's follower (-1: absent) and the back-off code + 1 of the context (0: no followers)."""
-        weight = self.backoff(level, contexts)
+    def _step(self, level: int, contexts: np.ndarray, words: np.ndarray, lower) -> tuple[np.ndarray, np.ndarray]:
+        """log10 p(word | context) and the follower's place; ``lower`` gives the lower order's for absent followers."""
+        score = np.empty(len(contexts), dtype=np.float64)
         place = np.full(len(contexts), -1, dtype=np.int64)
-        live = np.flatnonzero(weight)
+        weight = np.zeros(len(contexts), dtype=np.int64)  # code + 1 of the back-off weight, 0 without followers
         wide = self.model.spans[level - 1] // self.model.stride
-        for s, at in self._by_shard(contexts[live] // wide):
-            at = live[at]
-            c = contexts[at] - s * wide
-            pointers = self._ef(level, s, "pointers")
-            begin, end = (x.astype(np.int64) for x in pointers.neighbours(c))
-            many = end - begin
-            got = self._ef(level, s, "keys").find(_relative(words[at], begin, many, self.model.stride))
+        for s, at in self._by_shard(contexts // wide):
+            if not self.model.sizes[level - 1][s]:
+                continue
+            own = contexts[at] - s * wide
+            got = self._follow(level, s, own, words[at])
+            score[at] = _log(self._array(level, s, "code")[np.maximum(got, 0)])
             place[at] = np.where(got >= 0, got + self.first[level - 1][s], -1)
-        return place, weight
+            miss = got < 0
+            if miss.any():
+                left = np.zeros(len(own), dtype=np.int64)
+                left[miss] = self._array(level, s, "backoff")[own[miss]]
+                weight[at] = left
+        miss = np.flatnonzero(place < 0)
+        score[miss] = lower(miss)
+        backed = miss[weight[miss] > 0]
+        score[backed] += _log(weight[backed] - 1)
+        return score, place
 
     def unigram(self, words: np.ndarray) -> np.ndarray:
         """log10 probability of word numbers."""
@@ -218,30 +238,30 @@ class Trie:
 
     def bigram(self, before: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 p(word | word before), and the place of the pair in level 2 (-1: absent)."""
-        score = self.unigram(words)
-        place = np.full(len(words), -1, dtype=np.int64)
-        if len(self.model.parts) > 1:
-            at = np.flatnonzero(before <= self.model.start)
-            got, weight = self.follow(2, before[at], np.minimum(words[at], self.model.start))
-            place[at] = got
-            backed = np.flatnonzero((got < 0) & (weight > 0))
-            score[at[backed]] += _log(weight[backed] - 1)
-            hit = np.flatnonzero(place >= 0)
-            score[hit] = _log(self.value(2, place[hit], "code"))
-        return score, place
+        if len(self.model.parts) < 2:
+            return self.unigram(words), np.full(len(words), -1, dtype=np.int64)
+        known = np.flatnonzero(before <= self.model.start)
+        if len(known) < len(words):
+            score, place = self.unigram(words), np.full(len(words), -1, dtype=np.int64)
+            score[known], place[known] = self.bigram(before[known], words[known])
+            return score, place
+        return self._step(2, before, np.minimum(words, self.model.start), lambda miss: self.unigram(words[miss]))
 
     def trigram(self, pair: np.ndarray, words: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """log10 p(word | the pair at that place of level 2), given the lower order's."""
         score = lower.copy()
         at = np.flatnonzero(pair >= 0)
-        place, weight = self.follow(3, pair[at], np.minimum(words[at], self.model.start))
-        backed = np.flatnonzero((place < 0) & (weight > 0))
-        score[at[backed]] += _log(weight[backed] - 1)
-        hit = np.flatnonzero(place >= 0)
-        score[at[hit]] = _log(self.value(3, place[hit], "code"))
+        score[at] = self._step(3, pair[at], np.minimum(words[at], self.model.start), lambda miss: lower[at[miss]])[0]
         return score
 
 
+def _distinct(first: np.ndarray, second: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs (second below ``wide``), each once and in order, and the number of each entry's pair."""
+    kinds, which = np.unique(first * wide + second, return_inverse=True)
+    first = kinds // wide
+    return first, kinds - first * wide, which
+
+
 # --- counting: packed blocks of (key, count) for each key range -----------------------------------
 
 
@@ -377,7 +397,7 @@ def _count_words(docs: DataFrame, parts: int) -> DataFrame:
 def _build_words(folder: str, span: int):
     def build(part: int, keys: np.ndarray, counts: np.ndarray) -> int:
         place = f"{folder}/level1/{part}"
-        EliasFano.of(keys - part * span, span).save(place, "keys")
+        EliasFano.of(keys - part * span, span).save(place, "keys", get=False)
         save_array(place, "counts", counts)
         return len(keys)
 
@@ -439,7 +459,7 @@ def _sequences(column, model: Model) -> Iterator[tuple[int, int, np.ndarray, np.
     """Ranges of texts with their word numbers in a row, the start mark before each text; and each one's text."""
     kind = np.int64 if model.unknown >> 32 else np.uint32
     blobs = column.to_pylist()
-    for lo, hi in chunks(blobs):
+    for lo, hi in chunks(blobs, _LOOKED_UP):
         size = np.fromiter((len(x) // np.dtype(kind).itemsize for x in blobs[lo:hi]), dtype=np.int64, count=hi - lo)
         flat = np.frombuffer(b"".join(blobs[lo:hi]), dtype=kind).astype(np.int64)
         doc = np.repeat(np.arange(hi - lo), size + 1)
@@ -468,7 +488,8 @@ def _count_grams(tokens: DataFrame, model: Model, level: int, span: int) -> Data
                 else:
                     pair = np.full(len(ids), -1, dtype=np.int64)  # of a word and the one before
                     at = np.flatnonzero(same) + 1
-                    pair[at], _ = trie.follow(2, ids[at - 1], ids[at])
+                    before, word, which = _distinct(ids[at - 1], ids[at], model.stride)
+                    pair[at] = trie.follow(2, before, word)[which]
                     at = np.flatnonzero(same & (pair[:-1] >= 0) & (pair[1:] >= 0))
                     counter.add(pair[at] * model.stride + ids[at + 1])
             yield from counter.blocks()
@@ -498,15 +519,16 @@ def _build_grams(model: Model, level: int, span: int):
         else:
             total = trie.value(2, kinds, "counts").astype(np.int64)
             before = trie.last_word(2, kinds)
-            lower = trie.bigram(np.repeat(before, size), word)[0]
+            before, last, which = _distinct(np.repeat(before, size), word, model.stride)
+            lower = trie.bigram(before, last)[0][which]
         share = (counts - DISCOUNT) / np.repeat(total, size)
         left = np.maximum(1.0 - np.add.reduceat(share, first), 1e-9)
         place = f"{model.folder}/level{level}/{part}"
         relative = _relative(word, np.repeat(first, size), np.repeat(size, size), model.stride)
-        EliasFano.of(relative, len(keys) << _bits(model.stride)).save(place, "keys")
+        EliasFano.of(relative, len(keys) << _bits(model.stride)).save(place, "keys", get=level < ORDER)
         begin = np.zeros(wide + 1, dtype=np.int64)
         begin[kinds - part * wide + 1] = size
-        EliasFano.of(np.cumsum(begin), len(keys) + 1).save(place, "pointers")
+        EliasFano.of(np.cumsum(begin), len(keys) + 1).save(place, "pointers", find=False)
         backoff = np.zeros(wide, dtype=np.uint16)
         backoff[kinds - part * wide] = _code(left) + 1
         save_array(place, "backoff", backoff)
@@ -580,14 +602,18 @@ def scored(tokens: DataFrame, model: Model) -> DataFrame:
             score = np.zeros(b.num_rows)
             for lo, hi, ids, doc in _sequences(b.column(5), model):
                 at = np.flatnonzero(ids != model.start)
-                wide = model.unknown + 1
-                kinds, which = np.unique(ids[at - 1] * wide + ids[at], return_inverse=True)  # each pair is looked up once
-                value, pair = trie.bigram(kinds // wide, kinds % wide)
+                before, word, which = _distinct(ids[at - 1], ids[at], model.unknown + 1)  # each pair is looked up once
+                value, pair = trie.bigram(before, word)
                 value = value[which]
                 if len(model.parts) > 2:
                     before = np.full(len(ids), -1, dtype=np.int64)
                     before[at] = pair[which]
-                    value = trie.trigram(before[at - 1], ids[at], value)
+                    pair = before[at - 1]
+                    live = np.flatnonzero(pair >= 0)
+                    pair, word, which = _distinct(pair[live], np.minimum(ids[at[live]], model.start), model.stride)
+                    lower = np.empty(len(pair), dtype=np.float64)
+                    lower[which] = value[live]  # the same for all of a kind: a pair's place tells its last word
+                    value[live] = trie.trigram(pair, word, lower)[which]
                 score[lo:hi] = np.bincount(doc[at], weights=value, minlength=hi - lo)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(score)], names=[*names, "score"])
 

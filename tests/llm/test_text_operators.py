@@ -38,6 +38,25 @@ def test_words_split_on_the_six_separators_only():
     assert len(set(w.hash.tolist())) == len({x for t in texts for x in t.split()})
 
 
+def test_word_hashes_equal_sums_byte_by_byte():
+    from pricepanel.llm import common
+    words = [b"a", b"bc", b"x" * (common._SEGMENT + 3), b"end", b"y" * common._SEGMENT, "\u65e5\u672c".encode(), b"a"]
+    texts = [b" ".join(words), b"   ", b"\n" * (common._SEGMENT + 1) + b"bc  a" + b" tail" * common._SEGMENT]
+    w = Words(texts)
+
+    def plain(word):
+        total, power = 0, 1
+        for byte in word:
+            total, power = total + int(common._SYMBOL[byte]) * power, power * int(common._BASE) % 2**64
+        return common.mixed(np.array([total % 2**64], dtype=np.uint64))[0]
+
+    flat = [x for t in texts for x in t.split()]
+    kinds = {x: plain(x) for x in set(flat)}
+    assert w.hash.tolist() == [kinds[x] for x in flat]
+    long, head = w.prefixes(2)
+    assert head.tolist() == [plain(flat[i][:2]) for i in long] and len(long) == sum(len(x) > 2 for x in flat)
+
+
 def test_grams_stay_inside_a_text():
     w = Words([b"a b c", b"d e", b"a b c"])
     gram, at = w.grams(3)
@@ -399,6 +418,79 @@ def test_lm_equals_a_dictionary_model(spark, monkeypatch, part_tokens):
         assert abs(r.score - score) <= 2e-4 * n + 1e-3
 
 
+class _Local:
+    """A table whose mapInArrow gives the function, to be run in this process."""
+
+    def select(self, *_):
+        return self
+
+    where = select
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_lm_looks_each_pair_and_triple_of_a_batch_up_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_trie, "PART_TOKENS", 50)
+    docs = frame(spark, [f"a{i % 3} b{i % 4} c d{i % 2} e" for i in range(60)] + ["new a0 b0 c", "c"] * 20)
+    model, tokens = lm_trie.train(docs, scratch(spark, "lm-once"))
+    want = {r.doc_id: r.score for r in lm_trie.scored(tokens, model).collect()}
+    names = ["doc_id", "train", "n_tokens", "n_known", "base_score", "ids"]
+    rows = tokens.select(*names).toArrow().combine_chunks()
+    pairs, triples, trained = set(), set(), set()
+    for ids, train in zip(rows["ids"].to_pylist(), rows["train"].to_pylist()):
+        y = [model.start, *np.frombuffer(ids, dtype=np.uint32).tolist()]
+        pairs.update(zip(y, y[1:]))
+        triples.update(zip(y, y[1:], y[2:]))
+        trained.update(zip(y, y[1:]) if train else ())
+    asked = []
+    find = EliasFano.find
+    monkeypatch.setattr(EliasFano, "find", lambda self, values: asked.append(len(values)) or find(self, values))
+    got = list(lm_trie.scored(_Local(), model)(iter(rows.to_batches())))
+    assert {i: x for b in got for i, x in zip(b["doc_id"].to_pylist(), b["score"].to_pylist())} == want
+    assert 0 < sum(asked) <= len(pairs) + len(triples)
+    asked.clear()
+    kept = rows.filter(rows["train"]).select(["ids"])
+    list(lm_trie._count_grams(_Local(), model, 3, model.spans[2])(iter(kept.combine_chunks().to_batches())))
+    assert 0 < sum(asked) <= len(trained)
+
+
+def test_lm_answers_in_any_order_and_across_shards(spark, monkeypatch):
+    monkeypatch.setattr(lm_trie, "PART_TOKENS", 20)
+    model, _ = lm_trie.train(frame(spark, [f"a{i % 5} b{i % 7} c a{i % 3}" for i in range(40)]), scratch(spark, "lm-order"))
+    trie = lm_trie.Trie(model)
+    before, word = (x.ravel() for x in np.meshgrid(np.arange(model.kinds + 2), np.arange(model.kinds + 2), indexing="ij"))
+    score, place = trie.bigram(before, word)
+    assert (place >= 0).sum() == sum(model.sizes[1]) and np.isfinite(score).all()
+    pair = np.repeat(np.arange(-1, sum(model.sizes[1])), model.kinds)
+    last = np.tile(np.arange(model.kinds), len(pair) // model.kinds)
+    third = trie.trigram(pair, last, np.full(len(pair), -9.0))
+    assert (third[pair < 0] == -9.0).all()
+    found = lm_trie.Trie(model).follow(3, pair[pair >= 0], last[pair >= 0])
+    assert (found[found >= 0] == np.arange(sum(model.sizes[2]))).all()
+    mixed = np.random.default_rng(3).permutation(len(before))
+    again = trie.bigram(before[mixed], word[mixed])
+    assert (again[0] == score[mixed]).all() and (again[1] == place[mixed]).all()
+    mixed = np.random.default_rng(4).permutation(len(pair))
+    assert (trie.trigram(pair[mixed], last[mixed], np.full(len(pair), -9.0)) == third[mixed]).all()
+
+
+def test_elias_fano_keeps_only_the_hints_it_needs(tmpdir_path):
+    import os
+    v = np.cumsum(np.random.default_rng(2).integers(0, 90, 4000))
+    e = EliasFano.of(v, int(v[-1]) + 1)
+    assert e.ones.dtype == e.one_at.dtype == e.zero_at.dtype == np.uint32
+    e.save(tmpdir_path, "both")
+    e.save(tmpdir_path, "get", find=False)
+    e.save(tmpdir_path, "find", get=False)
+    assert not {"get_zero_at.npy", "find_one_at.npy"} & set(os.listdir(tmpdir_path))
+    both, get, find = (EliasFano.load(tmpdir_path, x) for x in ("both", "get", "find"))
+    i, q = np.arange(3999), np.arange(int(v[-1]) + 5)
+    for x in (both, get):
+        assert (x.get(i) == v[:-1]).all() and (x.neighbours(i)[1] == v[1:]).all()
+    assert (find.find(q) == both.find(q)).all() and ((find.find(q) >= 0) == np.isin(q, v)).all()
+
+
 def test_lm_knows_texts_seen_once(spark):
     once = " ".join(f"rare{i}" for i in range(40))
     ids = {use: next(i for i in range(500, 600) if (zlib.crc32(str(i).encode()) % 7 != 2) == use) for use in (True, False)}
