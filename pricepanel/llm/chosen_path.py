@@ -15,7 +15,10 @@ Leaves are compared by brute force: first by their sketches (a byte of each
 token), which rules out almost all unlike pairs, then, for texts with a likely
 partner, by their whole shingle sets, exactly. A large leaf is cut into blocks
 of ``BLOCK`` texts, and every pair of blocks is a task of its own, so no pair is
-lost to a bound and no group is gathered whole. A pair that meets in several
+lost to a bound and no group is gathered whole. Shingle sets travel in pieces of
+``PIECE`` shingles in the order of their hashes; a comparison counts common
+shingles range by range, so that what it holds is bounded by the number of its
+texts and not by their lengths. A pair that meets in several
 runs counts in the first one: every text carries its leaf of each run, and a
 pair with a common leaf in an earlier run is passed over. Links are counted
 inside the tasks and classes are carried by one edge a text and block, so no
@@ -49,6 +52,9 @@ DEPTH = 4
 RECALL = 0.9995
 SMALL = 200
 BLOCK = 512
+PIECE = 1024
+# shingles held before a range is counted; those kept for the next are at most PIECE for each text of a comparison
+HELD = 1 << 21
 # Of 64 sketch bytes a pair at 0.8 shares 51 on average (standard deviation 3.2); 32 is six deviations below.
 LIKELY = 32
 RUNS = math.ceil(math.log(1 - RECALL) / math.log(1 - (NUMERATOR / DENOMINATOR) ** DEPTH))
@@ -202,9 +208,8 @@ def _met_before(run: int, at: np.ndarray) -> np.ndarray:
     return met
 
 
-def _pair_mask(group, a: int, b: int) -> np.ndarray:
+def _pair_mask(own: np.ndarray, a: int, b: int) -> np.ndarray:
     """Pairs of one comparison: inside a block (a == b) or across two."""
-    own = group.column("own").to_numpy()
     n = len(own)
     return np.triu(np.ones((n, n), dtype=bool), 1) if a == b else np.outer(own == a, own == b)
 
@@ -214,7 +219,9 @@ def _dense(group, name: str, dtype) -> np.ndarray:
 
 
 def likely(rows: DataFrame) -> DataFrame:
-    """Of (leaf, a, b, run, tid, own, sketch, at), the members with a likely new partner in their comparison."""
+    """Of (leaf, a, b, run, tid, own, sketch, at), the members with a likely new partner in their comparison.
+
+    ``place`` numbers them there from 0 to ``members`` - 1."""
 
     def run(batches):
         import pyarrow as pa
@@ -223,7 +230,7 @@ def likely(rows: DataFrame) -> DataFrame:
             if g.num_rows < 2:
                 continue
             a, b, r = g.column("a")[0].as_py(), g.column("b")[0].as_py(), g.column("run")[0].as_py()
-            want = _pair_mask(g, a, b)
+            want = _pair_mask(g.column("own").to_numpy(), a, b)
             sketch = _dense(g, "sketch", np.uint8)
             alike = np.zeros(want.shape, dtype=np.uint8)
             for t in range(TOKENS):
@@ -232,39 +239,92 @@ def likely(rows: DataFrame) -> DataFrame:
             if want.any():
                 want &= ~_met_before(r, _dense(g, "at", np.uint32))
             member = want.any(axis=0) | want.any(axis=1)
-            if member.any():
-                out.append(g.filter(pa.array(member)).drop_columns(["sketch"]))
-                held += int(member.sum())
+            n = int(member.sum())
+            if n:
+                out.append(g.filter(pa.array(member)).drop_columns(["sketch"])
+                           .append_column("place", pa.array(np.arange(n, dtype=np.int32)))
+                           .append_column("members", pa.array(np.full(n, n, dtype=np.int32))))
+                held += n
             if held > 5000:
                 yield from pa.concat_tables(out).combine_chunks().to_batches()
                 out, held = [], 0
         if out:
             yield from pa.concat_tables(out).combine_chunks().to_batches()
 
-    return rows.mapInArrow(run, "leaf long, a int, b int, run int, tid long, own int, at binary")
+    return rows.mapInArrow(run, "leaf long, a int, b int, run int, tid long, own int, at binary, place int, members int")
 
 
-def _intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, over shingles that occur more than once."""
-    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-    shingle = np.concatenate(sets)
-    member = np.repeat(np.arange(len(sets)), sizes)
+def _count_common(shingle: np.ndarray, member: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` (members x members) the shingles that each two members share."""
     order = np.argsort(shingle, kind="stable")
     shingle, member = shingle[order], member[order]
     new = np.ones(len(shingle), dtype=bool)
     new[1:] = shingle[1:] != shingle[:-1]
     column = np.cumsum(new) - 1
-    often = np.bincount(column)[column] > 1
+    often = np.bincount(column)[column] > 1 if len(column) else new  # a shingle that occurs once is in no intersection
     member, column = member[often], column[often]
-    new = new[often]
     column = np.cumsum(np.concatenate([[True], column[1:] != column[:-1]])) - 1 if len(column) else column
-    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
     for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 8192):  # dense, a bounded number of columns at a time
         i, j = np.searchsorted(column, [lo, lo + 8192])
-        m = np.zeros((len(sets), int(column[j - 1]) - lo + 1), dtype=np.float32)
+        m = np.zeros((len(total), int(column[j - 1]) - lo + 1), dtype=np.float32)
         m[member[i:j], column[i:j] - lo] = 1
-        total += m @ m.T
-    return total.astype(np.int64)
+        total += (m @ m.T).astype(np.int64)
+
+
+class _Comparison:
+    """One comparison, of whose members the pieces of the sets come by ascending ``first``."""
+
+    def __init__(self, rows):
+        self.key, self.run = _key(rows), rows.column("run")[0].as_py()
+        n = rows.column("members")[0].as_py()
+        self.tid, self.own, self.size = (np.zeros(n, dtype=np.int64) for _ in range(3))
+        self.at = np.zeros((n, RUNS), dtype=np.uint32)
+        self.common = np.zeros((n, n), dtype=np.int64)
+        self.shingle, self.member, self.held = [], [], 0
+
+    def add(self, rows) -> None:
+        place = rows.column("place").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("shingles").to_pylist()]
+        sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+        self.tid[place], self.own[place] = rows.column("tid").to_numpy(), rows.column("own").to_numpy()
+        self.at[place] = _dense(rows, "at", np.uint32)
+        np.add.at(self.size, place, sizes)
+        self.shingle.append(np.concatenate(sets))
+        self.member.append(np.repeat(place, sizes))
+        self.held += int(sizes.sum())
+        if self.held > HELD:
+            self.count(rows.column("first")[-1].as_py())
+
+    def count(self, upto: int | None = None) -> None:
+        """Count the shingles held; those from ``upto``, the half of a hash, may still come in later pieces and stay."""
+        shingle, member = np.concatenate(self.shingle), np.concatenate(self.member)
+        self.shingle, self.member, self.held = [], [], 0
+        if upto is not None:
+            later = shingle >> np.uint64(1) >= np.uint64(upto)
+            self.shingle, self.member, self.held = [shingle[later]], [member[later]], int(later.sum())
+            shingle, member = shingle[~later], member[~later]
+        _count_common(shingle, member, self.common)
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """tid, number of links and the least linked text, of the members that have a link."""
+        self.count()
+        want = _pair_mask(self.own, *self.key[1:]) & ~_met_before(self.run, self.at)
+        linked = DENOMINATOR * self.common >= NUMERATOR * (self.size[:, None] + self.size[None, :] - self.common)
+        linked &= want | want.T
+        n = linked.sum(axis=1)
+        at = np.flatnonzero(n)
+        label = np.arange(len(n))  # components inside the comparison
+        while len(at):
+            low = np.minimum(label, np.where(linked, label[None, :], len(n)).min(axis=1))
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        return self.tid[at], n[at].astype(np.int64), self.tid[label[at]]
+
+
+def _key(rows) -> tuple[int, int, int]:
+    return tuple(rows.column(c)[0].as_py() for c in ("leaf", "a", "b"))
 
 
 def verified(rows: DataFrame) -> DataFrame:
@@ -272,49 +332,49 @@ def verified(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        tids, links, edges = [], [], []
+        out, open_ = [], None
 
         def flush():
-            out = pa.RecordBatch.from_pydict({"tid": pa.array(np.concatenate(tids)), "links": pa.array(np.concatenate(links)),
-                                              "edge": pa.array(np.concatenate(edges))})
-            for x in (tids, links, edges):
-                x.clear()
-            return out
-
-        for g in _groups(batches, 3):
-            if g.num_rows < 2:
-                continue
-            a, b, r = g.column("a")[0].as_py(), g.column("b")[0].as_py(), g.column("run")[0].as_py()
-            want = _pair_mask(g, a, b)
-            want &= ~_met_before(r, _dense(g, "at", np.uint32))
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in g.column("shingles").to_pylist()]
-            size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-            both = _intersections(sets)
-            linked = DENOMINATOR * both >= NUMERATOR * (size[:, None] + size[None, :] - both)
-            linked &= want | want.T
-            n = linked.sum(axis=1)
-            at = np.flatnonzero(n)
-            if not len(at):
-                continue
-            tid = g.column("tid").to_numpy()
-            label = np.arange(len(tid))  # components inside the comparison
-            while True:
-                low = np.minimum(label, np.where(linked, label[None, :], len(tid)).min(axis=1))
-                low = low[low]
-                if (low == label).all():
-                    break
-                label = low
-            tids.append(tid[at])
-            links.append(n[at].astype(np.int64))
-            edges.append(tid[label[at]])
-            if len(tids) > 2000:
+            tid, links, edge = (np.concatenate(x) for x in zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_pydict({"tid": pa.array(tid), "links": pa.array(links), "edge": pa.array(edge)})
+
+        for batch in batches:
+            for g in _groups([batch], 3):  # of a batch: a comparison may go on in the next one
+                if open_ is not None and open_.key != _key(g):
+                    out.append(open_.links())
+                    open_ = None
+                if open_ is None:
+                    open_ = _Comparison(g)
+                open_.add(g)
+            if len(out) > 2000:
                 yield flush()
-        if tids:
+        if open_ is not None:
+            out.append(open_.links())
+        if out:
             yield flush()
 
     return rows.mapInArrow(run, "tid long, links long, edge long")
 
 
+def shingle_pieces(texts: DataFrame) -> DataFrame:
+    """tid, first (half of the least hash), shingles (sorted hashes) of (tid, text): the set in pieces of PIECE."""
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            tids, firsts, pieces = [], [], []
+            for tid, s in zip(b.column(0).to_pylist(), shingle_sets(byte_texts(b.column(1)))):
+                for lo in range(0, len(s), PIECE):
+                    tids.append(tid)
+                    firsts.append(int(s[lo] >> np.uint64(1)))
+                    pieces.append(s[lo:lo + PIECE].tobytes())
+            yield pa.RecordBatch.from_pydict({"tid": pa.array(tids, pa.int64()), "first": pa.array(firsts, pa.int64()),
+                                              "shingles": pa.array(pieces, pa.binary())})
+
+    return texts.mapInArrow(run, "tid long, first long, shingles binary")
+
+
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """tid, root (least tid of its component) of every end of the edges (tid, edge)."""
     both = kept_table(edges.where("tid <> edge").select("tid", "edge")
@@ -361,17 +421,11 @@ def near_classes(docs: DataFrame, folder: str | None = None) -> DataFrame:
     chosen = (source.join(wanted, (source.tid == wanted.tid) & source.text_id.eqNullSafe(wanted.text_id), "left_semi")
               .select("tid", "text"))
 
-    def sets(batches):
-        import pyarrow as pa
-        for b in batches:
-            yield pa.RecordBatch.from_pydict({
-                "tid": b.column(0),
-                "shingles": pa.array([s.tobytes() for s in shingle_sets(byte_texts(b.column(1)))], pa.binary())})
-
-    shingles = kept_table(chosen.mapInArrow(sets, "tid long, shingles binary").dropDuplicates(["tid"]), folder, "sets")
+    # repeated rows have the same pieces
+    shingles = kept_table(shingle_pieces(chosen).dropDuplicates(["tid", "first"]), folder, "sets")
     exact = kept_table(verified(candidates.join(shingles.hint("merge"), "tid").select(
-        "leaf", "a", "b", "run", "tid", "own", "at", "shingles")
-        .repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "tid")), folder, "links")
+        "leaf", "a", "b", "run", "tid", "own", "at", "place", "members", "first", "shingles")
+        .repartition("leaf", "a", "b").sortWithinPartitions("leaf", "a", "b", "first", "tid")), folder, "links")
     counted = exact.groupBy("tid").agg(F.sum("links").alias("links"))
     root = components(exact, folder)
     classed = texts.select("tid", "text_id").join(root, "tid", "left").join(counted, "tid", "left").select(

@@ -371,6 +371,49 @@ def test_large_groups_are_whole(spark, monkeypatch, small, block):
     check_classes(chosen_path.near_classes(df).collect(), dict(enumerate(texts)))
 
 
+def test_long_near_copies_are_compared_in_pieces(spark):
+    """No row that is shuffled to a comparison grows with the length of its text."""
+    rng = np.random.default_rng(9)
+    texts = []
+    for g in range(3):
+        base = rng.choice([f"w{i}" for i in range(20_000)], 9000)
+        for changed in (0, 1, 150, 260, 400, 600):  # similar by 1 to 0.5
+            t = list(base)
+            for k, i in enumerate(rng.choice(9000, changed, replace=False)):
+                t[i] = f"changed{k}"
+            texts.append(" ".join(t))
+    texts += [" ".join(rng.choice(["a", "b"], 9000))] * 2 + ["short text"]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    folder = scratch(spark, "t")
+    check_classes(chosen_path.near_classes(df, folder).collect(), dict(enumerate(texts)))
+    sets = spark.read.parquet(f"{folder}/sets").agg(F.max(F.length("shingles")), F.sum(F.length("shingles"))).first()
+    assert sets[0] <= 8 * 1024 < sets[1] / len(texts)
+
+
+@pytest.mark.parametrize("held", [1, 500, 1 << 21])
+def test_common_shingles_are_counted_by_ranges(monkeypatch, held):
+    import pyarrow as pa
+    monkeypatch.setattr(chosen_path, "HELD", held)
+    rng = np.random.default_rng(10)
+    pool = np.concatenate([rng.integers(0, 2**64, 3000, dtype=np.uint64), np.array([0, 1, 2**64 - 2, 2**64 - 1], dtype=np.uint64)])
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 5, 40, 700, 2500, 2500, 5000, 9000)] + [pool[-4:]]
+    rows = [{"leaf": 7, "a": 0, "b": 0, "run": 2, "tid": 100 + i, "own": 0, "at": bytes(4 * chosen_path.RUNS), "place": i,
+             "members": len(sets), "first": int(s[lo]) >> 1, "shingles": s[lo:lo + 50].tobytes()}
+            for i, s in enumerate(sets) for lo in range(0, len(s), 50)]
+    table = pa.Table.from_pylist(sorted(rows, key=lambda r: r["first"]))
+    c = chosen_path._Comparison(table)
+    for lo in range(0, table.num_rows, 3):
+        c.add(table.slice(lo, 3))
+        assert c.held <= max(held, 50 * len(sets))
+    tid, links, edge = c.links()
+    np.fill_diagonal(c.common, 0)  # of a set with itself only what others have too is counted
+    assert c.common.tolist() == [[0 if x is y else len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert c.size.tolist() == [len(s) for s in sets]
+    like = [[i != j and 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y)) for j, y in enumerate(sets)]
+            for i, x in enumerate(sets)]
+    assert dict(zip(tid.tolist(), links.tolist())) == {100 + i: sum(x) for i, x in enumerate(like) if any(x)}
+
+
 def test_one_of_each_class_stays(spark):
     odd = odd_documents(spark, root="clash", tid=1, rows="clash")
     kept = chosen_path.one_of_each(odd)
