@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,18 @@ def kept_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffled rows of a query go once it has ended."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    former = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(cleanup, former)
+
+
 def in_ranges(rows: DataFrame, order: list[str], folder: str, name: str) -> DataFrame:
     """``rows`` written once in ranges of ascending ``order``, with ``part`` (number of the range) and ``place`` in it.
 
@@ -69,13 +82,8 @@ def in_ranges(rows: DataFrame, order: list[str], folder: str, name: str) -> Data
     at = F.monotonically_increasing_id()  # the partition above 33 bits of the row's place in it
     dealt = dealt.select(*rows.columns, F.shiftright(at, 33).alias("part"),
                          at.bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
-    spark, cleanup = rows.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    former = spark.conf.get(cleanup, "false")
-    spark.conf.set(cleanup, "true")  # the shuffled rows go once they are written
-    try:
+    with shuffles_dropped(rows.sparkSession):
         return kept_table(dealt, folder, name)
-    finally:
-        spark.conf.set(cleanup, former)
 
 
 def fold(column: str, modulus: int) -> Column:

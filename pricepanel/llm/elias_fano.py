@@ -3,15 +3,19 @@
 A non-decreasing sequence of n numbers below u is kept as n packed low parts of
 l = log2(u / n) bits, and its high parts in unary in a bit vector of about 2n
 bits; a count of ones before every 64-bit word serves rank and select. Arrays
-are ``.npy`` files: read with ``mmap_mode`` from a mounted folder, or fetched
-through ``pyarrow.fs`` from any other store.
+are ``.npy`` files, or lie together in one ``.arrays`` file: mapped from a mounted
+folder, or fetched through ``pyarrow.fs`` from any other store.
 """
 
 from __future__ import annotations
 
 import io
+import json
+import mmap
 import os
+import sys
 import uuid
+from collections.abc import Callable
 from urllib.parse import urlparse
 
 import numpy as np
@@ -19,6 +23,8 @@ import numpy as np
 _ONE = np.uint64(1)
 _SIX = np.uint64(6)
 _LOW6 = np.uint64(63)
+_ALIGNED = 64
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}  # a map needs no open file
 
 
 def _local(uri: str) -> str | None:
@@ -58,6 +64,73 @@ def load_array(folder: str, name: str) -> np.ndarray:
         return np.load(io.BytesIO(f.read()))
 
 
+def _padded(size: int) -> int:
+    return -(-size // _ALIGNED) * _ALIGNED
+
+
+def save_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
+    """Write some arrays as one file; it appears whole or not at all, so a task may be tried again."""
+    shapes, at = {}, 0
+    for key, v in arrays.items():
+        shapes[key] = v.dtype.str, len(v), at
+        at += _padded(v.nbytes)
+    head = json.dumps(shapes).encode()
+    first = _padded(8 + len(head))
+    head = first.to_bytes(8, "little") + head.ljust(first - 8)
+
+    def write(f) -> None:
+        f.write(head)
+        for v in arrays.values():
+            f.write(memoryview(np.ascontiguousarray(v)).cast("B") if len(v) else b"")
+            f.write(bytes(_padded(v.nbytes) - v.nbytes))
+
+    path = _local(folder)
+    if path is not None:
+        os.makedirs(path, exist_ok=True)
+        part = f"{path}/.{name}-{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            write(f)
+        os.replace(part, f"{path}/{name}.arrays")
+        return
+    import pyarrow.fs as fs
+    store, path = fs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
+    with store.open_output_stream(f"{path}/{name}.arrays") as f:
+        write(f)
+
+
+class Arrays:
+    """The arrays of one file by name: mapped together, or each fetched from another store when it is asked for."""
+
+    def __init__(self, folder: str, name: str):
+        path = _local(folder)
+        if path is not None:
+            with open(f"{path}/{name}.arrays", "rb") as f:
+                whole = memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED))
+            self._read = lambda at, size: whole[at:at + size]
+        else:
+            import pyarrow.fs as fs
+            store, path = fs.FileSystem.from_uri(folder)
+
+            def read(at: int, size: int) -> bytes:
+                with store.open_input_file(f"{path}/{name}.arrays") as f:
+                    return f.read_at(size, at)
+
+            self._read = read
+        self._first = int.from_bytes(self._read(0, 8), "little")
+        self._shapes = json.loads(bytes(self._read(8, self._first - 8)))
+        self._got: dict[str, np.ndarray] = {}
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        got = self._got.get(name)
+        if got is None:
+            kind, n, at = self._shapes[name]
+            kind = np.dtype(kind)
+            got = np.frombuffer(self._read(self._first + at, n * kind.itemsize), dtype=kind) if n else np.empty(0, kind)
+            self._got[name] = got
+        return got
+
+
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """``width``-bit numbers, one after another, in 64-bit words (and one word to spare)."""
     words = np.zeros(len(values) * width // 64 + 2, dtype=np.uint64)
@@ -164,23 +237,27 @@ class EliasFano:
         zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
         return cls(len(values), universe, low, bits, _least(ones), _hints(ones, len(values)), _hints(zeros, 64 * len(bits) - len(values)))
 
+    def arrays(self, name: str, get: bool = True, find: bool = True) -> dict[str, np.ndarray]:
+        """What is kept of the sequence, with the hints for ``get`` (and ``neighbours``), for ``find``, or for both."""
+        return ({f"{name}_low": self.low, f"{name}_high": self.high, f"{name}_ones": self.ones}
+                | ({f"{name}_one_at": self.one_at} if get else {}) | ({f"{name}_zero_at": self.zero_at} if find else {})
+                | {f"{name}_shape": np.array([self.size, self.universe, get, find], dtype=np.uint64)})
+
     def save(self, folder: str, name: str, get: bool = True, find: bool = True) -> None:
-        """Write the sequence with the hints for ``get`` (and ``neighbours``), for ``find``, or for both."""
-        save_array(folder, f"{name}_low", self.low)
-        save_array(folder, f"{name}_high", self.high)
-        save_array(folder, f"{name}_ones", self.ones)
-        if get:
-            save_array(folder, f"{name}_one_at", self.one_at)
-        if find:
-            save_array(folder, f"{name}_zero_at", self.zero_at)
-        save_array(folder, f"{name}_shape", np.array([self.size, self.universe, get, find], dtype=np.uint64))
+        for key, values in self.arrays(name, get, find).items():
+            save_array(folder, key, values)
+
+    @classmethod
+    def kept(cls, array: Callable[[str], np.ndarray], name: str) -> EliasFano:
+        """The sequence whose ``arrays`` are given by name."""
+        size, universe, get, find = map(int, array(f"{name}_shape"))
+        low, high, ones = (array(f"{name}_{x}") for x in ("low", "high", "ones"))
+        return cls(size, universe, low, high, ones, array(f"{name}_one_at") if get else None,
+                   array(f"{name}_zero_at") if find else None)
 
     @classmethod
     def load(cls, folder: str, name: str) -> EliasFano:
-        size, universe, get, find = map(int, load_array(folder, f"{name}_shape"))
-        low, high, ones = (load_array(folder, f"{name}_{x}") for x in ("low", "high", "ones"))
-        return cls(size, universe, low, high, ones, load_array(folder, f"{name}_one_at") if get else None,
-                   load_array(folder, f"{name}_zero_at") if find else None)
+        return cls.kept(lambda key: load_array(folder, key), name)
 
     def _place(self, index: np.ndarray) -> np.ndarray:
         """Bits of the ones of the numbers at the given places."""

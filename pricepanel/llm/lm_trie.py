@@ -9,9 +9,10 @@ enough binary places to tell all words apart, so that the whole level rises
 evenly, however many followers a context has, and the successor search of a
 query looks at a few numbers. Per k-gram there is a 16-bit code of its smoothed
 probability, per context one of its back-off weight. Words are numbered by the
-rank of a 63-bit hash; level 1 is the Elias-Fano sequence of these hashes. Levels are shards of ``.npy`` arrays in the shared
+rank of a 63-bit hash; level 1 is the Elias-Fano sequence of these hashes. Levels are shards, a file each, in the shared
 folder, memory-mapped by the scoring tasks: what a task keeps in its own memory
-does not grow with the model.
+does not grow with the model. A look-up costs something for each shard it meets, so a task
+looks up what its texts need in few batches, and words, far fewer than tokens, are joined to full shards.
 
 Probabilities are interpolated absolute discounting: (c - D) / c(context) plus
 the mass left over times the lower order; at order 1 the mass left over is that
@@ -41,20 +42,21 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_batches, byte_texts, chunks, documents, fold, kept_table, release, scratch
-from .elias_fano import EliasFano, load_array, save_array
+from .common import Words, arrow_batches, byte_texts, chunks, documents, fold, kept_table, release, scratch, shuffles_dropped
+from .elias_fano import Arrays, EliasFano, save_arrays
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 3
 MIN_COUNTS = (1, 1, 1)  # nothing is pruned
 DISCOUNT = 0.7
 PART_TOKENS = 2_000_000
-OPEN_ARRAYS = 4096  # arrays and sequences a task keeps open
+OPEN_ARRAYS = 4096  # files of arrays a task keeps open
 _KEY_BITS = 63
 _END = 0x3C6EF372FE94F82A  # key of the end token: a constant of its own
 _STEP = 4096  # codes a unit of log10
 _HELD = 2_000_000
-_LOOKED_UP = 2 << 20  # bytes of word numbers that are looked up together: repeats once, and enough for each shard
+_LOOKED_UP = 20 << 20  # bytes of word numbers that are looked up together: repeats once, and enough for each shard
+_STRETCH = 1 << 20  # look-ups, in the order of the trie, whose numbers are held at a time
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -67,6 +69,10 @@ def _log(code: np.ndarray) -> np.ndarray:
     return code.astype(np.float64) * (-1.0 / _STEP)
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.min_scalar_type(counts.max()))
+
+
 @dataclass
 class Model:
     """Where the levels are; the arrays themselves are opened by the tasks."""
@@ -117,23 +123,26 @@ class Trie:
     def __init__(self, model: Model):
         self.model = model
         self.first = [np.concatenate([[0], np.cumsum(n)]) for n in model.sizes]
-        self.open: dict[tuple, object] = {}  # least recently used first
+        self.open: dict[tuple[int, int], tuple[Arrays, dict[str, EliasFano]]] = {}  # least recently used first
 
-    def _opened(self, level: int, shard: int, name: str, load):
-        key = (level, shard, name)
+    def _opened(self, level: int, shard: int) -> tuple[Arrays, dict[str, EliasFano]]:
+        key = (level, shard)
         got = self.open.pop(key, None)
         if got is None:
             while len(self.open) >= OPEN_ARRAYS:  # maps of a process, and memory where arrays are fetched, are bounded
                 self.open.pop(next(iter(self.open)))
-            got = load(f"{self.model.folder}/level{level}/{shard}", name)
+            got = Arrays(f"{self.model.folder}/level{level}", str(shard)), {}
         self.open[key] = got
         return got
 
     def _array(self, level: int, shard: int, name: str) -> np.ndarray:
-        return self._opened(level, shard, name, load_array)
+        return self._opened(level, shard)[0][name]
 
     def _ef(self, level: int, shard: int, name: str) -> EliasFano:
-        return self._opened(level, shard, name, EliasFano.load)
+        arrays, sequences = self._opened(level, shard)
+        if name not in sequences:
+            sequences[name] = EliasFano.kept(arrays.__getitem__, name)
+        return sequences[name]
 
     @staticmethod
     def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice]]:
@@ -169,11 +178,13 @@ class Trie:
             got = self._array(level, s, name)[places[at] - self.first[level - 1][s]]
             if out is None:
                 out = np.zeros(len(places), dtype=got.dtype)
+            elif out.dtype != got.dtype:  # each shard's are as wide as its largest
+                out = out.astype(np.promote_types(out.dtype, got.dtype), copy=False)
             out[at] = got
         return out
 
     def last_word(self, level: int, places: np.ndarray) -> np.ndarray:
-        """The last words of the k-grams at the places (for building: opens all pointers of a shard)."""
+        """The last words of the k-grams at the places (opens all pointers of a shard)."""
         out = np.zeros(len(places), dtype=np.int64)
         shard = np.searchsorted(self.first[level - 1], places, side="right") - 1
         for s, at in self._by_shard(shard):
@@ -255,28 +266,42 @@ class Trie:
         return score
 
 
-def _distinct(first: np.ndarray, second: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs (second below ``wide``), each once and in order, and the number of each entry's pair."""
-    kinds, which = np.unique(first * wide + second, return_inverse=True)
-    first = kinds // wide
-    return first, kinds - first * wide, which
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, each once and in order, and the number of each entry's key."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    which = np.empty(len(keys), dtype=np.int32 if len(keys) >> 31 == 0 else np.int64)
+    which[order] = np.cumsum(new, dtype=which.dtype) - 1
+    return keys[new], which
+
+
+def _pairs(keys: np.ndarray, wide: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Stretches of keys first * wide + second (second below ``wide``), taken apart."""
+    for lo in range(0, len(keys), _STRETCH):
+        at = slice(lo, min(lo + _STRETCH, len(keys)))
+        first = keys[at] // wide
+        yield at, first, keys[at] - first * wide
 
 
-# --- counting: packed blocks of (key, count) for each key range -----------------------------------
+# --- counting: packed blocks of (key, entry) for each key range -----------------------------------
+# An entry is count << 16 | code: the code of the lower order's probability, one for all of a key (0 where it isn't counted).
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summed(keys: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
+    keys, entries = keys[order], entries[order]
+    del order
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(entries & -65536, first) | entries[first] & 65535 if len(first) else entries
 
 
-def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as gaps, byte by byte (the high bytes are zeros), with the counts."""
+def _pack(keys: np.ndarray, entries: np.ndarray) -> bytes:
+    """Sorted keys as gaps, byte by byte (the high bytes are zeros), with the entries."""
     import pyarrow as pa
     gaps = np.diff(keys, prepend=0).astype(np.uint64)
-    planes = np.concatenate([gaps, counts.astype(np.uint64)]).view(np.uint8).reshape(-1, 8).T
+    planes = np.concatenate([gaps, entries.astype(np.uint64)]).view(np.uint8).reshape(-1, 8).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
@@ -291,30 +316,40 @@ class _Counter:
     """Sums keys of a task; gives blocks for each range when it holds too many, and at the end."""
 
     def __init__(self, span: int):
-        self.span, self.keys, self.counts, self.held = span, [], [], 0
+        self.span, self.keys, self.entries, self.held = span, [], [], 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
-        if counts is None:
+    def add(self, keys: np.ndarray, codes: np.ndarray | None = None) -> None:
+        if codes is None:
             keys, counts = np.unique(keys, return_counts=True)
+            self._hold(keys, counts << 16)
+        else:
+            self._hold(*_summed(keys, np.add(codes, 1 << 16, dtype=np.int64)))
+
+    def add_counted(self, key: int, count: int) -> None:
+        self._hold(np.array([key], dtype=np.int64), np.array([count << 16], dtype=np.int64))
+
+    def _hold(self, keys: np.ndarray, entries: np.ndarray) -> None:
         if len(keys):
             self.keys.append(keys)
-            self.counts.append(counts)
+            self.entries.append(entries)
             self.held += len(keys)
 
     def blocks(self, last: bool = False):
         import pyarrow as pa
         if not self.held or self.held < _HELD and not last:
             return
-        keys, counts = _summed(np.concatenate(self.keys), np.concatenate(self.counts))
-        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+        if len(self.keys) > 1:  # each is in order and has a key once
+            self.keys, self.entries = map(list, zip(_summed(np.concatenate(self.keys), np.concatenate(self.entries))))
+        keys, entries = self.keys[0], self.entries[0]
+        self.held = len(keys)
         if len(keys) < _HELD // 2 and not last:
             return
-        self.keys, self.counts, self.held = [], [], 0
+        self.keys, self.entries, self.held = [], [], 0
         part = keys // self.span
         cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(keys)]])
         yield pa.RecordBatch.from_pydict({
             "part": pa.array(part[cut[:-1]], pa.int64()), "n": pa.array(np.diff(cut), pa.int64()),
-            "block": pa.array([_pack(keys[i:j], counts[i:j]) for i, j in zip(cut[:-1], cut[1:])], pa.binary())})
+            "block": pa.array([_pack(keys[i:j], entries[i:j]) for i, j in zip(cut[:-1], cut[1:])], pa.binary())})
 
 
 _BLOCKS = "part long, n long, block binary"
@@ -325,32 +360,35 @@ def _shards(blocks: DataFrame, build, parts: int) -> list[int]:
 
     def run(batches):
         import pyarrow as pa
-        current, keys, counts, done, sizes = None, [], [], [], []
+        current, keys, entries, held, done, sizes = None, [], [], 0, [], []
 
         def finish():
             done.append(current)
-            sizes.append(build(current, *_summed(np.concatenate(keys), np.concatenate(counts))))
+            k, e = _summed(np.concatenate(keys), np.concatenate(entries))
+            sizes.append(build(current, k, e >> 16, e & 65535))
 
         for b in batches:
             for part, n, block in zip(*(c.to_pylist() for c in b.columns)):
                 if part != current and current is not None:
                     finish()
-                    keys, counts = [], []
+                    keys, entries, held = [], [], 0
                 current = part
-                k, c = _unpack(block, n)
+                k, e = _unpack(block, n)
                 keys.append(k)
-                counts.append(c)
-                if sum(map(len, keys)) > 2 * _HELD:
-                    k, c = _summed(np.concatenate(keys), np.concatenate(counts))
-                    keys, counts = [k], [c]
+                entries.append(e)
+                held += len(k)
+                if held > 2 * _HELD:
+                    k, e = _summed(np.concatenate(keys), np.concatenate(entries))
+                    keys, entries, held = [k], [e], len(k)
         if current is not None:
             finish()
-        keys, counts = [], []
+        keys, entries = [], []
         release()
         yield pa.RecordBatch.from_pydict({"part": pa.array(done, pa.int64()), "size": pa.array(sizes, pa.int64())})
 
-    got = (blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "part long, size long")
-           .collect())  # one row a shard
+    with shuffles_dropped(blocks.sparkSession):
+        got = (blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "part long, size long")
+               .collect())  # one row a shard
     sizes = [0] * parts
     for part, size in got:
         sizes[part] = size
@@ -384,7 +422,7 @@ def _count_words(docs: DataFrame, parts: int) -> DataFrame:
         for b in batches:
             train = b.column(2).to_numpy(zero_copy_only=False)
             texts = [t for t, use in zip(byte_texts(b.column(1)), train) if use]
-            counter.add(np.array([_END], dtype=np.int64), np.array([len(texts)], dtype=np.int64))
+            counter.add_counted(_END, len(texts))
             for lo, hi in chunks(texts):
                 counter.add(_word_keys(texts[lo:hi])[1])
             yield from counter.blocks()
@@ -395,28 +433,35 @@ def _count_words(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _build_words(folder: str, span: int):
-    def build(part: int, keys: np.ndarray, counts: np.ndarray) -> int:
-        place = f"{folder}/level1/{part}"
-        EliasFano.of(keys - part * span, span).save(place, "keys", get=False)
-        save_array(place, "counts", counts)
+    def build(part: int, keys: np.ndarray, counts: np.ndarray, _: np.ndarray) -> int:
+        save_arrays(f"{folder}/words", str(part), {"keys": keys - part * span, "counts": _narrow(counts)})
         return len(keys)
 
     return build
 
 
-def _add_unigram_codes(spark: SparkSession, model: Model) -> None:
-    """log10 of (c - D) / N, once N is known."""
-    folder, tokens = model.folder, model.tokens
+def _join_words(spark: SparkSession, model: Model) -> None:
+    """Level 1 from the ranges of words: as many together as make a full shard, with log10 of (c - D) / N, once N is known."""
+    folder, tokens, sizes, span = model.folder, model.tokens, model.sizes[0], model.spans[0]
+    ranges = len(sizes) - 1
+    many = min(ranges, max(1, ranges * PART_TOKENS // model.kinds))
 
     def run(batches):
         for b in batches:
-            for part in b.column(0).to_pylist():
-                counts = load_array(f"{folder}/level1/{part}", "counts")
-                save_array(f"{folder}/level1/{part}", "code", _code((counts - DISCOUNT) / tokens))
+            for shard in b.column(0).to_pylist():
+                parts = [i for i in range(shard * many, min((shard + 1) * many, len(sizes))) if sizes[i]]
+                if not parts:
+                    continue
+                words = [Arrays(f"{folder}/words", str(i)) for i in parts]
+                keys = np.concatenate([w["keys"] + (i - shard * many) * span for i, w in zip(parts, words)])
+                counts = np.concatenate([w["counts"].astype(np.int64) for w in words])
+                save_arrays(f"{folder}/level1", str(shard), EliasFano.of(keys, many * span).arrays("keys", get=False)
+                            | {"counts": counts, "code": _code((counts - DISCOUNT) / tokens)})
             yield b
 
-    parts = [i for i, n in enumerate(model.sizes[0]) if n]
-    spark.range(model.parts[0]).where(F.col("id").isin(parts)).mapInArrow(run, "id long").count()
+    model.parts[0], model.spans[0] = math.ceil(len(sizes) / many), many * span
+    model.sizes[0] = [sum(sizes[i:i + many]) for i in range(0, len(sizes), many)]
+    spark.range(model.parts[0]).mapInArrow(run, "id long").count()
 
 
 def _tokenised(docs: DataFrame, model: Model) -> DataFrame:
@@ -455,18 +500,35 @@ def _tokenised(docs: DataFrame, model: Model) -> DataFrame:
         run, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, ids binary")
 
 
+def _gathered(batches: Iterator, column: int) -> Iterator:
+    """Batches put together as far as the word numbers of that column can be looked up together."""
+    import pyarrow as pa
+
+    def whole(held: list) -> list:
+        return held if len(held) < 2 else pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    held, size = [], 0
+    for b in batches:
+        if held and size + b.column(column).nbytes > _LOOKED_UP:
+            yield from whole(held)
+            held, size = [], 0
+        held.append(b)
+        size += b.column(column).nbytes
+    yield from whole(held)
+
+
 def _sequences(column, model: Model) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ranges of texts with their word numbers in a row, the start mark before each text; and each one's text."""
     kind = np.int64 if model.unknown >> 32 else np.uint32
     blobs = column.to_pylist()
     for lo, hi in chunks(blobs, _LOOKED_UP):
         size = np.fromiter((len(x) // np.dtype(kind).itemsize for x in blobs[lo:hi]), dtype=np.int64, count=hi - lo)
-        flat = np.frombuffer(b"".join(blobs[lo:hi]), dtype=kind).astype(np.int64)
-        doc = np.repeat(np.arange(hi - lo), size + 1)
+        doc = np.repeat(np.arange(hi - lo, dtype=np.int32), size + 1)
         ids = np.full(len(doc), model.start, dtype=np.int64)
         inside = np.ones(len(doc), dtype=bool)
         inside[np.cumsum(size + 1) - (size + 1)] = False
-        ids[inside] = flat
+        ids[inside] = np.frombuffer(b"".join(blobs[lo:hi]), dtype=kind)
+        del inside
         yield lo, hi, ids, doc
 
 
@@ -476,7 +538,7 @@ def _count_grams(tokens: DataFrame, model: Model, level: int, span: int) -> Data
     def run(batches):
         trie, counter = Trie(model), _Counter(span)
         least = MIN_COUNTS[level - 1]
-        for b in batches:
+        for b in _gathered(batches, 0):
             for _, _, ids, doc in _sequences(b.column(0), model):
                 same = doc[1:] == doc[:-1]
                 if level == 2:
@@ -488,10 +550,20 @@ def _count_grams(tokens: DataFrame, model: Model, level: int, span: int) -> Data
                 else:
                     pair = np.full(len(ids), -1, dtype=np.int64)  # of a word and the one before
                     at = np.flatnonzero(same) + 1
-                    before, word, which = _distinct(ids[at - 1], ids[at], model.stride)
-                    pair[at] = trie.follow(2, before, word)[which]
+                    kinds, which = _distinct(ids[at - 1] * model.stride + ids[at])
+                    place = np.empty(len(kinds), dtype=np.int64)
+                    lower = np.empty(len(kinds), dtype=np.uint16)  # the shard is at hand here: building looks nothing up
+                    for some, before, word in _pairs(kinds, model.stride):
+                        score, place[some] = trie.bigram(before, word)
+                        lower[some] = np.minimum(np.rint(score * -_STEP), 65535)
+                    pair[at] = place[which]
+                    code = np.zeros(len(ids), dtype=np.uint16)
+                    code[at] = lower[which]
+                    del kinds, which, place, lower
                     at = np.flatnonzero(same & (pair[:-1] >= 0) & (pair[1:] >= 0))
-                    counter.add(pair[at] * model.stride + ids[at + 1])
+                    pair = pair[at] * model.stride
+                    pair += ids[at + 1]
+                    counter.add(pair, code[at + 1])
             yield from counter.blocks()
         yield from counter.blocks(last=True)
         release()
@@ -503,10 +575,10 @@ def _build_grams(model: Model, level: int, span: int):
     wide = span // model.stride
     least = MIN_COUNTS[level - 1]
 
-    def build(part: int, keys: np.ndarray, counts: np.ndarray) -> int:
+    def build(part: int, keys: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> int:
         trie = Trie(model)
         keep = counts >= least
-        keys, counts = keys[keep], counts[keep]
+        keys, counts, codes = keys[keep], counts[keep], codes[keep]
         if not len(keys):
             return 0
         context, word = keys // model.stride, keys % model.stride
@@ -518,23 +590,20 @@ def _build_grams(model: Model, level: int, span: int):
             lower = trie.unigram(word)
         else:
             total = trie.value(2, kinds, "counts").astype(np.int64)
-            before = trie.last_word(2, kinds)
-            before, last, which = _distinct(np.repeat(before, size), word, model.stride)
-            lower = trie.bigram(before, last)[0][which]
+            lower = _log(codes)
         share = (counts - DISCOUNT) / np.repeat(total, size)
         left = np.maximum(1.0 - np.add.reduceat(share, first), 1e-9)
-        place = f"{model.folder}/level{level}/{part}"
         relative = _relative(word, np.repeat(first, size), np.repeat(size, size), model.stride)
-        EliasFano.of(relative, len(keys) << _bits(model.stride)).save(place, "keys", get=level < ORDER)
+        arrays = EliasFano.of(relative, len(keys) << _bits(model.stride)).arrays("keys", get=level < ORDER)
         begin = np.zeros(wide + 1, dtype=np.int64)
         begin[kinds - part * wide + 1] = size
-        EliasFano.of(np.cumsum(begin), len(keys) + 1).save(place, "pointers", find=False)
-        backoff = np.zeros(wide, dtype=np.uint16)
-        backoff[kinds - part * wide] = _code(left) + 1
-        save_array(place, "backoff", backoff)
+        arrays |= EliasFano.of(np.cumsum(begin), len(keys) + 1).arrays("pointers", find=False)
+        arrays["backoff"] = np.zeros(wide, dtype=np.uint16)
+        arrays["backoff"][kinds - part * wide] = _code(left) + 1
         if level < ORDER:  # the totals of the next level
-            save_array(place, "counts", counts.astype(np.min_scalar_type(counts.max())))
-        save_array(place, "code", _code(share + np.repeat(left, size) * 10.0 ** lower))
+            arrays["counts"] = _narrow(counts)
+        arrays["code"] = _code(share + np.repeat(left, size) * 10.0 ** lower)
+        save_arrays(f"{model.folder}/level{level}", str(part), arrays)
         return len(keys)
 
     return build
@@ -552,10 +621,10 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
     model.parts, model.spans = [parts], [span]
     model.sizes = [_shards(blocks, _build_words(model.folder, span), parts)]
     model.kinds = sum(model.sizes[0])
-    totals = _totals(spark, model)
-    model.tokens, model.texts = totals
+    model.tokens = _tokens(spark, model)
     if model.kinds:
-        _add_unigram_codes(spark, model)
+        _join_words(spark, model)
+    model.texts = _trained(model)
     tokens = kept_table(_tokenised(docs, model), folder, "tokens")
     contexts = model.kinds + 1
     for level in range(2, order + 1):
@@ -575,20 +644,24 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple[Model, Data
     return model, tokens
 
 
-def _totals(spark: SparkSession, model: Model) -> tuple[int, int]:
-    """Training tokens and training texts, summed over the word shards."""
+def _tokens(spark: SparkSession, model: Model) -> int:
+    """Training tokens, summed over the ranges of words."""
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            tokens = [int(load_array(f"{model.folder}/level1/{p}", "counts").sum()) if model.sizes[0][p] else 0
+            tokens = [int(Arrays(f"{model.folder}/words", str(p))["counts"].sum(dtype=np.int64)) if model.sizes[0][p] else 0
                       for p in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_pydict({"tokens": pa.array(tokens, pa.int64())})
 
-    total = spark.range(model.parts[0]).mapInArrow(run, "tokens long").agg(F.sum("tokens")).first()[0] or 0
+    return spark.range(model.parts[0]).mapInArrow(run, "tokens long").agg(F.sum("tokens")).first()[0] or 0
+
+
+def _trained(model: Model) -> int:
+    """Training texts: the ends of texts that were counted."""
     trie = Trie(model)
     end = trie.find(1, np.array([_END], dtype=np.int64)) if model.kinds else np.array([-1])
-    return total, int(trie.value(1, end, "counts")[0]) if end[0] >= 0 else 0
+    return int(trie.value(1, end, "counts")[0]) if end[0] >= 0 else 0
 
 
 def scored(tokens: DataFrame, model: Model) -> DataFrame:
@@ -598,22 +671,30 @@ def scored(tokens: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         trie = Trie(model)
-        for b in batches:
+        for b in _gathered(batches, 5):
             score = np.zeros(b.num_rows)
             for lo, hi, ids, doc in _sequences(b.column(5), model):
                 at = np.flatnonzero(ids != model.start)
-                before, word, which = _distinct(ids[at - 1], ids[at], model.unknown + 1)  # each pair is looked up once
-                value, pair = trie.bigram(before, word)
-                value = value[which]
+                kinds, which = _distinct(ids[at - 1] * (model.unknown + 1) + ids[at])  # each pair is looked up once
+                one = np.empty(len(kinds), dtype=np.float64)
+                place = np.empty(len(kinds), dtype=np.int64)
+                for some, before, word in _pairs(kinds, model.unknown + 1):
+                    one[some], place[some] = trie.bigram(before, word)
+                value, pair = one[which], np.full(len(ids), -1, dtype=np.int64)
+                pair[at] = place[which]
+                del kinds, which, one, place
                 if len(model.parts) > 2:
-                    before = np.full(len(ids), -1, dtype=np.int64)
-                    before[at] = pair[which]
-                    pair = before[at - 1]
+                    pair = pair[at - 1]  # of the two words before
                     live = np.flatnonzero(pair >= 0)
-                    pair, word, which = _distinct(pair[live], np.minimum(ids[at[live]], model.start), model.stride)
-                    lower = np.empty(len(pair), dtype=np.float64)
-                    lower[which] = value[live]  # the same for all of a kind: a pair's place tells its last word
-                    value[live] = trie.trigram(pair, word, lower)[which]
+                    pair = pair[live] * model.stride
+                    pair += np.minimum(ids[at[live]], model.start)
+                    kinds, which = _distinct(pair)
+                    one = np.empty(len(kinds), dtype=np.float64)
+                    one[which] = value[live]  # the same for all of a kind: a pair's place tells its last word
+                    for some, before, word in _pairs(kinds, model.stride):
+                        one[some] = trie.trigram(before, word, one[some])
+                    value[live] = one[which]
+                    del kinds, which, one
                 score[lo:hi] = np.bincount(doc[at], weights=value, minlength=hi - lo)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(score)], names=[*names, "score"])
 

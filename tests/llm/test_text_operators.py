@@ -10,9 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricepanel.llm import bpe_trie, ftrl_toxicity, langid_pieces, lm_trie, winnowing
+from pricepanel.llm import bpe_trie, elias_fano, ftrl_toxicity, langid_pieces, lm_trie, winnowing
 from pricepanel.llm.common import Words, arrow_batches, scratch
-from pricepanel.llm.elias_fano import EliasFano
+from pricepanel.llm.elias_fano import Arrays, EliasFano, save_arrays
 
 SF = "/root/testdata/sf0.001"
 LONG = "word " * 30_000
@@ -455,6 +455,70 @@ def test_lm_looks_each_pair_and_triple_of_a_batch_up_once(spark, monkeypatch):
     assert 0 < sum(asked) <= len(trained)
 
 
+def test_lm_meets_a_shard_once_for_the_batches_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(lm_trie, "PART_TOKENS", 50)
+    docs = frame(spark, [f"a{i % 3} b{i % 4} c d{i % 2} e" for i in range(60)] + ["new a0 b0 c", "c"] * 20)
+    model, tokens = lm_trie.train(docs, scratch(spark, "lm-shards"))
+    assert model.sizes[0] == [model.kinds, 0] and min(model.parts[1:]) > 3  # shards of words by the words, not the tokens
+    rows = tokens.select("doc_id", "train", "n_tokens", "n_known", "base_score", "ids").toArrow().combine_chunks()
+    met, opened = [], []
+    follow, arrays = lm_trie.Trie._follow, lm_trie.Arrays
+    monkeypatch.setattr(lm_trie.Trie, "_follow", lambda self, level, shard, *x: met.append((level, shard)) or follow(self, level, shard, *x))
+    monkeypatch.setattr(lm_trie, "Arrays", lambda *x: opened.append(x) or arrays(*x))
+    got = list(lm_trie.scored(_Local(), model)(iter(rows.to_batches(max_chunksize=7))))
+    assert sum(b.num_rows for b in got) == rows.num_rows > 70
+    assert len(met) == len(set(met)) > 6 and len(opened) == len(set(opened))
+    met.clear()
+    kept = rows.filter(rows["train"]).select(["ids"]).combine_chunks()
+    list(lm_trie._count_grams(_Local(), model, 3, model.spans[2])(iter(kept.to_batches(max_chunksize=7))))
+    assert len(met) == len(set(met)) > 3
+
+
+def test_lm_building_a_shard_of_triples_looks_no_pairs_up(spark, monkeypatch):
+    monkeypatch.setattr(lm_trie, "PART_TOKENS", 50)
+    model, tokens = lm_trie.train(frame(spark, [f"a{i % 5} b{i % 7} c a{i % 3}" for i in range(40)]), scratch(spark, "lm-build"))
+    ids = tokens.where("train").select("ids").toArrow().combine_chunks()
+    trie = lm_trie.Trie(model)
+    code = [trie.value(3, np.arange(n) + sum(model.sizes[2][:i]), "code") for i, n in enumerate(model.sizes[2])]
+    build = lm_trie._build_grams(model, 3, model.spans[2])
+    keys, entries = {}, {}
+    for b in lm_trie._count_grams(_Local(), model, 3, model.spans[2])(iter(ids.to_batches())):
+        for part, n, block in zip(*(c.to_pylist() for c in b.columns)):
+            keys[part], entries[part] = lm_trie._unpack(block, n)
+    monkeypatch.setattr(lm_trie.Trie, "_follow", None)  # a look-up would fail
+    for part in keys:
+        assert build(part, keys[part], entries[part] >> 16, entries[part] & 65535) == model.sizes[2][part]
+    trie = lm_trie.Trie(model)
+    assert all((trie.value(3, np.arange(n) + sum(model.sizes[2][:i]), "code") == code[i]).all() for i, n in enumerate(model.sizes[2]))
+
+
+def test_lm_scores_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    # a pair seen over 255 times lies in another shard than the first one, whose counts take a byte each
+    docs = frame(spark, [f"a{i % 40} b{i % 50} c{i % 30}" for i in range(600)] + ["x y z", "x y w"] * 300)
+    scores = []
+    for part_tokens in (10**6, 400, 60):
+        monkeypatch.setattr(lm_trie, "PART_TOKENS", part_tokens)
+        model, tokens = lm_trie.train(docs, scratch(spark, "lm-parts"))
+        scores.append(sorted((r.doc_id, r.score) for r in lm_trie.scored(tokens, model).collect()))
+    assert scores[0] == scores[1] == scores[2]
+    monkeypatch.setattr(lm_trie.Trie, "_array", lambda self, level, shard, name: np.array([7], dtype=np.uint8 if shard == 0 else np.uint16) * (1 if shard == 0 else 99))
+    trie = lm_trie.Trie(lm_trie.Model("", sizes=[[1, 1]]))
+    assert trie.value(1, np.array([0, 1]), "counts").tolist() == [7, 693]
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_arrays_of_a_file_come_back_from_any_store(tmpdir_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(elias_fano, "_local", lambda uri: None)
+    some = {"a": np.arange(7, dtype=np.uint16), "none": np.empty(0, dtype=np.int64), "b": np.arange(90, dtype=np.uint64) << np.uint64(40)}
+    e = EliasFano.of(np.arange(0, 900, 9), 900)
+    for folder in (*[tmpdir_path] * mounted, f"file://{tmpdir_path}"):
+        save_arrays(f"{folder}/x", "0", some | e.arrays("e"))
+        got = Arrays(f"{folder}/x", "0")
+        assert all((got[k] == v).all() and got[k].dtype == v.dtype and len(got[k]) == len(v) for k, v in some.items())
+        assert (EliasFano.kept(got.__getitem__, "e").get(np.arange(100)) == np.arange(0, 900, 9)).all()
+
+
 def test_lm_answers_in_any_order_and_across_shards(spark, monkeypatch):
     monkeypatch.setattr(lm_trie, "PART_TOKENS", 20)
     model, _ = lm_trie.train(frame(spark, [f"a{i % 5} b{i % 7} c a{i % 3}" for i in range(40)]), scratch(spark, "lm-order"))
